@@ -227,3 +227,101 @@ PAIR_CTES = [
 
 def pair_prefix(extra: list[tuple[str, str]] = (), fixtures: tuple[str, ...] = ()) -> str:
     return ledger_prefix(PAIR_CTES + list(extra), fixtures)
+
+
+# ---------------------------------------------------------------------------
+# customer-level normalisation, weights and pair scores
+# ---------------------------------------------------------------------------
+from ..params import (NEGATIVE_METRICS, PAIR_FIXED_WEIGHTS, PAIR_METRICS, POSITIVE_METRICS,  # noqa: E402
+                      ZEROED_METRICS)
+
+C001 = "CAST(0.01 AS DOUBLE)"
+
+
+def zexpr(m: str, w: str) -> str:
+    return (f"coalesce(CASE WHEN max({m}) OVER {w} <> min({m}) OVER {w} THEN ({m} - avg({m}) OVER {w}) "
+            f"/ nullif(stddev_samp({m}) OVER {w}, 0) END, 0)")
+
+
+def norm_ctes(src: str, keys: str, metrics=PAIR_METRICS, tag: str = "c") -> list[tuple[str, str]]:
+    w = f"(PARTITION BY {keys})" if keys else "()"
+    z = ", ".join(f"{zexpr(m, w)} AS z_{m}" for m in metrics)
+    zm = ", ".join(f"CASE WHEN {m} = 0 THEN 0 ELSE z_{m} END AS zm_{m}" for m in metrics)
+    n = ", ".join(
+        f"CASE WHEN {m} = 0 THEN 0 ELSE ((zm_{m} - min(zm_{m}) OVER {w}) + {C001}) / "
+        f"((max(zm_{m}) OVER {w} - min(zm_{m}) OVER {w}) + {C001}) END AS n_{m}" for m in metrics)
+    return [(f"{tag}_z", f"SELECT *, {z} FROM {src}"),
+            (f"{tag}_zm", f"SELECT *, {zm} FROM {tag}_z"),
+            (f"{tag}_n", f"SELECT *, {n} FROM {tag}_zm")]
+
+
+def rowwise_sql(group) -> dict[str, str]:
+    mean = "((" + " + ".join(group) + f") / {len(group)})"
+    var = "((" + " + ".join(f"({m} - {mean}) * ({m} - {mean})" for m in group) + f") / {len(group)})"
+    std = f"sqrt({var})"
+    return {m: f"({m} - {mean}) / nullif({std}, 0)" for m in group}
+
+
+def pearson_sql(x: str, y: str) -> str:
+    xs = f"CASE WHEN {x} IS NOT NULL AND {y} IS NOT NULL THEN {x} END"
+    ys = f"CASE WHEN {x} IS NOT NULL AND {y} IS NOT NULL THEN {y} END"
+    return (f"CASE WHEN NOT (max({xs}) = min({xs}) OR max({ys}) = min({ys})) "
+            f"AND stddev_samp({xs}) * stddev_samp({ys}) <> 0 "
+            f"THEN covar_samp({xs}, {ys}) / (stddev_samp({xs}) * stddev_samp({ys})) END")
+
+
+def forced_sql(m: str, corr: str, positive=POSITIVE_METRICS, negative=NEGATIVE_METRICS, zeroed=ZEROED_METRICS):
+    if m in zeroed:
+        return "CAST(0 AS DOUBLE)"
+    if m in positive:
+        return f"abs({corr})"
+    if m in negative:
+        return f"-abs({corr})"
+    return corr
+
+
+def weight_select(fixed: str, metrics=PAIR_METRICS, fixed_weights=PAIR_FIXED_WEIGHTS, zeroed=ZEROED_METRICS,
+                  target: str = "risk_balance") -> str:
+    out = []
+    for m, fw in zip(metrics, fixed_weights):
+        corr = f"coalesce({pearson_sql(m, target)}, 0)"
+        out.append(f"CASE WHEN {fixed} THEN CAST({float(fw)!r} AS DOUBLE) ELSE {forced_sql(m, corr, zeroed=zeroed)} "
+                   f"END AS w_{m}")
+    return ", ".join(out)
+
+
+def wsum_sql(metrics=PAIR_METRICS, n: str = "n_", w: str = "w_") -> str:
+    return " + ".join(f"coalesce({n}{m} * {w}{m}, 0)" for m in metrics)
+
+
+def level_sql(s: str) -> str:
+    return (f"CAST(CASE WHEN {s} > -1 AND {s} <= 250 THEN 1 WHEN {s} > 250 AND {s} <= 400 THEN 2 "
+            f"WHEN {s} > 400 AND {s} <= 800 THEN 3 END AS INT)")
+
+
+def clamp_sql(s: str, lo=0, hi=800) -> str:
+    return f"CASE WHEN {s} < {lo} THEN {lo} WHEN {s} > {hi} THEN {hi} ELSE {s} END"
+
+
+_single = []
+for _grp in (POSITIVE_METRICS, NEGATIVE_METRICS):
+    for _m, _z in rowwise_sql(_grp).items():
+        _single.append((_m, f"CASE WHEN n_pairs = 1 THEN abs(CASE WHEN {_m} = 0 THEN 0 ELSE {_z} END) ELSE n_{_m} END"))
+
+SCORE_CTES = norm_ctes("(SELECT *, count(*) OVER (PARTITION BY customer_id) AS n_pairs FROM pair_metrics) pm",
+                       "customer_id") + [
+    ("c_norm", "SELECT * REPLACE (" + ", ".join(f"{e} AS n_{m}" for m, e in _single) + ") FROM c_n"),
+    ("c_w", "SELECT customer_id, " + weight_select("(max(risk_balance) <= 0 OR count(*) = 1)")
+     + " FROM pair_metrics GROUP BY customer_id"),
+    ("c_corr", "SELECT customer_id, " + ", ".join(f"coalesce({pearson_sql(m, 'risk_balance')}, 0) AS corr_{m}"
+                                                  for m in PAIR_METRICS) + " FROM pair_metrics GROUP BY customer_id"),
+    ("c_scored0", f"""SELECT n.*, {', '.join('w.w_' + m for m in PAIR_METRICS)},
+        CASE WHEN customer_type_id = 4 THEN (({wsum_sql()}) + 57) * 2.7708333333333335
+             ELSE (({wsum_sql()}) + 3) * 133.3333 END AS score_raw
+        FROM c_norm n JOIN c_w w USING (customer_id)"""),
+    ("pair_scores", f"SELECT *, {clamp_sql('round_even(score_raw, 0)')} AS score FROM c_scored0"),
+]
+
+
+def score_prefix(extra=(), fixtures=()) -> str:
+    return pair_prefix(SCORE_CTES + list(extra), fixtures)

@@ -30,3 +30,65 @@ def pairs(t: Tables) -> DataFrame:
 @query("pair_metrics")
 def q_pair_metrics(spark, sf_dir):
     return pairs(Tables(spark, sf_dir))
+
+
+# ---------------------------------------------------------------------------
+# customer-level normalisation, weights and pair scores
+# ---------------------------------------------------------------------------
+from pyspark.sql import functions as F  # noqa: E402
+
+from ..operators import normalize, score, weights  # noqa: E402
+from ..params import PAIR_METRICS  # noqa: E402
+
+
+def r6(df: DataFrame, *cols: str) -> DataFrame:
+    """Round computed doubles to 6 places (statistics differ between engines in the last bits)."""
+    return df.withColumns({c: F.round(F.col(c), 6) for c in cols})
+
+
+@query("zscore_customer")
+def q_zscore_customer(spark, sf_dir):
+    z = normalize.zscore(pairs(Tables(spark, sf_dir)), PAIR_METRICS, ["customer_id"])
+    zc = ["z_" + m for m in PAIR_METRICS]
+    return r6(z.select("customer_id", "supplier_id", *zc), *zc)
+
+
+@query("masked_minmax_customer")
+def q_masked_minmax_customer(spark, sf_dir):
+    n = normalize.masked_minmax(pairs(Tables(spark, sf_dir)), PAIR_METRICS, ["customer_id"])
+    nc = ["n_" + m for m in PAIR_METRICS]
+    return r6(n.select("customer_id", "supplier_id", *nc), *nc)
+
+
+@query("single_supplier_norm")
+def q_single_supplier_norm(spark, sf_dir):
+    n = score.customer_normalised(pairs(Tables(spark, sf_dir))).filter(F.col("n_pairs") == 1)
+    nc = ["n_" + m for m in PAIR_METRICS]
+    return r6(n.select("customer_id", "supplier_id", *nc), *nc)
+
+
+@query("customer_corr_weights")
+def q_customer_corr_weights(spark, sf_dir):
+    cc = ["corr_" + m for m in PAIR_METRICS]
+    return r6(weights.customer_corr_weights(pairs(Tables(spark, sf_dir))), *cc)
+
+
+@query("customer_weights")
+def q_customer_weights(spark, sf_dir):
+    wc = ["w_" + m for m in PAIR_METRICS]
+    return r6(weights.customer_weights(pairs(Tables(spark, sf_dir))), *wc)
+
+
+def scored_pairs(t: Tables) -> DataFrame:
+    return score.pair_scores(pairs(t))
+
+
+@query("pair_score")
+def q_pair_score(spark, sf_dir):
+    s = scored_pairs(Tables(spark, sf_dir))
+    return s.select("customer_id", "supplier_id", F.round("score_raw", 4).alias("score_raw"), "score", "level")
+
+
+@query("level_buckets")
+def q_level_buckets(spark, sf_dir):
+    return score.level_buckets(scored_pairs(Tables(spark, sf_dir)))
