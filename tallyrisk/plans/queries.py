@@ -92,3 +92,29 @@ def q_pair_score(spark, sf_dir):
 @query("level_buckets")
 def q_level_buckets(spark, sf_dir):
     return score.level_buckets(scored_pairs(Tables(spark, sf_dir)))
+
+
+# ---------------------------------------------------------------------------
+# predictors
+# ---------------------------------------------------------------------------
+from ..functions.scalar import from_units  # noqa: E402
+from ..operators import predict  # noqa: E402
+
+
+def _predict_invoices(spark, sf_dir, h):
+    t = Tables(spark, sf_dir)
+    led = ledger(t)
+    out = predict.predict_invoices(led, metrics.pair_metrics(led), h)
+    return out.withColumn("predicted", from_units("predicted_u")).drop("predicted_u")
+
+
+def _predict_pairs(spark, sf_dir, h):
+    t = Tables(spark, sf_dir)
+    led = ledger(t)
+    return predict.predict_pairs(led, metrics.pair_metrics(led), h)
+
+
+REGISTRY["predict_10d"] = lambda spark, sf_dir: _predict_invoices(spark, sf_dir, 10)
+REGISTRY["predict_30d"] = lambda spark, sf_dir: _predict_invoices(spark, sf_dir, 30)
+REGISTRY["predict_pair_10d"] = lambda spark, sf_dir: _predict_pairs(spark, sf_dir, 10)
+REGISTRY["predict_pair_30d"] = lambda spark, sf_dir: _predict_pairs(spark, sf_dir, 30)
