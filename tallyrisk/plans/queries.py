@@ -24,7 +24,8 @@ def ledger(t: Tables) -> DataFrame:
 
 
 def pairs(t: Tables) -> DataFrame:
-    return metrics.pair_metrics(ledger(t), DEFAULT)
+    """Pair metrics; materialised because every later stage reads them."""
+    return t.stage("pairs", lambda: metrics.pair_metrics(ledger(t), DEFAULT))
 
 
 @query("pair_metrics")
@@ -80,7 +81,7 @@ def q_customer_weights(spark, sf_dir):
 
 
 def scored_pairs(t: Tables) -> DataFrame:
-    return score.pair_scores(pairs(t))
+    return t.stage("scored_pairs", lambda: score.pair_scores(pairs(t)))
 
 
 @query("pair_score")
@@ -103,18 +104,170 @@ from ..operators import predict  # noqa: E402
 
 def _predict_invoices(spark, sf_dir, h):
     t = Tables(spark, sf_dir)
-    led = ledger(t)
-    out = predict.predict_invoices(led, metrics.pair_metrics(led), h)
+    out = predict.predict_invoices(ledger(t), pairs(t), h)
     return out.withColumn("predicted", from_units("predicted_u")).drop("predicted_u")
 
 
 def _predict_pairs(spark, sf_dir, h):
     t = Tables(spark, sf_dir)
-    led = ledger(t)
-    return predict.predict_pairs(led, metrics.pair_metrics(led), h)
+    return predict.predict_pairs(ledger(t), pairs(t), h)
 
 
 REGISTRY["predict_10d"] = lambda spark, sf_dir: _predict_invoices(spark, sf_dir, 10)
 REGISTRY["predict_30d"] = lambda spark, sf_dir: _predict_invoices(spark, sf_dir, 30)
 REGISTRY["predict_pair_10d"] = lambda spark, sf_dir: _predict_pairs(spark, sf_dir, 10)
 REGISTRY["predict_pair_30d"] = lambda spark, sf_dir: _predict_pairs(spark, sf_dir, 30)
+
+
+# ---------------------------------------------------------------------------
+# supplier exposure, weights and scores
+# ---------------------------------------------------------------------------
+from ..operators import supplier as sup  # noqa: E402
+from ..params import SUPPLIER_METRICS, SUPPLIER_TEST_WEIGHTS  # noqa: E402
+
+PAIR_KEYS = ["customer_id", "supplier_id"]
+
+
+def pair_frame(t: Tables) -> DataFrame:
+    """Scored pairs with their 10- and 30-day predictions (materialised)."""
+    def build():
+        led, pm = ledger(t), pairs(t)
+        sc = scored_pairs(t).select(*PAIR_KEYS, "supplier_name", "total_invoice", "open_ar", "total_ar",
+                                    "outstanding_balance", "score")
+        return (sc.join(predict.predict_pairs(led, pm, 10), PAIR_KEYS, "left")
+                .join(predict.predict_pairs(led, pm, 30), PAIR_KEYS, "left"))
+    return t.stage("pair_frame", build)
+
+
+def test_weights(spark) -> DataFrame:
+    """Injected supplier weights (positive .4, negative -.3, free .2) for oracle-checked scores."""
+    return sup.weights_frame(spark, SUPPLIER_TEST_WEIGHTS)
+
+
+def _dim(t: Tables) -> DataFrame:
+    return t.stage("supplier_dim", lambda: sup.supplier_dimension(t))
+
+
+def _supplier_pairs(t: Tables) -> DataFrame:
+    return sup.supplier_pairs(pair_frame(t), _dim(t))
+
+
+def _supplier_totals(t: Tables) -> DataFrame:
+    return sup.supplier_totals(sup.supplier_rollup(pair_frame(t)), _dim(t))
+
+
+@query("payables_by_supplier")
+def q_payables_by_supplier(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    df = sup.payables_by_supplier(t.open_payable, t.unapplied_balance)
+    return df.select("supplier_id", from_units("open_payable_u").alias("open_payable"),
+                     from_units("unapplied_u").alias("unapplied_amount"))
+
+
+@query("other_payables_by_supplier")
+def q_other_payables_by_supplier(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return sup.other_payables_by_supplier(t.other_open_payables).select(
+        "supplier_id", from_units("other_open_payables_u").alias("other_open_payables"))
+
+
+@query("credit_memo_by_supplier")
+def q_credit_memo_by_supplier(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return sup.credit_memo_by_supplier(t.credit_memo, t.crm_classes).select(
+        "supplier_id", from_units("open_credit_memo_u").alias("open_credit_memo"))
+
+
+SP_COLS = ["customer_id", "supplier_id", "total_invoice", "total_ar", "unapplied_amount", "open_payable",
+           "open_credit_memo", "other_open_payables", "cash_balance", "wallet", "risk_balance", "customer_score"]
+
+
+@query("supplier_exposure_pair")
+def q_supplier_exposure_pair(spark, sf_dir):
+    return _supplier_pairs(Tables(spark, sf_dir)).select(*SP_COLS)
+
+
+@query("supplier_rollup")
+def q_supplier_rollup(spark, sf_dir):
+    return r6(sup.supplier_rollup(pair_frame(Tables(spark, sf_dir))), "customer_score")
+
+
+@query("supplier_exposure_total")
+def q_supplier_exposure_total(spark, sf_dir):
+    return r6(_supplier_totals(Tables(spark, sf_dir)).select(*SP_COLS[1:], "open_ar"), "customer_score")
+
+
+@query("supplier_pca_weights")
+def q_supplier_pca_weights(spark, sf_dir):
+    w = sup.pca_weights(_supplier_totals(Tables(spark, sf_dir)))
+    return spark.createDataFrame([(m, float(w[m])) for m in SUPPLIER_METRICS], ["metric", "weight"])
+
+
+@query("supplier_weights")
+def q_supplier_weights(spark, sf_dir):
+    return sup.supplier_weights(_supplier_totals(Tables(spark, sf_dir)), test_weights(spark))
+
+
+@query("masked_minmax_supplier")
+def q_masked_minmax_supplier(spark, sf_dir):
+    n = sup.supplier_normalised(_supplier_pairs(Tables(spark, sf_dir)))
+    nc = ["n_" + m for m in SUPPLIER_METRICS]
+    return r6(n.select("customer_id", "supplier_id", *nc), *nc)
+
+
+def _supplier_pair_scores(spark, t):
+    return t.stage("supplier_pair_scores", lambda: sup.supplier_pair_scores(_supplier_pairs(t), test_weights(spark)))
+
+
+@query("supplier_pair_score")
+def q_supplier_pair_score(spark, sf_dir):
+    s = _supplier_pair_scores(spark, Tables(spark, sf_dir))
+    return s.select("customer_id", "supplier_id", F.round("score_raw", 4).alias("score_raw"), "score", "level")
+
+
+@query("risk_factors")
+def q_risk_factors(spark, sf_dir):
+    return sup.risk_factors(_supplier_totals(Tables(spark, sf_dir)), test_weights(spark))
+
+
+@query("modal_level_supplier")
+def q_modal_level_supplier(spark, sf_dir):
+    return sup.modal_level(_supplier_pair_scores(spark, Tables(spark, sf_dir)), "supplier_id")
+
+
+def _agg_supplier(spark, t):
+    scored = _supplier_pair_scores(spark, t)
+    agg = t.stage("agg_supplier", lambda: sup.agg_supplier_metrics(scored.drop("score", "level", "score_raw")))
+    return agg, t.stage("modal_supplier", lambda: sup.modal_level(scored, "supplier_id"))
+
+
+@query("agg_supplier_metrics")
+def q_agg_supplier_metrics(spark, sf_dir):
+    agg, _ = _agg_supplier(spark, Tables(spark, sf_dir))
+    return r6(agg, "customer_score")
+
+
+@query("masked_minmax_bucket")
+def q_masked_minmax_bucket(spark, sf_dir):
+    agg, modal = _agg_supplier(spark, Tables(spark, sf_dir))
+    n = normalize.masked_minmax(agg.join(modal, "supplier_id", "left"), SUPPLIER_METRICS, ["modal_level"],
+                                by_join=True)
+    nc = ["n_" + m for m in SUPPLIER_METRICS]
+    return r6(n.select("supplier_id", "modal_level", *nc), *nc)
+
+
+@query("agg_supplier_score")
+def q_agg_supplier_score(spark, sf_dir):
+    agg, modal = _agg_supplier(spark, Tables(spark, sf_dir))
+    s = sup.agg_supplier_score(agg, modal, test_weights(spark))
+    return s.select("supplier_id", "modal_level", F.round("score_raw", 4).alias("score_raw"), "score", "level")
+
+
+@query("pair_detail")
+def q_pair_detail(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    pf = pair_frame(t)
+    det = sup.with_exposure(pf, _dim(t), open_ar="total_ar")
+    det = det.withColumnRenamed("risk_balance_s", "supplier_risk_balance")
+    cs = sup.contract_status_by_supplier(t.contract_status)
+    return det.join(cs, "supplier_id", "left").drop("supplier_name")

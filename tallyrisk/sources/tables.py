@@ -24,6 +24,19 @@ class Tables:
         self.spark = spark
         self.sf_dir = sf_dir
         self._cache: dict[str, DataFrame] = {}
+        self._stages: dict[str, DataFrame] = {}
+
+    def stage(self, name: str, build) -> DataFrame:
+        """Build a reused intermediate once and cut its lineage with a reliable checkpoint.
+
+        The checkpoint goes to the session's shared checkpoint folder, so a lost
+        executor re-reads it instead of recomputing the whole upstream plan.
+        """
+        if name not in self._stages:
+            from ..session import ensure_checkpoint_dir
+            ensure_checkpoint_dir(self.spark)
+            self._stages[name] = build().checkpoint(eager=True)
+        return self._stages[name]
 
     def base(self, name: str) -> DataFrame:
         key = "base:" + name

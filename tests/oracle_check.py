@@ -30,8 +30,10 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 
 def _norm(v, digits):
-    if v is None:
+    if v is None or v is pd.NA or v is pd.NaT:
         return None
+    if hasattr(v, "item") and not isinstance(v, (str, bytes)):
+        v = v.item()
     if isinstance(v, float):
         if math.isnan(v):
             return None
@@ -45,8 +47,7 @@ def frame_rows(df: pd.DataFrame, digits: int):
     cols = sorted(df.columns)
     rows = []
     for rec in df[cols].itertuples(index=False, name=None):
-        rows.append(tuple(_norm(None if (isinstance(v, float) and math.isnan(v)) or v is pd.NaT else v, digits)
-                          for v in rec))
+        rows.append(tuple(_norm(v, digits) for v in rec))
     return cols, sorted(rows, key=lambda r: tuple((x is None, str(type(x)), x if x is not None else 0) for x in r))
 
 
