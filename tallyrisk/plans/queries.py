@@ -271,3 +271,137 @@ def q_pair_detail(spark, sf_dir):
     det = det.withColumnRenamed("risk_balance_s", "supplier_risk_balance")
     cs = sup.contract_status_by_supplier(t.contract_status)
     return det.join(cs, "supplier_id", "left").drop("supplier_name")
+
+
+# ---------------------------------------------------------------------------
+# customer and group roll-ups
+# ---------------------------------------------------------------------------
+from ..operators import aggregate as agg_ops  # noqa: E402
+from ..params import CUSTOMER_AGG_METRICS  # noqa: E402
+
+CUST_ATTRS = ("ndg_id", "ndg_name", "customer_name", "customer_type_id", "customer_type")
+
+
+def cust_pairs(t: Tables) -> DataFrame:
+    """Scored pairs with every metric and both predictions (materialised)."""
+    def build():
+        led, pm = ledger(t), pairs(t)
+        return (scored_pairs(t).join(predict.predict_pairs(led, pm, 10), PAIR_KEYS, "left")
+                .join(predict.predict_pairs(led, pm, 30), PAIR_KEYS, "left"))
+    return t.stage("cust_pairs", build)
+
+
+def cust_agg(t: Tables) -> DataFrame:
+    return t.stage("cust_agg", lambda: agg_ops.aggregate_metrics(cust_pairs(t), "customer_id", CUST_ATTRS))
+
+
+def cust_scores(t: Tables) -> DataFrame:
+    return t.stage("cust_scores", lambda: agg_ops.agg_customer_score(
+        cust_agg(t), weights.customer_weights(pairs(t))))
+
+
+@query("agg_customer_metrics")
+def q_agg_customer_metrics(spark, sf_dir):
+    df = cust_agg(Tables(spark, sf_dir))
+    return r6(df, *[c for c, tp in df.dtypes if tp == "double"])
+
+
+@query("ratio_rescale")
+def q_ratio_rescale(spark, sf_dir):
+    return r6(cust_agg(Tables(spark, sf_dir)).select("customer_id", *agg_ops.RATIOS), *agg_ops.RATIOS)
+
+
+@query("modal_level_customer")
+def q_modal_level_customer(spark, sf_dir):
+    return sup.modal_level(scored_pairs(Tables(spark, sf_dir)), "customer_id")
+
+
+@query("customer_minmax")
+def q_customer_minmax(spark, sf_dir):
+    df = cust_agg(Tables(spark, sf_dir)).withColumn("payment_cycle", F.col("dbt"))
+    n = agg_ops.global_minmax(df, CUSTOMER_AGG_METRICS, prefix="n_")
+    nc = ["n_" + m for m in CUSTOMER_AGG_METRICS]
+    return r6(n.select("customer_id", *nc), *nc)
+
+
+@query("agg_customer_score")
+def q_agg_customer_score(spark, sf_dir):
+    return cust_scores(Tables(spark, sf_dir)).select("customer_id", "customer_type_id", "score", "level")
+
+
+@query("international_adjust")
+def q_international_adjust(spark, sf_dir):
+    return agg_ops.international_adjust(cust_scores(Tables(spark, sf_dir))).select(
+        "customer_id", "customer_type_id", "score", "level")
+
+
+def ndg_agg(t: Tables) -> DataFrame:
+    return t.stage("ndg_agg", lambda: agg_ops.aggregate_metrics(cust_pairs(t), "ndg_id"))
+
+
+def ndg_modal(t: Tables) -> DataFrame:
+    return sup.modal_level(scored_pairs(t), "ndg_id")
+
+
+def ndg_raw(t: Tables) -> DataFrame:
+    return t.stage("ndg_raw", lambda: agg_ops.ndg_score_raw(ndg_agg(t), ndg_modal(t)))
+
+
+def cust_map(t: Tables) -> DataFrame:
+    return agg_ops.customer_group_map(cust_agg(t))
+
+
+def final_cust_scores(t: Tables) -> DataFrame:
+    return t.stage("final_cust_scores", lambda: agg_ops.international_adjust(cust_scores(t)))
+
+
+@query("agg_ndg_metrics")
+def q_agg_ndg_metrics(spark, sf_dir):
+    df = ndg_agg(Tables(spark, sf_dir))
+    return r6(df, *[c for c, tp in df.dtypes if tp == "double"])
+
+
+@query("modal_level_ndg")
+def q_modal_level_ndg(spark, sf_dir):
+    return ndg_modal(Tables(spark, sf_dir))
+
+
+@query("ndg_corr_weights")
+def q_ndg_corr_weights(spark, sf_dir):
+    from ..params import GROUP_FIXED_WEIGHTS
+    t = Tables(spark, sf_dir)
+    df = ndg_agg(t).join(ndg_modal(t), "ndg_id", "left")
+    fixed = (F.max(F.abs(F.col("risk_balance"))) == 0) | (F.count(F.lit(1)) == 1)
+    wexpr = weights.weight_exprs(fixed, PAIR_METRICS, GROUP_FIXED_WEIGHTS, zeroed=())
+    w = df.groupBy("modal_level").agg(*[e.alias(n) for n, e in wexpr.items()])
+    return r6(w, *wexpr.keys())
+
+
+@query("ndg_score_raw")
+def q_ndg_score_raw(spark, sf_dir):
+    s = ndg_raw(Tables(spark, sf_dir))
+    return s.select("ndg_id", "modal_level", F.round("score_raw", 4).alias("score_raw"), "score", "level")
+
+
+def ndg_with_members(t: Tables) -> DataFrame:
+    return agg_ops.ndg_single_member(ndg_raw(t), cust_map(t), final_cust_scores(t))
+
+
+@query("ndg_single_member")
+def q_ndg_single_member(spark, sf_dir):
+    return ndg_with_members(Tables(spark, sf_dir)).select("ndg_id", "score")
+
+
+@query("ndg_score_spread")
+def q_ndg_score_spread(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    sp = agg_ops.ndg_score_spread(ndg_with_members(t), cust_map(t), final_cust_scores(t))
+    return r6(sp, "cust_mean_score", "old_ndg_score")
+
+
+@query("ndg_score")
+def q_ndg_score(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    members = ndg_with_members(t)
+    sp = agg_ops.ndg_score_spread(members, cust_map(t), final_cust_scores(t))
+    return agg_ops.ndg_final(members, sp).select("ndg_id", "score", "level")
