@@ -405,3 +405,85 @@ def q_ndg_score(spark, sf_dir):
     members = ndg_with_members(t)
     sp = agg_ops.ndg_score_spread(members, cust_map(t), final_cust_scores(t))
     return agg_ops.ndg_final(members, sp).select("ndg_id", "score", "level")
+
+
+# ---------------------------------------------------------------------------
+# scans, cleaning and metric subsets
+# ---------------------------------------------------------------------------
+from ..sources import tables as src_tables  # noqa: E402
+
+INVOICE_VIEW = ["invoice_num", "customer_id", "supplier_id", "ispaid", "invoice_date", "duedate", "txn_date",
+                "invoice_amount", "txn_amount", "txn_type", "memo"]
+
+
+@query("scan_dimensions")
+def q_scan_dimensions(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    cust = src_tables.coerce_ids(t.crm_customers, ["customer_id", "ndg_id"])
+    ndg = src_tables.coerce_ids(t.crm_ndg, ["id"]).select(F.col("id").alias("ndg_id"), F.col("name").alias("ndg"))
+    return cust.join(ndg, "ndg_id", "left").select("customer_id", "customer", "customer_type_id", "ndg_id", "ndg")
+
+
+@query("scan_window")
+def q_scan_window(spark, sf_dir):
+    return clean.scan_window(Tables(spark, sf_dir).psi_invoice, "invoice_date").select(*INVOICE_VIEW)
+
+
+@query("clean_early_advance")
+def q_clean_early_advance(spark, sf_dir):
+    inv = clean.scan_window(Tables(spark, sf_dir).psi_invoice, "invoice_date")
+    return clean.clean_early_advance(inv).select(*INVOICE_VIEW)
+
+
+@query("drop_full_credit_memo")
+def q_drop_full_credit_memo(spark, sf_dir):
+    return clean.clean_invoices(Tables(spark, sf_dir).psi_invoice).select(*INVOICE_VIEW)
+
+
+LEDGER_VIEW = ["src", "customer_id", "supplier_id", "invoice_num", "ispaid", "invoice_date", "duedate", "txn_date",
+               "invoice_amount", "txn_amount", "total_amount", "open_balance", "paid_amount", "bill_date",
+               "cb_duedate", "paid_date", "ndg_id", "ndg_name"]
+
+
+@query("clean_fill")
+def q_clean_fill(spark, sf_dir):
+    return ledger(Tables(spark, sf_dir)).filter(F.col("src") == "inv").select(*LEDGER_VIEW)
+
+
+@query("unified_ledger")
+def q_unified_ledger(spark, sf_dir):
+    return ledger(Tables(spark, sf_dir)).select(*LEDGER_VIEW)
+
+
+@query("customer_attributes")
+def q_customer_attributes(spark, sf_dir):
+    return clean.customer_attributes(ledger(Tables(spark, sf_dir)))
+
+
+@query("historical_pairs")
+def q_historical_pairs(spark, sf_dir):
+    return clean.historical_pairs(ledger(Tables(spark, sf_dir)))
+
+
+SUBSETS = {
+    "pair_ar_balances": ["invoice_freq", "total_invoice", "total_ar", "open_ar", "paid_invoice", "unpaid_invoice",
+                         "outstanding_balance"],
+    "pair_payment_behaviour": ["early_payment_perc", "early_payment_amount", "early_payment_days",
+                               "payment_timeliness_ratio", "late_payment_ratio_lt10", "late_payment_ratio_gt10",
+                               "delinquent_payment_lt10", "delinquent_overdueday_lt10", "delinquent_payment_gt10",
+                               "delinquent_overdueday_gt10", "payment1_percent", "payment2_percent",
+                               "payment2_percent_wo_cb"],
+    "pair_payment_cycle_dbt": ["payment_cycle", "dbt", "aging_balance", "payment_predictor"],
+    "pair_counts": ["invoice_freq", "suppliers_freq", "num_supplier_w_open_invoice"],
+    "pair_chargebacks": ["chargeback_freq", "chargeback_vol_amt", "chargeback_vol_paid", "chargeback_vol_unpaid",
+                         "overdue_chargebacks", "early_chargeback", "timeliness_of_chargeback",
+                         "open_chargeback_freq", "open_chargeback_vol_amt", "w_o_open_cb", "risk_balance"],
+}
+
+for _name, _cols in SUBSETS.items():
+    REGISTRY[_name] = (lambda cols: lambda spark, sf_dir: pairs(Tables(spark, sf_dir)).select(*PAIR_KEYS, *cols))(_cols)
+
+
+@query("global_overdue_cb_suppliers")
+def q_global_overdue_cb_suppliers(spark, sf_dir):
+    return metrics.overdue_cb_suppliers(ledger(Tables(spark, sf_dir)))
