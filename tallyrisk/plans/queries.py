@@ -487,3 +487,89 @@ for _name, _cols in SUBSETS.items():
 @query("global_overdue_cb_suppliers")
 def q_global_overdue_cb_suppliers(spark, sf_dir):
     return metrics.overdue_cb_suppliers(ledger(Tables(spark, sf_dir)))
+
+
+# ---------------------------------------------------------------------------
+# overrides and reasons
+# ---------------------------------------------------------------------------
+from ..operators import override as ovr  # noqa: E402
+from ..params import DEFAULT as P  # noqa: E402
+
+
+def supplier_reasons(t: Tables) -> DataFrame:
+    """Stored supplier reasons plus default rows for suppliers that have none."""
+    matrix = ovr.reason_matrix(t.crm_classes, "supplier_id")
+    existing = t.supplier_reason
+    return existing.unionByName(ovr.reason_missing_rows(matrix, existing, "supplier_id"))
+
+
+def customer_reasons(t: Tables) -> DataFrame:
+    matrix = ovr.reason_matrix(t.crm_customers, "customer_id")
+    existing = t.customer_reason
+    return existing.unionByName(ovr.reason_missing_rows(matrix, existing, "customer_id"))
+
+
+def _agg_supplier_scores(spark, t):
+    def build():
+        agg, modal = _agg_supplier(spark, t)
+        return sup.agg_supplier_score(agg, modal, test_weights(spark))
+    return t.stage("agg_supplier_scores", build)
+
+
+def supplier_overrides(spark, t):
+    def build():
+        scores = _agg_supplier_scores(spark, t)
+        latest = ovr.latest_override(t.supplier_update_level, "supplier_id")
+        w = sup.supplier_weights(scores, test_weights(spark))
+        return ovr.apply_overrides(scores, "supplier_id", latest, w, scores, SUPPLIER_METRICS, supplier_reasons(t),
+                                   P.c("c1"))
+    return t.stage("supplier_overrides", build)
+
+
+@query("latest_override")
+def q_latest_override(spark, sf_dir):
+    return ovr.latest_override(Tables(spark, sf_dir).supplier_update_level, "supplier_id")
+
+
+@query("override_supplier")
+def q_override_supplier(spark, sf_dir):
+    out = supplier_overrides(spark, Tables(spark, sf_dir))
+    return r6(out.drop("reason"), "external_factor")
+
+
+@query("override_customer")
+def q_override_customer(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    pre = cust_scores(t)
+    final = final_cust_scores(t)
+    latest = ovr.latest_override(t.customer_update_level, "customer_id")
+    out = ovr.apply_overrides(final, "customer_id", latest, pre, pre, CUSTOMER_AGG_METRICS, customer_reasons(t),
+                              P.c("c2"), std_from=pre)
+    return r6(out.drop("reason"), "external_factor")
+
+
+@query("reason_matrix")
+def q_reason_matrix(spark, sf_dir):
+    return ovr.reason_matrix(Tables(spark, sf_dir).crm_customers, "customer_id")
+
+
+@query("reason_missing_rows")
+def q_reason_missing_rows(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return ovr.reason_missing_rows(ovr.reason_matrix(t.crm_customers, "customer_id"), t.customer_reason,
+                                   "customer_id")
+
+
+@query("reason_weight_lookup")
+def q_reason_weight_lookup(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    latest = ovr.latest_override(t.supplier_update_level, "supplier_id")
+    ov = latest.join(_agg_supplier_scores(spark, t).select("supplier_id"), "supplier_id", "left_semi")
+    return ovr.reason_weight_lookup(ov, supplier_reasons(t), "supplier_id")
+
+
+@query("reason_weight_update")
+def q_reason_weight_update(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    out = ovr.reason_weight_update(supplier_reasons(t), supplier_overrides(spark, t), "supplier_id")
+    return r6(out, "weight")

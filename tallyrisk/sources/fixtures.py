@@ -202,6 +202,16 @@ SELECT e.user_id AS supplier_id, CAST((e.event_id + 1) % 3 + 1 AS INT) AS previo
 FROM {events} e WHERE e.event_type = 'error'
 """
 
+# override reasons already stored with a weight (one row per entity and reason)
+for _entity, _etype in (("customer", "signup"), ("supplier", "error")):
+    FIXTURES[f"{_entity}_reason"] = f"""
+SELECT e.user_id AS {_entity}_id,
+       CASE WHEN e.event_id % 2 = 0 THEN 'Level of trust' ELSE 'External references' END AS reason,
+       max(CAST(0.1 + (e.event_id % 5) * 0.05 AS DOUBLE)) AS weight
+FROM {{events}} e WHERE e.event_type = '{_etype}'
+GROUP BY e.user_id, CASE WHEN e.event_id % 2 = 0 THEN 'Level of trust' ELSE 'External references' END
+"""
+
 
 def placeholders(text: str) -> list[str]:
     """Base tables a fixture statement refers to."""
