@@ -537,14 +537,18 @@ def q_override_supplier(spark, sf_dir):
     return r6(out.drop("reason"), "external_factor")
 
 
+def customer_overrides(t: Tables) -> DataFrame:
+    def build():
+        pre = cust_scores(t)
+        latest = ovr.latest_override(t.customer_update_level, "customer_id")
+        return ovr.apply_overrides(final_cust_scores(t), "customer_id", latest, pre, pre, CUSTOMER_AGG_METRICS,
+                                   customer_reasons(t), P.c("c2"), std_from=pre)
+    return t.stage("customer_overrides", build)
+
+
 @query("override_customer")
 def q_override_customer(spark, sf_dir):
-    t = Tables(spark, sf_dir)
-    pre = cust_scores(t)
-    final = final_cust_scores(t)
-    latest = ovr.latest_override(t.customer_update_level, "customer_id")
-    out = ovr.apply_overrides(final, "customer_id", latest, pre, pre, CUSTOMER_AGG_METRICS, customer_reasons(t),
-                              P.c("c2"), std_from=pre)
+    out = customer_overrides(Tables(spark, sf_dir))
     return r6(out.drop("reason"), "external_factor")
 
 
@@ -573,3 +577,102 @@ def q_reason_weight_update(spark, sf_dir):
     t = Tables(spark, sf_dir)
     out = ovr.reason_weight_update(supplier_reasons(t), supplier_overrides(spark, t), "supplier_id")
     return r6(out, "weight")
+
+
+# ---------------------------------------------------------------------------
+# every customer x supplier combination (kept virtual)
+# ---------------------------------------------------------------------------
+from ..operators import cross  # noqa: E402
+
+
+def cross_inputs(spark, t: Tables) -> cross.CrossInputs:
+    return cross.CrossInputs(t.crm_customers, t.crm_classes, customer_overrides(t),
+                             supplier_overrides(spark, t), scored_pairs(t))
+
+
+def _entity_finals(spark, t):
+    ci = cross_inputs(spark, t)
+    cf = t.stage("cross_cust_final", lambda: cross.entity_final(ci.name_means("customer"), "customer_id", "customer"))
+    sf = t.stage("cross_sup_final", lambda: cross.entity_final(ci.name_means("supplier"), "supplier_id", "supplier"))
+    return ci, cf, sf
+
+
+@query("global_score_stats")
+def q_global_score_stats(spark, sf_dir):
+    st = cross_inputs(spark, Tables(spark, sf_dir)).stats
+    return r6(st, *st.columns)
+
+
+@query("centroids")
+def q_centroids(spark, sf_dir):
+    return cross_inputs(spark, Tables(spark, sf_dir)).cents
+
+
+@query("impute_pairs")
+def q_impute_pairs(spark, sf_dir):
+    imp = cross_inputs(spark, Tables(spark, sf_dir)).imputation("supplier")
+    return imp.select("supplier_id", "s_val", "o_val", "n", "i_comb", "i_cust", "i_sup")
+
+
+@query("nearest_centroid")
+def q_nearest_centroid(spark, sf_dir):
+    imp = cross_inputs(spark, Tables(spark, sf_dir)).imputation("customer")
+    return r6(imp.select("customer_id", "s_val", "o_val", "n", "distance1", "distance2", "distance3", "cluster"),
+              "distance1", "distance2", "distance3")
+
+
+@query("cross_name_means")
+def q_cross_name_means(spark, sf_dir):
+    ci = cross_inputs(spark, Tables(spark, sf_dir))
+    s = ci.name_means("supplier").select(F.lit("supplier").alias("entity"), F.col("supplier_id").alias("id"),
+                                          "n_history", "mean_score")
+    c = ci.name_means("customer").select(F.lit("customer").alias("entity"), F.col("customer_id").alias("id"),
+                                          "n_history", "mean_score")
+    return r6(s.unionByName(c), "mean_score")
+
+
+@query("cross_finish")
+def q_cross_finish(spark, sf_dir):
+    ci, cf, sf = _entity_finals(spark, Tables(spark, sf_dir))
+    return r6(ci.finished_pairs(cf, sf), "customer_score", "supplier_score")
+
+
+@query("cross_product_scores")
+def q_cross_product_scores(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    ci = cross_inputs(spark, t)
+    n_sup = ci.sup.count()
+    nh = ci.hist_pairs.groupBy("customer_id").agg(F.count(F.lit(1)).alias("n_history"))
+    return (ci.cust.join(nh, "customer_id", "left")
+            .select("customer_id", "score", F.col("val").alias("customer_value"),
+                    F.coalesce(F.col("n_history"), F.lit(0)).alias("n_history"),
+                    (F.lit(n_sup) - F.coalesce(F.col("n_history"), F.lit(0))).alias("n_imputed")))
+
+
+@query("cross_union_all")
+def q_cross_union_all(spark, sf_dir):
+    _, cf, sf = _entity_finals(spark, Tables(spark, sf_dir))
+    c = cf.select(F.lit("customer").alias("entity"), F.col("customer_id").alias("id"),
+                  F.col("customer_score").alias("score"), F.col("customer_level").alias("level"))
+    s = sf.select(F.lit("supplier").alias("entity"), F.col("supplier_id").alias("id"),
+                  F.col("supplier_score").alias("score"), F.col("supplier_level").alias("level"))
+    return r6(c.unionByName(s), "score")
+
+
+def _customer_updated(spark, t):
+    _, cf, _ = _entity_finals(spark, t)
+    return cross.update_from_join(cf, customer_overrides(t), "customer_id", "customer")
+
+
+@query("update_from_join")
+def q_update_from_join(spark, sf_dir):
+    return r6(_customer_updated(spark, Tables(spark, sf_dir)), "customer_score")
+
+
+@query("override_nonhistorical")
+def q_override_nonhistorical(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    latest = ovr.latest_override(t.customer_update_level, "customer_id")
+    out = cross.override_nonhistorical(_customer_updated(spark, t), latest, customer_overrides(t), "customer_id",
+                                       "customer")
+    return r6(out, "customer_score")
