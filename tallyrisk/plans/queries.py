@@ -30,7 +30,7 @@ def pairs(t: Tables) -> DataFrame:
 
 @query("pair_metrics")
 def q_pair_metrics(spark, sf_dir):
-    return pairs(Tables(spark, sf_dir))
+    return pairs(Tables.for_run(spark, sf_dir))
 
 
 # ---------------------------------------------------------------------------
@@ -49,21 +49,21 @@ def r6(df: DataFrame, *cols: str) -> DataFrame:
 
 @query("zscore_customer")
 def q_zscore_customer(spark, sf_dir):
-    z = normalize.zscore(pairs(Tables(spark, sf_dir)), PAIR_METRICS, ["customer_id"])
+    z = normalize.zscore(pairs(Tables.for_run(spark, sf_dir)), PAIR_METRICS, ["customer_id"])
     zc = ["z_" + m for m in PAIR_METRICS]
     return r6(z.select("customer_id", "supplier_id", *zc), *zc)
 
 
 @query("masked_minmax_customer")
 def q_masked_minmax_customer(spark, sf_dir):
-    n = normalize.masked_minmax(pairs(Tables(spark, sf_dir)), PAIR_METRICS, ["customer_id"])
+    n = normalize.masked_minmax(pairs(Tables.for_run(spark, sf_dir)), PAIR_METRICS, ["customer_id"])
     nc = ["n_" + m for m in PAIR_METRICS]
     return r6(n.select("customer_id", "supplier_id", *nc), *nc)
 
 
 @query("single_supplier_norm")
 def q_single_supplier_norm(spark, sf_dir):
-    n = score.customer_normalised(pairs(Tables(spark, sf_dir))).filter(F.col("n_pairs") == 1)
+    n = score.customer_normalised(pairs(Tables.for_run(spark, sf_dir))).filter(F.col("n_pairs") == 1)
     nc = ["n_" + m for m in PAIR_METRICS]
     return r6(n.select("customer_id", "supplier_id", *nc), *nc)
 
@@ -71,13 +71,13 @@ def q_single_supplier_norm(spark, sf_dir):
 @query("customer_corr_weights")
 def q_customer_corr_weights(spark, sf_dir):
     cc = ["corr_" + m for m in PAIR_METRICS]
-    return r6(weights.customer_corr_weights(pairs(Tables(spark, sf_dir))), *cc)
+    return r6(weights.customer_corr_weights(pairs(Tables.for_run(spark, sf_dir))), *cc)
 
 
 @query("customer_weights")
 def q_customer_weights(spark, sf_dir):
     wc = ["w_" + m for m in PAIR_METRICS]
-    return r6(weights.customer_weights(pairs(Tables(spark, sf_dir))), *wc)
+    return r6(weights.customer_weights(pairs(Tables.for_run(spark, sf_dir))), *wc)
 
 
 def scored_pairs(t: Tables) -> DataFrame:
@@ -86,13 +86,13 @@ def scored_pairs(t: Tables) -> DataFrame:
 
 @query("pair_score")
 def q_pair_score(spark, sf_dir):
-    s = scored_pairs(Tables(spark, sf_dir))
+    s = scored_pairs(Tables.for_run(spark, sf_dir))
     return s.select("customer_id", "supplier_id", F.round("score_raw", 4).alias("score_raw"), "score", "level")
 
 
 @query("level_buckets")
 def q_level_buckets(spark, sf_dir):
-    return score.level_buckets(scored_pairs(Tables(spark, sf_dir)))
+    return score.level_buckets(scored_pairs(Tables.for_run(spark, sf_dir)))
 
 
 # ---------------------------------------------------------------------------
@@ -103,13 +103,13 @@ from ..operators import predict  # noqa: E402
 
 
 def _predict_invoices(spark, sf_dir, h):
-    t = Tables(spark, sf_dir)
+    t = Tables.for_run(spark, sf_dir)
     out = predict.predict_invoices(ledger(t), pairs(t), h)
     return out.withColumn("predicted", from_units("predicted_u")).drop("predicted_u")
 
 
 def _predict_pairs(spark, sf_dir, h):
-    t = Tables(spark, sf_dir)
+    t = Tables.for_run(spark, sf_dir)
     return predict.predict_pairs(ledger(t), pairs(t), h)
 
 
@@ -158,7 +158,7 @@ def _supplier_totals(t: Tables) -> DataFrame:
 
 @query("payables_by_supplier")
 def q_payables_by_supplier(spark, sf_dir):
-    t = Tables(spark, sf_dir)
+    t = Tables.for_run(spark, sf_dir)
     df = sup.payables_by_supplier(t.open_payable, t.unapplied_balance)
     return df.select("supplier_id", from_units("open_payable_u").alias("open_payable"),
                      from_units("unapplied_u").alias("unapplied_amount"))
@@ -166,14 +166,14 @@ def q_payables_by_supplier(spark, sf_dir):
 
 @query("other_payables_by_supplier")
 def q_other_payables_by_supplier(spark, sf_dir):
-    t = Tables(spark, sf_dir)
+    t = Tables.for_run(spark, sf_dir)
     return sup.other_payables_by_supplier(t.other_open_payables).select(
         "supplier_id", from_units("other_open_payables_u").alias("other_open_payables"))
 
 
 @query("credit_memo_by_supplier")
 def q_credit_memo_by_supplier(spark, sf_dir):
-    t = Tables(spark, sf_dir)
+    t = Tables.for_run(spark, sf_dir)
     return sup.credit_memo_by_supplier(t.credit_memo, t.crm_classes).select(
         "supplier_id", from_units("open_credit_memo_u").alias("open_credit_memo"))
 
@@ -184,33 +184,33 @@ SP_COLS = ["customer_id", "supplier_id", "total_invoice", "total_ar", "unapplied
 
 @query("supplier_exposure_pair")
 def q_supplier_exposure_pair(spark, sf_dir):
-    return _supplier_pairs(Tables(spark, sf_dir)).select(*SP_COLS)
+    return _supplier_pairs(Tables.for_run(spark, sf_dir)).select(*SP_COLS)
 
 
 @query("supplier_rollup")
 def q_supplier_rollup(spark, sf_dir):
-    return r6(sup.supplier_rollup(pair_frame(Tables(spark, sf_dir))), "customer_score")
+    return r6(sup.supplier_rollup(pair_frame(Tables.for_run(spark, sf_dir))), "customer_score")
 
 
 @query("supplier_exposure_total")
 def q_supplier_exposure_total(spark, sf_dir):
-    return r6(_supplier_totals(Tables(spark, sf_dir)).select(*SP_COLS[1:], "open_ar"), "customer_score")
+    return r6(_supplier_totals(Tables.for_run(spark, sf_dir)).select(*SP_COLS[1:], "open_ar"), "customer_score")
 
 
 @query("supplier_pca_weights")
 def q_supplier_pca_weights(spark, sf_dir):
-    w = sup.pca_weights(_supplier_totals(Tables(spark, sf_dir)))
+    w = sup.pca_weights(_supplier_totals(Tables.for_run(spark, sf_dir)))
     return spark.createDataFrame([(m, float(w[m])) for m in SUPPLIER_METRICS], ["metric", "weight"])
 
 
 @query("supplier_weights")
 def q_supplier_weights(spark, sf_dir):
-    return sup.supplier_weights(_supplier_totals(Tables(spark, sf_dir)), test_weights(spark))
+    return sup.supplier_weights(_supplier_totals(Tables.for_run(spark, sf_dir)), test_weights(spark))
 
 
 @query("masked_minmax_supplier")
 def q_masked_minmax_supplier(spark, sf_dir):
-    n = sup.supplier_normalised(_supplier_pairs(Tables(spark, sf_dir)))
+    n = sup.supplier_normalised(_supplier_pairs(Tables.for_run(spark, sf_dir)))
     nc = ["n_" + m for m in SUPPLIER_METRICS]
     return r6(n.select("customer_id", "supplier_id", *nc), *nc)
 
@@ -221,18 +221,18 @@ def _supplier_pair_scores(spark, t):
 
 @query("supplier_pair_score")
 def q_supplier_pair_score(spark, sf_dir):
-    s = _supplier_pair_scores(spark, Tables(spark, sf_dir))
+    s = _supplier_pair_scores(spark, Tables.for_run(spark, sf_dir))
     return s.select("customer_id", "supplier_id", F.round("score_raw", 4).alias("score_raw"), "score", "level")
 
 
 @query("risk_factors")
 def q_risk_factors(spark, sf_dir):
-    return sup.risk_factors(_supplier_totals(Tables(spark, sf_dir)), test_weights(spark))
+    return sup.risk_factors(_supplier_totals(Tables.for_run(spark, sf_dir)), test_weights(spark))
 
 
 @query("modal_level_supplier")
 def q_modal_level_supplier(spark, sf_dir):
-    return sup.modal_level(_supplier_pair_scores(spark, Tables(spark, sf_dir)), "supplier_id")
+    return sup.modal_level(_supplier_pair_scores(spark, Tables.for_run(spark, sf_dir)), "supplier_id")
 
 
 def _agg_supplier(spark, t):
@@ -243,13 +243,13 @@ def _agg_supplier(spark, t):
 
 @query("agg_supplier_metrics")
 def q_agg_supplier_metrics(spark, sf_dir):
-    agg, _ = _agg_supplier(spark, Tables(spark, sf_dir))
+    agg, _ = _agg_supplier(spark, Tables.for_run(spark, sf_dir))
     return r6(agg, "customer_score")
 
 
 @query("masked_minmax_bucket")
 def q_masked_minmax_bucket(spark, sf_dir):
-    agg, modal = _agg_supplier(spark, Tables(spark, sf_dir))
+    agg, modal = _agg_supplier(spark, Tables.for_run(spark, sf_dir))
     n = normalize.masked_minmax(agg.join(modal, "supplier_id", "left"), SUPPLIER_METRICS, ["modal_level"],
                                 by_join=True)
     nc = ["n_" + m for m in SUPPLIER_METRICS]
@@ -258,14 +258,14 @@ def q_masked_minmax_bucket(spark, sf_dir):
 
 @query("agg_supplier_score")
 def q_agg_supplier_score(spark, sf_dir):
-    agg, modal = _agg_supplier(spark, Tables(spark, sf_dir))
+    agg, modal = _agg_supplier(spark, Tables.for_run(spark, sf_dir))
     s = sup.agg_supplier_score(agg, modal, test_weights(spark))
     return s.select("supplier_id", "modal_level", F.round("score_raw", 4).alias("score_raw"), "score", "level")
 
 
 @query("pair_detail")
 def q_pair_detail(spark, sf_dir):
-    t = Tables(spark, sf_dir)
+    t = Tables.for_run(spark, sf_dir)
     pf = pair_frame(t)
     det = sup.with_exposure(pf, _dim(t), open_ar="total_ar")
     det = det.withColumnRenamed("risk_balance_s", "supplier_risk_balance")
@@ -302,23 +302,23 @@ def cust_scores(t: Tables) -> DataFrame:
 
 @query("agg_customer_metrics")
 def q_agg_customer_metrics(spark, sf_dir):
-    df = cust_agg(Tables(spark, sf_dir))
+    df = cust_agg(Tables.for_run(spark, sf_dir))
     return r6(df, *[c for c, tp in df.dtypes if tp == "double"])
 
 
 @query("ratio_rescale")
 def q_ratio_rescale(spark, sf_dir):
-    return r6(cust_agg(Tables(spark, sf_dir)).select("customer_id", *agg_ops.RATIOS), *agg_ops.RATIOS)
+    return r6(cust_agg(Tables.for_run(spark, sf_dir)).select("customer_id", *agg_ops.RATIOS), *agg_ops.RATIOS)
 
 
 @query("modal_level_customer")
 def q_modal_level_customer(spark, sf_dir):
-    return sup.modal_level(scored_pairs(Tables(spark, sf_dir)), "customer_id")
+    return sup.modal_level(scored_pairs(Tables.for_run(spark, sf_dir)), "customer_id")
 
 
 @query("customer_minmax")
 def q_customer_minmax(spark, sf_dir):
-    df = cust_agg(Tables(spark, sf_dir)).withColumn("payment_cycle", F.col("dbt"))
+    df = cust_agg(Tables.for_run(spark, sf_dir)).withColumn("payment_cycle", F.col("dbt"))
     n = agg_ops.global_minmax(df, CUSTOMER_AGG_METRICS, prefix="n_")
     nc = ["n_" + m for m in CUSTOMER_AGG_METRICS]
     return r6(n.select("customer_id", *nc), *nc)
@@ -326,12 +326,12 @@ def q_customer_minmax(spark, sf_dir):
 
 @query("agg_customer_score")
 def q_agg_customer_score(spark, sf_dir):
-    return cust_scores(Tables(spark, sf_dir)).select("customer_id", "customer_type_id", "score", "level")
+    return cust_scores(Tables.for_run(spark, sf_dir)).select("customer_id", "customer_type_id", "score", "level")
 
 
 @query("international_adjust")
 def q_international_adjust(spark, sf_dir):
-    return agg_ops.international_adjust(cust_scores(Tables(spark, sf_dir))).select(
+    return agg_ops.international_adjust(cust_scores(Tables.for_run(spark, sf_dir))).select(
         "customer_id", "customer_type_id", "score", "level")
 
 
@@ -357,19 +357,19 @@ def final_cust_scores(t: Tables) -> DataFrame:
 
 @query("agg_ndg_metrics")
 def q_agg_ndg_metrics(spark, sf_dir):
-    df = ndg_agg(Tables(spark, sf_dir))
+    df = ndg_agg(Tables.for_run(spark, sf_dir))
     return r6(df, *[c for c, tp in df.dtypes if tp == "double"])
 
 
 @query("modal_level_ndg")
 def q_modal_level_ndg(spark, sf_dir):
-    return ndg_modal(Tables(spark, sf_dir))
+    return ndg_modal(Tables.for_run(spark, sf_dir))
 
 
 @query("ndg_corr_weights")
 def q_ndg_corr_weights(spark, sf_dir):
     from ..params import GROUP_FIXED_WEIGHTS
-    t = Tables(spark, sf_dir)
+    t = Tables.for_run(spark, sf_dir)
     df = ndg_agg(t).join(ndg_modal(t), "ndg_id", "left")
     fixed = (F.max(F.abs(F.col("risk_balance"))) == 0) | (F.count(F.lit(1)) == 1)
     wexpr = weights.weight_exprs(fixed, PAIR_METRICS, GROUP_FIXED_WEIGHTS, zeroed=())
@@ -379,7 +379,7 @@ def q_ndg_corr_weights(spark, sf_dir):
 
 @query("ndg_score_raw")
 def q_ndg_score_raw(spark, sf_dir):
-    s = ndg_raw(Tables(spark, sf_dir))
+    s = ndg_raw(Tables.for_run(spark, sf_dir))
     return s.select("ndg_id", "modal_level", F.round("score_raw", 4).alias("score_raw"), "score", "level")
 
 
@@ -389,19 +389,19 @@ def ndg_with_members(t: Tables) -> DataFrame:
 
 @query("ndg_single_member")
 def q_ndg_single_member(spark, sf_dir):
-    return ndg_with_members(Tables(spark, sf_dir)).select("ndg_id", "score")
+    return ndg_with_members(Tables.for_run(spark, sf_dir)).select("ndg_id", "score")
 
 
 @query("ndg_score_spread")
 def q_ndg_score_spread(spark, sf_dir):
-    t = Tables(spark, sf_dir)
+    t = Tables.for_run(spark, sf_dir)
     sp = agg_ops.ndg_score_spread(ndg_with_members(t), cust_map(t), final_cust_scores(t))
     return r6(sp, "cust_mean_score", "old_ndg_score")
 
 
 @query("ndg_score")
 def q_ndg_score(spark, sf_dir):
-    t = Tables(spark, sf_dir)
+    t = Tables.for_run(spark, sf_dir)
     members = ndg_with_members(t)
     sp = agg_ops.ndg_score_spread(members, cust_map(t), final_cust_scores(t))
     return agg_ops.ndg_final(members, sp).select("ndg_id", "score", "level")
@@ -418,7 +418,7 @@ INVOICE_VIEW = ["invoice_num", "customer_id", "supplier_id", "ispaid", "invoice_
 
 @query("scan_dimensions")
 def q_scan_dimensions(spark, sf_dir):
-    t = Tables(spark, sf_dir)
+    t = Tables.for_run(spark, sf_dir)
     cust = src_tables.coerce_ids(t.crm_customers, ["customer_id", "ndg_id"])
     ndg = src_tables.coerce_ids(t.crm_ndg, ["id"]).select(F.col("id").alias("ndg_id"), F.col("name").alias("ndg"))
     return cust.join(ndg, "ndg_id", "left").select("customer_id", "customer", "customer_type_id", "ndg_id", "ndg")
@@ -426,18 +426,18 @@ def q_scan_dimensions(spark, sf_dir):
 
 @query("scan_window")
 def q_scan_window(spark, sf_dir):
-    return clean.scan_window(Tables(spark, sf_dir).psi_invoice, "invoice_date").select(*INVOICE_VIEW)
+    return clean.scan_window(Tables.for_run(spark, sf_dir).psi_invoice, "invoice_date").select(*INVOICE_VIEW)
 
 
 @query("clean_early_advance")
 def q_clean_early_advance(spark, sf_dir):
-    inv = clean.scan_window(Tables(spark, sf_dir).psi_invoice, "invoice_date")
+    inv = clean.scan_window(Tables.for_run(spark, sf_dir).psi_invoice, "invoice_date")
     return clean.clean_early_advance(inv).select(*INVOICE_VIEW)
 
 
 @query("drop_full_credit_memo")
 def q_drop_full_credit_memo(spark, sf_dir):
-    return clean.clean_invoices(Tables(spark, sf_dir).psi_invoice).select(*INVOICE_VIEW)
+    return clean.clean_invoices(Tables.for_run(spark, sf_dir).psi_invoice).select(*INVOICE_VIEW)
 
 
 LEDGER_VIEW = ["src", "customer_id", "supplier_id", "invoice_num", "ispaid", "invoice_date", "duedate", "txn_date",
@@ -447,22 +447,22 @@ LEDGER_VIEW = ["src", "customer_id", "supplier_id", "invoice_num", "ispaid", "in
 
 @query("clean_fill")
 def q_clean_fill(spark, sf_dir):
-    return ledger(Tables(spark, sf_dir)).filter(F.col("src") == "inv").select(*LEDGER_VIEW)
+    return ledger(Tables.for_run(spark, sf_dir)).filter(F.col("src") == "inv").select(*LEDGER_VIEW)
 
 
 @query("unified_ledger")
 def q_unified_ledger(spark, sf_dir):
-    return ledger(Tables(spark, sf_dir)).select(*LEDGER_VIEW)
+    return ledger(Tables.for_run(spark, sf_dir)).select(*LEDGER_VIEW)
 
 
 @query("customer_attributes")
 def q_customer_attributes(spark, sf_dir):
-    return clean.customer_attributes(ledger(Tables(spark, sf_dir)))
+    return clean.customer_attributes(ledger(Tables.for_run(spark, sf_dir)))
 
 
 @query("historical_pairs")
 def q_historical_pairs(spark, sf_dir):
-    return clean.historical_pairs(ledger(Tables(spark, sf_dir)))
+    return clean.historical_pairs(ledger(Tables.for_run(spark, sf_dir)))
 
 
 SUBSETS = {
@@ -481,12 +481,12 @@ SUBSETS = {
 }
 
 for _name, _cols in SUBSETS.items():
-    REGISTRY[_name] = (lambda cols: lambda spark, sf_dir: pairs(Tables(spark, sf_dir)).select(*PAIR_KEYS, *cols))(_cols)
+    REGISTRY[_name] = (lambda cols: lambda spark, sf_dir: pairs(Tables.for_run(spark, sf_dir)).select(*PAIR_KEYS, *cols))(_cols)
 
 
 @query("global_overdue_cb_suppliers")
 def q_global_overdue_cb_suppliers(spark, sf_dir):
-    return metrics.overdue_cb_suppliers(ledger(Tables(spark, sf_dir)))
+    return metrics.overdue_cb_suppliers(ledger(Tables.for_run(spark, sf_dir)))
 
 
 # ---------------------------------------------------------------------------
@@ -528,12 +528,12 @@ def supplier_overrides(spark, t):
 
 @query("latest_override")
 def q_latest_override(spark, sf_dir):
-    return ovr.latest_override(Tables(spark, sf_dir).supplier_update_level, "supplier_id")
+    return ovr.latest_override(Tables.for_run(spark, sf_dir).supplier_update_level, "supplier_id")
 
 
 @query("override_supplier")
 def q_override_supplier(spark, sf_dir):
-    out = supplier_overrides(spark, Tables(spark, sf_dir))
+    out = supplier_overrides(spark, Tables.for_run(spark, sf_dir))
     return r6(out.drop("reason"), "external_factor")
 
 
@@ -548,25 +548,25 @@ def customer_overrides(t: Tables) -> DataFrame:
 
 @query("override_customer")
 def q_override_customer(spark, sf_dir):
-    out = customer_overrides(Tables(spark, sf_dir))
+    out = customer_overrides(Tables.for_run(spark, sf_dir))
     return r6(out.drop("reason"), "external_factor")
 
 
 @query("reason_matrix")
 def q_reason_matrix(spark, sf_dir):
-    return ovr.reason_matrix(Tables(spark, sf_dir).crm_customers, "customer_id")
+    return ovr.reason_matrix(Tables.for_run(spark, sf_dir).crm_customers, "customer_id")
 
 
 @query("reason_missing_rows")
 def q_reason_missing_rows(spark, sf_dir):
-    t = Tables(spark, sf_dir)
+    t = Tables.for_run(spark, sf_dir)
     return ovr.reason_missing_rows(ovr.reason_matrix(t.crm_customers, "customer_id"), t.customer_reason,
                                    "customer_id")
 
 
 @query("reason_weight_lookup")
 def q_reason_weight_lookup(spark, sf_dir):
-    t = Tables(spark, sf_dir)
+    t = Tables.for_run(spark, sf_dir)
     latest = ovr.latest_override(t.supplier_update_level, "supplier_id")
     ov = latest.join(_agg_supplier_scores(spark, t).select("supplier_id"), "supplier_id", "left_semi")
     return ovr.reason_weight_lookup(ov, supplier_reasons(t), "supplier_id")
@@ -574,7 +574,7 @@ def q_reason_weight_lookup(spark, sf_dir):
 
 @query("reason_weight_update")
 def q_reason_weight_update(spark, sf_dir):
-    t = Tables(spark, sf_dir)
+    t = Tables.for_run(spark, sf_dir)
     out = ovr.reason_weight_update(supplier_reasons(t), supplier_overrides(spark, t), "supplier_id")
     return r6(out, "weight")
 
@@ -599,31 +599,31 @@ def _entity_finals(spark, t):
 
 @query("global_score_stats")
 def q_global_score_stats(spark, sf_dir):
-    st = cross_inputs(spark, Tables(spark, sf_dir)).stats
+    st = cross_inputs(spark, Tables.for_run(spark, sf_dir)).stats
     return r6(st, *st.columns)
 
 
 @query("centroids")
 def q_centroids(spark, sf_dir):
-    return cross_inputs(spark, Tables(spark, sf_dir)).cents
+    return cross_inputs(spark, Tables.for_run(spark, sf_dir)).cents
 
 
 @query("impute_pairs")
 def q_impute_pairs(spark, sf_dir):
-    imp = cross_inputs(spark, Tables(spark, sf_dir)).imputation("supplier")
+    imp = cross_inputs(spark, Tables.for_run(spark, sf_dir)).imputation("supplier")
     return imp.select("supplier_id", "s_val", "o_val", "n", "i_comb", "i_cust", "i_sup")
 
 
 @query("nearest_centroid")
 def q_nearest_centroid(spark, sf_dir):
-    imp = cross_inputs(spark, Tables(spark, sf_dir)).imputation("customer")
+    imp = cross_inputs(spark, Tables.for_run(spark, sf_dir)).imputation("customer")
     return r6(imp.select("customer_id", "s_val", "o_val", "n", "distance1", "distance2", "distance3", "cluster"),
               "distance1", "distance2", "distance3")
 
 
 @query("cross_name_means")
 def q_cross_name_means(spark, sf_dir):
-    ci = cross_inputs(spark, Tables(spark, sf_dir))
+    ci = cross_inputs(spark, Tables.for_run(spark, sf_dir))
     s = ci.name_means("supplier").select(F.lit("supplier").alias("entity"), F.col("supplier_id").alias("id"),
                                           "n_history", "mean_score")
     c = ci.name_means("customer").select(F.lit("customer").alias("entity"), F.col("customer_id").alias("id"),
@@ -633,13 +633,13 @@ def q_cross_name_means(spark, sf_dir):
 
 @query("cross_finish")
 def q_cross_finish(spark, sf_dir):
-    ci, cf, sf = _entity_finals(spark, Tables(spark, sf_dir))
+    ci, cf, sf = _entity_finals(spark, Tables.for_run(spark, sf_dir))
     return r6(ci.finished_pairs(cf, sf), "customer_score", "supplier_score")
 
 
 @query("cross_product_scores")
 def q_cross_product_scores(spark, sf_dir):
-    t = Tables(spark, sf_dir)
+    t = Tables.for_run(spark, sf_dir)
     ci = cross_inputs(spark, t)
     n_sup = ci.sup.count()
     nh = ci.hist_pairs.groupBy("customer_id").agg(F.count(F.lit(1)).alias("n_history"))
@@ -651,7 +651,7 @@ def q_cross_product_scores(spark, sf_dir):
 
 @query("cross_union_all")
 def q_cross_union_all(spark, sf_dir):
-    _, cf, sf = _entity_finals(spark, Tables(spark, sf_dir))
+    _, cf, sf = _entity_finals(spark, Tables.for_run(spark, sf_dir))
     c = cf.select(F.lit("customer").alias("entity"), F.col("customer_id").alias("id"),
                   F.col("customer_score").alias("score"), F.col("customer_level").alias("level"))
     s = sf.select(F.lit("supplier").alias("entity"), F.col("supplier_id").alias("id"),
@@ -666,12 +666,12 @@ def _customer_updated(spark, t):
 
 @query("update_from_join")
 def q_update_from_join(spark, sf_dir):
-    return r6(_customer_updated(spark, Tables(spark, sf_dir)), "customer_score")
+    return r6(_customer_updated(spark, Tables.for_run(spark, sf_dir)), "customer_score")
 
 
 @query("override_nonhistorical")
 def q_override_nonhistorical(spark, sf_dir):
-    t = Tables(spark, sf_dir)
+    t = Tables.for_run(spark, sf_dir)
     latest = ovr.latest_override(t.customer_update_level, "customer_id")
     out = cross.override_nonhistorical(_customer_updated(spark, t), latest, customer_overrides(t), "customer_id",
                                        "customer")

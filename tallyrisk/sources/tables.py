@@ -12,6 +12,9 @@ def base(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+_RUNS: dict = {}
+
+
 class Tables:
     """Lazily built domain relations for one data directory.
 
@@ -26,6 +29,18 @@ class Tables:
         self._cache: dict[str, DataFrame] = {}
         self._stages: dict[str, DataFrame] = {}
 
+    @classmethod
+    def for_run(cls, spark: SparkSession, sf_dir: str) -> "Tables":
+        """The shared table context of one scoring run (per Spark application and data folder).
+
+        Stages materialised by one query are reused by the next, as in a
+        production run that produces every output table from one pass.
+        """
+        key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+        if key not in _RUNS:
+            _RUNS[key] = cls(spark, sf_dir)
+        return _RUNS[key]
+
     def stage(self, name: str, build) -> DataFrame:
         """Build a reused intermediate once and cut its lineage with a reliable checkpoint.
 
