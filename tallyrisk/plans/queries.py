@@ -676,3 +676,93 @@ def q_override_nonhistorical(spark, sf_dir):
     out = cross.override_nonhistorical(_customer_updated(spark, t), latest, customer_overrides(t), "customer_id",
                                        "customer")
     return r6(out, "customer_score")
+
+
+# ---------------------------------------------------------------------------
+# raw extraction queries
+# ---------------------------------------------------------------------------
+from ..operators import extract as ex  # noqa: E402
+
+W_START, W_END = P.window_start, P.processing_date
+
+
+def _status(t):
+    return ex.supplier_status(t.raw_snapshots, t.raw_status_options, t.raw_suppliers)
+
+
+def _invoice(t, start, end):
+    return ex.extract_invoice(t.raw_invoices, t.raw_payments, t.raw_suppliers, t.raw_customers, t.raw_ndg,
+                              t.raw_customer_types, start, end)
+
+
+REGISTRY["extract_window_daily"] = lambda spark, sf_dir: _invoice(Tables.for_run(spark, sf_dir), W_END, W_END)
+REGISTRY["extract_window_2yr"] = lambda spark, sf_dir: _invoice(Tables.for_run(spark, sf_dir), W_START, W_END)
+REGISTRY["extract_invoice"] = lambda spark, sf_dir: _invoice(Tables.for_run(spark, sf_dir), None, W_END)
+
+
+@query("next_payment_date")
+def q_next_payment_date(spark, sf_dir):
+    return ex.next_payment_date(Tables.for_run(spark, sf_dir).raw_payments).select(
+        "txn_id", "txn_date", "memo", "amount", "corrected_txn_date")
+
+
+@query("extract_chargebacks")
+def q_extract_chargebacks(spark, sf_dir):
+    t = Tables.for_run(spark, sf_dir)
+    return ex.extract_chargebacks(t.raw_bills, t.raw_bill_lines, t.raw_accounts, t.raw_bill_payments, t.raw_vendors,
+                                  t.raw_suppliers, t.raw_customers, t.raw_ndg, t.raw_customer_types, W_START, W_END)
+
+
+@query("bill_account_summary")
+def q_bill_account_summary(spark, sf_dir):
+    t = Tables.for_run(spark, sf_dir)
+    return ex.bill_account_summary(t.raw_bill_lines, t.raw_accounts)
+
+
+@query("extract_other_open_payables")
+def q_extract_other_open_payables(spark, sf_dir):
+    t = Tables.for_run(spark, sf_dir)
+    return ex.extract_other_open_payables(t.raw_bills, t.raw_bill_lines, t.raw_accounts, t.raw_bill_payments,
+                                          t.raw_vendors, t.raw_suppliers, _status(t), W_START, W_END)
+
+
+@query("extract_open_payable")
+def q_extract_open_payable(spark, sf_dir):
+    t = Tables.for_run(spark, sf_dir)
+    return r6(ex.extract_open_payable(t.raw_supplier_invoice, _status(t), W_START, W_END), "open_payable")
+
+
+@query("extract_unapplied_balance")
+def q_extract_unapplied_balance(spark, sf_dir):
+    t = Tables.for_run(spark, sf_dir)
+    return r6(ex.extract_unapplied_balance(t.raw_supplier_invoice, _status(t), W_START, W_END), "unapplied_amount")
+
+
+@query("extract_credit_memo")
+def q_extract_credit_memo(spark, sf_dir):
+    t = Tables.for_run(spark, sf_dir)
+    return ex.extract_credit_memo(t.raw_credit_memos, _status(t), W_START, W_END)
+
+
+@query("extract_cash_balance")
+def q_extract_cash_balance(spark, sf_dir):
+    t = Tables.for_run(spark, sf_dir)
+    return ex.extract_cash_balance(t.raw_snapshots, t.raw_status_options, t.raw_suppliers)
+
+
+@query("extract_contract_status")
+def q_extract_contract_status(spark, sf_dir):
+    t = Tables.for_run(spark, sf_dir)
+    return ex.extract_contract_status(t.raw_snapshots, t.raw_status_options, t.raw_suppliers)
+
+
+@query("extract_suppliers")
+def q_extract_suppliers(spark, sf_dir):
+    t = Tables.for_run(spark, sf_dir)
+    return ex.extract_suppliers(t.raw_suppliers, t.raw_snapshots, t.raw_status_options)
+
+
+@query("extract_customers")
+def q_extract_customers(spark, sf_dir):
+    t = Tables.for_run(spark, sf_dir)
+    return ex.extract_customers(t.raw_customers, t.raw_customer_types, t.raw_ndg)

@@ -212,6 +212,121 @@ FROM {{events}} e WHERE e.event_type = '{_etype}'
 GROUP BY e.user_id, CASE WHEN e.event_id % 2 = 0 THEN 'Level of trust' ELSE 'External references' END
 """
 
+# ---------------------------------------------------------------------------
+# Raw source (OLTP-shaped) relations read by the extraction queries
+# ---------------------------------------------------------------------------
+RAW: dict[str, str] = {}
+
+RAW["raw_suppliers"] = """
+SELECT s.s_suppkey AS id, CONCAT('S', CAST(s.s_suppkey AS STRING)) AS quickbooks_id, s.s_name AS name
+FROM {supplier} s"""
+
+RAW["raw_customers"] = """
+SELECT c.c_custkey AS id, CONCAT('C', CAST(c.c_custkey AS STRING)) AS quickbooks_id, c.c_name AS name,
+       CASE WHEN c.c_nationkey % 6 = 5 THEN NULL ELSE CAST(c.c_nationkey AS BIGINT) END AS ndg_id,
+       c.c_mktsegment AS customer_type
+FROM {customer} c"""
+
+# Customer types.
+RAW["raw_customer_types"] = """SELECT * FROM (VALUES
+  (1, 'BUILDING'), (2, 'AUTOMOBILE'), (3, 'MACHINERY'), (4, 'HOUSEHOLD'), (5, 'FURNITURE')
+) AS t(id, type)"""
+
+RAW["raw_ndg"] = """
+SELECT CAST(n.n_nationkey AS BIGINT) AS id, n.n_name AS name, 'yes' AS works_with_bdn, 'none' AS credentials,
+       'n/a' AS online_access_sop, 'n/a' AS bdn_authorization_letter_sop, 'no' AS online_access_possible,
+       'none' AS distributor_data, '' AS online_system_url, '' AS online_system_notes, r.r_name AS type
+FROM {nation} n JOIN {region} r ON r.r_regionkey = n.n_regionkey"""
+
+# one invoice per (order, supplier); some rows carry an unknown supplier or an empty customer reference
+RAW["raw_invoices"] = """
+SELECT l.l_orderkey * 100000 + l.l_suppkey AS txn_id,
+       CASE WHEN l.l_suppkey % 50 = 7 THEN CONCAT('X', CAST(l.l_suppkey AS STRING))
+            ELSE CONCAT('S', CAST(l.l_suppkey AS STRING)) END AS client_id,
+       CASE WHEN o.o_custkey % 97 = 0 THEN '' ELSE CONCAT('C', CAST(o.o_custkey AS STRING)) END AS location_job_id,
+       CAST(o.o_orderdate AS DATE) AS invoice_date,
+       l.l_orderkey * 100000 + l.l_suppkey AS invoice_num,
+       CONCAT('PO', CAST(l.l_orderkey AS STRING)) AS po_number,
+       CASE WHEN o.o_orderstatus = 'O' THEN 0 ELSE 1 END AS ispaid,
+       CASE WHEN o.o_orderstatus = 'O' THEN o.o_totalprice ELSE CAST(0 AS DOUBLE) END AS balance,
+       CAST(SUM(CAST(ROUND(l.l_extendedprice * 100) AS BIGINT)) AS DOUBLE) / 100 AS amount,
+       CASE WHEN l.l_orderkey % 25 = 0 THEN NULL ELSE CAST(o.o_orderdate AS DATE) + 30 END AS duedate,
+       'WAREHOUSE' AS ship_location
+FROM {lineitem} l JOIN {orders} o ON o.o_orderkey = l.l_orderkey
+GROUP BY l.l_orderkey, l.l_suppkey, o.o_custkey, o.o_orderdate, o.o_orderstatus, o.o_totalprice"""
+
+# payment transactions linked to invoices (several per invoice)
+RAW["raw_payments"] = """
+SELECT l.l_orderkey * 100000 + l.l_suppkey AS txn_id,
+       CAST(o.o_orderdate AS DATE) + CAST(20 + l.l_partkey % 40 AS INT) AS txn_date,
+       -(l.l_extendedprice * (1 - l.l_discount)) AS amount,
+       CASE WHEN l.l_partkey % 20 = 0 THEN 'Early payment advancement'
+            WHEN l.l_partkey % 20 = 1 THEN 'factoring advance' END AS memo,
+       CASE WHEN l.l_linenumber = 7 THEN 'CreditMemo' ELSE 'Payment' END AS txn_type
+FROM {lineitem} l JOIN {orders} o ON o.o_orderkey = l.l_orderkey
+WHERE NOT (l.l_returnflag = 'N' AND o.o_orderstatus = 'O')"""
+
+RAW["raw_bills"] = """
+SELECT o.o_orderkey AS id, o.o_orderkey % 97 AS vendor_id, o.o_custkey AS customer_id,
+       CASE WHEN o.o_orderstatus = 'F' THEN 1 ELSE 0 END AS is_paid,
+       CASE WHEN o.o_orderstatus = 'F' THEN CAST(0 AS DOUBLE) ELSE o.o_totalprice * 0.01 END AS balance,
+       CASE WHEN o.o_orderkey % 4 = 0 THEN 'credit' ELSE 'bill' END AS transaction_type,
+       CONCAT('CR', CAST(o.o_orderkey AS STRING)) AS transaction_number,
+       CAST(o.o_orderdate AS DATE) AS transaction_date, CAST(o.o_orderdate AS DATE) + 30 AS due_date,
+       CASE WHEN o.o_orderkey % 50 = 0 THEN 1 ELSE 0 END AS archived
+FROM {orders} o"""
+
+# bill lines; a few line ids repeat in the source data and are merged first
+RAW["raw_bill_lines"] = """
+SELECT (l.l_orderkey * 100000 + l.l_partkey) * 10 + l.l_linenumber AS id, l.l_orderkey AS bm_transaction_id,
+       min(l.l_suppkey) AS client_class_id, l.l_partkey % 7 AS expense_account_id,
+       sum(l.l_extendedprice) AS amount
+FROM {lineitem} l
+GROUP BY (l.l_orderkey * 100000 + l.l_partkey) * 10 + l.l_linenumber, l.l_orderkey, l.l_partkey % 7"""
+
+RAW["raw_accounts"] = ACCOUNTS
+
+RAW["raw_bill_payments"] = """
+SELECT l.l_orderkey AS bm_transaction_id, l.l_extendedprice * 0.05 AS bm_accounting_payment_amount,
+       CAST(o.o_orderdate AS DATE) + CAST(l.l_partkey % 50 AS INT) AS bm_accounting_payment_date
+FROM {lineitem} l JOIN {orders} o ON o.o_orderkey = l.l_orderkey
+WHERE l.l_linenumber <= 2 AND l.l_linestatus = 'F'"""
+
+RAW["raw_vendors"] = """
+SELECT DISTINCT o.o_orderkey % 97 AS vendor_id, o.o_orderkey % 97 AS company_id,
+       CONCAT('Vendor', CAST(o.o_orderkey % 97 AS STRING)) AS company_name
+FROM {orders} o"""
+
+RAW["raw_snapshots"] = """
+SELECT CONCAT('S', CAST(s.s_suppkey AS STRING)) AS client_id, s.s_nationkey % 5 AS contract_states,
+       CASE WHEN s.s_suppkey % 9 = 0 THEN CAST(0 AS DOUBLE) ELSE s.s_acctbal END AS cash_balance
+FROM {supplier} s WHERE s.s_suppkey % 10 <> 3"""
+
+RAW["raw_status_options"] = STATUS_OPTIONS
+
+RAW["raw_supplier_invoice"] = """
+SELECT l.l_orderkey * 100000 + l.l_suppkey AS po_num, l.l_suppkey AS client_id,
+       l.l_extendedprice * l.l_tax AS balance, l.l_extendedprice AS total_amount,
+       CAST(o.o_orderdate AS DATE) AS txn_date, CAST(o.o_orderdate AS DATE) + 45 AS due_date,
+       CASE WHEN l.l_linestatus = 'O' THEN 1 ELSE 2 END AS invoice_status
+FROM {lineitem} l JOIN {orders} o ON o.o_orderkey = l.l_orderkey
+WHERE l.l_quantity > 40"""
+
+RAW["raw_credit_memos"] = """
+SELECT CAST(o.o_orderdate AS DATE) AS creditmemo_date, CONCAT('S', CAST(l.l_suppkey AS STRING)) AS client_id,
+       l.l_extendedprice * l.l_discount AS amount, CASE WHEN l.l_linestatus = 'O' THEN 1 ELSE 2 END AS status_id
+FROM {lineitem} l JOIN {orders} o ON o.o_orderkey = l.l_orderkey
+WHERE l.l_discount >= 0.09"""
+
+# constants state of earlier runs, one candidate row per order (latest per id is the stored one)
+RAW["raw_constant_values"] = """
+SELECT CONCAT('c', CAST(o.o_orderkey % 4 + 1 AS STRING)) AS id, o.o_totalprice / 1000000 AS value,
+       CAST(o.o_orderdate AS DATE) AS processing_date
+FROM {orders} o"""
+
+FIXTURES.update(RAW)
+
+
 
 def placeholders(text: str) -> list[str]:
     """Base tables a fixture statement refers to."""
