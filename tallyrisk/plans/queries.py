@@ -766,3 +766,42 @@ def q_extract_suppliers(spark, sf_dir):
 def q_extract_customers(spark, sf_dir):
     t = Tables.for_run(spark, sf_dir)
     return ex.extract_customers(t.raw_customers, t.raw_customer_types, t.raw_ndg)
+
+
+# ---------------------------------------------------------------------------
+# sinks and state
+# ---------------------------------------------------------------------------
+import datetime as _dt  # noqa: E402
+
+from ..params import CONSTANTS  # noqa: E402
+from ..sources import publish as pub  # noqa: E402
+
+
+@query("load_csv_positional")
+def q_load_csv_positional(spark, sf_dir):
+    """Export the customer dimension as CSV with a leading index column, load it back by position."""
+    t = Tables.for_run(spark, sf_dir)
+    src = q_extract_customers(spark, sf_dir)
+    path = pub.shared_dir(spark, "exports", "crm_customers")
+    pub.export_csv(src, path)
+    return pub.load_csv_positional(spark, path, src.schema)
+
+
+@query("publish_with_audit")
+def q_publish_with_audit(spark, sf_dir):
+    """Publish the pair metrics for two processing dates (the second one twice): history keeps
+    one partition per date, a rerun replaces its own partition."""
+    t = Tables.for_run(spark, sf_dir)
+    base = pub.shared_dir(spark, "published", "pair_metrics")
+    snap = pairs(t).select(*PAIR_KEYS, "total_invoice", "total_ar", "risk_balance")
+    prev = P.processing_date - _dt.timedelta(days=1)
+    for d in (prev, P.processing_date, P.processing_date):
+        pub.publish_with_audit(snap, base, d)
+    hist = spark.read.parquet(f"{base}/history")
+    return hist.groupBy("processing_date").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@query("constants_upsert")
+def q_constants_upsert(spark, sf_dir):
+    t = Tables.for_run(spark, sf_dir)
+    return pub.constants_upsert(t.raw_constant_values, CONSTANTS, P.processing_date)
