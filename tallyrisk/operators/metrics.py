@@ -9,7 +9,8 @@ summed as exact integer units (see ``functions.scalar``).
 """
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalar import from_units, units
@@ -92,9 +93,19 @@ def invoice_partials(ledger: DataFrame, p: Params = DEFAULT) -> DataFrame:
         F.sum(F.when(L & (late > 10), late)).alias("i_l_gt10_days"),
         F.max(F.datediff(c("duedate"), c("invoice_date"))).alias("i_terms_max"),
         F.max("client_name").alias("supplier_name"),
+        *_attribute_aggs(),
     )
 
 
+def _attribute_aggs(prefix: str = "") -> list:
+    """Customer attribute candidates, combined the same way at every level."""
+    return [F.max(prefix + "ndg_id").alias("a_ndg_id"),
+            F.max_by(prefix + "ndg_name", prefix + "ndg_id").alias("a_ndg_name"),
+            F.max(prefix + "customer_name").alias("a_customer_name"),
+            F.max(prefix + "customer_type_id").alias("a_customer_type_id"),
+            F.max(prefix + "customer_type").alias("a_customer_type")]
+
+
 def chargeback_partials(ledger: DataFrame, p: Params = DEFAULT) -> DataFrame:
     """Chargeback rows projected to additive columns for the pair aggregation."""
     D = F.lit(p.processing_date)
@@ -115,7 +126,11 @@ def chargeback_partials(ledger: DataFrame, p: Params = DEFAULT) -> DataFrame:
         F.when(is_open, F.lit(1)).alias("cb_open_rows"),
         F.when(is_open, F.abs(units("total_amount"))).alias("cb_open_total"),
         F.when(closed, F.lit(1)).alias("cb_closed_rows"),
+        F.when(c("paid_date") <= c("cb_duedate"), F.lit(1)).alias("cb_on_time"),
+        F.when(c("paid_date") > c("cb_duedate"), F.lit(1)).alias("cb_late"),
         F.col("client_name").alias("supplier_name"),
+        *[F.col(a).alias("a_" + a) for a in ("ndg_id", "ndg_name", "customer_name", "customer_type_id",
+                                               "customer_type")],
     )
 
 
@@ -172,6 +187,8 @@ def pair_metrics(ledger: DataFrame, p: Params = DEFAULT, attributes: DataFrame |
         s("cb_early_rows").alias("cb_early_rows"), s("cb_open_rows").alias("open_chargeback_freq"),
         s("cb_open_total").alias("cb_open_total"), s("cb_closed_rows").alias("cb_closed_rows"),
         F.max("supplier_name").alias("supplier_name"),
+        F.max("cb_on_time").alias("any_on_time"), F.max("cb_late").alias("any_late"),
+        *_attribute_aggs("a_"),
     )
 
     has_i, has_cb = c("n_i") > 0, c("chargeback_freq") > 0
@@ -186,7 +203,19 @@ def pair_metrics(ledger: DataFrame, p: Params = DEFAULT, attributes: DataFrame |
 
     aging = F.bround(F.try_divide(c("ag_num").cast("double"), c("ag_den").cast("double")), 0)
     gt10_days = F.when(c("l_gt10_rows") > 0, F.floor(c("l_gt10_days") / c("l_gt10_rows"))).otherwise(0)
-    overdue = overdue_cb_suppliers(ledger)
+    # The global and per-customer figures are derived from the pair aggregate.
+    # It is persisted (memory, spilling to disk; rebuilt from lineage if an
+    # executor is lost) so the ledger is scanned once, not once per consumer.
+    agg = agg.persist(StorageLevel.MEMORY_AND_DISK)
+    overdue = agg.agg(
+        F.countDistinct(F.when(c("any_on_time") == 1, c("supplier_id"))).alias("supplier_wo_overdue_cb"),
+        F.countDistinct(F.when(c("any_late") == 1, c("supplier_id"))).alias("supplier_w_overdue_cb"))
+    if attributes is None:
+        attributes = agg.groupBy("customer_id").agg(
+            F.max("a_ndg_id").alias("ndg_id"), F.max_by("a_ndg_name", "a_ndg_id").alias("ndg_name"),
+            F.max("a_customer_name").alias("customer_name"),
+            F.max("a_customer_type_id").alias("customer_type_id"),
+            F.max("a_customer_type").alias("customer_type"))
     out = agg.crossJoin(F.broadcast(overdue)).select(
         *PAIR, "supplier_name",
         c("invoice_freq").cast("long").alias("invoice_freq"),
@@ -245,11 +274,4 @@ def pair_metrics(ledger: DataFrame, p: Params = DEFAULT, attributes: DataFrame |
         F.when(c("u_rows") > 0, 1).otherwise(0).cast("long").alias("num_supplier_w_open_invoice"),
         inv_metric(F.lit(0.01)).alias("payment2_percent_wo_cb"),
     )
-    if attributes is None:
-        attributes = _attributes_from_pairs(ledger)
     return out.join(attributes, "customer_id", "left").select(*ATTRIBUTE_COLUMNS, *METRIC_COLUMNS)
-
-
-def _attributes_from_pairs(ledger: DataFrame) -> DataFrame:
-    from .clean import customer_attributes
-    return customer_attributes(ledger)

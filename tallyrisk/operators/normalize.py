@@ -2,12 +2,12 @@
 
 Two physical forms with the same numbers:
 
-* ``window`` — for groups of bounded size (a customer's suppliers): every
-  statistic is a window aggregate over one ``partitionBy``, so all metrics
-  share a single shuffle and Window operator.
-* ``join`` — for groups that can be huge or few (a supplier's customers, the
-  three level buckets): statistics come from a partially aggregated
-  ``groupBy`` and are joined back, so no group ever has to fit in one task.
+* ``join`` (default) — statistics come from a partially aggregated ``groupBy``
+  joined back on the group key.  No group ever has to fit in one task: the
+  aggregation combines map-side, and AQE splits a skewed join partition.  Used
+  for customers, suppliers and the three level buckets.
+* ``window`` — every statistic is a window aggregate over one ``partitionBy``;
+  only for groups whose size is bounded by construction.
 """
 from __future__ import annotations
 
@@ -48,7 +48,7 @@ def _attach(df: DataFrame, keys: Sequence[str], exprs: dict, by_join: bool) -> D
     return df.join(stats, list(keys), "left")
 
 
-def zscore(df: DataFrame, metrics: Sequence[str], keys: Sequence[str], *, by_join: bool = False,
+def zscore(df: DataFrame, metrics: Sequence[str], keys: Sequence[str], *, by_join: bool = True,
            prefix: str = "z_") -> DataFrame:
     """``z = (x - mean) / std`` within the group; undefined z (one row, zero variance, null) -> 0."""
     stats = {}
@@ -62,7 +62,7 @@ def zscore(df: DataFrame, metrics: Sequence[str], keys: Sequence[str], *, by_joi
           for m in metrics])
 
 
-def masked_minmax(df: DataFrame, metrics: Sequence[str], keys: Sequence[str], *, by_join: bool = False,
+def masked_minmax(df: DataFrame, metrics: Sequence[str], keys: Sequence[str], *, by_join: bool = True,
                   constant: float = DEFAULT.min_max_constant, prefix: str = "n_",
                   zero_variance_to_zero: bool = False) -> DataFrame:
     """Zero-masked, offset min-max of the group z-scores.

@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalar import clamp, level_of
@@ -34,9 +34,9 @@ def customer_normalised(pairs: DataFrame) -> DataFrame:
     (population std), zero-masked and made absolute; the remaining metrics keep
     their min-max value (1 when the raw value is not 0).
     """
-    w = Window.partitionBy("customer_id")
-    df = pairs.withColumn("n_pairs", F.count(F.lit(1)).over(w))
-    mm = normalize.masked_minmax(df, PAIR_METRICS, ["customer_id"])
+    counts = pairs.groupBy("customer_id").agg(F.count(F.lit(1)).alias("n_pairs"))
+    df = pairs.join(counts, "customer_id", "left")
+    mm = normalize.masked_minmax(df, PAIR_METRICS, ["customer_id"], by_join=True)
     single = F.col("n_pairs") == 1
     cols = {}
     for group in (POSITIVE_METRICS, NEGATIVE_METRICS):
@@ -49,12 +49,14 @@ def customer_normalised(pairs: DataFrame) -> DataFrame:
 def pair_scores(pairs: DataFrame, customer_type: str = "customer_type_id", p: Params = DEFAULT) -> DataFrame:
     """Pair score: weighted normalised metrics -> linear map by customer type -> round -> clamp -> level.
 
-    Weights are per-customer window aggregates over the same partitioning as the
-    normalisation, so the whole step costs one shuffle of the pair table.
+    All per-customer statistics (counts, z-score and min-max statistics,
+    weights) are partially aggregated ``groupBy``s joined back on customer_id:
+    the pair table is shuffled by customer once and every later join reuses
+    that partitioning, and a customer with a huge share of the pairs is split
+    by AQE's skew-join handling instead of landing in one window task.
     """
-    w = Window.partitionBy("customer_id")
     normed = customer_normalised(pairs)
-    withw = normed.select("*", *[e.alias(n) for n, e in weights.customer_weight_exprs(w).items()])
+    withw = normed.join(weights.customer_weights(pairs), "customer_id", "left")
     s = weighted_sum(PAIR_METRICS)
     raw = F.when(F.col(customer_type) == p.international_type_id, linear(s, INTERNATIONAL_SCALE)) \
         .otherwise(linear(s, PAIR_SCALE))

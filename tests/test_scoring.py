@@ -18,7 +18,7 @@ def test_constant_column_customer_vs_supplier(spark):
 def test_window_and_join_forms_agree(spark):
     rows = [(k, float(i * k % 7), float((i + k) % 5)) for k in (1, 2, 3) for i in range(6)]
     df = spark.createDataFrame(rows, ["k", "a", "b"]).withColumn("i", F.monotonically_increasing_id())
-    w = normalize.masked_minmax(df, ["a", "b"], ["k"])
+    w = normalize.masked_minmax(df, ["a", "b"], ["k"], by_join=False)
     j = normalize.masked_minmax(df, ["a", "b"], ["k"], by_join=True)
     cols = ["i", F.round("n_a", 9).alias("a"), F.round("n_b", 9).alias("b")]
     assert w.select(*cols).exceptAll(j.select(*cols)).count() == 0
