@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+The scoring model is a daily batch over a trailing two-year window; it has no
+watermarks, windows over event time, state or late data.  Its only incremental
+behaviour — the daily append of new source rows — is a batch write made
+idempotent by dynamic partition overwrite (``sources.publish.append_load``).
+No streaming operator is provided because the source system has none.
+"""
