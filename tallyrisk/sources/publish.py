@@ -107,3 +107,15 @@ def constants_upsert(existing: DataFrame, new_values: dict[str, float], processi
                     .alias("value"),
                     F.when(refresh & F.col("new_value").isNotNull(), D).otherwise(F.col("old_date"))
                     .alias("processing_date"))
+
+
+def draw_constants(processing_date: _dt.date) -> dict[str, float]:
+    """Fresh constants for a processing date: c1, c2 uniform in [0, 1), c3..c5 uniform in [-1, 1).
+
+    Seeded by the date, so a rerun of the same day draws the same values (the
+    stored values still win, see ``constants_upsert``).
+    """
+    import random
+    rng = random.Random(processing_date.toordinal())
+    return {"c1": rng.random(), "c2": rng.random(), "c3": rng.uniform(-1, 1), "c4": rng.uniform(-1, 1),
+            "c5": rng.uniform(-1, 1)}

@@ -78,3 +78,9 @@ def coerce_ids(df: DataFrame, cols) -> DataFrame:
     """Ids that may arrive as text: lenient cast to BIGINT (bad values become null, no error under ANSI)."""
     from pyspark.sql import functions as F
     return df.withColumns({c: F.expr(f"try_cast(CAST({c} AS STRING) AS BIGINT)") for c in cols})
+
+
+def coerce_dates(df: DataFrame, cols) -> DataFrame:
+    """Dates that may arrive as text: lenient cast to DATE (unparsable values become null)."""
+    from pyspark.sql import functions as F
+    return df.withColumns({c: F.expr(f"try_cast(CAST({c} AS STRING) AS DATE)") for c in cols})

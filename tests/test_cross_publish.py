@@ -86,3 +86,12 @@ def test_constants_keep_refresh_insert(spark):
     out = {r.id: (r.value, r.processing_date) for r in
            publish.constants_upsert(existing, {"c1": 0.1, "c2": 0.2, "c3": 0.3, "c4": 0.4}, D).collect()}
     assert out == {"c1": (0.9, D), "c2": (0.2, D), "c3": (0.5, D + dt.timedelta(1)), "c4": (0.4, D)}
+
+
+def test_lenient_casts_and_constant_draws(spark):
+    from tallyrisk.sources.tables import coerce_dates, coerce_ids
+    df = spark.createDataFrame([("12", "2001-08-01"), ("x1", "not a date")], ["id", "d"])
+    got = coerce_dates(coerce_ids(df, ["id"]), ["d"]).collect()
+    assert (got[0].id, got[0].d) == (12, dt.date(2001, 8, 1)) and (got[1].id, got[1].d) == (None, None)
+    a, b = publish.draw_constants(dt.date(2001, 8, 1)), publish.draw_constants(dt.date(2001, 8, 1))
+    assert a == b and 0 <= a["c1"] < 1 and -1 <= a["c3"] < 1 and len(a) == 5
