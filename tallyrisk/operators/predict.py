@@ -67,3 +67,31 @@ def predict_pairs(ledger: DataFrame, pair_metrics: DataFrame, horizon: int, p: P
                 .groupBy(*PAIR).agg(F.sum("predicted_u").alias("predicted_u")))
     return (pair_metrics.select(*PAIR).join(per_pair, PAIR, "left")
             .select(*PAIR, from_units(F.coalesce(F.col("predicted_u"), F.lit(0))).alias(f"predict_ar_{horizon}d")))
+
+
+def predict_pairs_multi(ledger: DataFrame, pair_metrics: DataFrame, horizons=(10, 30),
+                        p: Params = DEFAULT) -> DataFrame:
+    """Expected collections per pair for several horizons from one pass over the open invoices.
+
+    The invoices due within the widest horizon are read once; each horizon keeps
+    its own due-date bound and cut-off date, so every column equals
+    ``predict_pairs(..., h)``.
+    """
+    wide = max(horizons)
+    inv = predict_invoices(ledger, pair_metrics, wide, p)
+    due_in = F.datediff(F.col("duedate"), F.lit(p.processing_date))
+    cols = []
+    for h in horizons:
+        last = F.lit(p.processing_date + _dt.timedelta(days=h - 1))
+        amt = F.col("invoice_amount")
+        e = F.when(F.col("early_payment_date") <= last, F.abs(F.col("early_payment_perc")) * amt / 100)
+        l1 = F.when(F.col("late_lt10_date") <= last, F.col("payment1_percent") * amt / 100)
+        l2 = F.when(F.col("late_gt10_date") <= last, F.col("payment2_percent") * amt / 100)
+        expected = F.coalesce(e, F.lit(0.0)) + F.coalesce(l1, F.lit(0.0)) + F.coalesce(l2, F.lit(0.0))
+        pred_u = F.greatest(units(expected) - F.abs(F.coalesce(units("paid_amount"), F.lit(0))), F.lit(0))
+        cols.append(F.sum(F.when(due_in <= h, pred_u)).alias(f"__p{h}"))
+    shares = pair_metrics.select(*PAIR, "early_payment_perc", "payment1_percent", "payment2_percent")
+    per_pair = inv.join(shares, PAIR, "left").groupBy(*PAIR).agg(*cols)
+    return (pair_metrics.select(*PAIR).join(per_pair, PAIR, "left")
+            .select(*PAIR, *[from_units(F.coalesce(F.col(f"__p{h}"), F.lit(0))).alias(f"predict_ar_{h}d")
+                             for h in horizons]))

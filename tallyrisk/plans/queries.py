@@ -110,7 +110,7 @@ def _predict_invoices(spark, sf_dir, h):
 
 def _predict_pairs(spark, sf_dir, h):
     t = Tables.for_run(spark, sf_dir)
-    return predict.predict_pairs(ledger(t), pairs(t), h)
+    return predictions(t).select(*PAIR_KEYS, f"predict_ar_{h}d")
 
 
 REGISTRY["predict_10d"] = lambda spark, sf_dir: _predict_invoices(spark, sf_dir, 10)
@@ -128,14 +128,17 @@ from ..params import SUPPLIER_METRICS, SUPPLIER_TEST_WEIGHTS  # noqa: E402
 PAIR_KEYS = ["customer_id", "supplier_id"]
 
 
+def predictions(t: Tables) -> DataFrame:
+    """10- and 30-day predictions per pair from one pass over the open invoices (materialised)."""
+    return t.stage("predictions", lambda: predict.predict_pairs_multi(ledger(t), pairs(t), (10, 30)))
+
+
 def pair_frame(t: Tables) -> DataFrame:
     """Scored pairs with their 10- and 30-day predictions (materialised)."""
     def build():
-        led, pm = ledger(t), pairs(t)
         sc = scored_pairs(t).select(*PAIR_KEYS, "supplier_name", "total_invoice", "open_ar", "total_ar",
                                     "outstanding_balance", "score")
-        return (sc.join(predict.predict_pairs(led, pm, 10), PAIR_KEYS, "left")
-                .join(predict.predict_pairs(led, pm, 30), PAIR_KEYS, "left"))
+        return sc.join(predictions(t), PAIR_KEYS, "left")
     return t.stage("pair_frame", build)
 
 
@@ -284,11 +287,7 @@ CUST_ATTRS = ("ndg_id", "ndg_name", "customer_name", "customer_type_id", "custom
 
 def cust_pairs(t: Tables) -> DataFrame:
     """Scored pairs with every metric and both predictions (materialised)."""
-    def build():
-        led, pm = ledger(t), pairs(t)
-        return (scored_pairs(t).join(predict.predict_pairs(led, pm, 10), PAIR_KEYS, "left")
-                .join(predict.predict_pairs(led, pm, 30), PAIR_KEYS, "left"))
-    return t.stage("cust_pairs", build)
+    return t.stage("cust_pairs", lambda: scored_pairs(t).join(predictions(t), PAIR_KEYS, "left"))
 
 
 def cust_agg(t: Tables) -> DataFrame:
