@@ -55,8 +55,12 @@ def publish_with_audit(df: DataFrame, base: str, processing_date: _dt.date) -> N
     """Publish a snapshot: the dated copy goes to ``history`` (that date replaced, earlier
     dates kept), and ``current`` is replaced by this snapshot."""
     dated = df.withColumn("processing_date", F.lit(processing_date))
-    write_partition(dated, os.path.join(base, "history"))
-    dated.write.mode("overwrite").parquet(os.path.join(base, "current"))
+    history = os.path.join(base, "history")
+    write_partition(dated, history)
+    # ``current`` is copied from the partition just written, so the snapshot is computed once
+    spark = df.sparkSession
+    written = spark.read.parquet(history).filter(F.col("processing_date") == F.lit(processing_date))
+    written.select(*dated.columns).write.mode("overwrite").parquet(os.path.join(base, "current"))
 
 
 def full_refresh(df: DataFrame, path: str) -> None:

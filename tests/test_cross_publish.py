@@ -95,3 +95,18 @@ def test_lenient_casts_and_constant_draws(spark):
     assert (got[0].id, got[0].d) == (12, dt.date(2001, 8, 1)) and (got[1].id, got[1].d) == (None, None)
     a, b = publish.draw_constants(dt.date(2001, 8, 1)), publish.draw_constants(dt.date(2001, 8, 1))
     assert a == b and 0 <= a["c1"] < 1 and -1 <= a["c3"] < 1 and len(a) == 5
+
+
+def test_full_scoring_run_publishes_every_table(spark):
+    from conftest import SF_SMALL
+    from tallyrisk.plans.pipeline import run_scoring
+    from tallyrisk.sources.tables import Tables
+    out = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    t = Tables(spark, SF_SMALL)
+    paths = run_scoring(spark, t, out, stored_constants=t.raw_constant_values)
+    assert len(paths) == 12
+    for name, path in paths.items():
+        cur = spark.read.parquet(os.path.join(path, "current"))
+        assert cur.count() > 0, name
+    s = spark.read.parquet(os.path.join(paths["agg_customer_score"], "current"))
+    assert s.filter("is_flagged = 1").count() > 0
