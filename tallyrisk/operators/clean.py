@@ -88,9 +88,12 @@ def customer_attributes(ledger: DataFrame) -> DataFrame:
 
     The group is the highest real group id (the ``-1`` sentinel only when no row
     has one); names and types are functionally dependent on the customer id, the
-    maximum is taken so the choice is deterministic.
+    maximum is taken so the choice is deterministic.  The distinct projection
+    first keeps string maxima (sort-based aggregation) off the full ledger.
     """
-    return ledger.groupBy("customer_id").agg(
+    src = ledger.select("customer_id", "ndg_id", "ndg_name", "customer_name", "customer_type_id",
+                        "customer_type").distinct()
+    return src.groupBy("customer_id").agg(
         F.max("ndg_id").alias("ndg_id"),
         F.max_by("ndg_name", "ndg_id").alias("ndg_name"),
         F.max("customer_name").alias("customer_name"),
@@ -101,7 +104,8 @@ def customer_attributes(ledger: DataFrame) -> DataFrame:
 
 def historical_pairs(ledger: DataFrame) -> DataFrame:
     """Distinct (customer, supplier) pairs seen in the window, as text (history table format)."""
-    return (ledger.groupBy("customer_id", "supplier_id")
+    src = ledger.select("customer_id", "supplier_id", "customer_name", "client_name").distinct()
+    return (src.groupBy("customer_id", "supplier_id")
             .agg(F.max("customer_name").alias("customer"), F.max("client_name").alias("supplier"))
             .select(F.col("customer_id").cast("string").alias("customer_id"), "customer",
                     F.col("supplier_id").cast("string").alias("supplier_id"), "supplier"))

@@ -92,18 +92,30 @@ def invoice_partials(ledger: DataFrame, p: Params = DEFAULT) -> DataFrame:
         _cnt(L & (late > 10)).alias("i_l_gt10_rows"),
         F.sum(F.when(L & (late > 10), late)).alias("i_l_gt10_days"),
         F.max(F.datediff(c("duedate"), c("invoice_date"))).alias("i_terms_max"),
-        F.max("client_name").alias("supplier_name"),
-        *_attribute_aggs(),
     )
 
 
-def _attribute_aggs(prefix: str = "") -> list:
-    """Customer attribute candidates, combined the same way at every level."""
-    return [F.max(prefix + "ndg_id").alias("a_ndg_id"),
-            F.max_by(prefix + "ndg_name", prefix + "ndg_id").alias("a_ndg_name"),
-            F.max(prefix + "customer_name").alias("a_customer_name"),
-            F.max(prefix + "customer_type_id").alias("a_customer_type_id"),
-            F.max(prefix + "customer_type").alias("a_customer_type")]
+ATTRIBUTE_SOURCE = ("customer_id", "supplier_id", "client_name", "ndg_id", "ndg_name", "customer_name",
+                    "customer_type_id", "customer_type")
+
+
+def pair_attributes(ledger: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Descriptive attributes: supplier name per pair and customer attributes per customer.
+
+    Kept out of the metric aggregations on purpose: a ``max`` over a string
+    has a variable-width buffer, which would turn those aggregations (over every
+    ledger row) from hash into sort aggregation.  Here the strings are grouping
+    keys of a ``distinct`` (hash aggregate, map-side combined, about one row per
+    pair); only that small result is reduced with string maxima.  The customer's
+    group is its highest real group id (the -1 sentinel only when it has none).
+    """
+    src = ledger.select(*ATTRIBUTE_SOURCE).distinct().persist(StorageLevel.MEMORY_AND_DISK)
+    names = src.groupBy(*PAIR).agg(F.max("client_name").alias("supplier_name"))
+    attrs = src.groupBy("customer_id").agg(
+        F.max("ndg_id").alias("ndg_id"), F.max_by("ndg_name", "ndg_id").alias("ndg_name"),
+        F.max("customer_name").alias("customer_name"), F.max("customer_type_id").alias("customer_type_id"),
+        F.max("customer_type").alias("customer_type"))
+    return names, attrs
 
 
 def chargeback_partials(ledger: DataFrame, p: Params = DEFAULT) -> DataFrame:
@@ -128,9 +140,6 @@ def chargeback_partials(ledger: DataFrame, p: Params = DEFAULT) -> DataFrame:
         F.when(closed, F.lit(1)).alias("cb_closed_rows"),
         F.when(c("paid_date") <= c("cb_duedate"), F.lit(1)).alias("cb_on_time"),
         F.when(c("paid_date") > c("cb_duedate"), F.lit(1)).alias("cb_late"),
-        F.col("client_name").alias("supplier_name"),
-        *[F.col(a).alias("a_" + a) for a in ("ndg_id", "ndg_name", "customer_name", "customer_type_id",
-                                               "customer_type")],
     )
 
 
@@ -186,9 +195,7 @@ def pair_metrics(ledger: DataFrame, p: Params = DEFAULT, attributes: DataFrame |
         s("cb_overdue").alias("cb_overdue"), s("cb_early").alias("cb_early"),
         s("cb_early_rows").alias("cb_early_rows"), s("cb_open_rows").alias("open_chargeback_freq"),
         s("cb_open_total").alias("cb_open_total"), s("cb_closed_rows").alias("cb_closed_rows"),
-        F.max("supplier_name").alias("supplier_name"),
         F.max("cb_on_time").alias("any_on_time"), F.max("cb_late").alias("any_late"),
-        *_attribute_aggs("a_"),
     )
 
     has_i, has_cb = c("n_i") > 0, c("chargeback_freq") > 0
@@ -203,19 +210,17 @@ def pair_metrics(ledger: DataFrame, p: Params = DEFAULT, attributes: DataFrame |
 
     aging = F.bround(F.try_divide(c("ag_num").cast("double"), c("ag_den").cast("double")), 0)
     gt10_days = F.when(c("l_gt10_rows") > 0, F.floor(c("l_gt10_days") / c("l_gt10_rows"))).otherwise(0)
-    # The global and per-customer figures are derived from the pair aggregate.
-    # It is persisted (memory, spilling to disk; rebuilt from lineage if an
-    # executor is lost) so the ledger is scanned once, not once per consumer.
+    # The global chargeback figures are derived from the pair aggregate, which is
+    # persisted (memory, spilling to disk; rebuilt from lineage if an executor is
+    # lost) so the ledger's metric columns are aggregated once.
     agg = agg.persist(StorageLevel.MEMORY_AND_DISK)
     overdue = agg.agg(
         F.countDistinct(F.when(c("any_on_time") == 1, c("supplier_id"))).alias("supplier_wo_overdue_cb"),
         F.countDistinct(F.when(c("any_late") == 1, c("supplier_id"))).alias("supplier_w_overdue_cb"))
+    names, attrs = pair_attributes(ledger)
     if attributes is None:
-        attributes = agg.groupBy("customer_id").agg(
-            F.max("a_ndg_id").alias("ndg_id"), F.max_by("a_ndg_name", "a_ndg_id").alias("ndg_name"),
-            F.max("a_customer_name").alias("customer_name"),
-            F.max("a_customer_type_id").alias("customer_type_id"),
-            F.max("a_customer_type").alias("customer_type"))
+        attributes = attrs
+    agg = agg.join(names, PAIR, "left")
     out = agg.crossJoin(F.broadcast(overdue)).select(
         *PAIR, "supplier_name",
         c("invoice_freq").cast("long").alias("invoice_freq"),
