@@ -78,14 +78,21 @@ def first_lines(lines: DataFrame) -> DataFrame:
     return lines.join(first, ["bm_transaction_id", "id"], "inner")
 
 
-def _bill_aggregates(j: DataFrame) -> list:
-    top = F.substring_index(F.col("account_full_name"), ":", 1)
-    return [
-        F.array_join(F.array_sort(F.collect_set(top)), ",").alias("summary_acct"),
-        from_units(F.sum(units("line_amount"))).alias("total_amount"),
-        from_units(F.coalesce(F.sum(units("bm_accounting_payment_amount")), F.lit(0))).alias("paid_amount"),
-        F.max("bm_accounting_payment_date").alias("paid_date"),
-    ]
+def _payment_totals(payments: DataFrame) -> DataFrame:
+    """Per bill: number of payments, their exact sum and the latest payment date (numeric hash aggregate)."""
+    return payments.groupBy(F.col("bm_transaction_id").alias("__pbill")).agg(
+        F.count(F.lit(1)).alias("__n_pay"), F.sum(units("bm_accounting_payment_amount")).alias("__paid_u"),
+        F.max("bm_accounting_payment_date").alias("paid_date"))
+
+
+def _with_payments(base: DataFrame) -> DataFrame:
+    """Bill-level totals as the source computes them over the bill's first line joined with its payments:
+    the line amount counts once per payment row (once when there is none)."""
+    n = F.greatest(F.coalesce(F.col("__n_pay"), F.lit(0)), F.lit(1))
+    top = F.coalesce(F.substring_index(F.col("account_full_name"), ":", 1), F.lit(""))
+    return base.select("*", top.alias("summary_acct"),
+                       from_units(units("line_amount") * n).alias("total_amount"),
+                       from_units(F.coalesce(F.col("__paid_u"), F.lit(0))).alias("paid_amount"))
 
 
 def _bill_lines_view(lines: DataFrame, accounts: DataFrame) -> DataFrame:
@@ -99,8 +106,11 @@ def extract_chargebacks(bills: DataFrame, lines: DataFrame, accounts: DataFrame,
                         types: DataFrame, start: _dt.date | None, end: _dt.date) -> DataFrame:
     """Chargeback bills of the window: one row per bill whose first line books to 'Chargebacks'.
 
-    Totals are taken over the bill's first line joined with all its payments,
-    so a bill with n payments counts its line amount n times (as the source does).
+    Totals follow the source's join of the bill's first line with all its
+    payments (a bill with n payments counts its line amount n times).  Payments
+    are pre-aggregated per bill, so the bill's descriptive columns are joined
+    once per bill instead of being carried through an aggregation over the
+    payment fan-out.
     """
     b = bills.filter((F.col("archived") == 0) & in_window("transaction_date", start, end))
     fl = _bill_lines_view(lines, accounts)
@@ -108,27 +118,23 @@ def extract_chargebacks(bills: DataFrame, lines: DataFrame, accounts: DataFrame,
     cust = customer_dimension(customers, ndg).select(
         F.col("id").alias("__cid"), "ndg_id", "ndg_name", F.col("name").alias("customer_name"), "customer_type")
     ty = types.select(F.col("id").alias("customer_type_id"), F.col("type").alias("__type"))
-    j = (b.join(fl, b["id"] == fl["__bill"], "inner")
-         .join(vendors, "vendor_id", "inner")
-         .join(sup, fl["client_class_id"] == sup["supplier_id"], "left")
-         .join(payments, b["id"] == payments["bm_transaction_id"], "left")
-         .join(cust, b["customer_id"] == cust["__cid"], "left")
-         .join(ty, F.col("customer_type") == F.col("__type"), "left")
-         .filter(F.col("__cid").isNotNull()))
-    g = j.groupBy(b["id"]).agg(
-        *_bill_aggregates(j),
-        F.max("transaction_number").alias("reference_num"), F.max("supplier_id").alias("supplier_id"),
-        F.max("client_name").alias("client_name"), F.max("transaction_type").alias("type"),
-        F.max("is_paid").alias("is_paid"), F.max("ndg_id").alias("ndg_id"), F.max("ndg_name").alias("ndg_name"),
-        F.max("__cid").alias("customer_id"), F.max("customer_type_id").alias("customer_type_id"),
-        F.max("customer_type").alias("customer_type"), F.max("company_name").alias("vendor"),
-        F.max("customer_name").alias("customer_name"), F.max("balance").alias("open_balance"),
-        F.max("transaction_date").alias("bill_date"), F.max("due_date").alias("cb_duedate"))
+    pay = _payment_totals(payments)
+    base = (b.join(fl, b["id"] == fl["__bill"], "inner")
+            .join(vendors, "vendor_id", "inner")
+            .join(sup, fl["client_class_id"] == sup["supplier_id"], "left")
+            .join(cust, b["customer_id"] == cust["__cid"], "left")
+            .join(ty, F.col("customer_type") == F.col("__type"), "left")
+            .filter(F.col("__cid").isNotNull())
+            .join(pay, b["id"] == pay["__pbill"], "left"))
+    g = _with_payments(base)
     return g.filter(F.col("summary_acct") == "Chargebacks").select(
-        "reference_num", "supplier_id", "client_name", "type", "summary_acct",
+        F.col("transaction_number").alias("reference_num"), "supplier_id", "client_name",
+        F.col("transaction_type").alias("type"), "summary_acct",
         F.when(F.col("is_paid") == 1, "Paid").otherwise("Open").alias("bill_status"), "ndg_id", "ndg_name",
-        "customer_id", "customer_type_id", "customer_type", "vendor", "customer_name", "total_amount",
-        "open_balance", "paid_amount", "bill_date", "cb_duedate", "paid_date")
+        F.col("__cid").alias("customer_id"), "customer_type_id", "customer_type",
+        F.col("company_name").alias("vendor"), "customer_name", "total_amount",
+        F.col("balance").alias("open_balance"), "paid_amount", F.col("transaction_date").alias("bill_date"),
+        F.col("due_date").alias("cb_duedate"), "paid_date")
 
 
 def bill_account_summary(lines: DataFrame, accounts: DataFrame) -> DataFrame:
@@ -160,26 +166,24 @@ def extract_other_open_payables(bills, lines, accounts, payments, vendors, suppl
     b = bills.filter((F.col("archived") == 0) & in_window("transaction_date", start, end))
     fl = _bill_lines_view(lines, accounts)
     sup = suppliers.select(F.col("id").alias("client_id"), F.col("name").alias("supplier"))
-    j = (b.join(fl, b["id"] == fl["__bill"], "left")
-         .join(vendors, "vendor_id", "left")
-         .join(sup, fl["client_class_id"] == sup["client_id"], "left")
-         .join(payments, b["id"] == payments["bm_transaction_id"], "left"))
-    g = j.groupBy(b["id"]).agg(
-        *_bill_aggregates(j),
-        F.max("transaction_number").alias("reference_num"), F.max("transaction_type").alias("type"),
-        F.max("client_id").alias("client_id"), F.max("supplier").alias("supplier"),
-        F.max("is_paid").alias("is_paid"), F.max("company_name").alias("vendor"),
-        F.max("balance").alias("balance"), F.max("transaction_date").alias("bill_date"),
-        F.max("due_date").alias("cb_duedate"))
+    pay = _payment_totals(payments)
+    base = (b.join(fl, b["id"] == fl["__bill"], "left")
+            .join(vendors, "vendor_id", "left")
+            .join(sup, fl["client_class_id"] == sup["client_id"], "left")
+            .join(pay, b["id"] == pay["__pbill"], "left"))
+    g = _with_payments(base)
     paid, bal, tot = F.col("paid_amount"), F.col("balance"), F.col("total_amount")
     out = g.select(
-        "reference_num",
-        F.when(F.col("type") == "credit", F.replace(F.col("reference_num"), F.lit("CR"), F.lit("A")))
-        .otherwise(F.lit("0")).alias("replace_ref_num"),
+        F.col("transaction_number").alias("reference_num"),
+        F.when(F.col("transaction_type") == "credit",
+               F.replace(F.col("transaction_number"), F.lit("CR"), F.lit("A"))).otherwise(F.lit("0"))
+        .alias("replace_ref_num"),
         F.when(paid == 0, F.when(bal > tot, bal).otherwise(tot)).otherwise(paid + bal).alias("new_total"),
-        "client_id", "supplier", "type", "summary_acct",
-        F.when(F.col("is_paid") == 1, "Paid").otherwise("Open").alias("bill_status"), "vendor", "total_amount",
-        F.col("balance").alias("other_open_payables"), "paid_amount", "bill_date", "cb_duedate", "paid_date")
+        "client_id", "supplier", F.col("transaction_type").alias("type"), "summary_acct",
+        F.when(F.col("is_paid") == 1, "Paid").otherwise("Open").alias("bill_status"),
+        F.col("company_name").alias("vendor"), "total_amount", F.col("balance").alias("other_open_payables"),
+        "paid_amount", F.col("transaction_date").alias("bill_date"), F.col("due_date").alias("cb_duedate"),
+        "paid_date")
     st = status.select(F.col("id").alias("__sid"), F.col("client_id").alias("cl_id"), "name", "status_index",
                        "display_name", "status_short", "status")
     return (out.join(st, out["client_id"] == st["__sid"], "left")
