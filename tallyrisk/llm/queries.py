@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, substring_dedup, url_filter
+from . import chat_format, embedding_dedup, substring_dedup, url_filter
 from .common import Runner, table
 
 # ---------------------------------------------------------------- op1: URL filters
@@ -77,6 +77,11 @@ SELECT conv_id, count(*) AS n_turns,
 FROM e GROUP BY conv_id
 """
 
+# ---------------------------------------------------------------- op4: embedding near-dedup
+def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.embedding_links(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
 # ---------------------------------------------------------------- op10: substring dedup
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -119,6 +124,7 @@ OP10_SQL = f"WITH {substring_sql('documents')} SELECT doc_id, n_spans, spans, te
 QUERIES: dict[str, Runner] = {
     "op1_url_filter": op1_url_filter,
     "op3_chat_format": op3_chat_format,
+    "op4_embedding_dedup": op4_embedding_dedup,
     "op10_substring_dedup": op10_substring_dedup,
 }
 ORACLE: dict[str, str] = {
