@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, embedding_dedup, substring_dedup, url_filter
+from . import chat_format, embedding_dedup, order_minhash, substring_dedup, url_filter
 from .common import Runner, table
 
 # ---------------------------------------------------------------- op1: URL filters
@@ -82,6 +82,11 @@ def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.embedding_links(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
 
 
+# ---------------------------------------------------------------- op5: MinHash near-dedup
+def op5_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_minhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 # ---------------------------------------------------------------- op10: substring dedup
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -125,6 +130,7 @@ QUERIES: dict[str, Runner] = {
     "op1_url_filter": op1_url_filter,
     "op3_chat_format": op3_chat_format,
     "op4_embedding_dedup": op4_embedding_dedup,
+    "op5_order_minhash": op5_order_minhash,
     "op10_substring_dedup": op10_substring_dedup,
 }
 ORACLE: dict[str, str] = {
