@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, embedding_dedup, order_minhash, substring_dedup, url_filter
+from . import chat_format, embedding_dedup, order_minhash, packing, substring_dedup, url_filter
 from .common import Runner, table
 
 # ---------------------------------------------------------------- op1: URL filters
@@ -87,6 +87,17 @@ def op5_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_minhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+# ---------------------------------------------------------------- op9: packing
+def vocabulary(name: str) -> str:
+    """Path of a public tokenizer file (a parameter of the operators; never copied)."""
+    import public_tokenizers
+    return str(public_tokenizers.path(name))
+
+
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary("byte_bpe_50k.tiktoken"))
+
+
 # ---------------------------------------------------------------- op10: substring dedup
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -131,6 +142,7 @@ QUERIES: dict[str, Runner] = {
     "op3_chat_format": op3_chat_format,
     "op4_embedding_dedup": op4_embedding_dedup,
     "op5_order_minhash": op5_order_minhash,
+    "op9_packing": op9_packing,
     "op10_substring_dedup": op10_substring_dedup,
 }
 ORACLE: dict[str, str] = {
