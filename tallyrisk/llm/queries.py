@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, embedding_dedup, order_minhash, packing, substring_dedup, url_filter
+from . import bpe_stream, chat_format, embedding_dedup, order_minhash, packing, substring_dedup, url_filter
 from .common import Runner, table
 
 # ---------------------------------------------------------------- op1: URL filters
@@ -87,6 +87,16 @@ def op5_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_minhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+# ---------------------------------------------------------------- op6: BPE encoding and decoding
+def op6_bpe_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = vocabulary("word_bpe_49k.json")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = bpe_stream.decode(bpe_stream.encode(docs, path).drop("text"), path)
+    return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                      F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+                      F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 # ---------------------------------------------------------------- op9: packing
 def vocabulary(name: str) -> str:
     """Path of a public tokenizer file (a parameter of the operators; never copied)."""
@@ -142,6 +152,7 @@ QUERIES: dict[str, Runner] = {
     "op3_chat_format": op3_chat_format,
     "op4_embedding_dedup": op4_embedding_dedup,
     "op5_order_minhash": op5_order_minhash,
+    "op6_bpe_stream": op6_bpe_stream,
     "op9_packing": op9_packing,
     "op10_substring_dedup": op10_substring_dedup,
 }
