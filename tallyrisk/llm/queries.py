@@ -4,10 +4,12 @@
 """
 from __future__ import annotations
 
+from collections import Counter
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_stream, chat_format, embedding_dedup, order_minhash, packing, substring_dedup, url_filter
+from . import bpe_stream, chat_format, embedding_dedup, license_scan, order_minhash, packing, substring_dedup, url_filter
 from .common import Runner, table
 
 # ---------------------------------------------------------------- op1: URL filters
@@ -97,6 +99,47 @@ def op6_bpe_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+# ---------------------------------------------------------------- op8: license scans
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files: source / language / thousand / document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.concat_ws(
+        "/", "source", "lang", F.floor(F.col("doc_id") / 1000).cast("string"), F.col("doc_id").cast("string")).alias("path"))
+    return license_scan.scan(docs).drop("text")
+
+
+_TW = sorted((n, w, c) for n, t in license_scan.TEMPLATES.items()
+             for w, c in Counter(license_scan.template_words(t)).items())
+OP8_SQL = f"""
+WITH tw(license, w, c) AS (VALUES {', '.join(f"('{n}', '{w}', {c})" for n, w, c in _TW)}),
+d AS (SELECT doc_id, text, concat_ws('/', source, lang, CAST(doc_id // 1000 AS VARCHAR), CAST(doc_id AS VARCHAR)) AS path FROM documents),
+n AS (SELECT count(text) AS n FROM d),
+dw AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[^a-z0-9]+'), lambda x: x <> '') AS ws FROM d),
+df AS (SELECT w, count(*) AS df FROM (SELECT DISTINCT doc_id, unnest(ws) AS w FROM dw) WHERE w IN (SELECT w FROM tw) GROUP BY w),
+idf AS (SELECT DISTINCT tw.w, ln((1 + n) / (1 + coalesce(df, 0))) + 1 AS idf FROM tw CROSS JOIN n LEFT JOIN df ON df.w = tw.w),
+tn AS (SELECT license, sqrt(sum((c * idf) ** 2)) AS norm FROM tw JOIN idf USING (w) GROUP BY license),
+l AS (SELECT doc_id, unnest(list_distinct(string_split(text, chr(10)))) AS line FROM d),
+lw AS (SELECT doc_id, line, w, count(*) AS c FROM (
+         SELECT doc_id, line, unnest(regexp_split_to_array(lower(line), '[^a-z0-9]+')) AS w FROM l) WHERE w <> '' GROUP BY ALL),
+lx AS (SELECT doc_id, line, lw.w, c, coalesce(idf, ln(1 + n) + 1) AS idf FROM lw CROSS JOIN n LEFT JOIN idf ON idf.w = lw.w),
+ln AS (SELECT doc_id, line, sqrt(sum((c * idf) ** 2)) AS norm, sum(c) AS n FROM lx GROUP BY ALL),
+dot AS (SELECT doc_id, line, license, sum(lx.c * lx.idf * tw.c * lx.idf) AS dot FROM lx JOIN tw USING (w) GROUP BY ALL),
+sc AS (SELECT doc_id, line, license, ln.n, round(dot / (ln.norm * tn.norm), 6) AS score
+       FROM dot JOIN ln USING (doc_id, line) JOIN tn USING (license)),
+own AS (SELECT * FROM sc WHERE score >= {license_scan.THRESHOLD}
+        QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, license, line) = 1),
+f AS (SELECT d.doc_id, d.path, own.license AS own_license, own.score, regexp_extract(path, '^(.*)/[^/]*$', 1) AS dir,
+             coalesce(own.n / greatest(len(ws), 1) >= {license_scan.FILE_SHARE}, false) AS license_file
+      FROM d JOIN dw USING (doc_id) LEFT JOIN own USING (doc_id)),
+named AS (SELECT dir, own_license FROM f WHERE license_file
+          QUALIFY row_number() OVER (PARTITION BY dir ORDER BY score DESC, path) = 1),
+near AS (SELECT f.doc_id, named.own_license AS near FROM f JOIN named ON f.dir = named.dir OR starts_with(f.dir, named.dir || '/')
+         QUALIFY row_number() OVER (PARTITION BY f.doc_id ORDER BY length(named.dir) DESC) = 1)
+SELECT f.doc_id, path, own_license, score, license_file, coalesce(own_license, near) AS license,
+       CASE WHEN own_license IS NOT NULL THEN 'own' WHEN near IS NOT NULL THEN 'inherited' ELSE 'none' END AS basis
+FROM f LEFT JOIN near USING (doc_id)
+"""
+
+
 # ---------------------------------------------------------------- op9: packing
 def vocabulary(name: str) -> str:
     """Path of a public tokenizer file (a parameter of the operators; never copied)."""
@@ -153,11 +196,13 @@ QUERIES: dict[str, Runner] = {
     "op4_embedding_dedup": op4_embedding_dedup,
     "op5_order_minhash": op5_order_minhash,
     "op6_bpe_stream": op6_bpe_stream,
+    "op8_license_scan": op8_license_scan,
     "op9_packing": op9_packing,
     "op10_substring_dedup": op10_substring_dedup,
 }
 ORACLE: dict[str, str] = {
     "op1_url_filter": OP1_SQL,
     "op3_chat_format": OP3_SQL,
+    "op8_license_scan": OP8_SQL,
     "op10_substring_dedup": OP10_SQL,
 }
