@@ -9,7 +9,7 @@ from collections import Counter
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_stream, chat_format, embedding_dedup, license_scan, order_minhash, packing, substring_dedup, url_filter
+from . import bpe_stream, chat_format, embedding_dedup, language_id, license_scan, order_minhash, packing, substring_dedup, url_filter
 from .common import Runner, table
 
 # ---------------------------------------------------------------- op1: URL filters
@@ -99,6 +99,23 @@ def op6_bpe_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+# ---------------------------------------------------------------- op7: language ID
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents: the language column is the declaration, the source the host."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    return language_id.identify(docs).select("doc_id", "language", "posterior", "accepted", "text_language")
+
+
+def pages_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages: declared markup language, address suffix and host; the text is the page without scripts and tags."""
+    html, url = F.col("html"), F.col("url")
+    pages = table(spark, sf_dir, "pages").select(
+        "page_id", F.regexp_extract(html, r"(?is)<html[^>]*\blang=[\"']?([a-z-]+)", 1).alias("lang"), url_filter.host_of(url).alias("host"),
+        F.regexp_replace(F.regexp_replace(html, r"(?is)<(script|style)\b.*?</\1>", " "), r"(?s)<[^>]*>|&[a-z#0-9]+;", " ").alias("text"))
+    return (language_id.identify(pages, language_id.Evidence("text", "lang", "host"))
+            .select("page_id", "language", "posterior", "accepted", "text_language"))
+
+
 # ---------------------------------------------------------------- op8: license scans
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as files: source / language / thousand / document."""
@@ -196,6 +213,8 @@ QUERIES: dict[str, Runner] = {
     "op4_embedding_dedup": op4_embedding_dedup,
     "op5_order_minhash": op5_order_minhash,
     "op6_bpe_stream": op6_bpe_stream,
+    "op7_language_id": op7_language_id,
+    "pages_language_id": pages_language_id,
     "op8_license_scan": op8_license_scan,
     "op9_packing": op9_packing,
     "op10_substring_dedup": op10_substring_dedup,
