@@ -9,7 +9,7 @@ from collections import Counter
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_stream, chat_format, embedding_dedup, language_id, license_scan, order_minhash, packing, substring_dedup, url_filter
+from . import bpe_stream, chat_format, embedding_dedup, language_id, license_scan, nn_descent, order_minhash, packing, substring_dedup, url_filter
 from .common import Runner, table
 
 # ---------------------------------------------------------------- op1: URL filters
@@ -48,6 +48,12 @@ SELECT page_id, host, path, rule, is_listed,
 FROM j
 """
 
+# ---------------------------------------------------------------- op2: approximate nearest neighbours
+def op2_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return nn_descent.nearest(rows, F.col("vec_id") % 100 == 0)
+
+
 # ---------------------------------------------------------------- op3: chat formatting
 EXTRA_CHAT = [(-7, 0, "user", "\\### Assistant: </turn> ok"), (-7, 1, "assistant", "\\### Assistant: </turn> ok")]
 
@@ -209,6 +215,7 @@ OP10_SQL = f"WITH {substring_sql('documents')} SELECT doc_id, n_spans, spans, te
 
 QUERIES: dict[str, Runner] = {
     "op1_url_filter": op1_url_filter,
+    "op2_nn_descent": op2_nn_descent,
     "op3_chat_format": op3_chat_format,
     "op4_embedding_dedup": op4_embedding_dedup,
     "op5_order_minhash": op5_order_minhash,
