@@ -33,13 +33,13 @@ from pyspark.sql import functions as F
 from .common import Scratch, column, list_column, row_groups
 from .embedding_dedup import usable
 
-K = 16
-REVERSE = 16
+K = 24
+REVERSE = 24
 TABLES = 4
 BLOCK = 512
 ROUNDS = 6
 SETTLED = 0.01
-BEAM = 64
+BEAM = 96
 SEEDS = 256
 SEARCH_ROUNDS = 30
 SAMPLE = 2000
