@@ -50,9 +50,9 @@ LEDGER_COLUMNS = (
 )
 
 
-def clean_invoices(psi_invoice: DataFrame, p: Params = DEFAULT) -> DataFrame:
+def clean_invoices(invoice_payments: DataFrame, p: Params = DEFAULT) -> DataFrame:
     """Window scan, early-advance fix, credit-memo removal."""
-    inv = scan_window(psi_invoice, "invoice_date", p)
+    inv = scan_window(invoice_payments, "invoice_date", p)
     return drop_full_credit_memo(clean_early_advance(inv))
 
 
@@ -69,12 +69,12 @@ def fill_ledger(df: DataFrame) -> DataFrame:
     )
 
 
-def unified_ledger(psi_invoice: DataFrame, chargebacks: DataFrame, p: Params = DEFAULT) -> DataFrame:
+def unified_ledger(invoice_payments: DataFrame, chargebacks: DataFrame, p: Params = DEFAULT) -> DataFrame:
     """Cleaned invoices stacked with the window's chargebacks (``ispaid = 2``), gaps filled.
 
     Rows without a customer or supplier are left out: they cannot belong to a pair.
     """
-    inv = clean_invoices(psi_invoice, p).withColumn("src", F.lit("inv"))
+    inv = clean_invoices(invoice_payments, p).withColumn("src", F.lit("inv"))
     cb = (scan_window(chargebacks, "bill_date", p)
           .withColumn("src", F.lit("cb")).withColumn("ispaid", F.lit(2)))
     stacked = inv.unionByName(cb, allowMissingColumns=True)

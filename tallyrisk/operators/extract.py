@@ -260,6 +260,5 @@ def extract_customers(customers, types, ndg) -> DataFrame:
 
 
 def extract_ndg(ndg) -> DataFrame:
-    return ndg.select("id", "name", "works_with_bdn", "credentials", "online_access_sop",
-                      "bdn_authorization_letter_sop", "online_access_possible", "distributor_data",
-                      "online_system_url", "online_system_notes", "type")
+    """Customer groups: id, name, type."""
+    return ndg.select("id", "name", "type")

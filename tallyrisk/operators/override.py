@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalar import level_max, level_min
-from ..params import DEFAULT_REASON_WEIGHT, REASONS
+from ..params import DEFAULT_REASON_WEIGHT
 
 
 def latest_override(update_level: DataFrame, key: str) -> DataFrame:
@@ -25,15 +25,10 @@ def latest_override(update_level: DataFrame, key: str) -> DataFrame:
                     "o.updated_at"))
 
 
-def reason_matrix(entities: DataFrame, key: str, spark=None) -> DataFrame:
-    """Every entity with every override reason at the default weight.
-
-    The reason list has a fixed size (14 rows), so broadcasting it is safe at any scale.
-    """
-    spark = spark or entities.sparkSession
-    reasons = spark.createDataFrame([(r,) for r in REASONS], ["reason"])
+def reason_matrix(entities: DataFrame, key: str, reasons: DataFrame) -> DataFrame:
+    """Every entity with every reason of the input list at the default weight (one row each is the result)."""
     return (entities.select(key).filter(F.col(key).isNotNull()).distinct()
-            .crossJoin(F.broadcast(reasons)).withColumn("weight", F.lit(DEFAULT_REASON_WEIGHT)))
+            .crossJoin(reasons.select("reason").distinct()).withColumn("weight", F.lit(DEFAULT_REASON_WEIGHT)))
 
 
 def reason_missing_rows(matrix: DataFrame, existing: DataFrame, key: str) -> DataFrame:

@@ -3,7 +3,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalar import from_units, units
@@ -31,6 +31,21 @@ def horizon_invoices(ledger: DataFrame, horizon: int, p: Params = DEFAULT) -> Da
     )
 
 
+def _moved(due: str, days: str, sign: int) -> Column:
+    return F.date_add(F.col(due), (F.col(days) * sign).cast("int"))
+
+
+def _share(pct: Column, amount: Column, date: Column, last: Column) -> Column:
+    """The part of an invoice expected by ``date``, if that is not after ``last``."""
+    return F.when(date <= last, pct * amount / 100)
+
+
+def _open_units(parts: list[Column], paid_u: Column) -> Column:
+    """Expected parts less what was paid, in money units, floored at 0."""
+    expected = F.coalesce(parts[0], F.lit(0.0)) + F.coalesce(parts[1], F.lit(0.0)) + F.coalesce(parts[2], F.lit(0.0))
+    return F.greatest(units(expected) - F.abs(F.coalesce(paid_u, F.lit(0))), F.lit(0))
+
+
 def predict_invoices(ledger: DataFrame, pair_metrics: DataFrame, horizon: int, p: Params = DEFAULT) -> DataFrame:
     """Expected collection per open invoice within the horizon.
 
@@ -46,52 +61,44 @@ def predict_invoices(ledger: DataFrame, pair_metrics: DataFrame, horizon: int, p
     inv = horizon_invoices(ledger, horizon, p).join(hist, PAIR, "left")
     amt = F.col("invoice_amount")
 
-    def share(pct, date, days_col, sign):
-        d = F.date_add(F.col("duedate"), (F.col(days_col) * sign).cast("int"))
-        return F.when(d <= last, F.abs(F.col(pct)) * amt / 100 if pct == "early_payment_perc"
-                      else F.col(pct) * amt / 100), d.alias(date)
-
-    e, e_date = share("early_payment_perc", "early_payment_date", "early_payment_days", -1)
-    l1, l1_date = share("payment1_percent", "late_lt10_date", "delinquent_overdueday_lt10", 1)
-    l2, l2_date = share("payment2_percent", "late_gt10_date", "delinquent_overdueday_gt10", 1)
-    expected = F.coalesce(e, F.lit(0.0)) + F.coalesce(l1, F.lit(0.0)) + F.coalesce(l2, F.lit(0.0))
-    pred_u = F.greatest(units(expected) - F.abs(F.coalesce(F.col("paid_u"), F.lit(0))), F.lit(0))
+    dates = [_moved("duedate", "early_payment_days", -1), _moved("duedate", "delinquent_overdueday_lt10", 1),
+             _moved("duedate", "delinquent_overdueday_gt10", 1)]
+    parts = [_share(pct, amt, date, last) for pct, date in
+             zip((F.abs("early_payment_perc"), F.col("payment1_percent"), F.col("payment2_percent")), dates)]
+    names = ("early_payment_date", "late_lt10_date", "late_gt10_date")
     return inv.select(*PAIR, "invoice_num", "duedate", "invoice_amount",
                       from_units(F.coalesce(F.col("paid_u"), F.lit(0))).alias("paid_amount"),
-                      e_date, l1_date, l2_date, pred_u.alias("predicted_u"))
+                      *[d.alias(n) for d, n in zip(dates, names)], _open_units(parts, F.col("paid_u")).alias("predicted_u"))
 
 
-def predict_pairs(ledger: DataFrame, pair_metrics: DataFrame, horizon: int, p: Params = DEFAULT) -> DataFrame:
-    """Expected collection per pair within the horizon (0 for pairs without open invoices in it)."""
-    per_pair = (predict_invoices(ledger, pair_metrics, horizon, p)
-                .groupBy(*PAIR).agg(F.sum("predicted_u").alias("predicted_u")))
-    return (pair_metrics.select(*PAIR).join(per_pair, PAIR, "left")
-            .select(*PAIR, from_units(F.coalesce(F.col("predicted_u"), F.lit(0))).alias(f"predict_ar_{horizon}d")))
-
+def predict_pairs(ledger: DataFrame, pair_metrics: DataFrame, horizons=(10, 30), p: Params = DEFAULT) -> DataFrame:
+    """Expected collections per pair (0 for pairs without open invoices) for several horizons in one pass.
 
-def predict_pairs_multi(ledger: DataFrame, pair_metrics: DataFrame, horizons=(10, 30),
-                        p: Params = DEFAULT) -> DataFrame:
-    """Expected collections per pair for several horizons from one pass over the open invoices.
-
-    The invoices due within the widest horizon are read once; each horizon keeps
-    its own due-date bound and cut-off date, so every column equals
-    ``predict_pairs(..., h)``.
+    The rows due within the widest horizon are grouped by invoice once, with every horizon's own rows inside
+    conditional aggregates: an invoice's due date, amount and payments come from the rows due within that
+    horizon, as in ``predict_invoices``.
     """
-    wide = max(horizons)
-    inv = predict_invoices(ledger, pair_metrics, wide, p)
-    due_in = F.datediff(F.col("duedate"), F.lit(p.processing_date))
-    cols = []
+    D = F.lit(p.processing_date)
+    due_in = F.datediff(F.col("duedate"), D)
+    rows = ledger.filter((F.col("ispaid") == 0) & (due_in > -10) & (due_in <= max(horizons)) & F.col("invoice_num").isNotNull())
+    paid_by_d = F.coalesce(F.col("txn_date"), F.lit(_NO_DATE)) <= D
+    aggs = []
+    for h in horizons:
+        inside = due_in <= h
+        aggs += [F.min(F.when(inside, F.col("duedate"))).alias(f"due_{h}"),
+                 F.max(F.when(inside, F.col("invoice_amount"))).alias(f"amount_{h}"),
+                 F.sum(F.when(inside & paid_by_d, units("txn_amount"))).alias(f"paid_{h}")]
+    shares = pair_metrics.select(*PAIR, "early_payment_perc", "payment1_percent", "payment2_percent", "early_payment_days",
+                                 "delinquent_overdueday_lt10", "delinquent_overdueday_gt10")
+    inv = rows.groupBy(*PAIR, "invoice_num").agg(*aggs).join(shares, PAIR, "left")
+    sums = []
     for h in horizons:
         last = F.lit(p.processing_date + _dt.timedelta(days=h - 1))
-        amt = F.col("invoice_amount")
-        e = F.when(F.col("early_payment_date") <= last, F.abs(F.col("early_payment_perc")) * amt / 100)
-        l1 = F.when(F.col("late_lt10_date") <= last, F.col("payment1_percent") * amt / 100)
-        l2 = F.when(F.col("late_gt10_date") <= last, F.col("payment2_percent") * amt / 100)
-        expected = F.coalesce(e, F.lit(0.0)) + F.coalesce(l1, F.lit(0.0)) + F.coalesce(l2, F.lit(0.0))
-        pred_u = F.greatest(units(expected) - F.abs(F.coalesce(units("paid_amount"), F.lit(0))), F.lit(0))
-        cols.append(F.sum(F.when(due_in <= h, pred_u)).alias(f"__p{h}"))
-    shares = pair_metrics.select(*PAIR, "early_payment_perc", "payment1_percent", "payment2_percent")
-    per_pair = inv.join(shares, PAIR, "left").groupBy(*PAIR).agg(*cols)
+        parts = [_share(F.abs("early_payment_perc"), F.col(f"amount_{h}"), _moved(f"due_{h}", "early_payment_days", -1), last),
+                 _share(F.col("payment1_percent"), F.col(f"amount_{h}"), _moved(f"due_{h}", "delinquent_overdueday_lt10", 1), last),
+                 _share(F.col("payment2_percent"), F.col(f"amount_{h}"), _moved(f"due_{h}", "delinquent_overdueday_gt10", 1), last)]
+        sums.append(F.sum(F.when(F.col(f"due_{h}").isNotNull(), _open_units(parts, F.col(f"paid_{h}")))).alias(f"__p{h}"))
+    per_pair = inv.groupBy(*PAIR).agg(*sums)
     return (pair_metrics.select(*PAIR).join(per_pair, PAIR, "left")
             .select(*PAIR, *[from_units(F.coalesce(F.col(f"__p{h}"), F.lit(0))).alias(f"predict_ar_{h}d")
                              for h in horizons]))

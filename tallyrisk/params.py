@@ -101,13 +101,7 @@ MEAN_METRICS = (
     "payment1_percent", "payment2_percent", "payment2_percent_wo_cb",
 )
 
-# Override reasons (default weight 0.1 each).
-REASONS = (
-    "Length of relationship", "Credit bureau risk", "High-risk region", "Industry experience",
-    "Significant business changes", "Bankruptcy proceedings", "External references",
-    "Solid management", "Justified overdue history", "Related company with low score",
-    "Rejected chargebacks", "Customer dependency", "Level of trust", "Explanation of values",
-)
+# Weight of an override reason that has none stored (the reasons themselves are an input table).
 DEFAULT_REASON_WEIGHT = 0.1
 
 DEFAULT = Params()

@@ -27,7 +27,7 @@ def with_fixtures(*names: str, extra: list[tuple[str, str]] = ()) -> str:
 
 
 LEDGER_CTES = [
-    ("inv_w", f"SELECT * FROM psi_invoice WHERE invoice_date BETWEEN {D0} AND {D}"),
+    ("inv_w", f"SELECT * FROM invoice_payments WHERE invoice_date BETWEEN {D0} AND {D}"),
     ("inv_a", """SELECT * REPLACE (CASE WHEN coalesce(memo ILIKE '%early payment advancement%', false)
                     AND invoice_num IS NOT NULL AND count(*) OVER (PARTITION BY invoice_num) = 1
                     THEN 0.0 ELSE txn_amount END AS txn_amount) FROM inv_w"""),
@@ -59,7 +59,7 @@ LEDGER_CTES = [
 
 
 def ledger_prefix(extra: list[tuple[str, str]] = (), fixtures: tuple[str, ...] = ()) -> str:
-    return with_fixtures("psi_invoice", "chargebacks", *fixtures, extra=LEDGER_CTES + list(extra))
+    return with_fixtures("invoice_payments", "chargebacks", *fixtures, extra=LEDGER_CTES + list(extra))
 
 
 PAIR_CTES = [

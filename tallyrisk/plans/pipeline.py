@@ -29,36 +29,39 @@ def run_scoring(spark: SparkSession, t: Tables, out_dir: str, p: Params = DEFAUL
         consts = publish.constants_upsert(stored_constants, publish.draw_constants(p.processing_date),
                                           p.processing_date)
         p = dataclasses.replace(p, constants={r.id: r.value for r in consts.collect()})   # 5 rows
-    led = clean.unified_ledger(t.psi_invoice, t.chargebacks, p)
-    pm = t.stage("run_pairs", lambda: metrics.pair_metrics(led, p))
-    scored = t.stage("run_scored", lambda: score.pair_scores(pm, p=p))
-    preds = t.stage("run_predictions", lambda: predict.predict_pairs_multi(led, pm, (10, 30), p))
-    pairs_out = t.stage("run_pairs_out", lambda: scored.join(preds, PAIR, "left"))
+    def stage(name, build):
+        return t.stage(name, build, p)
+
+    led = clean.unified_ledger(t.invoice_payments, t.chargebacks, p)
+    pm = stage("run_pairs", lambda: metrics.pair_metrics(led, p))
+    scored = stage("run_scored", lambda: score.pair_scores(pm, p=p))
+    preds = stage("run_predictions", lambda: predict.predict_pairs(led, pm, (10, 30), p))
+    pairs_out = stage("run_pairs_out", lambda: scored.join(preds, PAIR, "left"))
 
     # supplier side
-    dim = t.stage("run_dim", lambda: supplier.supplier_dimension(t, p))
+    dim = stage("run_dim", lambda: supplier.supplier_dimension(t, p))
     frame = pairs_out.select(*PAIR, "supplier_name", "total_invoice", "open_ar", "total_ar", "outstanding_balance",
                              "score", "predict_ar_10d", "predict_ar_30d")
     totals = supplier.supplier_totals(supplier.supplier_rollup(frame, p), dim)
     w_row = supplier.weights_frame(spark, supplier.pca_weights(totals))
     sp = supplier.supplier_pairs(frame, dim, p)
-    sp_scored = t.stage("run_sp_scored", lambda: supplier.supplier_pair_scores(sp, w_row))
+    sp_scored = stage("run_sp_scored", lambda: supplier.supplier_pair_scores(sp, w_row))
     s_agg = supplier.agg_supplier_metrics(sp_scored.drop("score", "level", "score_raw"))
     s_modal = supplier.modal_level(sp_scored, "supplier_id")
-    s_scores = t.stage("run_s_scores", lambda: supplier.agg_supplier_score(s_agg, s_modal, w_row))
-    s_reasons = _reasons(t.supplier_reason, t.crm_classes, "supplier_id")
-    s_final = t.stage("run_s_final", lambda: override.apply_overrides(
+    s_scores = stage("run_s_scores", lambda: supplier.agg_supplier_score(s_agg, s_modal, w_row))
+    s_reasons = _reasons(t.supplier_reason, t.crm_classes, "supplier_id", t.override_reasons)
+    s_final = stage("run_s_final", lambda: override.apply_overrides(
         s_scores, "supplier_id", override.latest_override(t.supplier_update_level, "supplier_id"),
         supplier.supplier_weights(s_scores, w_row), s_scores, SUPPLIER_METRICS, s_reasons, p.c("c1")))
 
     # customer and group side
     c_agg = agg_ops.aggregate_metrics(pairs_out, "customer_id",
                                       ("ndg_id", "ndg_name", "customer_name", "customer_type_id", "customer_type"))
-    c_scores = t.stage("run_c_scores", lambda: agg_ops.agg_customer_score(c_agg, weights.customer_weights(pm), p))
-    c_adj = t.stage("run_c_adj", lambda: agg_ops.international_adjust(c_scores, p))
-    c_reasons = _reasons(t.customer_reason, t.crm_customers, "customer_id")
+    c_scores = stage("run_c_scores", lambda: agg_ops.agg_customer_score(c_agg, weights.customer_weights(pm), p))
+    c_adj = stage("run_c_adj", lambda: agg_ops.international_adjust(c_scores, p))
+    c_reasons = _reasons(t.customer_reason, t.crm_customers, "customer_id", t.override_reasons)
     c_latest = override.latest_override(t.customer_update_level, "customer_id")
-    c_final = t.stage("run_c_final", lambda: override.apply_overrides(
+    c_final = stage("run_c_final", lambda: override.apply_overrides(
         c_adj, "customer_id", c_latest, c_scores, c_scores, CUSTOMER_AGG_METRICS, c_reasons, p.c("c2"),
         std_from=c_scores))
     n_agg = agg_ops.aggregate_metrics(pairs_out, "ndg_id")
@@ -69,11 +72,11 @@ def run_scoring(spark: SparkSession, t: Tables, out_dir: str, p: Params = DEFAUL
 
     # every customer x supplier combination (virtual: entity tables + history pairs)
     ci = cross.CrossInputs(t.crm_customers, t.crm_classes, c_final, s_final, scored, p)
-    c_cross = t.stage("run_c_cross", lambda: cross.override_nonhistorical(
+    c_cross = stage("run_c_cross", lambda: cross.override_nonhistorical(
         cross.update_from_join(cross.entity_final(ci.name_means("customer"), "customer_id", "customer"),
                                c_final, "customer_id", "customer"), c_latest, c_final, "customer_id", "customer"))
     s_latest = override.latest_override(t.supplier_update_level, "supplier_id")
-    s_cross = t.stage("run_s_cross", lambda: cross.override_nonhistorical(
+    s_cross = stage("run_s_cross", lambda: cross.override_nonhistorical(
         cross.update_from_join(cross.entity_final(ci.name_means("supplier"), "supplier_id", "supplier"),
                                s_final, "supplier_id", "supplier"), s_latest, s_final, "supplier_id", "supplier"))
 
@@ -95,9 +98,10 @@ def run_scoring(spark: SparkSession, t: Tables, out_dir: str, p: Params = DEFAUL
     for name, df in outputs.items():
         paths[name] = os.path.join(out_dir, name)
         publish.publish_with_audit(df, paths[name], p.processing_date)
+    t.release()
     return paths
 
 
-def _reasons(existing: DataFrame, entities: DataFrame, key: str) -> DataFrame:
-    matrix = override.reason_matrix(entities, key)
+def _reasons(existing: DataFrame, entities: DataFrame, key: str, reasons: DataFrame) -> DataFrame:
+    matrix = override.reason_matrix(entities, key, reasons)
     return existing.unionByName(override.reason_missing_rows(matrix, existing, key))

@@ -20,7 +20,7 @@ def query(name: str):
 
 
 def ledger(t: Tables) -> DataFrame:
-    return clean.unified_ledger(t.psi_invoice, t.chargebacks, DEFAULT)
+    return clean.unified_ledger(t.invoice_payments, t.chargebacks, DEFAULT)
 
 
 def pairs(t: Tables) -> DataFrame:
@@ -130,7 +130,7 @@ PAIR_KEYS = ["customer_id", "supplier_id"]
 
 def predictions(t: Tables) -> DataFrame:
     """10- and 30-day predictions per pair from one pass over the open invoices (materialised)."""
-    return t.stage("predictions", lambda: predict.predict_pairs_multi(ledger(t), pairs(t), (10, 30)))
+    return t.stage("predictions", lambda: predict.predict_pairs(ledger(t), pairs(t), (10, 30)))
 
 
 def pair_frame(t: Tables) -> DataFrame:
@@ -425,18 +425,18 @@ def q_scan_dimensions(spark, sf_dir):
 
 @query("scan_window")
 def q_scan_window(spark, sf_dir):
-    return clean.scan_window(Tables.for_run(spark, sf_dir).psi_invoice, "invoice_date").select(*INVOICE_VIEW)
+    return clean.scan_window(Tables.for_run(spark, sf_dir).invoice_payments, "invoice_date").select(*INVOICE_VIEW)
 
 
 @query("clean_early_advance")
 def q_clean_early_advance(spark, sf_dir):
-    inv = clean.scan_window(Tables.for_run(spark, sf_dir).psi_invoice, "invoice_date")
+    inv = clean.scan_window(Tables.for_run(spark, sf_dir).invoice_payments, "invoice_date")
     return clean.clean_early_advance(inv).select(*INVOICE_VIEW)
 
 
 @query("drop_full_credit_memo")
 def q_drop_full_credit_memo(spark, sf_dir):
-    return clean.clean_invoices(Tables.for_run(spark, sf_dir).psi_invoice).select(*INVOICE_VIEW)
+    return clean.clean_invoices(Tables.for_run(spark, sf_dir).invoice_payments).select(*INVOICE_VIEW)
 
 
 LEDGER_VIEW = ["src", "customer_id", "supplier_id", "invoice_num", "ispaid", "invoice_date", "duedate", "txn_date",
@@ -497,13 +497,13 @@ from ..params import DEFAULT as P  # noqa: E402
 
 def supplier_reasons(t: Tables) -> DataFrame:
     """Stored supplier reasons plus default rows for suppliers that have none."""
-    matrix = ovr.reason_matrix(t.crm_classes, "supplier_id")
+    matrix = ovr.reason_matrix(t.crm_classes, "supplier_id", t.override_reasons)
     existing = t.supplier_reason
     return existing.unionByName(ovr.reason_missing_rows(matrix, existing, "supplier_id"))
 
 
 def customer_reasons(t: Tables) -> DataFrame:
-    matrix = ovr.reason_matrix(t.crm_customers, "customer_id")
+    matrix = ovr.reason_matrix(t.crm_customers, "customer_id", t.override_reasons)
     existing = t.customer_reason
     return existing.unionByName(ovr.reason_missing_rows(matrix, existing, "customer_id"))
 
@@ -553,13 +553,14 @@ def q_override_customer(spark, sf_dir):
 
 @query("reason_matrix")
 def q_reason_matrix(spark, sf_dir):
-    return ovr.reason_matrix(Tables.for_run(spark, sf_dir).crm_customers, "customer_id")
+    t = Tables.for_run(spark, sf_dir)
+    return ovr.reason_matrix(t.crm_customers, "customer_id", t.override_reasons)
 
 
 @query("reason_missing_rows")
 def q_reason_missing_rows(spark, sf_dir):
     t = Tables.for_run(spark, sf_dir)
-    return ovr.reason_missing_rows(ovr.reason_matrix(t.crm_customers, "customer_id"), t.customer_reason,
+    return ovr.reason_missing_rows(ovr.reason_matrix(t.crm_customers, "customer_id", t.override_reasons), t.customer_reason,
                                    "customer_id")
 
 
@@ -788,16 +789,18 @@ def q_load_csv_positional(spark, sf_dir):
 
 @query("publish_with_audit")
 def q_publish_with_audit(spark, sf_dir):
-    """Publish the pair metrics for two processing dates (the second one twice): history keeps
-    one partition per date, a rerun replaces its own partition."""
+    """Publish the pair metrics for three dates; the second is run again with fewer rows, the third with none.
+    History has one folder a date and a rerun replaces its own, so no row of a replaced run is left."""
     t = Tables.for_run(spark, sf_dir)
     base = pub.shared_dir(spark, "published", "pair_metrics")
     snap = pairs(t).select(*PAIR_KEYS, "total_invoice", "total_ar", "risk_balance")
-    prev = P.processing_date - _dt.timedelta(days=1)
-    for d in (prev, P.processing_date, P.processing_date):
-        pub.publish_with_audit(snap, base, d)
+    one, two, three = (P.processing_date + _dt.timedelta(days=d) for d in (-1, 0, 1))
+    for day, rows in ((one, snap), (two, snap), (two, snap.filter("total_ar > 0")), (three, snap), (three, snap.limit(0))):
+        pub.publish_with_audit(rows, base, day)
     hist = spark.read.parquet(f"{base}/history")
-    return hist.groupBy("processing_date").agg(F.count(F.lit(1)).alias("n_rows"))
+    now = pub.read_current(spark, base).select(F.lit(three).alias("processing_date"))
+    return (hist.select("processing_date").unionByName(now).groupBy("processing_date")
+            .agg(F.count(F.lit(1)).alias("n_rows")))
 
 
 @query("constants_upsert")

@@ -36,7 +36,7 @@ ACCOUNTS = """SELECT * FROM (VALUES
 FIXTURES: dict[str, str] = {}
 
 # invoice x payment rows, as loaded into the warehouse
-FIXTURES["psi_invoice"] = f"""
+FIXTURES["invoice_payments"] = f"""
 SELECT
   l.l_suppkey AS supplier_id,
   s.s_name AS client_name,
@@ -189,7 +189,7 @@ FROM {nation} n JOIN {region} r ON r.r_regionkey = n.n_regionkey
 FIXTURES["customer_update_level"] = """
 SELECT e.user_id AS customer_id, CAST((e.event_id + 1) % 3 + 1 AS INT) AS previous_level,
        CAST(e.event_id % 3 + 1 AS INT) AS new_level,
-       CASE WHEN e.event_id % 2 = 0 THEN 'Level of trust' ELSE 'External references' END AS reason,
+       CASE WHEN e.event_id % 2 = 0 THEN 'Reason 13' ELSE 'Reason 07' END AS reason,
        e.ts AS updated_at
 FROM {events} e WHERE e.event_type = 'signup'
 """
@@ -197,19 +197,24 @@ FROM {events} e WHERE e.event_type = 'signup'
 FIXTURES["supplier_update_level"] = """
 SELECT e.user_id AS supplier_id, CAST((e.event_id + 1) % 3 + 1 AS INT) AS previous_level,
        CAST(e.event_id % 3 + 1 AS INT) AS new_level,
-       CASE WHEN e.event_id % 2 = 0 THEN 'Level of trust' ELSE 'External references' END AS reason,
+       CASE WHEN e.event_id % 2 = 0 THEN 'Reason 13' ELSE 'Reason 07' END AS reason,
        e.ts AS updated_at
 FROM {events} e WHERE e.event_type = 'error'
 """
 
+# the list of override reasons, an input table
+FIXTURES["override_reasons"] = """
+SELECT CONCAT('Reason ', CASE WHEN n.n_nationkey < 9 THEN '0' ELSE '' END, CAST(n.n_nationkey + 1 AS STRING)) AS reason
+FROM {nation} n WHERE n.n_nationkey < 14"""
+
 # override reasons already stored with a weight (one row per entity and reason)
 for _entity, _etype in (("customer", "signup"), ("supplier", "error")):
     FIXTURES[f"{_entity}_reason"] = f"""
 SELECT e.user_id AS {_entity}_id,
-       CASE WHEN e.event_id % 2 = 0 THEN 'Level of trust' ELSE 'External references' END AS reason,
+       CASE WHEN e.event_id % 2 = 0 THEN 'Reason 13' ELSE 'Reason 07' END AS reason,
        max(CAST(0.1 + (e.event_id % 5) * 0.05 AS DOUBLE)) AS weight
 FROM {{events}} e WHERE e.event_type = '{_etype}'
-GROUP BY e.user_id, CASE WHEN e.event_id % 2 = 0 THEN 'Level of trust' ELSE 'External references' END
+GROUP BY e.user_id, CASE WHEN e.event_id % 2 = 0 THEN 'Reason 13' ELSE 'Reason 07' END
 """
 
 # ---------------------------------------------------------------------------
@@ -233,9 +238,7 @@ RAW["raw_customer_types"] = """SELECT * FROM (VALUES
 ) AS t(id, type)"""
 
 RAW["raw_ndg"] = """
-SELECT CAST(n.n_nationkey AS BIGINT) AS id, n.n_name AS name, 'yes' AS works_with_bdn, 'none' AS credentials,
-       'n/a' AS online_access_sop, 'n/a' AS bdn_authorization_letter_sop, 'no' AS online_access_possible,
-       'none' AS distributor_data, '' AS online_system_url, '' AS online_system_notes, r.r_name AS type
+SELECT CAST(n.n_nationkey AS BIGINT) AS id, n.n_name AS name, r.r_name AS type
 FROM {nation} n JOIN {region} r ON r.r_regionkey = n.n_regionkey"""
 
 # one invoice per (order, supplier); some rows carry an unknown supplier or an empty customer reference

@@ -45,22 +45,35 @@ def load_csv_positional(spark: SparkSession, path: str, schema: T.StructType, in
     return df.drop(INDEX_COL) if index else df
 
 
-def write_partition(df: DataFrame, path: str, date_col: str = "processing_date") -> None:
-    """Replace exactly the partitions present in ``df`` (dynamic partition overwrite)."""
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(date_col).parquet(path))
+def dated_path(path: str, date_col: str, day: _dt.date) -> str:
+    return os.path.join(path, f"{date_col}={day.isoformat()}")
+
+
+def write_partition(df: DataFrame, path: str, date_col: str, day: _dt.date) -> None:
+    """Replace one date's folder, also when ``df`` is empty; other dates stay."""
+    df.write.mode("overwrite").parquet(dated_path(path, date_col, day))
+
+
+def read_partition(spark: SparkSession, path: str, date_col: str, day: _dt.date) -> DataFrame:
+    """One date's load, with its date column."""
+    return spark.read.parquet(dated_path(path, date_col, day)).withColumn(date_col, F.lit(day))
 
 
 def publish_with_audit(df: DataFrame, base: str, processing_date: _dt.date) -> None:
-    """Publish a snapshot: the dated copy goes to ``history`` (that date replaced, earlier
-    dates kept), and ``current`` is replaced by this snapshot."""
-    dated = df.withColumn("processing_date", F.lit(processing_date))
+    """Publish a snapshot: the date's folder in ``history`` is replaced (other dates stay), then the
+    pointer table ``latest`` names it.  ``read_current`` follows the pointer, so readers see the old or the
+    new snapshot and never a half-written one."""
     history = os.path.join(base, "history")
-    write_partition(dated, history)
-    # ``current`` is copied from the partition just written, so the snapshot is computed once
+    write_partition(df, history, "processing_date", processing_date)
     spark = df.sparkSession
-    written = spark.read.parquet(history).filter(F.col("processing_date") == F.lit(processing_date))
-    written.select(*dated.columns).write.mode("overwrite").parquet(os.path.join(base, "current"))
+    (spark.createDataFrame([(processing_date,)], "processing_date date").coalesce(1)
+     .write.mode("overwrite").parquet(os.path.join(base, "latest")))
+
+
+def read_current(spark: SparkSession, base: str) -> DataFrame:
+    """The snapshot published last, with its processing date."""
+    day = spark.read.parquet(os.path.join(base, "latest")).first()["processing_date"]
+    return read_partition(spark, os.path.join(base, "history"), "processing_date", day)
 
 
 def full_refresh(df: DataFrame, path: str) -> None:
@@ -70,16 +83,22 @@ def full_refresh(df: DataFrame, path: str) -> None:
 
 def append_load(df: DataFrame, path: str, load_date: _dt.date) -> None:
     """Daily append load made idempotent: the load date's partition is replaced."""
-    write_partition(df.withColumn("load_date", F.lit(load_date)), path, "load_date")
+    write_partition(df, path, "load_date", load_date)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
 def ensure_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Read a state table, creating it empty with the given schema when it does not exist yet."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except Exception:  # noqa: BLE001 - absent path
-        spark.createDataFrame([], schema).write.mode("overwrite").parquet(path)
-        return spark.read.schema(schema).parquet(path)
+    """Read a state table, creating it empty with the given schema if nothing lies at its path.
+
+    A table that is there but cannot be read raises; nothing is ever overwritten.
+    """
+    if not exists(spark, path):
+        spark.createDataFrame([], schema).write.mode("errorifexists").parquet(path)
+    return spark.read.schema(schema).parquet(path)
 
 
 def derive_processing_date(published: DataFrame | None, today: _dt.date) -> _dt.date:

@@ -15,6 +15,17 @@ def base(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 _RUNS: dict = {}
 
 
+def _version(spark: SparkSession, sf_dir: str) -> int:
+    """Changes with the length and time of any base table's files."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(sf_dir)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = []
+    for status in fs.listStatus(path):
+        for f in (fs.listStatus(status.getPath()) if status.isDirectory() else [status]):
+            found.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return hash(tuple(sorted(found)))
+
+
 class Tables:
     """Lazily built domain relations for one data directory.
 
@@ -27,31 +38,39 @@ class Tables:
         self.spark = spark
         self.sf_dir = sf_dir
         self._cache: dict[str, DataFrame] = {}
-        self._stages: dict[str, DataFrame] = {}
+        self._stages: dict[tuple[str, str], DataFrame] = {}
 
     @classmethod
     def for_run(cls, spark: SparkSession, sf_dir: str) -> "Tables":
-        """The shared table context of one scoring run (per Spark application and data folder).
+        """The shared table context of one scoring run (per Spark application, data folder and input files).
 
         Stages materialised by one query are reused by the next, as in a
-        production run that produces every output table from one pass.
+        production run that produces every output table from one pass.  Changed
+        input files make a new context.
         """
-        key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+        key = (spark.sparkContext.applicationId, sf_dir, _version(spark, sf_dir))
         if key not in _RUNS:
+            for old in [k for k in _RUNS if k[:2] == key[:2]]:
+                del _RUNS[old]
             _RUNS[key] = cls(spark, sf_dir)
         return _RUNS[key]
 
-    def stage(self, name: str, build) -> DataFrame:
-        """Build a reused intermediate once and cut its lineage with a reliable checkpoint.
+    def stage(self, name: str, build, params=None) -> DataFrame:
+        """Build a reused intermediate once for its parameters and cut its lineage with a reliable checkpoint.
 
         The checkpoint goes to the session's shared checkpoint folder, so a lost
         executor re-reads it instead of recomputing the whole upstream plan.
         """
-        if name not in self._stages:
+        key = (name, repr(params))
+        if key not in self._stages:
             from ..session import ensure_checkpoint_dir
             ensure_checkpoint_dir(self.spark)
-            self._stages[name] = build().checkpoint(eager=True)
-        return self._stages[name]
+            self._stages[key] = build().checkpoint(eager=True)
+        return self._stages[key]
+
+    def release(self) -> None:
+        """Forget the stages of a finished run."""
+        self._stages.clear()
 
     def base(self, name: str) -> DataFrame:
         key = "base:" + name

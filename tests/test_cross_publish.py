@@ -2,6 +2,7 @@ import datetime as dt
 import os
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -62,7 +63,12 @@ def test_publish_is_idempotent_and_keeps_history(spark):
     hist = spark.read.parquet(os.path.join(base, "history"))
     counts = {r.processing_date: r["count"] for r in hist.groupBy("processing_date").count().collect()}
     assert counts == {dt.date(2001, 7, 31): 2, dt.date(2001, 8, 1): 2}
-    assert spark.read.parquet(os.path.join(base, "current")).count() == 2
+    assert publish.read_current(spark, base).count() == 2
+    # a rerun with fewer rows, then with none, leaves nothing of the run before
+    for n, rows in ((1, df.limit(1)), (0, df.limit(0))):
+        publish.publish_with_audit(rows, base, dt.date(2001, 8, 1))
+        assert publish.read_current(spark, base).count() == n
+        assert spark.read.parquet(os.path.join(base, "history")).filter("processing_date = '2001-08-01'").count() == n
     assert publish.derive_processing_date(hist, dt.date(2030, 1, 1)) == dt.date(2001, 8, 2)
     assert publish.derive_processing_date(None, dt.date(2030, 1, 1)) == dt.date(2029, 12, 31)
 
@@ -77,6 +83,64 @@ def test_csv_positional_and_empty_state_table(spark):
     schema = T.StructType([T.StructField("customer_id", T.LongType()), T.StructField("new_level", T.IntegerType())])
     empty = publish.ensure_table(spark, os.path.join(base, "state"), schema)
     assert empty.count() == 0 and empty.schema == schema
+    spark.createDataFrame([(7, 2)], schema).write.mode("append").parquet(os.path.join(base, "state"))
+    assert publish.ensure_table(spark, os.path.join(base, "state"), schema).count() == 1
+
+
+def test_ensure_table_never_overwrites_what_it_cannot_read(spark):
+    base = os.path.join(tempfile.mkdtemp(prefix="state-", dir="/tmp"), "state")
+    os.makedirs(base)
+    with open(os.path.join(base, "part-0.parquet"), "w") as f:
+        f.write("damaged")
+    schema = T.StructType([T.StructField("customer_id", T.LongType())])
+    with pytest.raises(Exception):
+        publish.ensure_table(spark, base, schema).collect()
+    assert open(os.path.join(base, "part-0.parquet")).read() == "damaged"
+
+
+def test_loads_replace_and_append_by_date(spark):
+    base = tempfile.mkdtemp(prefix="load-", dir="/tmp")
+    df = spark.createDataFrame([(1,), (2,)], "k long")
+    day = dt.date(2001, 8, 1)
+    for path, d in (("a", day), ("a", day + dt.timedelta(1)), ("a", day)):
+        publish.append_load(df, os.path.join(base, path), d)
+    publish.append_load(df.limit(0), os.path.join(base, "a"), day)
+    assert publish.read_partition(spark, os.path.join(base, "a"), "load_date", day).count() == 0
+    assert spark.read.parquet(os.path.join(base, "a")).count() == 2
+    for n in (2, 1):
+        publish.full_refresh(df.limit(n), os.path.join(base, "full"))
+        assert spark.read.parquet(os.path.join(base, "full")).count() == n
+
+
+def test_two_dates_on_one_context_have_their_own_stages(spark):
+    import dataclasses
+
+    from conftest import SF_SMALL
+    from tallyrisk.params import DEFAULT
+    from tallyrisk.sources.tables import Tables
+    t = Tables(spark, SF_SMALL)
+    got = []
+    for days in (0, 40):
+        p = dataclasses.replace(DEFAULT, processing_date=DEFAULT.processing_date - dt.timedelta(days))
+        got.append(t.stage("run", lambda p=p: spark.createDataFrame([(p.processing_date,)], "d date"), p).first().d)
+    assert got[0] - got[1] == dt.timedelta(40)
+
+
+def test_predictions_of_an_invoice_with_mixed_due_dates(spark):
+    from tallyrisk.operators import predict
+    from tallyrisk.params import DEFAULT
+    D = DEFAULT.processing_date
+    rows = [(1, 1, "A", 0, D + dt.timedelta(5), 1000.0, None, 0.0), (1, 1, "A", 0, D + dt.timedelta(20), 1000.0, D, 400.0)]
+    led = spark.createDataFrame(rows, "customer_id long, supplier_id long, invoice_num string, ispaid int, duedate date, "
+                                      "invoice_amount double, txn_date date, txn_amount double")
+    pm = spark.createDataFrame([(1, 1, 0.0, 100.0, 0.0, 0.0, 0.0, 0.0)],
+                               "customer_id long, supplier_id long, early_payment_perc double, payment1_percent double, payment2_percent double,"
+                               "early_payment_days double, delinquent_overdueday_lt10 double, delinquent_overdueday_gt10 double")
+    row = predict.predict_pairs(led, pm, (10, 30)).first()
+    assert (row.predict_ar_10d, row.predict_ar_30d) == (1000.0, 600.0)
+    for h in (10, 30):   # the two forms agree
+        one = predict.predict_invoices(led, pm, h).agg(F.sum("predicted_u")).first()[0] / 10_000
+        assert one == row[f"predict_ar_{h}d"]
 
 
 def test_constants_keep_refresh_insert(spark):
@@ -106,7 +170,7 @@ def test_full_scoring_run_publishes_every_table(spark):
     paths = run_scoring(spark, t, out, stored_constants=t.raw_constant_values)
     assert len(paths) == 12
     for name, path in paths.items():
-        cur = spark.read.parquet(os.path.join(path, "current"))
+        cur = publish.read_current(spark, path)
         assert cur.count() > 0, name
-    s = spark.read.parquet(os.path.join(paths["agg_customer_score"], "current"))
+    s = publish.read_current(spark, paths["agg_customer_score"])
     assert s.filter("is_flagged = 1").count() > 0

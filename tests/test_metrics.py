@@ -92,7 +92,7 @@ def test_permutation_invariance(spark):
     from tallyrisk.sources.tables import Tables
     from conftest import SF_SMALL
     t = Tables(spark, SF_SMALL)
-    base = metrics.pair_metrics(clean.unified_ledger(t.psi_invoice, t.chargebacks))
-    shuffled = metrics.pair_metrics(clean.unified_ledger(t.psi_invoice.orderBy(F.rand(7)).repartition(5),
+    base = metrics.pair_metrics(clean.unified_ledger(t.invoice_payments, t.chargebacks))
+    shuffled = metrics.pair_metrics(clean.unified_ledger(t.invoice_payments.orderBy(F.rand(7)).repartition(5),
                                                          t.chargebacks.orderBy(F.rand(3))))
     assert base.exceptAll(shuffled).count() == 0 and shuffled.exceptAll(base).count() == 0
