@@ -1,5 +1,4 @@
 import numpy as np
-from pyspark.sql import functions as F
 
 from tallyrisk.llm import order_minhash as O
 from tests.llm.brute import components
@@ -55,7 +54,7 @@ def _texts():
 def test_groups_against_all_pairs(spark):
     docs = _texts()
     df = spark.createDataFrame([(i, t, 9) for i, t in enumerate(docs)], "doc_id long, text string, class_id int")
-    ws = {r.doc_id: np.array(r.w, np.int32) for r in df.select("doc_id", O.words(F.col("text")).alias("w")).collect()}
+    ws = {i: O.words(t) for i, t in enumerate(docs)}
     links = [(a, b) for a in ws for b in ws if a < b and O.aligned_similarity(ws[a], ws[b]) > 0]
     got = O.near_duplicates(df).collect()
     assert {r.doc_id: r.class_id for r in got} == components(ws, links)
