@@ -5,14 +5,14 @@ search needs more), found by a ranked window whose limit Spark applies before th
 
 **Graph.**  Every node starts with the nearest of its neighbours in a few random orders (sign hash, then one projection; a
 range sort cut into blocks of ``BLOCK`` rows, so no bucket can be hot).  Then each round joins neighbours of neighbours: the
-neighbours of a node, forward and (at most ``REVERSE``, by hash) backward, are brought together with their vectors by two joins, compared with each other
-if one of the two is new, and pairs nearer than a node's worst neighbour update its list of ``K``.  Rounds stop when fewer than
-``SETTLED`` of all list places change, or after ``ROUNDS``.  Building uses half-precision vectors; lists are approximate anyway.
+``JOINED`` nearest of a node's list and (at most ``REVERSE``, by hash) nodes that list it are brought together with their vectors by two
+joins, compared with each other if one of the two is new, and pairs nearer than a node's worst neighbour update its list of
+``K``.  Rounds stop when fewer than ``SETTLED`` of all list places change, or after ``ROUNDS``.
 
 **Search** is greedy with a beam of ``BEAM`` nodes a query, all queries at once: each round expands the nearest nodes not yet expanded,
-joins their neighbours (both directions) and those nodes' original vectors, takes the exact Euclidean distance in double precision and
-keeps the nearest.  It ends when no beam changes.  Beams start at the nearest of ``SEEDS`` sampled nodes and, for
-queries that are themselves indexed, at their own node.
+joins their neighbours (both directions) with those nodes' vectors and the queries', and keeps the nearest.  It ends when every node
+of every beam is expanded.  Beams start at the nearest of ``SEEDS`` sampled nodes and, for queries that are themselves indexed, at their
+own node.  Building and search use half-precision vectors; the nearest of the beam are then measured in double precision on the originals.
 
 Every row is indexed; only the sample behind the mean and the seeds is bounded.  Recall is measured in the tests.
 
@@ -33,15 +33,18 @@ from pyspark.sql import functions as F
 from .common import Scratch, column, list_column, row_groups
 from .embedding_dedup import usable
 
-K = 24
-REVERSE = 24
+K = 32             # length of a node's list
+JOINED = 20        # of the list, nearest first, that takes part in a round's join
+REVERSE = 20
 TABLES = 4
 BLOCK = 512
-ROUNDS = 6
-SETTLED = 0.01
-BEAM = 96
+ROUNDS = 5
+SETTLED = 0.02
+BEAM = 200
+EXPANDED = 40      # nodes of a beam that a round of the search expands, nearest first
+EXACT = 4          # times the asked number of neighbours: the nearest of a beam that are measured exactly
 SEEDS = 256
-SEARCH_ROUNDS = 30
+SEARCH_ROUNDS = 40
 SAMPLE = 2000
 SEED = 4242
 
@@ -164,21 +167,22 @@ def _lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b, d, old = a[first], b[first], d[first], old[first]
         o = np.lexsort((b, d, a))
         a, b, d, old = a[o], b[o], d[o], old[o]
-        take = _rank(a) < K
-        yield _batch(node=a[take], neigh=b[take], d=d[take], new=~old[take])
+        nth = _rank(a)
+        take = nth < K
+        yield _batch(node=a[take], neigh=b[take], d=d[take], new=~old[take], nth=nth[take].astype(np.int32))
 
 
 def _merged(rows: DataFrame) -> DataFrame:
     return (rows.repartition("node").sortWithinPartitions("node")
-            .mapInArrow(_lists, "node long, neigh long, d float, new boolean"))
+            .mapInArrow(_lists, "node long, neigh long, d float, new boolean, nth int"))
 
 
-def build_graph(nodes: DataFrame, scratch: Scratch) -> DataFrame:
-    """(node, neigh, d, new): lists of nearest nodes; ``nodes``: (node, vec) with vectors of one length."""
+def build_graph(nodes: DataFrame, scratch: Scratch) -> tuple[DataFrame, float]:
+    """(node, neigh, d, new, nth): lists of nearest nodes, and the scale of half-precision vectors; ``nodes``: (node, vec) of one length."""
     n = nodes.count()
     dim_rows = nodes.orderBy(F.xxhash64("node")).limit(SAMPLE).select("vec").toArrow()
     if n < 2:
-        return scratch.write(nodes.limit(0).selectExpr("node", "node AS neigh", "CAST(0 AS float) AS d", "true AS new"), "graph")
+        return scratch.write(nodes.limit(0).selectExpr("node", "node AS neigh", "CAST(0 AS float) AS d", "true AS new", "0 AS nth"), "graph"), 1.0
     mean = _matrix(dim_rows, "vec").astype(np.float64).mean(axis=0)
     scale = nodes.agg(F.max(F.array_max(F.transform("vec", lambda x: F.abs(x))))).first()[0] / 100.0
     bits = max(1, ceil(log2(max(2, n / (BLOCK / 2)))))
@@ -191,22 +195,32 @@ def build_graph(nodes: DataFrame, scratch: Scratch) -> DataFrame:
         worst = edges.groupBy("node").agg(F.when(F.count("*") >= K, F.max("d")).otherwise(float("inf")).cast("float").alias("worst"))
         known = halves.join(worst, "node", "left").select(F.col("node").alias("u"), "half",
                                                           F.coalesce("worst", F.lit(float("inf")).cast("float")).alias("worst"))
-        back = (edges.withColumn("nth", F.row_number().over(Window.partitionBy("neigh").orderBy(~F.col("new"), F.xxhash64("node", F.lit(r)))))
-                .filter(F.col("nth") <= REVERSE).select(F.col("neigh").alias("v"), F.col("node").alias("u"), "new"))
-        around = (edges.select(F.col("node").alias("v"), F.col("neigh").alias("u"), "new").unionByName(back)
+        part = edges.filter(F.col("nth") < JOINED)
+        back = (part.withColumn("place", F.row_number().over(Window.partitionBy("neigh").orderBy(~F.col("new"), F.xxhash64("node", F.lit(r)))))
+                .filter(F.col("place") <= REVERSE).select(F.col("neigh").alias("v"), F.col("node").alias("u"), "new"))
+        around = (part.select(F.col("node").alias("v"), F.col("neigh").alias("u"), "new").unionByName(back)
                   .groupBy("v", "u").agg(F.max("new").alias("new")))
         found = (around.join(known, "u").select("v", "u", "new", "worst", "half").repartition("v").sortWithinPartitions("v")
                  .mapInArrow(_compare, "node long, neigh long, d float").withColumn("old", F.lit(False)))
-        edges = scratch.write(_merged(edges.select("node", "neigh", "d", F.lit(True).alias("old")).unionByName(found)), f"graph-{r}")
+        edges = scratch.write(_merged(edges.select("node", "neigh", "d", (~F.col("new") | (F.col("nth") < JOINED)).alias("old")).unionByName(found)), f"graph-{r}")
         scratch.drop(f"graph-{r - 1}")
-        if edges.filter("new").count() < SETTLED * K * n:
+        if edges.filter(f"new AND nth < {JOINED}").count() < SETTLED * JOINED * n:
             break
-    return edges
+    return edges, scale
 
 
 # ------------------------------------------------------------------ search
 
 def _distances(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        if batch.num_rows:
+            x = _halves(batch, "q_half") - _halves(batch)
+            yield pa.RecordBatch.from_arrays([batch.column("q"), batch.column("node"), pa.array((x * x).sum(axis=1).astype(np.float64))],
+                                             names=["q", "node", "d"])
+
+
+def _measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Exact Euclidean distances."""
     for batch in batches:
         if batch.num_rows:
             x = _matrix(batch, "q_vec").astype(np.float64) - _matrix(batch, "vec").astype(np.float64)
@@ -214,14 +228,22 @@ def _distances(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                              names=["q", "node", "d"])
 
 
-def _seeded(ids: np.ndarray, seeds: np.ndarray):
+def _halved(scale: float, *keep: str, name: str = "vec", out: str = "half"):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            half = [r.tobytes() for r in (_matrix(batch, name).astype(np.float64) / scale).astype(np.float16)]
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in keep), pa.array(half, pa.binary())], names=[*keep, out])
+    return run
+
+
+def _seeded(ids: np.ndarray, seeds: np.ndarray, scale: float):
     """The nearest seeds of every query (seeds: a bounded block)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = _matrix(batch, "q_vec").astype(np.float64)
             for at in range(0, len(x), 256):
                 y = x[at:at + 256]
-                d = np.sqrt(((y[:, None, :] - seeds[None, :, :]) ** 2).sum(axis=2))
+                d = (((y[:, None, :] - seeds[None, :, :]) / scale) ** 2).sum(axis=2)
                 k = min(4, len(ids))
                 near = np.argsort(d, axis=1, kind="stable")[:, :k]
                 yield _batch(q=np.repeat(column(batch, "q")[at:at + 256], k), node=ids[near].ravel(), d=np.take_along_axis(d, near, axis=1).ravel())
@@ -240,35 +262,43 @@ def _beams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         o = np.lexsort((node, d, q))
         q, node, d, done = q[o], node[o], d[o], done[o]
         take = _rank(q) < BEAM
-        yield _batch(q=q[take], node=node[take], d=d[take], done=done[take])
+        q, node, d, done = q[take], node[take], d[take], done[take]
+        o = np.lexsort((d, done, q))     # the nearest that are not expanded come first in each beam
+        q, node, d, done = q[o], node[o], d[o], done[o]
+        yield _batch(q=q, node=node, d=d, done=done, next=~done & (_rank(q) < EXPANDED))
 
 
-def search(nodes: DataFrame, graph: DataFrame, queries: DataFrame, scratch: Scratch) -> DataFrame:
-    """(q, node, d): the beam of every query (q, q_vec, own: its node or null)."""
-    neigh = (graph.withColumn("nth", F.row_number().over(Window.partitionBy("neigh").orderBy("d", "node"))).filter(F.col("nth") <= REVERSE)
+def search(nodes: DataFrame, graph: DataFrame, scale: float, queries: DataFrame, top: int, scratch: Scratch) -> DataFrame:
+    """(q, node, d): the nearest ``EXACT * top`` nodes of the beam of every query (q, q_vec, own: its node or null), measured exactly."""
+    neigh = (graph.withColumn("place", F.row_number().over(Window.partitionBy("neigh").orderBy("d", "node"))).filter(F.col("place") <= REVERSE)
              .select(F.col("neigh").alias("node"), F.col("node").alias("neigh")).unionByName(graph.select("node", "neigh"))
              .groupBy("node").agg(F.collect_set("neigh").alias("neigh")))
     neigh = scratch.write(neigh, "adjacency")   # at most K + REVERSE a node
     sample = nodes.orderBy(F.xxhash64(F.lit(SEED), "node")).limit(SEEDS).toArrow()
-    seeded = queries.mapInArrow(_seeded(column(sample, "node"), _matrix(sample, "vec").astype(np.float64)), "q long, node long, d double")
+    seeded = queries.mapInArrow(_seeded(column(sample, "node"), _matrix(sample, "vec").astype(np.float64), scale), "q long, node long, d double")
+    halves = scratch.write(nodes.mapInArrow(_halved(scale, "node"), "node long, half binary"), "halves")
+    asked = scratch.write(queries.mapInArrow(_halved(scale, "q", name="q_vec", out="q_half"), "q long, q_half binary"), "asked")
     own = queries.filter("own IS NOT NULL").select("q", F.col("own").alias("node"), F.lit(0.0).alias("d"))
 
     def beams(rows: DataFrame, name: str) -> DataFrame:
         return scratch.write(rows.repartition("q").sortWithinPartitions("q")
-                             .mapInArrow(_beams, "q long, node long, d double, done boolean"), name)
+                             .mapInArrow(_beams, "q long, node long, d double, done boolean, next boolean"), name)
 
     beam = beams(seeded.unionByName(own).withColumn("done", F.lit(False)), "beam-0")
     for r in range(1, SEARCH_ROUNDS):
-        todo = beam.filter("NOT done")
+        todo = beam.filter("next")
         if not todo.limit(1).count():
             break
         reached = (todo.join(neigh, "node").select("q", F.explode("neigh").alias("node")).distinct()
                    .join(beam.select("q", "node"), ["q", "node"], "left_anti"))
-        found = (reached.join(nodes, "node").join(queries.select("q", "q_vec"), "q").select("q", "node", "q_vec", "vec")
+        found = (reached.join(halves, "node").join(asked, "q").select("q", "node", "q_half", "half")
                  .mapInArrow(_distances, "q long, node long, d double").withColumn("done", F.lit(False)))
-        beam = beams(beam.withColumn("done", F.lit(True)).unionByName(found), f"beam-{r}")
+        beam = beams(beam.select("q", "node", "d", (F.col("done") | F.col("next")).alias("done")).unionByName(found), f"beam-{r}")
         scratch.drop(f"beam-{r - 1}")
-    return beam.select("q", "node", "d")
+    near = (beam.withColumn("place", F.row_number().over(Window.partitionBy("q").orderBy("d", "node")))
+            .filter(F.col("place") <= EXACT * top + 1).select("q", "node"))
+    return (near.join(nodes, "node").join(queries.select("q", "q_vec"), "q").select("q", "node", "q_vec", "vec")
+            .mapInArrow(_measured, "q long, node long, d double"))
 
 
 def nearest(df: DataFrame, is_query, top: int = 10, vec: str = "embedding", vec_id: str = "vec_id") -> DataFrame:
@@ -287,8 +317,8 @@ def nearest(df: DataFrame, is_query, top: int = 10, vec: str = "embedding", vec_
     asked = rows.filter(is_query).distinct().join(nodes, "vec").select(
         F.col("vec_id").alias("q"), F.col("vec").alias("q_vec"), F.col("node").alias("own"))
     asked = scratch.write(asked, "queries")
-    graph = build_graph(nodes, scratch)
-    found = search(nodes, graph, asked, scratch)
+    graph, scale = build_graph(nodes, scratch)
+    found = search(nodes, graph, scale, asked, top, scratch)
     hits = found.join(of_node, "node").filter("q <> vec_id")
     by = Window.partitionBy("q").orderBy("d", "vec_id")
     return (hits.withColumn("rank", F.row_number().over(by).cast("int")).filter(F.col("rank") <= top)
