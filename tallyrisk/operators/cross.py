@@ -20,10 +20,6 @@ from pyspark.sql import functions as F
 from ..functions.scalar import level_of, level_min
 from ..params import DEFAULT, Params
 
-# A histogram of score values is broadcast only below this many rows (scores
-# are whole numbers in a bounded range, so in practice it has < 1000 rows).
-MAX_BROADCAST_VALUES = 100_000
-
 
 def global_score_stats(cust_scores: DataFrame, sup_scores: DataFrame, pair_scores: DataFrame) -> DataFrame:
     """Mean and sample std of customer, supplier and pair (combined) scores — one row."""
@@ -75,14 +71,9 @@ def impute(comb0: Column, cust: Column, sup: Column) -> dict[str, Column]:
             "i_sup": F.bround((sup + pick("sup")) / 2, 0)}
 
 
-def value_histogram(values: DataFrame) -> DataFrame:
-    return values.groupBy("val").agg(F.count(F.lit(1)).alias("n"))
-
-
-def _with_hist(df: DataFrame, hist: DataFrame) -> DataFrame:
-    """Pair every row with every histogram value; the histogram is broadcast after a size check."""
-    n = hist.count()
-    return df.crossJoin(F.broadcast(hist) if n <= MAX_BROADCAST_VALUES else hist)
+def value_histogram(values: DataFrame, val: str, n: str) -> DataFrame:
+    """Entities for each score value; scores are whole numbers on a fixed scale, so this is a short table."""
+    return values.groupBy(F.col("val").alias(val)).agg(F.count(F.lit(1)).alias(n))
 
 
 class CrossInputs:
@@ -106,37 +97,43 @@ class CrossInputs:
             F.col("score"), F.bround(F.col("supplier_mean") + p.c("c4") * F.col("supplier_std"), 0)).alias("val"))
         self.comb0 = F.bround(F.col("combine_mean") + p.c("c5") * F.col("combine_std"), 0)
 
-    def imputation(self, entity: str) -> DataFrame:
-        """Imputed triple for each entity of one side against every score value of the other side.
+    def value_table(self) -> DataFrame:
+        """The imputed triple for each (customer value, supplier value), with the entities that hold them.
 
-        ``entity="supplier"``: one row per (supplier, customer value) with the number of
-        customers holding that value; ``"customer"``: the mirror image.
+        Distinct values only: its size follows the score scale (at most about 800 x 800), not the entities.
         """
-        if entity == "supplier":
-            base, other, key = self.sup, self.cust, "supplier_id"
-            hist = value_histogram(other).select(F.col("val").alias("o_val"), "n")
-            j = _with_hist(base.select(key, F.col("val").alias("s_val")), hist).crossJoin(F.broadcast(self.one))
-            cols = impute(self.comb0, F.col("o_val"), F.col("s_val"))
-        else:
-            base, other, key = self.cust, self.sup, "customer_id"
-            hist = value_histogram(other).select(F.col("val").alias("o_val"), "n")
-            j = _with_hist(base.select(key, F.col("val").alias("s_val")), hist).crossJoin(F.broadcast(self.one))
-            cols = impute(self.comb0, F.col("s_val"), F.col("o_val"))
-        return j.select(key, "s_val", "o_val", "n", *[v.alias(k) for k, v in cols.items()])
+        values = (value_histogram(self.cust, "c_val", "n_c").crossJoin(value_histogram(self.sup, "s_val", "n_s"))
+                  .crossJoin(F.broadcast(self.one)))
+        cols = impute(self.comb0, F.col("c_val"), F.col("s_val"))
+        table = values.select("c_val", "s_val", "n_c", "n_s", *[v.alias(k) for k, v in cols.items()])
+        comb = F.when(F.col("i_comb") == 0, F.lit(50.0)).otherwise(F.col("i_comb"))
+        return table.withColumn("combined_score", comb).withColumn("combined_level", level_of(comb))
+
+    def _side(self, entity: str) -> tuple[DataFrame, str, str, str, str]:
+        """Entities of a side, their key, their value column, the other side's, and its count, in the value table."""
+        return ((self.sup, "supplier_id", "s_val", "c_val", "n_c") if entity == "supplier"
+                else (self.cust, "customer_id", "c_val", "s_val", "n_s"))
+
+    def imputation(self, entity: str) -> DataFrame:
+        """Imputed triple for each entity of one side against every score value of the other side (an expansion for reports;
+        no other step uses it)."""
+        base, key, own, other, n = self._side(entity)
+        table = self.value_table()
+        j = base.select(key, "val").join(table, F.col("val").eqNullSafe(F.col(own)))
+        return j.select(key, F.col(own).alias("s_val"), F.col(other).alias("o_val"), F.col(n).alias("n"), "distance1", "distance2",
+                        "distance3", "cluster", "i_comb", "i_cust", "i_sup")
 
     def name_means(self, entity: str) -> DataFrame:
         """Mean score of each entity over the whole (virtual) product row set.
 
         History pairs contribute the entity's own score, the other pairs their
-        imputed value: sum over all values of the other side, minus the history
+        imputed value: sum over all values of the other side (once for each own value), minus the history
         pairs' imputed values, plus the history pairs' own values.
         """
-        key = "supplier_id" if entity == "supplier" else "customer_id"
-        own = "sup" if entity == "supplier" else "cust"
-        other_n = (self.cust if entity == "supplier" else self.sup).count()
-        imp = self.imputation(entity)
-        i_col = "i_sup" if entity == "supplier" else "i_cust"
-        all_sum = imp.groupBy(key).agg(F.sum(F.col("n") * F.col(i_col)).alias("all_imputed"))
+        base, key, own_val, _, n = self._side(entity)
+        own, i_col = ("sup", "i_sup") if entity == "supplier" else ("cust", "i_cust")
+        sums = self.value_table().groupBy(F.col(own_val).alias("__val")).agg(
+            F.sum(F.col(n) * F.col(i_col)).alias("all_imputed"), F.sum(n).alias("others"))
         # history pairs: imputed value they would have had, and their own value
         h = self.hist_pairs.join(self.cust.select("customer_id", F.col("val").alias("cv")), "customer_id", "left") \
             .join(self.sup.select("supplier_id", F.col("val").alias("sv")), "supplier_id", "left") \
@@ -144,12 +141,27 @@ class CrossInputs:
         hc = impute(self.comb0, F.col("cv"), F.col("sv"))
         hist_sum = h.groupBy(key).agg(F.sum(hc[i_col]).alias("hist_imputed"), F.sum(F.col(own)).alias("hist_own"),
                                       F.count(F.lit(1)).alias("n_history"))
-        base = self.sup if entity == "supplier" else self.cust
-        j = base.join(all_sum, key, "left").join(hist_sum, key, "left")
+        j = base.join(sums, F.col("val").eqNullSafe(F.col("__val")), "left").join(hist_sum, key, "left")
         total = (F.coalesce(F.col("all_imputed"), F.lit(0)) - F.coalesce(F.col("hist_imputed"), F.lit(0))
                  + F.coalesce(F.col("hist_own"), F.lit(0)))
         return j.select(key, "score", F.coalesce(F.col("n_history"), F.lit(0)).alias("n_history"),
-                        (total / F.lit(other_n)).alias("mean_score"))
+                        (total / F.col("others")).alias("mean_score"))
+
+    def lookup_pairs(self, requests: DataFrame) -> DataFrame:
+        """Combined score and level of requested (customer_id, supplier_id) pairs, with or without history.
+
+        A pair without history takes the value table's row for the two entities' values; a pair with an unknown
+        entity has no score.  Nulls ids have no score either.
+        """
+        hist = self.hist_pairs.select("customer_id", "supplier_id", "combined")
+        known = F.when(F.col("combined") == 0, F.lit(50.0)).otherwise(F.col("combined"))
+        j = (requests.select("customer_id", "supplier_id").join(hist, ["customer_id", "supplier_id"], "left")
+             .join(self.cust.select("customer_id", F.col("val").alias("c_val")), "customer_id", "left")
+             .join(self.sup.select("supplier_id", F.col("val").alias("s_val")), "supplier_id", "left")
+             .join(self.value_table().select("c_val", "s_val", "combined_score", "combined_level"), ["c_val", "s_val"], "left"))
+        return j.select("customer_id", "supplier_id", F.col("combined").isNotNull().alias("has_history"),
+                        F.coalesce(known, F.col("combined_score")).alias("combined_score"),
+                        F.coalesce(level_of(known), F.col("combined_level")).alias("combined_level"))
 
     def finished_pairs(self, cust_final: DataFrame, sup_final: DataFrame) -> DataFrame:
         """History pairs of the product with levels (combined 0 -> 50)."""

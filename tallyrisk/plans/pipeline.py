@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..operators import aggregate as agg_ops
 from ..operators import clean, cross, metrics, override, predict, score, supplier, weights
-from ..params import CUSTOMER_AGG_METRICS, DEFAULT, SUPPLIER_METRICS, Params
+from ..params import CUSTOMER_AGG_METRICS, DEFAULT, PAIR_METRICS, SUPPLIER_METRICS, Params
 from ..sources import publish
 from ..sources.tables import Tables
 
@@ -80,8 +80,13 @@ def run_scoring(spark: SparkSession, t: Tables, out_dir: str, p: Params = DEFAUL
         cross.update_from_join(cross.entity_final(ci.name_means("supplier"), "supplier_id", "supplier"),
                                s_final, "supplier_id", "supplier"), s_latest, s_final, "supplier_id", "supplier"))
 
+    helpers = {"n_pairs", "score_raw", *(x + m for x in ("n_", "w_") for m in PAIR_METRICS)}
     outputs = {
-        "customer_supplier_score": pairs_out,
+        "customer_supplier_score": pairs_out.drop(*helpers),
+        "risk_factors": supplier.risk_factors(totals, w_row),
+        "supplier_weights": w_row,
+        "invoice_predictions_10d": predict.predict_invoices(led, pm, 10, p),
+        "invoice_predictions_30d": predict.predict_invoices(led, pm, 30, p),
         "supplier_customer_score": sp_scored.select(*PAIR, "score", "level"),
         "agg_supplier_score": s_final,
         "agg_customer_score": c_final,
@@ -89,8 +94,10 @@ def run_scoring(spark: SparkSession, t: Tables, out_dir: str, p: Params = DEFAUL
         "customer_weights": weights.customer_weights(pm),
         "supplier_reason": override.reason_weight_update(s_reasons, s_final, "supplier_id"),
         "customer_reason": override.reason_weight_update(c_reasons, c_final, "customer_id"),
-        "cross_customer": c_cross,
-        "cross_supplier": s_cross,
+        "cross_customer": c_cross.join(ci.cust.select("customer_id", F.col("val").alias("customer_value")), "customer_id", "left"),
+        "cross_supplier": s_cross.join(ci.sup.select("supplier_id", F.col("val").alias("supplier_value")), "supplier_id", "left"),
+        # score of any pair without history: its customer's and its supplier's value
+        "cross_pair_values": ci.value_table().select("c_val", "s_val", "combined_score", "combined_level"),
         "cross_history_pairs": ci.finished_pairs(c_cross, s_cross),
         "historical_pairs": clean.historical_pairs(led),
     }

@@ -621,6 +621,21 @@ def q_nearest_centroid(spark, sf_dir):
               "distance1", "distance2", "distance3")
 
 
+@query("impute_values")
+def q_impute_values(spark, sf_dir):
+    """One row for each (customer value, supplier value): the score of every pair without history."""
+    return cross_inputs(spark, Tables.for_run(spark, sf_dir)).value_table().select(
+        "c_val", "s_val", "n_c", "n_s", "cluster", "i_comb", "i_cust", "i_sup", "combined_score", "combined_level")
+
+
+@query("pair_lookup")
+def q_pair_lookup(spark, sf_dir):
+    """Scores of requested pairs: each order asks for its customer with a supplier by number."""
+    t = Tables.for_run(spark, sf_dir)
+    requests = t.orders.select(F.col("o_custkey").alias("customer_id"), (F.col("o_orderkey") % 50 + 1).alias("supplier_id")).distinct()
+    return cross_inputs(spark, t).lookup_pairs(requests)
+
+
 @query("cross_name_means")
 def q_cross_name_means(spark, sf_dir):
     ci = cross_inputs(spark, Tables.for_run(spark, sf_dir))
