@@ -16,6 +16,7 @@ from ..params import (AGG_SCALE, CUSTOMER_AGG_METRICS, DEFAULT, GROUP_FIXED_WEIG
                       NEGATIVE_METRICS, PAIR_METRICS, POSITIVE_METRICS, Params)
 from . import normalize
 from .score import linear, weighted_sum
+from .supplier import entity_attributes
 from .weights import weight_exprs
 
 MONEY_SUMS = ("total_invoice", "early_payment_amount", "open_ar", "outstanding_balance", "delinquent_payment_lt10",
@@ -43,8 +44,9 @@ def aggregate_metrics(scored: DataFrame, key: str, attrs: Sequence[str] = ()) ->
         *[F.avg(c).alias(c) for c in MEAN_METRICS],
         F.sum(ti * F.col("dbt")).alias("__dbt_num"), F.sum(ti * F.col("payment_cycle")).alias("__pc_num"),
         F.sum(ti).alias("__ti"),
-        *[F.max(a).alias(a) for a in attrs],
     )
+    if attrs:
+        agg = agg.join(entity_attributes(scored, key, attrs), key, "left")
     s = F.col("__" + RATIO_SUMS[0]) + F.col("__" + RATIO_SUMS[1]) + F.col("__" + RATIO_SUMS[2])
     s = F.when(s == 0, F.lit(1.0)).otherwise(s)
     unpaid = F.coalesce(F.try_divide(units("total_ar").cast("double"), units("total_invoice").cast("double")) * 100,
@@ -125,7 +127,7 @@ def ndg_score_raw(ndg_agg: DataFrame, modal: DataFrame, metrics: Sequence[str] =
     fixed = (F.max(F.abs(F.col("risk_balance"))) == 0) | (F.count(F.lit(1)) == 1)
     wexpr = weight_exprs(fixed, metrics, GROUP_FIXED_WEIGHTS, zeroed=())
     w = df.groupBy("modal_level").agg(*[e.alias(n) for n, e in wexpr.items()])
-    z = normalize.zscore(df, metrics, ["modal_level"], by_join=True, prefix="z_")
+    z = normalize.zscore(df, metrics, ["modal_level"], prefix="z_")
     signed = set(GROUP_POSITIVE) | set(GROUP_NEGATIVE)
     z = z.withColumns({"z_" + m: F.abs(F.col("z_" + m)) for m in metrics if m in signed})
     j = z.join(w, "modal_level", "left")

@@ -1,70 +1,43 @@
 """Normalisation of metrics within a group: z-score, zero mask, offset min-max.
 
-Two physical forms with the same numbers:
-
-* ``join`` (default) — statistics come from a partially aggregated ``groupBy``
-  joined back on the group key.  No group ever has to fit in one task: the
-  aggregation combines map-side, and AQE splits a skewed join partition.  Used
-  for customers, suppliers and the three level buckets.
-* ``window`` — every statistic is a window aggregate over one ``partitionBy``;
-  only for groups whose size is bounded by construction.
+Statistics come from one partially aggregated ``groupBy`` joined back on the
+group key once, so no group has to fit in one task before the join.
 """
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalar import sdiv
 from ..params import DEFAULT
 
 
-def over(e: Column, w) -> Column:
-    """Apply an aggregate as a window aggregate when a window is given."""
-    return e if w is None else e.over(w)
-
-
-def std(x: Column, w=None) -> Column:
+def std(x: Column) -> Column:
     """Sample std; exactly zero variance (max = min) is treated as no std."""
-    return F.when(over(F.max(x), w) != over(F.min(x), w), over(F.stddev_samp(x), w))
+    return F.when(F.max(x) != F.min(x), F.stddev_samp(x))
 
 
-_std = std
+def _attach(df: DataFrame, keys: Sequence[str], stats: DataFrame) -> DataFrame:
+    return df.join(stats, list(keys), "left") if keys else df.crossJoin(F.broadcast(stats))
 
 
-def _attach(df: DataFrame, keys: Sequence[str], exprs: dict, by_join: bool) -> DataFrame:
-    """Attach group statistics to every row.
+def _z(x: Column, m: str) -> Column:
+    """``(x - mean) / std`` of metric ``m``; undefined (one row, zero variance, null) -> 0."""
+    return F.coalesce(sdiv(x - F.col(f"__mu_{m}"), F.col(f"__sd_{m}")), F.lit(0.0))
 
-    ``exprs`` maps a name to ``f(w)`` building the statistic from aggregates,
-    each wrapped with ``over(., w)`` (``w`` is None for a grouped aggregate).
-    """
-    if not by_join:
-        w = Window.partitionBy(*keys)
-        return df.select("*", *[f(w).alias(n) for n, f in exprs.items()])
-    stats = (df.groupBy(*keys) if keys else df).agg(*[f(None).alias(n) for n, f in exprs.items()])
-    if not keys:
-        return df.crossJoin(F.broadcast(stats))
-    return df.join(stats, list(keys), "left")
-
-
-def zscore(df: DataFrame, metrics: Sequence[str], keys: Sequence[str], *, by_join: bool = True,
-           prefix: str = "z_") -> DataFrame:
-    """``z = (x - mean) / std`` within the group; undefined z (one row, zero variance, null) -> 0."""
-    stats = {}
-    for m in metrics:
-        stats[f"__mu_{m}"] = lambda w, m=m: over(F.avg(m), w)
-        stats[f"__sd_{m}"] = lambda w, m=m: std(F.col(m), w)
-    out = _attach(df, keys, stats, by_join)
-    return out.select(
-        *df.columns,
-        *[F.coalesce(sdiv(F.col(m) - F.col(f"__mu_{m}"), F.col(f"__sd_{m}")), F.lit(0.0)).alias(prefix + m)
-          for m in metrics])
+
+def zscore(df: DataFrame, metrics: Sequence[str], keys: Sequence[str], *, prefix: str = "z_") -> DataFrame:
+    """Z-score of each metric within the group."""
+    aggs = [a for m in metrics for a in (F.avg(m).alias(f"__mu_{m}"), std(F.col(m)).alias(f"__sd_{m}"))]
+    stats = (df.groupBy(*keys) if keys else df).agg(*aggs)
+    return _attach(df, keys, stats).select(*df.columns, *[_z(F.col(m), m).alias(prefix + m) for m in metrics])
 
 
-def masked_minmax(df: DataFrame, metrics: Sequence[str], keys: Sequence[str], *, by_join: bool = True,
+def masked_minmax(df: DataFrame, metrics: Sequence[str], keys: Sequence[str], *,
                   constant: float = DEFAULT.min_max_constant, prefix: str = "n_",
-                  zero_variance_to_zero: bool = False) -> DataFrame:
+                  zero_variance_to_zero: bool = False, extra: Sequence[Column] = ()) -> DataFrame:
     """Zero-masked, offset min-max of the group z-scores.
 
     ``z`` is forced to 0 where the raw value is 0, then
@@ -72,36 +45,48 @@ def masked_minmax(df: DataFrame, metrics: Sequence[str], keys: Sequence[str], *,
     ``n = 0`` where the raw value is 0.  A constant non-zero column gets 1, or 0
     when ``zero_variance_to_zero`` (the supplier-level variant, whose undefined
     z-scores stay missing until after the scaling).
+
+    ``z`` grows with the raw value, so the masked extremes are those of the smallest and largest non-zero
+    values, and 0 if the group has a zero or missing value: one aggregate gives all of it.  ``extra``
+    are further group aggregates (with aliases) that come along with the same join.
     """
-    z = zscore(df, metrics, keys, by_join=by_join, prefix="__z_")
-    masked = z.select(*df.columns, *[
-        F.when(F.col(m) == 0, F.lit(0.0)).otherwise(F.col("__z_" + m)).alias("__zm_" + m) for m in metrics])
-    stats = {}
+    aggs = []
     for m in metrics:
-        stats[f"__lo_{m}"] = lambda w, m=m: over(F.min("__zm_" + m), w)
-        stats[f"__hi_{m}"] = lambda w, m=m: over(F.max("__zm_" + m), w)
-        if zero_variance_to_zero:
-            stats[f"__sd_{m}"] = lambda w, m=m: std(F.col(m), w)
-    out = _attach(masked, keys, stats, by_join)
+        x = F.col(m)
+        some = F.when(x != 0, x)
+        aggs += [F.avg(x).alias(f"__mu_{m}"), std(x).alias(f"__sd_{m}"), F.min(some).alias(f"__lx_{m}"), F.max(some).alias(f"__hx_{m}"),
+                 F.max(F.when(x != 0, 0).otherwise(1)).alias(f"__zero_{m}")]
+    stats = df.groupBy(*keys).agg(*aggs, *extra)
+    masked = {}
+    for m in metrics:
+        zero = F.when(F.col(f"__zero_{m}") == 1, F.lit(0.0))
+        masked[f"__lo_{m}"] = F.least(F.when(F.col(f"__lx_{m}").isNotNull(), _z(F.col(f"__lx_{m}"), m)), zero)
+        masked[f"__hi_{m}"] = F.greatest(F.when(F.col(f"__hx_{m}").isNotNull(), _z(F.col(f"__hx_{m}"), m)), zero)
+    stats = stats.withColumns(masked).drop(*[f"__{x}_{m}" for m in metrics for x in ("lx", "hx", "zero")])
+    named = [c for c in stats.columns if not c.startswith("__") and c not in keys]
+    out = _attach(df, keys, stats)
     cols = []
     for m in metrics:
-        zm, lo, hi = F.col("__zm_" + m), F.col(f"__lo_{m}"), F.col(f"__hi_{m}")
+        zm, lo, hi = _z(F.col(m), m), F.col(f"__lo_{m}"), F.col(f"__hi_{m}")
         n = ((zm - lo) + constant) / ((hi - lo) + constant)
         if zero_variance_to_zero:
             n = F.when(F.col(f"__sd_{m}").isNull(), F.lit(0.0)).otherwise(n)
         cols.append(F.when(F.col(m) == 0, F.lit(0.0)).otherwise(n).alias(prefix + m))
-    return out.select(*df.columns, *cols)
-
-
-def rowwise_z(values: Sequence[Column]) -> list[Column]:
-    """z-score of each value against the row's own values (population std)."""
-    k = len(values)
-    total = values[0]
-    for v in values[1:]:
-        total = total + v
-    mean = total / k
-    sq = (values[0] - mean) * (values[0] - mean)
-    for v in values[1:]:
-        sq = sq + (v - mean) * (v - mean)
-    std = F.sqrt(sq / k)
-    return [sdiv(v - mean, std) for v in values]
+    return out.select(*df.columns, *named, *cols)
+
+
+def rowwise_z(df: DataFrame, name: str, metrics: Sequence[str]) -> tuple[DataFrame, dict[str, Column]]:
+    """z-score of each metric against the row's own metrics (population std); undefined -> null.
+
+    Mean and std become helper columns first, so that no expression repeats them.
+    """
+    def total(terms: list[Column]) -> Column:
+        out = terms[0]
+        for t in terms[1:]:
+            out = out + t
+        return out
+
+    mean, dev = F.col(f"__rm_{name}"), F.col(f"__rs_{name}")
+    df = df.withColumn(f"__rm_{name}", total([F.col(m) for m in metrics]) / len(metrics))
+    df = df.withColumn(f"__rs_{name}", F.sqrt(total([(F.col(m) - mean) * (F.col(m) - mean) for m in metrics]) / len(metrics)))
+    return df, {m: sdiv(F.col(m) - mean, dev) for m in metrics}

@@ -62,7 +62,8 @@ def apply_overrides(scores: DataFrame, key: str, latest: DataFrame, weights: Dat
     sd = (std_from if std_from is not None else scores).agg(F.stddev_samp("score").alias("__sd"))
     ov = latest.join(scores.select(key), key, "left_semi")
     rw = reason_weight_lookup(ov, reasons, key)
-    j = (scores.select(key, "score", "level").join(ov.select(key, "new_level", "reason"), key, "left")
+    # only overridden entities are scored anew; the rest pass by
+    j = (scores.select(key, "score", "level").join(ov.select(key, "new_level", "reason"), key)
          .join(rw, [key, "reason"], "left")
          .join(weights.select(key, *["w_" + m for m in metrics]), key, "left")
          .join(norm.select(key, *["n_" + m for m in metrics]), key, "left")
@@ -71,32 +72,40 @@ def apply_overrides(scores: DataFrame, key: str, latest: DataFrame, weights: Dat
     lo, hi = level_min(c_("new_level")), level_max(c_("new_level"))
     down = c_("new_level") < c_("level")
     interim = F.when(down, F.bround(hi - c * c_("__sd"), 0)).otherwise(F.bround(lo + c * c_("__sd"), 0))
-    factor = F.try_divide(interim, c_("score"))
+    factor = F.try_divide(c_("__interim"), c_("score"))
     ext = F.coalesce(c_("reason_weight"), F.lit(DEFAULT_REASON_WEIGHT)) * factor + 0.0001
     total = None
     for m in metrics:
         total = c_("w_" + m) if total is None else total + c_("w_" + m)
-    total = total + ext
-    scale = F.when(total.isNull(), F.lit(None)).when(total != 0, total).otherwise(F.lit(1.0))
-    ext_n = F.coalesce(ext / scale, F.lit(DEFAULT_REASON_WEIGHT))
+    total = total + c_("__ext")
+    # each step is a column of its own, so that no step's expression is repeated in the next
+    j = j.withColumn("__interim", interim).withColumn("__ext", ext).withColumn("__total", total)
+    scale = F.when(c_("__total").isNull(), F.lit(None)).when(c_("__total") != 0, c_("__total")).otherwise(F.lit(1.0))
+    j = j.withColumn("__scale", scale)
+    ext_n = F.coalesce(c_("__ext") / c_("__scale"), F.lit(DEFAULT_REASON_WEIGHT))
     updated = None
     for m in metrics:
-        term = F.coalesce(c_("n_" + m) * (c_("w_" + m) / scale), F.lit(0.0))
+        term = F.coalesce(c_("n_" + m) * (c_("w_" + m) / c_("__scale")), F.lit(0.0))
         updated = term if updated is None else updated + term
     updated = updated + ext_n
     final = F.bround(((updated + 10) / 20) * (hi - lo) + lo, 0)
     has = c_("new_level").isNotNull()
-    return j.select(
+    moved = j.select(
         key,
         F.when(has, c_("score")).otherwise(F.lit(-1.0)).alias("previous_score"),
         F.when(has, c_("level")).otherwise(F.lit(-1)).cast("int").alias("previous_level"),
         F.when(has, final).otherwise(c_("score")).alias("score"),
         F.when(has, c_("new_level")).otherwise(c_("level")).cast("int").alias("level"),
         F.when(has, F.lit(1)).otherwise(F.lit(0)).alias("is_flagged"),
-        F.when(has, interim).alias("interim_score"),
+        F.when(has, c_("__interim")).alias("interim_score"),
         F.when(has, ext_n).alias("external_factor"),
         "reason",
     )
+    kept = scores.join(ov.select(key), key, "left_anti").select(
+        key, F.lit(-1.0).alias("previous_score"), F.lit(-1).alias("previous_level"), c_("score"), c_("level").cast("int").alias("level"),
+        F.lit(0).alias("is_flagged"), F.lit(None).cast("double").alias("interim_score"),
+        F.lit(None).cast("double").alias("external_factor"), F.lit(None).cast("string").alias("reason"))
+    return moved.unionByName(kept)
 
 
 def reason_weight_update(reasons: DataFrame, overridden: DataFrame, key: str) -> DataFrame:
@@ -105,15 +114,3 @@ def reason_weight_update(reasons: DataFrame, overridden: DataFrame, key: str) ->
            .select(key, "reason", F.col("external_factor").alias("__new")))
     j = reasons.join(upd, [key, "reason"], "left")
     return j.select(key, "reason", F.coalesce(F.col("__new"), F.col("weight")).alias("weight"))
-
-
-def override_nonhistorical(table: DataFrame, latest: DataFrame, history_keys: DataFrame, key: str,
-                           score_col: str, level_col: str) -> DataFrame:
-    """Entities overridden but without history: score = level minimum + 50, level = new level."""
-    ov = latest.join(history_keys.select(key).distinct(), key, "left_anti").select(key, "new_level")
-    j = table.join(ov, key, "left")
-    has = F.col("new_level").isNotNull()
-    return j.withColumns({
-        score_col: F.when(has, (level_min(F.col("new_level")) + 50).cast("double")).otherwise(F.col(score_col)),
-        level_col: F.when(has, F.col("new_level")).otherwise(F.col(level_col)).cast("int"),
-    }).drop("new_level")

@@ -25,38 +25,32 @@ def linear(s: Column, scale: tuple[float, float]) -> Column:
     return (s + scale[0]) * scale[1]
 
 
-def customer_normalised(pairs: DataFrame) -> DataFrame:
+def customer_normalised(pairs: DataFrame, extra: Sequence[Column] = ()) -> DataFrame:
     """Normalised pair metrics (``n_<metric>``) within each customer, plus ``n_pairs``.
 
     Customers with several suppliers: z-score, zero mask, offset min-max over the
-    customer's pairs (one window pass).  Single-supplier customers: the positive and
+    customer's pairs (one aggregate, one join back).  Single-supplier customers: the positive and
     the negative metrics are z-scored against each other within the row
     (population std), zero-masked and made absolute; the remaining metrics keep
     their min-max value (1 when the raw value is not 0).
     """
-    counts = pairs.groupBy("customer_id").agg(F.count(F.lit(1)).alias("n_pairs"))
-    df = pairs.join(counts, "customer_id", "left")
-    mm = normalize.masked_minmax(df, PAIR_METRICS, ["customer_id"], by_join=True)
+    mm = normalize.masked_minmax(pairs, PAIR_METRICS, ["customer_id"], extra=[F.count(F.lit(1)).alias("n_pairs"), *extra])
     single = F.col("n_pairs") == 1
-    cols = {}
-    for group in (POSITIVE_METRICS, NEGATIVE_METRICS):
-        for m, z in zip(group, normalize.rowwise_z([F.col(x) for x in group])):
-            cols["n_" + m] = F.when(single, F.abs(F.when(F.col(m) == 0, F.lit(0.0)).otherwise(z))) \
-                .otherwise(F.col("n_" + m))
-    return mm.withColumns(cols)
+    cols, names = {}, mm.columns
+    for name, group in (("positive", POSITIVE_METRICS), ("negative", NEGATIVE_METRICS)):
+        mm, z = normalize.rowwise_z(mm, name, group)
+        for m in group:
+            cols["n_" + m] = F.when(single, F.abs(F.when(F.col(m) == 0, F.lit(0.0)).otherwise(z[m]))).otherwise(F.col("n_" + m))
+    return mm.withColumns(cols).select(*names)
 
 
 def pair_scores(pairs: DataFrame, customer_type: str = "customer_type_id", p: Params = DEFAULT) -> DataFrame:
     """Pair score: weighted normalised metrics -> linear map by customer type -> round -> clamp -> level.
 
-    All per-customer statistics (counts, z-score and min-max statistics,
-    weights) are partially aggregated ``groupBy``s joined back on customer_id:
-    the pair table is shuffled by customer once and every later join reuses
-    that partitioning, and a customer with a huge share of the pairs is split
-    by AQE's skew-join handling instead of landing in one window task.
+    All per-customer statistics (counts, z-score and min-max statistics, weights) come from one partially
+    aggregated ``groupBy`` and one join back on customer_id.
     """
-    normed = customer_normalised(pairs)
-    withw = normed.join(weights.customer_weights(pairs), "customer_id", "left")
+    withw = customer_normalised(pairs, [e.alias(n) for n, e in weights.customer_weight_exprs().items()])
     s = weighted_sum(PAIR_METRICS)
     raw = F.when(F.col(customer_type) == p.international_type_id, linear(s, INTERNATIONAL_SCALE)) \
         .otherwise(linear(s, PAIR_SCALE))

@@ -124,7 +124,7 @@ def pca_weights(totals: DataFrame, metrics: Sequence[str] = SUPPLIER_METRICS) ->
     absolute loading is positive, then the sign rules apply.
     """
     from pyspark.ml.feature import PCA, VectorAssembler
-    z = normalize.zscore(totals.select(*metrics), metrics, [], by_join=True, prefix="z_")
+    z = normalize.zscore(totals.select(*metrics), metrics, [], prefix="z_")
     vec = VectorAssembler(inputCols=["z_" + m for m in metrics], outputCol="v").transform(z).select("v")
     model = PCA(k=1, inputCol="v", outputCol="pc").fit(vec)
     loadings = [float(x) for x in model.pc.toArray()[:, 0]]
@@ -154,18 +154,17 @@ def supplier_normalised(sp: DataFrame, metrics: Sequence[str] = SUPPLIER_METRICS
     One customer: positive and negative metric sets z-scored within the row
     (population std), zero-masked and made absolute; the other metrics are 0.
     """
-    counts = sp.groupBy("supplier_id").agg(F.count(F.lit(1)).alias("n_customers"))
-    df = sp.join(counts, "supplier_id", "left")
-    mm = normalize.masked_minmax(df, metrics, ["supplier_id"], by_join=True, zero_variance_to_zero=True)
+    mm = normalize.masked_minmax(sp, metrics, ["supplier_id"], zero_variance_to_zero=True,
+                                 extra=[F.count(F.lit(1)).alias("n_customers")])
     single = F.col("n_customers") == 1
-    cols = {}
-    rowwise = {}
-    for group in (SUPPLIER_POSITIVE, SUPPLIER_NEGATIVE):
-        for m, z in zip(group, normalize.rowwise_z([F.col(x) for x in group])):
-            rowwise[m] = F.coalesce(F.abs(F.when(F.col(m) == 0, F.lit(0.0)).otherwise(z)), F.lit(0.0))
+    cols, rowwise, names = {}, {}, mm.columns
+    for name, group in (("positive", SUPPLIER_POSITIVE), ("negative", SUPPLIER_NEGATIVE)):
+        mm, z = normalize.rowwise_z(mm, name, group)
+        for m in group:
+            rowwise[m] = F.coalesce(F.abs(F.when(F.col(m) == 0, F.lit(0.0)).otherwise(z[m])), F.lit(0.0))
     for m in metrics:
         cols["n_" + m] = F.when(single, rowwise.get(m, F.lit(0.0))).otherwise(F.coalesce(F.col("n_" + m), F.lit(0.0)))
-    return mm.withColumns(cols)
+    return mm.withColumns(cols).select(*names)
 
 
 def supplier_pair_scores(sp: DataFrame, weights_row: DataFrame, metrics: Sequence[str] = SUPPLIER_METRICS) -> DataFrame:
@@ -207,6 +206,15 @@ def modal_level(scored: DataFrame, key: str, level: str = "level") -> DataFrame:
         F.max_by(F.col(level), F.struct(F.col("n"), -F.col(level))).alias("modal_level"))
 
 
+def entity_attributes(rows: DataFrame, key: str, attrs) -> DataFrame:
+    """One value of each attribute per entity (the largest), from the distinct combinations.
+
+    Strings would turn a whole aggregate into a sort; grouping them first is a hash aggregate, and the sort sees about
+    one row per entity.
+    """
+    return rows.select(key, *attrs).distinct().groupBy(key).agg(*[F.max(a).alias(a) for a in attrs])
+
+
 def agg_supplier_metrics(scored_sp: DataFrame) -> DataFrame:
     """Supplier aggregate of the scored pair grain supplier frame."""
     sums = ["total_invoice", "open_ar", "predict_ar_10d", "predict_ar_30d", "total_ar", "outstanding_balance"]
@@ -214,8 +222,8 @@ def agg_supplier_metrics(scored_sp: DataFrame) -> DataFrame:
     agg = scored_sp.groupBy("supplier_id").agg(
         *[from_units(F.sum(units(c))).alias(c) for c in sums],
         *[F.max(c).alias(c) for c in firsts],
-        F.avg("customer_score").alias("customer_score"),
-        F.max("supplier_name").alias("supplier_name"))
+        F.avg("customer_score").alias("customer_score"))
+    agg = agg.join(entity_attributes(scored_sp, "supplier_id", ["supplier_name"]), "supplier_id", "left")
     risk = units("open_ar") - units("other_open_payables") - units("open_credit_memo") + units("cash_balance")
     return agg.withColumn("risk_balance", from_units(risk))
 
@@ -228,7 +236,7 @@ def agg_supplier_score(agg: DataFrame, modal: DataFrame, weights_row: DataFrame,
     joined back (never a 3-partition window).
     """
     df = agg.join(modal, "supplier_id", "left")
-    normed = normalize.masked_minmax(df, metrics, ["modal_level"], by_join=True)
+    normed = normalize.masked_minmax(df, metrics, ["modal_level"])
     raw = linear(weighted_sum(metrics), AGG_SCALE)
     out = (normed.crossJoin(F.broadcast(weights_row))
            .withColumn("score_raw", F.when(F.col("modal_level").isNotNull(), raw))

@@ -6,11 +6,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .normalize import over
 from ..params import (NEGATIVE_METRICS, PAIR_FIXED_WEIGHTS, PAIR_METRICS, POSITIVE_METRICS, ZEROED_METRICS)
 
 
-def pearson(x: str, y: str, w=None) -> Column:
+def pearson(x: str, y: str) -> Column:
     """Pearson correlation over rows where both are present; undefined (constant, <2 rows) -> null.
 
     Written as ``covar_samp / (sd_x * sd_y)`` because the built-in ``corr``
@@ -18,9 +17,9 @@ def pearson(x: str, y: str, w=None) -> Column:
     """
     both = F.col(x).isNotNull() & F.col(y).isNotNull()
     xs, ys = F.when(both, F.col(x)), F.when(both, F.col(y))
-    den = over(F.stddev_samp(xs), w) * over(F.stddev_samp(ys), w)
-    degenerate = (over(F.max(xs), w) == over(F.min(xs), w)) | (over(F.max(ys), w) == over(F.min(ys), w))
-    return F.when(~degenerate & (den != 0), over(F.covar_samp(xs, ys), w) / den)
+    den = F.stddev_samp(xs) * F.stddev_samp(ys)
+    degenerate = (F.max(xs) == F.min(xs)) | (F.max(ys) == F.min(ys))
+    return F.when(~degenerate & (den != 0), F.covar_samp(xs, ys) / den)
 
 
 def force_sign(metric: str, value: Column, positive=POSITIVE_METRICS, negative=NEGATIVE_METRICS,
@@ -41,19 +40,19 @@ def corr_exprs(metrics: Sequence[str] = PAIR_METRICS, target: str = "risk_balanc
 
 
 def weight_exprs(fixed: Column, metrics: Sequence[str] = PAIR_METRICS, fixed_weights=PAIR_FIXED_WEIGHTS,
-                 target: str = "risk_balance", zeroed=ZEROED_METRICS, prefix: str = "w_", w=None) -> dict[str, Column]:
+                 target: str = "risk_balance", zeroed=ZEROED_METRICS, prefix: str = "w_") -> dict[str, Column]:
     """Aggregate expressions for the weights: the fixed table where ``fixed`` else sign-forced correlations."""
     out = {}
     for m, fw in zip(metrics, fixed_weights):
-        corr = F.coalesce(pearson(m, target, w), F.lit(0.0))
+        corr = F.coalesce(pearson(m, target), F.lit(0.0))
         out[prefix + m] = F.when(fixed, F.lit(float(fw))).otherwise(force_sign(m, corr, zeroed=zeroed))
     return out
 
 
-def customer_weight_exprs(w=None) -> dict[str, Column]:
+def customer_weight_exprs() -> dict[str, Column]:
     """Per-customer weights: fixed when every risk balance <= 0 or the customer has one supplier."""
-    fixed = (over(F.max("risk_balance"), w) <= 0) | (over(F.count(F.lit(1)), w) == 1)
-    return weight_exprs(fixed, w=w)
+    fixed = (F.max("risk_balance") <= 0) | (F.count(F.lit(1)) == 1)
+    return weight_exprs(fixed)
 
 
 def customer_corr_weights(pairs: DataFrame) -> DataFrame:

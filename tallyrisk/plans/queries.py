@@ -253,8 +253,7 @@ def q_agg_supplier_metrics(spark, sf_dir):
 @query("masked_minmax_bucket")
 def q_masked_minmax_bucket(spark, sf_dir):
     agg, modal = _agg_supplier(spark, Tables.for_run(spark, sf_dir))
-    n = normalize.masked_minmax(agg.join(modal, "supplier_id", "left"), SUPPLIER_METRICS, ["modal_level"],
-                                by_join=True)
+    n = normalize.masked_minmax(agg.join(modal, "supplier_id", "left"), SUPPLIER_METRICS, ["modal_level"])
     nc = ["n_" + m for m in SUPPLIER_METRICS]
     return r6(n.select("supplier_id", "modal_level", *nc), *nc)
 
