@@ -1,7 +1,7 @@
 """Window scans, invoice cleaning and the unified ledger (invoices + chargebacks)."""
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..params import DEFAULT, Params
@@ -16,24 +16,21 @@ def scan_window(df: DataFrame, date_col: str, p: Params = DEFAULT) -> DataFrame:
     return df.filter(F.col(date_col).between(F.lit(p.window_start), F.lit(p.processing_date)))
 
 
-def _null_spread(*cols: str):
-    """Spread rows with a null key over many partitions (rows with a key get null)."""
-    return F.when(F.col(cols[0]).isNull(), F.xxhash64(*[F.col(c) for c in cols[1:]]) % 4096)
-
-
 def clean_early_advance(inv: DataFrame) -> DataFrame:
     """Zero the payment of early-payment advances that have no transaction yet.
 
     A row whose memo mentions "Early payment advancement" (any case) and whose
     invoice number occurs exactly once gets ``txn_amount = 0``.  Rows without an
-    invoice number are never touched; they are spread over partitions so a
-    mass of null keys cannot pile up in one task.
+    invoice number are never touched.  Only the numbers of advance rows are counted (a semi join and a grouped
+    count of that one column), and only advance rows are joined; all other rows pass by without a shuffle.
     """
-    w = Window.partitionBy(F.col("invoice_num"), _null_spread("invoice_num", "customer_id", "supplier_id",
-                                                              "txn_date", "txn_amount"))
-    single = F.col("invoice_num").isNotNull() & (F.count(F.lit(1)).over(w) == 1)
-    advance = F.coalesce(F.col("memo").rlike("(?i)early payment advancement"), F.lit(False))
-    return inv.withColumn("txn_amount", F.when(advance & single, F.lit(0.0)).otherwise(F.col("txn_amount")))
+    advance = F.col("invoice_num").isNotNull() & F.coalesce(F.col("memo").rlike("(?i)early payment advancement"), F.lit(False))
+    asked = inv.filter(advance)
+    once = (inv.select("invoice_num").join(asked.select("invoice_num").distinct(), "invoice_num", "left_semi")
+            .groupBy(F.col("invoice_num").alias("__num")).agg(F.count(F.lit(1)).alias("__n")).filter("__n = 1").select("__num"))
+    mended = asked.join(once, asked["invoice_num"] == once["__num"], "left").withColumn(
+        "txn_amount", F.when(F.col("__num").isNotNull(), F.lit(0.0)).otherwise(F.col("txn_amount"))).drop("__num")
+    return inv.filter(~advance).unionByName(mended)
 
 
 def drop_full_credit_memo(inv: DataFrame) -> DataFrame:

@@ -33,12 +33,16 @@ def next_payment_date(payments: DataFrame) -> DataFrame:
     dated by the next strictly later payment of the same transaction (null when
     there is none); any other payment keeps its own date.  A range frame over
     the day number finds the next later date in one sorted pass per transaction.
+    Payments without a transaction have no next one; they stay out of the window, so
+    they never meet in one task.
     """
     day = F.datediff(F.col("txn_date"), F.lit(_dt.date(1970, 1, 1)))
     w = Window.partitionBy("txn_id").orderBy(day).rangeBetween(1, Window.unboundedFollowing)
     advance = F.coalesce(F.col("memo").ilike("%Ear%pay%a%") | F.col("memo").ilike("%factor%a%"), F.lit(False))
-    return payments.withColumn("corrected_txn_date",
-                               F.when(advance, F.min("txn_date").over(w)).otherwise(F.col("txn_date")))
+    keyed = payments.filter(F.col("txn_id").isNotNull()).withColumn(
+        "corrected_txn_date", F.when(advance, F.min("txn_date").over(w)).otherwise(F.col("txn_date")))
+    return keyed.unionByName(payments.filter(F.col("txn_id").isNull()).withColumn(
+        "corrected_txn_date", F.when(~advance, F.col("txn_date"))))
 
 
 def customer_dimension(customers: DataFrame, ndg: DataFrame) -> DataFrame:

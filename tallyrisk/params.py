@@ -10,12 +10,14 @@ class Params:
     """Everything a scoring run depends on besides its input tables.
 
     ``processing_date`` is the run date D; history covers ``[D - window_days, D]``.
+    ``fixed_start`` is where the extraction with a fixed start begins.
     ``constants`` are c1..c5 (drawn once per processing date in production,
     injected in tests so results are reproducible).
     """
 
     processing_date: _dt.date = _dt.date(2001, 8, 1)
     window_days: int = 729
+    fixed_start: _dt.date = _dt.date(1998, 1, 1)
     min_max_constant: float = 0.01
     international_type_id: int = 4
     excluded_supplier: str | None = None

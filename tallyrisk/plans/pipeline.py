@@ -32,7 +32,7 @@ def run_scoring(spark: SparkSession, t: Tables, out_dir: str, p: Params = DEFAUL
     def stage(name, build):
         return t.stage(name, build, p)
 
-    led = clean.unified_ledger(t.invoice_payments, t.chargebacks, p)
+    led = stage("run_ledger", lambda: clean.unified_ledger(t.invoice_payments, t.chargebacks, p))
     pm = stage("run_pairs", lambda: metrics.pair_metrics(led, p))
     scored = stage("run_scored", lambda: score.pair_scores(pm, p=p))
     preds = stage("run_predictions", lambda: predict.predict_pairs(led, pm, (10, 30), p))

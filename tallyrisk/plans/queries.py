@@ -20,7 +20,8 @@ def query(name: str):
 
 
 def ledger(t: Tables) -> DataFrame:
-    return clean.unified_ledger(t.invoice_payments, t.chargebacks, DEFAULT)
+    """Cleaned ledger; materialised because metrics, predictions and history each read it."""
+    return t.stage("ledger", lambda: clean.unified_ledger(t.invoice_payments, t.chargebacks, DEFAULT))
 
 
 def pairs(t: Tables) -> DataFrame:
@@ -711,7 +712,7 @@ def _invoice(t, start, end):
 
 REGISTRY["extract_window_daily"] = lambda spark, sf_dir: _invoice(Tables.for_run(spark, sf_dir), W_END, W_END)
 REGISTRY["extract_window_2yr"] = lambda spark, sf_dir: _invoice(Tables.for_run(spark, sf_dir), W_START, W_END)
-REGISTRY["extract_invoice"] = lambda spark, sf_dir: _invoice(Tables.for_run(spark, sf_dir), None, W_END)
+REGISTRY["extract_invoice"] = lambda spark, sf_dir: _invoice(Tables.for_run(spark, sf_dir), P.fixed_start, W_END)
 
 
 @query("next_payment_date")
