@@ -89,14 +89,15 @@ def _payment_totals(payments: DataFrame) -> DataFrame:
         F.max("bm_accounting_payment_date").alias("paid_date"))
 
 
-def _with_payments(base: DataFrame) -> DataFrame:
-    """Bill-level totals as the source computes them over the bill's first line joined with its payments:
-    the line amount counts once per payment row (once when there is none)."""
+def _with_payments(base: DataFrame, fan_out: F.Column) -> DataFrame:
+    """Bill-level totals as the source computes them over the bill's first line joined with its payments and its other
+    joined rows: the line amount counts once per payment row (once when there is none) and every amount once for each of
+    the ``fan_out`` rows."""
     n = F.greatest(F.coalesce(F.col("__n_pay"), F.lit(0)), F.lit(1))
     top = F.coalesce(F.substring_index(F.col("account_full_name"), ":", 1), F.lit(""))
     return base.select("*", top.alias("summary_acct"),
-                       from_units(units("line_amount") * n).alias("total_amount"),
-                       from_units(F.coalesce(F.col("__paid_u"), F.lit(0))).alias("paid_amount"))
+                       from_units(units("line_amount") * n * fan_out).alias("total_amount"),
+                       from_units(F.coalesce(F.col("__paid_u"), F.lit(0)) * fan_out).alias("paid_amount"))
 
 
 def _bill_lines_view(lines: DataFrame, accounts: DataFrame) -> DataFrame:
@@ -105,38 +106,58 @@ def _bill_lines_view(lines: DataFrame, accounts: DataFrame) -> DataFrame:
     return fl.join(accounts, fl["expense_account_id"] == accounts["account_id"], "left")
 
 
-def extract_chargebacks(bills: DataFrame, lines: DataFrame, accounts: DataFrame, payments: DataFrame,
-                        vendors: DataFrame, suppliers: DataFrame, customers: DataFrame, ndg: DataFrame,
-                        types: DataFrame, start: _dt.date | None, end: _dt.date) -> DataFrame:
-    """Chargeback bills of the window: one row per bill whose first line books to 'Chargebacks'.
+def vendor_companies(links: DataFrame, companies: DataFrame) -> DataFrame:
+    """Per vendor: how many companies it is linked to, and the first one's name."""
+    c = companies.select(F.col("id").alias("company_id"), "company_name")
+    return (links.join(c, "company_id", "left").groupBy("vendor_id")
+            .agg(F.count(F.lit(1)).alias("__n_party"), F.min_by("company_name", "company_id").alias("vendor")))
 
-    Totals follow the source's join of the bill's first line with all its
-    payments (a bill with n payments counts its line amount n times).  Payments
-    are pre-aggregated per bill, so the bill's descriptive columns are joined
-    once per bill instead of being carried through an aggregation over the
-    payment fan-out.
+
+def vendor_customers(links: DataFrame, companies: DataFrame, company_customers: DataFrame, customers: DataFrame,
+                     ndg: DataFrame, types: DataFrame) -> DataFrame:
+    """Per vendor: the rows of vendor -> company -> customer, and the one of smallest customer and company id.
+
+    The source joins this fan-out to every bill and then takes any of its rows; here it is summed per vendor once, and
+    the row taken is the first.
+    """
+    who = customer_dimension(customers, ndg).select(F.col("id").alias("customer_id"), "ndg_id", "ndg_name",
+                                                    F.col("name").alias("customer_name"), "customer_type")
+    kind = types.select(F.col("id").alias("customer_type_id"), F.col("type").alias("customer_type"))
+    rows = (links.join(companies.select(F.col("id").alias("company_id"), "company_name"), "company_id")
+            .join(company_customers, "company_id").join(who, "customer_id").join(kind, "customer_type", "left"))
+    first = F.min_by(F.struct("company_name", "customer_id", "customer_name", "customer_type", "customer_type_id", "ndg_id", "ndg_name"),
+                     F.struct("customer_id", "company_id"))
+    return rows.groupBy("vendor_id").agg(F.count(F.lit(1)).alias("__n_party"), first.alias("party"))
+
+
+def extract_chargebacks(bills: DataFrame, lines: DataFrame, accounts: DataFrame, payments: DataFrame, parties: DataFrame,
+                        suppliers: DataFrame, entities: DataFrame, metadata: DataFrame, start: _dt.date | None,
+                        end: _dt.date) -> DataFrame:
+    """Chargeback bills of the window: one row per bill whose first line books to 'Chargebacks' and whose vendor
+    (``parties``, see ``vendor_customers``) leads to a customer.
+
+    Totals follow the source's joins: an amount counts once for each joined row (payments, vendor's customers,
+    accounting metadata).  Each of these is pre-aggregated, so a bill is one row throughout.  The source's joins with brands
+    and markets, by unique id and without output, have no effect and are left out.
     """
     b = bills.filter((F.col("archived") == 0) & in_window("transaction_date", start, end))
     fl = _bill_lines_view(lines, accounts)
     sup = suppliers.select(F.col("id").alias("supplier_id"), F.col("name").alias("client_name"))
-    cust = customer_dimension(customers, ndg).select(
-        F.col("id").alias("__cid"), "ndg_id", "ndg_name", F.col("name").alias("customer_name"), "customer_type")
-    ty = types.select(F.col("id").alias("customer_type_id"), F.col("type").alias("__type"))
-    pay = _payment_totals(payments)
+    unit = entities.select(F.col("id").alias("__entity"), F.col("name").alias("entity"))
+    meta = metadata.groupBy(F.col("txn_id").alias("accounting_transaction_id")).agg(F.count(F.lit(1)).alias("__n_meta"))
     base = (b.join(fl, b["id"] == fl["__bill"], "inner")
-            .join(vendors, "vendor_id", "inner")
+            .join(parties, "vendor_id", "inner")
             .join(sup, fl["client_class_id"] == sup["supplier_id"], "left")
-            .join(cust, b["customer_id"] == cust["__cid"], "left")
-            .join(ty, F.col("customer_type") == F.col("__type"), "left")
-            .filter(F.col("__cid").isNotNull())
-            .join(pay, b["id"] == pay["__pbill"], "left"))
-    g = _with_payments(base)
+            .join(unit, F.col("subsidiary_id") == F.col("__entity"), "left")
+            .join(meta, "accounting_transaction_id", "left")
+            .join(_payment_totals(payments), b["id"] == F.col("__pbill"), "left"))
+    g = _with_payments(base, F.col("__n_party") * F.coalesce(F.col("__n_meta"), F.lit(1)))
     return g.filter(F.col("summary_acct") == "Chargebacks").select(
-        F.col("transaction_number").alias("reference_num"), "supplier_id", "client_name",
+        F.col("transaction_number").alias("reference_num"), "supplier_id", "client_name", "entity",
         F.col("transaction_type").alias("type"), "summary_acct",
-        F.when(F.col("is_paid") == 1, "Paid").otherwise("Open").alias("bill_status"), "ndg_id", "ndg_name",
-        F.col("__cid").alias("customer_id"), "customer_type_id", "customer_type",
-        F.col("company_name").alias("vendor"), "customer_name", "total_amount",
+        F.when(F.col("is_paid") == 1, "Paid").otherwise("Open").alias("bill_status"), "party.ndg_id", "party.ndg_name",
+        "party.customer_id", "party.customer_type_id", "party.customer_type",
+        F.col("party.company_name").alias("vendor"), "party.customer_name", "total_amount",
         F.col("balance").alias("open_balance"), "paid_amount", F.col("transaction_date").alias("bill_date"),
         F.col("due_date").alias("cb_duedate"), "paid_date")
 
@@ -164,18 +185,18 @@ def supplier_status(snapshots: DataFrame, options: DataFrame, suppliers: DataFra
                     "status", "cash_balance")
 
 
-def extract_other_open_payables(bills, lines, accounts, payments, vendors, suppliers, status,
+def extract_other_open_payables(bills, lines, accounts, payments, companies, suppliers, status,
                                 start: _dt.date | None, end: _dt.date) -> DataFrame:
-    """Open non-chargeback payables per bill, with the supplier's contract status."""
+    """Open non-chargeback payables per bill, with the supplier's contract status (``companies``: see ``vendor_companies``)."""
     b = bills.filter((F.col("archived") == 0) & in_window("transaction_date", start, end))
     fl = _bill_lines_view(lines, accounts)
     sup = suppliers.select(F.col("id").alias("client_id"), F.col("name").alias("supplier"))
     pay = _payment_totals(payments)
     base = (b.join(fl, b["id"] == fl["__bill"], "left")
-            .join(vendors, "vendor_id", "left")
+            .join(companies, "vendor_id", "left")
             .join(sup, fl["client_class_id"] == sup["client_id"], "left")
             .join(pay, b["id"] == pay["__pbill"], "left"))
-    g = _with_payments(base)
+    g = _with_payments(base, F.coalesce(F.col("__n_party"), F.lit(1)))
     paid, bal, tot = F.col("paid_amount"), F.col("balance"), F.col("total_amount")
     out = g.select(
         F.col("transaction_number").alias("reference_num"),
@@ -185,7 +206,7 @@ def extract_other_open_payables(bills, lines, accounts, payments, vendors, suppl
         F.when(paid == 0, F.when(bal > tot, bal).otherwise(tot)).otherwise(paid + bal).alias("new_total"),
         "client_id", "supplier", F.col("transaction_type").alias("type"), "summary_acct",
         F.when(F.col("is_paid") == 1, "Paid").otherwise("Open").alias("bill_status"),
-        F.col("company_name").alias("vendor"), "total_amount", F.col("balance").alias("other_open_payables"),
+        "vendor", "total_amount", F.col("balance").alias("other_open_payables"),
         "paid_amount", F.col("transaction_date").alias("bill_date"), F.col("due_date").alias("cb_duedate"),
         "paid_date")
     st = status.select(F.col("id").alias("__sid"), F.col("client_id").alias("cl_id"), "name", "status_index",

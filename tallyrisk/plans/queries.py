@@ -724,8 +724,10 @@ def q_next_payment_date(spark, sf_dir):
 @query("extract_chargebacks")
 def q_extract_chargebacks(spark, sf_dir):
     t = Tables.for_run(spark, sf_dir)
-    return ex.extract_chargebacks(t.raw_bills, t.raw_bill_lines, t.raw_accounts, t.raw_bill_payments, t.raw_vendors,
-                                  t.raw_suppliers, t.raw_customers, t.raw_ndg, t.raw_customer_types, W_START, W_END)
+    parties = ex.vendor_customers(t.raw_vendor_companies, t.raw_companies, t.raw_company_customers, t.raw_customers,
+                                  t.raw_ndg, t.raw_customer_types)
+    return ex.extract_chargebacks(t.raw_bills, t.raw_bill_lines, t.raw_accounts, t.raw_bill_payments, parties,
+                                  t.raw_suppliers, t.raw_entities, t.raw_bill_metadata, W_START, W_END)
 
 
 @query("bill_account_summary")
@@ -738,7 +740,8 @@ def q_bill_account_summary(spark, sf_dir):
 def q_extract_other_open_payables(spark, sf_dir):
     t = Tables.for_run(spark, sf_dir)
     return ex.extract_other_open_payables(t.raw_bills, t.raw_bill_lines, t.raw_accounts, t.raw_bill_payments,
-                                          t.raw_vendors, t.raw_suppliers, _status(t), W_START, W_END)
+                                          ex.vendor_companies(t.raw_vendor_companies, t.raw_companies),
+                                          t.raw_suppliers, _status(t), W_START, W_END)
 
 
 @query("extract_open_payable")

@@ -270,7 +270,8 @@ FROM {lineitem} l JOIN {orders} o ON o.o_orderkey = l.l_orderkey
 WHERE NOT (l.l_returnflag = 'N' AND o.o_orderstatus = 'O')"""
 
 RAW["raw_bills"] = """
-SELECT o.o_orderkey AS id, o.o_orderkey % 97 AS vendor_id, o.o_custkey AS customer_id,
+SELECT o.o_orderkey AS id, o.o_orderkey % 97 AS vendor_id, o.o_orderkey % 6 AS subsidiary_id,
+       o.o_orderkey * 10 AS accounting_transaction_id,
        CASE WHEN o.o_orderstatus = 'F' THEN 1 ELSE 0 END AS is_paid,
        CASE WHEN o.o_orderstatus = 'F' THEN CAST(0 AS DOUBLE) ELSE o.o_totalprice * 0.01 END AS balance,
        CASE WHEN o.o_orderkey % 4 = 0 THEN 'credit' ELSE 'bill' END AS transaction_type,
@@ -295,11 +296,30 @@ SELECT l.l_orderkey AS bm_transaction_id, l.l_extendedprice * 0.05 AS bm_account
 FROM {lineitem} l JOIN {orders} o ON o.o_orderkey = l.l_orderkey
 WHERE l.l_linenumber <= 2 AND l.l_linestatus = 'F'"""
 
-RAW["raw_vendors"] = """
-SELECT DISTINCT o.o_orderkey % 97 AS vendor_id, o.o_orderkey % 97 AS company_id,
-       CONCAT('Vendor', CAST(o.o_orderkey % 97 AS STRING)) AS company_name
+RAW["raw_companies"] = """
+SELECT DISTINCT o.o_orderkey % 97 AS id, CONCAT('Vendor', CAST(o.o_orderkey % 97 AS STRING)) AS company_name
 FROM {orders} o"""
 
+# vendor to company; every tenth vendor belongs to two companies, vendor 5 to none
+RAW["raw_vendor_companies"] = """
+SELECT DISTINCT o.o_orderkey % 97 AS vendor_id, o.o_orderkey % 97 AS company_id FROM {orders} o WHERE o.o_orderkey % 97 <> 5
+UNION ALL
+SELECT DISTINCT o.o_orderkey % 97 AS vendor_id, (o.o_orderkey + 1) % 97 AS company_id FROM {orders} o
+WHERE o.o_orderkey % 97 % 10 = 0"""
+
+# company to customer: one or two customers each
+RAW["raw_company_customers"] = """
+SELECT c.c_custkey % 97 AS company_id, c.c_custkey AS customer_id FROM {customer} c WHERE c.c_custkey < 194"""
+
+# subsidiaries that book the bills
+RAW["raw_entities"] = """
+SELECT CAST(r.r_regionkey AS BIGINT) AS id, r.r_name AS name FROM {region} r"""
+
+# accounting metadata of bills; some bills have two rows
+RAW["raw_bill_metadata"] = """
+SELECT o.o_orderkey * 10 AS txn_id FROM {orders} o WHERE o.o_orderkey % 3 = 0
+UNION ALL SELECT o.o_orderkey * 10 AS txn_id FROM {orders} o WHERE o.o_orderkey % 33 = 0"""
+
 RAW["raw_snapshots"] = """
 SELECT CONCAT('S', CAST(s.s_suppkey AS STRING)) AS client_id, s.s_nationkey % 5 AS contract_states,
        CASE WHEN s.s_suppkey % 9 = 0 THEN CAST(0 AS DOUBLE) ELSE s.s_acctbal END AS cash_balance
