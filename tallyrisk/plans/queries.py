@@ -201,10 +201,15 @@ def q_supplier_exposure_total(spark, sf_dir):
     return r6(_supplier_totals(Tables.for_run(spark, sf_dir)).select(*SP_COLS[1:], "open_ar"), "customer_score")
 
 
+def fitted_weights(t: Tables) -> dict[str, float]:
+    """First principal component, to 6 places (engines differ in the last bits of an eigenvector)."""
+    return {m: round(float(w), 6) + 0.0 for m, w in sup.pca_weights(_supplier_totals(t)).items()}
+
+
 @query("supplier_pca_weights")
 def q_supplier_pca_weights(spark, sf_dir):
-    w = sup.pca_weights(_supplier_totals(Tables.for_run(spark, sf_dir)))
-    return spark.createDataFrame([(m, float(w[m])) for m in SUPPLIER_METRICS], ["metric", "weight"])
+    w = fitted_weights(Tables.for_run(spark, sf_dir))
+    return spark.createDataFrame([(m, w[m]) for m in SUPPLIER_METRICS], ["metric", "weight"])
 
 
 @query("supplier_weights")
@@ -229,6 +234,20 @@ def q_supplier_pair_score(spark, sf_dir):
     return s.select("customer_id", "supplier_id", F.round("score_raw", 4).alias("score_raw"), "score", "level")
 
 
+@query("supplier_pair_score_fitted")
+def q_supplier_pair_score_fitted(spark, sf_dir):
+    """Supplier pair scores with the weights that the run fits."""
+    t = Tables.for_run(spark, sf_dir)
+    s = sup.supplier_pair_scores(_supplier_pairs(t), sup.weights_frame(spark, fitted_weights(t)))
+    return s.select("customer_id", "supplier_id", F.round("score_raw", 4).alias("score_raw"), "score", "level")
+
+
+@query("risk_factors_fitted")
+def q_risk_factors_fitted(spark, sf_dir):
+    t = Tables.for_run(spark, sf_dir)
+    return sup.risk_factors(_supplier_totals(t), sup.weights_frame(spark, fitted_weights(t)))
+
+
 @query("risk_factors")
 def q_risk_factors(spark, sf_dir):
     return sup.risk_factors(_supplier_totals(Tables.for_run(spark, sf_dir)), test_weights(spark))
