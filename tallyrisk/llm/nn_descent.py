@@ -40,8 +40,8 @@ TABLES = 4
 BLOCK = 512
 ROUNDS = 5
 SETTLED = 0.02
-BEAM = 200
-EXPANDED = 40      # nodes of a beam that a round of the search expands, nearest first
+BEAM = 240
+EXPANDED = 60      # nodes of a beam that a round of the search expands, nearest first
 EXACT = 4          # times the asked number of neighbours: the nearest of a beam that are measured exactly
 SEEDS = 256
 SEARCH_ROUNDS = 40
