@@ -1,4 +1,5 @@
 import datetime as dt
+import statistics
 
 from pyspark.sql import functions as F
 
@@ -11,23 +12,32 @@ def test_constant_column_customer_vs_supplier(spark):
     cust = normalize.masked_minmax(df, ["a", "b"], ["k"]).orderBy("b").collect()
     assert [r.n_a for r in cust] == [1.0, 1.0, 1.0]          # constant non-zero -> 1
     assert [r.n_b for r in cust] == [0.0, 0.0, 1.0]          # zero mask, max -> 1
-    sup = normalize.masked_minmax(df, ["a", "b"], ["k"], by_join=True, zero_variance_to_zero=True).collect()
+    sup = normalize.masked_minmax(df, ["a", "b"], ["k"], zero_variance_to_zero=True).collect()
     assert {r.n_a for r in sup} == {0.0}                      # supplier variant: constant -> 0
 
 
-def test_window_and_join_forms_agree(spark):
-    rows = [(k, float(i * k % 7), float((i + k) % 5)) for k in (1, 2, 3) for i in range(6)]
-    df = spark.createDataFrame(rows, ["k", "a", "b"]).withColumn("i", F.monotonically_increasing_id())
-    w = normalize.masked_minmax(df, ["a", "b"], ["k"], by_join=False)
-    j = normalize.masked_minmax(df, ["a", "b"], ["k"], by_join=True)
-    cols = ["i", F.round("n_a", 9).alias("a"), F.round("n_b", 9).alias("b")]
-    assert w.select(*cols).exceptAll(j.select(*cols)).count() == 0
+def test_masked_minmax_against_row_by_row_definition(spark):
+    """The extremes taken from non-zero raw values equal those of the masked z-scores themselves, a hot group included."""
+    rows = [(k, i, float(i * k % 7), None if (i + k) % 9 == 0 else float((i + k) % 5) - 2) for k in (1, 2, 3) for i in range(6)]
+    rows += [(4, i, float(i % 3), float(i)) for i in range(200)] + [(5, 0, 3.0, -1.0), (6, 0, 0.0, None)]
+    df = spark.createDataFrame(rows, "k int, i int, a double, b double")
+    got = {(r.k, r.i): (r.n_a, r.n_b) for r in normalize.masked_minmax(df, ["a", "b"], ["k"]).collect()}
+    for k in {r[0] for r in rows}:
+        group = [r for r in rows if r[0] == k]
+        for col in (2, 3):
+            known = [r[col] for r in group if r[col] is not None]
+            mean = statistics.fmean(known) if known else 0
+            sd = statistics.stdev(known) if len(set(known)) > 1 else None
+            z = [0.0 if r[col] in (0, None) or sd is None else (r[col] - mean) / sd for r in group]
+            for r, v in zip(group, z):
+                want = 0.0 if r[col] == 0 else (v - min(z) + 0.01) / (max(z) - min(z) + 0.01)
+                assert abs(got[k, r[1]][col - 2] - want) < 1e-9
 
 
 def test_rowwise_z_population_std(spark):
     df = spark.createDataFrame([(1.0, 2.0, 3.0)], ["x", "y", "z"])
-    zs = normalize.rowwise_z([F.col("x"), F.col("y"), F.col("z")])
-    got = df.select(*zs).first()
+    df, zs = normalize.rowwise_z(df, "all", ["x", "y", "z"])
+    got = df.select(*zs.values()).first()
     sd = (2 / 3) ** 0.5
     assert abs(got[0] + 1 / sd) < 1e-12 and got[1] == 0.0
 
