@@ -12,7 +12,7 @@ is one shingle.  Equal shingles of a text are told apart by their occurrence num
   (hot buckets become several block pairs): each member meets, in rounds, its 4, then its 64, then all other members of other
   components that share ``AGREE`` or more of its sketch values.  Nothing is emitted for pairs already in one component, so a group of
   thousands of near copies costs rows in proportion to its size, and no candidate between different components is left out.
-* **Verification.**  Candidates are aligned word by word (edit distance by furthest-reaching diagonals) inside the band of diagonals
+* **Verification.**  The words of bucket members, and of no other text, are moved once.  Candidates are aligned word by word (edit distance by furthest-reaching diagonals) inside the band of diagonals
   that the threshold allows.  The similarity is the Jaccard index of the five-word shingles that lie in matched runs of the alignment;
   ``threshold`` (0.8) or more is a link.
 * **Groups** are the connected components of the links.
@@ -24,16 +24,18 @@ rows with equal doc_id are one document (their links join); empty tables give em
 """
 from __future__ import annotations
 
+import re
 from bisect import bisect_left
 from collections.abc import Iterator
 from math import ceil
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import xxhash
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, column, list_column, row_groups
+from .common import Scratch, column, row_groups
 from .components import connected_components
 
 SHINGLE = 5
@@ -51,14 +53,28 @@ _ODD = _RNG.integers(0, 2**63, size=(SHINGLE + BANDS * ROWS, 1), dtype=np.uint64
 _STEP, _FUNCTIONS = _ODD[:SHINGLE, 0], _ODD[SHINGLE:]
 
 
-def words(text: Column) -> Column:
-    """Hashes (int) of a text's words; null where it has none."""
-    def split(pattern: str) -> Column:
-        return F.filter(F.split(F.lower(text), pattern), lambda w: w != "")
+_WORD = re.compile(r"[^\W_]+")
+CACHE_WORDS = 400_000
 
-    letters = split(r"[^\p{L}\p{N}]+")
-    out = F.transform(F.when(F.size(letters) > 0, letters).otherwise(split(r"\s+")), lambda w: F.hash(w))
-    return F.when(F.size(out) > 0, out)
+
+class _Hashes(dict):
+    """32-bit hashes of words; the cache of recurring words is bounded."""
+
+    def __missing__(self, word: str) -> int:
+        if len(self) >= CACHE_WORDS:
+            self.clear()
+        h = self[word] = xxhash.xxh32_intdigest(word.encode("utf-8", "surrogatepass"))
+        return h
+
+
+_HASHES = _Hashes()
+
+
+def words(text: str | None) -> np.ndarray:
+    """Hashes (int32) of a text's words."""
+    low = (text or "").lower()
+    found = _WORD.findall(low) or low.split()
+    return np.array(list(map(_HASHES.__getitem__, found)), dtype=np.uint32).view(np.int32)
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -115,23 +131,38 @@ def sketch(w: np.ndarray) -> np.ndarray:
 
 
 def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """doc_id, class key, band keys and sketch values of every text that has words."""
     salt = _mix(np.arange(1, BANDS + 1, dtype=np.uint64))
-    for batch in batches:
-        values, offsets = list_column(batch, "words")
-        bands, sketches = [], []
-        for a, b in zip(offsets[:-1], offsets[1:]):
-            v = sketch(values[a:b])
-            key = salt.copy()
-            for r in range(ROWS):
-                key = _mix(key + v[r::ROWS])
-            bands.append(key.view(np.int64))
-            sketches.append(v.astype(np.uint32).tobytes())
-        n = batch.num_rows
-        flat = np.concatenate(bands) if bands else np.empty(0, np.int64)
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), batch.column("k1"), batch.column("k2"),
-             pa.ListArray.from_arrays(np.arange(n + 1, dtype=np.int32) * BANDS, pa.array(flat)), pa.array(sketches, pa.binary())],
-            names=["doc_id", "k1", "k2", "bands", "sketch"])
+    for whole in batches:
+        for at in range(0, whole.num_rows, 1024):
+            batch = whole.slice(at, 1024)
+            ids, keys, bands, sketches = [], [], [], []
+            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
+                w = words(text.as_py())
+                if not len(w):
+                    continue
+                v = sketch(w)
+                key = salt.copy()
+                for r in range(ROWS):
+                    key = _mix(key + v[r::ROWS])
+                ids.append(doc_id)
+                keys.append(xxhash.xxh3_128_digest(w.tobytes()))
+                bands.append(key.view(np.int64))
+                sketches.append(v.astype(np.uint32).tobytes())
+            if ids:
+                k = np.frombuffer(b"".join(keys), np.int64).reshape(-1, 2)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(ids, pa.int64()), pa.array(k[:, 0]), pa.array(k[:, 1]),
+                     pa.ListArray.from_arrays(np.arange(len(ids) + 1, dtype=np.int32) * BANDS, pa.array(np.concatenate(bands))),
+                     pa.array(sketches, pa.binary())], names=["doc_id", "k1", "k2", "bands", "sketch"])
+
+
+def _worded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for whole in batches:
+        for at in range(0, whole.num_rows, 1024):
+            batch = whole.slice(at, 1024)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([words(t.as_py()).tobytes() for t in batch.column("text")],
+                                                                              pa.binary())], names=["doc_id", "words"])
 
 
 # ------------------------------------------------------------------ verification
@@ -220,8 +251,8 @@ def _runs(a: np.ndarray, b: np.ndarray, band: int) -> list[int] | None:
 def _verified(threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            (av, ao), (bv, bo) = list_column(batch, "wa"), list_column(batch, "wb")
-            ok = [aligned_similarity(av[ao[i]:ao[i + 1]], bv[bo[i]:bo[i + 1]], threshold) > 0 for i in range(batch.num_rows)]
+            pairs = zip(batch.column("wa"), batch.column("wb"))
+            ok = [aligned_similarity(*(np.frombuffer(x.as_buffer(), np.int32) for x in pair), threshold) > 0 for pair in pairs]
             keep = pa.array(ok, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)], names=["a", "b"])
     return run
@@ -264,42 +295,41 @@ def _partners(low: int, high: int):
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, class_id (smallest doc_id of its group), kept: one row for each row of ``docs``."""
     scratch = Scratch(docs.sparkSession, "order-minhash")
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), words(F.col("text")).alias("words"))
-    sketches = scratch.write(
-        texts.filter("doc_id IS NOT NULL AND words IS NOT NULL")
-        .select("doc_id", "words", F.xxhash64("words").alias("k1"), F.xxhash64(F.lit(1), "words").alias("k2"))
-        .mapInArrow(_sketched, "doc_id long, k1 long, k2 long, bands array<long>, sketch binary"), "sketches")
-    classes = scratch.write(sketches.groupBy("k1", "k2").agg(F.min("doc_id").alias("id")), "classes")
-    copies = (sketches.select("doc_id", "k1", "k2").join(classes, ["k1", "k2"]).filter("doc_id <> id")
-              .select(F.col("doc_id").alias("a"), F.col("id").alias("b")))
-    copies = scratch.write(copies, "copies")
-    reps = (sketches.join(classes.select(F.col("id").alias("doc_id"), "k1", "k2"), ["doc_id", "k1", "k2"], "left_semi")
-            .dropDuplicates(["doc_id", "k1", "k2"]))
-    in_band = reps.select(F.col("doc_id").alias("id"), F.explode("bands").alias("bucket"))
-    shared = scratch.write(in_band.groupBy("bucket").agg(F.min("id").alias("centre"), F.count("*").alias("n")).filter("n > 1"),
-                           "shared")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("doc_id IS NOT NULL")
+    sketches = scratch.write(texts.mapInArrow(_sketched, "doc_id long, k1 long, k2 long, bands array<long>, sketch binary"), "sketches")
+    classes = sketches.groupBy("k1", "k2").agg(F.min("doc_id").alias("id"))
+    named = scratch.write(sketches.select("doc_id", "k1", "k2").join(classes, ["k1", "k2"]).select("doc_id", "id").distinct(), "classes")
+    copies = named.filter("doc_id <> id").select(F.col("doc_id").alias("a"), F.col("id").alias("b"))
+    reps = (sketches.join(named.filter("doc_id = id").select("doc_id"), "doc_id", "left_semi")
+            .dropDuplicates(["doc_id", "k1", "k2"]).select(F.col("doc_id").alias("id"), "bands", "sketch"))
+    in_band = reps.select("id", F.explode("bands").alias("bucket"))
+    shared = in_band.groupBy("bucket").agg(F.min("id").alias("centre"), F.count("*").alias("n")).filter("n > 1")
     members = scratch.write(in_band.join(shared, "bucket"), "members")
-    links = [verify(docs, members.filter("id <> centre").select(F.col("centre").alias("a"), F.col("id").alias("b")).distinct(),
-                    threshold, scratch, "star")]
-    tested = scratch.spark.read.parquet(scratch.path("star-pairs"))
+    # the texts of all members are moved once, as word hashes
+    in_any = members.select(F.col("id").alias("doc_id")).distinct()
+    moved = scratch.write(texts.join(in_any, "doc_id", "left_semi").mapInArrow(_worded, "doc_id long, words binary"), "words")
+    star = members.filter("id <> centre").select(F.col("centre").alias("a"), F.col("id").alias("b")).distinct()
+    tested = scratch.write(star, "star-pairs")
+    links = [scratch.write(verified(tested, moved, threshold), "star")]
+    label = connected_components(links[0], scratch, "cc-star")
     for r, (low, high) in enumerate(WINDOWS):
-        label = connected_components(_all(links), scratch, f"cc{r}")
-        at = scratch.write(members.join(label.withColumnRenamed("node", "id"), "id", "left")
-                           .select("bucket", "id", "n", F.coalesce("component", "id").alias("label")), f"label{r}")
-        open_ = at.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x <> y").select("bucket")
-        rest = at.join(open_, "bucket")
+        rest = scratch.write(_unsettled(members, label), f"rest-{r}")
+        if not rest.limit(1).count():
+            break
         blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-        placed = (rest.withColumn("blocks", blocks).withColumn("home", F.pmod(F.xxhash64("id", "bucket"), "blocks").cast("int"))
-                  .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        placed = (rest.withColumn("home", F.pmod(F.xxhash64("id", "bucket"), blocks).cast("int"))
+                  .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
                   .withColumns({"lo": F.least("home", "other"), "hi": F.greatest("home", "other")})
-                  .join(reps.select(F.col("doc_id").alias("id"), "sketch"), "id")
+                  .join(reps.select("id", "sketch"), "id")
                   .select("bucket", "lo", "hi", "home", "id", "label", "sketch"))
-        pairs = (placed.repartition("bucket", "lo", "hi").sortWithinPartitions("bucket", "lo", "hi")
-                 .mapInArrow(_partners(low, high), "a long, b long").distinct().join(tested, ["a", "b"], "left_anti"))
-        links.append(verify(docs, pairs, threshold, scratch, f"round{r}"))
-        tested = tested.unionByName(scratch.spark.read.parquet(scratch.path(f"round{r}-pairs")))
-        if not links[-1].limit(1).count() and not rest.limit(1).count():
-            break
+        pairs = scratch.write(placed.repartition("bucket", "lo", "hi").sortWithinPartitions("bucket", "lo", "hi")
+                              .mapInArrow(_partners(low, high), "a long, b long").distinct().join(tested, ["a", "b"], "left_anti"),
+                              f"round{r}-pairs")
+        if not pairs.limit(1).count():
+            continue
+        tested = tested.unionByName(pairs)
+        links.append(scratch.write(verified(pairs, moved, threshold), f"round{r}"))
+        label = connected_components(_all(links), scratch, f"cc{r}")
     found = connected_components(_all([*links, copies]), scratch, "final")
     return (docs.select(F.col("doc_id").cast("long").alias("doc_id"))
             .join(found.withColumnsRenamed({"node": "doc_id", "component": "class_id"}), "doc_id", "left")
@@ -307,6 +337,14 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
             .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(True))))
 
 
+def _unsettled(members: DataFrame, label: DataFrame) -> DataFrame:
+    """Members (with their component) of the buckets that hold two components or more."""
+    at = (members.join(label.withColumnRenamed("node", "id"), "id", "left")
+          .select("bucket", "id", "n", F.coalesce("component", "id").alias("label")))
+    open_ = at.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x <> y").select("bucket")
+    return at.join(open_, "bucket")
+
+
 def _all(links: list[DataFrame]) -> DataFrame:
     out = links[0]
     for x in links[1:]:
@@ -314,15 +352,8 @@ def _all(links: list[DataFrame]) -> DataFrame:
     return out
 
 
-def verify(docs: DataFrame, pairs: DataFrame, threshold: float, scratch: Scratch, name: str) -> DataFrame:
-    """The pairs (a, b) whose aligned similarity reaches the threshold.  Only the texts that occur in pairs are moved."""
-    pairs = scratch.write(pairs, f"{name}-pairs")
-    ids = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    texts = scratch.write(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(ids, "doc_id", "left_semi")
-                          .select("doc_id", words(F.col("text")).alias("words")).filter("words IS NOT NULL"), f"{name}-words")
-    out = (pairs.join(texts.select(F.col("doc_id").alias("b"), F.col("words").alias("wb")), "b")
-           .join(texts.select(F.col("doc_id").alias("a"), F.col("words").alias("wa")), "a")
-           .select("a", "b", "wa", "wb").mapInArrow(_verified(threshold), "a long, b long"))
-    out = scratch.write(out, name)
-    scratch.drop(f"{name}-words")
-    return out
+def verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """The pairs (a, b) whose aligned similarity reaches the threshold; ``texts``: doc_id, words."""
+    return (pairs.join(texts.select(F.col("doc_id").alias("b"), F.col("words").alias("wb")), "b")
+            .join(texts.select(F.col("doc_id").alias("a"), F.col("words").alias("wa")), "a")
+            .select("a", "b", "wa", "wb").mapInArrow(_verified(threshold), "a long, b long"))
