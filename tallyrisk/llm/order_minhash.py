@@ -20,7 +20,7 @@ is one shingle.  Equal shingles of a text are told apart by their occurrence num
 A pair at the threshold is found with probability of about ``1 - (1 - 0.64**ROWS)**BANDS`` = 0.9998, more similar pairs more surely.
 
 Defined results: null texts and texts without words are never linked; rows with null doc_id are not compared and have a null class;
-rows with equal doc_id are one document (their links join); empty tables give empty results; other columns are ignored.
+rows with equal doc_id share the smallest class of any of their texts; empty tables give empty results; other columns are ignored.
 """
 from __future__ import annotations
 
@@ -299,14 +299,14 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     sketches = scratch.write(texts.mapInArrow(_sketched, "doc_id long, k1 long, k2 long, bands array<long>, sketch binary"), "sketches")
     classes = sketches.groupBy("k1", "k2").agg(F.min("doc_id").alias("id"))
     named = scratch.write(sketches.select("doc_id", "k1", "k2").join(classes, ["k1", "k2"]).select("doc_id", "id").distinct(), "classes")
-    copies = named.filter("doc_id <> id").select(F.col("doc_id").alias("a"), F.col("id").alias("b"))
     reps = (sketches.join(named.filter("doc_id = id").select("doc_id"), "doc_id", "left_semi")
             .dropDuplicates(["doc_id", "k1", "k2"]).select(F.col("doc_id").alias("id"), "bands", "sketch"))
     in_band = reps.select("id", F.explode("bands").alias("bucket"))
     shared = in_band.groupBy("bucket").agg(F.min("id").alias("centre"), F.count("*").alias("n")).filter("n > 1")
     members = scratch.write(in_band.join(shared, "bucket"), "members")
     # the texts of all members are moved once, as word hashes
-    in_any = members.select(F.col("id").alias("doc_id")).distinct()
+    # (a merge join at every size: whether the ids fit a broadcast must not change what is shuffled)
+    in_any = members.select(F.col("id").alias("doc_id")).distinct().hint("merge")
     moved = scratch.write(texts.join(in_any, "doc_id", "left_semi").mapInArrow(_worded, "doc_id long, words binary"), "words")
     star = members.filter("id <> centre").select(F.col("centre").alias("a"), F.col("id").alias("b")).distinct()
     tested = scratch.write(star, "star-pairs")
@@ -330,9 +330,10 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         tested = tested.unionByName(pairs)
         links.append(scratch.write(verified(pairs, moved, threshold), f"round{r}"))
         label = connected_components(_all(links), scratch, f"cc{r}")
-    found = connected_components(_all([*links, copies]), scratch, "final")
-    return (docs.select(F.col("doc_id").cast("long").alias("doc_id"))
-            .join(found.withColumnsRenamed({"node": "doc_id", "component": "class_id"}), "doc_id", "left")
+    # a document's group: that of its class; the class is named by its smallest doc_id, so is the component
+    groups = (named.join(label.withColumnRenamed("node", "id"), "id", "left").groupBy("doc_id")
+              .agg(F.min(F.coalesce("component", "id")).alias("class_id")))
+    return (docs.select(F.col("doc_id").cast("long").alias("doc_id")).join(groups, "doc_id", "left")
             .withColumn("class_id", F.coalesce("class_id", "doc_id"))
             .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(True))))
 
