@@ -3,12 +3,13 @@
 Every text is cut into units: at line ends, after a sentence end (``.``, ``!`` or ``?`` and white space) and before a word that begins with
 a capital.  The cuts depend on the text next to them alone, so a passage gives the same units wherever it stands,
 also in the middle of a line.  Units are normalised (lower case, single spaces), hashed to 128 bits and grouped globally.
-A unit *repeats* if an occurrence of lower rank (doc_id, then place) exists.  Units of fewer than ``MIN_UNIT_WORDS``
-words are neutral: they are not hashed, and neither make nor break a run.  A maximal run of repeating units with no other unit
-between them is removed if its units have ``min_words`` words or more; the removed span reaches from the run's first
-character to its last, with the white space behind it.
+A unit *repeats* if an occurrence of lower rank (doc_id, then place) exists.  A unit of fewer than ``MIN_UNIT_WORDS``
+words says too little alone: it is hashed together with the units behind it, and with those before it, up to the next longer unit or
+``MIN_WORDS`` words, and repeats if such a window does.  (A window that overlaps the earliest one of its digest does not count.)  A maximal
+run of repeating units is removed if its units have ``min_words`` words or more; the removed span reaches from the run's first
+character to its last, with the white space behind it.  Any unit that does not repeat ends the run.
 
-Work: one narrow row for each unit.  The earliest rank of a digest is a minimum (map-side combined, so a digest with a
+Work: one narrow row for each unit, two for each short one.  The earliest rank of a digest is a minimum (map-side combined, so a digest with a
 third of all rows is harmless); only digests seen twice are joined back to their occurrences, which AQE may split; nothing
 gathers a digest's occurrences.  Repeat marks meet their document by its key, and each text is cut again there to get the offsets.
 
@@ -40,30 +41,53 @@ SPAN = "array<struct<start:int,end:int>>"
 
 
 def cut(text: str) -> list[tuple[int, int, str, int]]:
-    """(start, end, normalised text, words) of every unit with words enough; the units of a text tile it."""
+    """(start, end, normalised text, words) of every unit that is not blank; the units of a text tile it but for blanks."""
     out, at = [], 0
     for end in [m.end() for m in _CUT.finditer(text)] + [len(text)]:
         if end > at:
             norm = " ".join(text[at:end].lower().split())
-            n = norm.count(" ") + 1
-            if n >= MIN_UNIT_WORDS:
-                out.append((at, end, norm, n))
+            if norm:
+                out.append((at, end, norm, norm.count(" ") + 1))
         at = end
     return out
 
 
-_OCC = pa.schema([("doc_id", pa.int64()), ("place", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64())])
+def windows(units: list[tuple[int, int, str, int]]) -> list[tuple[int, int, str]]:
+    """(first unit, units, hashed text): every long unit alone, every short one with its neighbours on either side."""
+    out: dict[tuple[int, int], str] = {}
+    for i, (_, _, norm, n) in enumerate(units):
+        if n >= MIN_UNIT_WORDS:
+            out[i, 1] = norm
+            continue
+        for step in (1, -1):
+            total, j = n, i
+            while total < MIN_WORDS and 0 <= j + step < len(units):
+                j += step
+                total += units[j][3]
+                if units[j][3] >= MIN_UNIT_WORDS:
+                    break
+            else:
+                if total < MIN_WORDS:
+                    continue    # the text ends first: the window of the other side has these units
+            a, b = min(i, j), max(i, j) + 1
+            if (a, b - a) not in out:
+                out[a, b - a] = " ".join(u[2] for u in units[a:b])
+    return [(a, n, t) for (a, n), t in out.items()]
+
+
+_OCC = pa.schema([("doc_id", pa.int64()), ("place", pa.int64()), ("n", pa.int32()), ("d1", pa.int64()), ("d2", pa.int64())])
 FLUSH = 200_000
 
 
 def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     docs: list = []
     places: list[int] = []
+    sizes: list[int] = []
     digests: list[bytes] = []
 
     def flush():
         raw = np.frombuffer(b"".join(digests), dtype=">i8").reshape(-1, 2).astype(np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(places, pa.int64()),
+        return pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(places, pa.int64()), pa.array(sizes, pa.int32()),
                                            pa.array(raw[:, 0]), pa.array(raw[:, 1])], schema=_OCC)
 
     for batch in batches:
@@ -71,14 +95,15 @@ def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             text = text.as_py()
             if not text:
                 continue
-            units = cut(text)
+            found = windows(cut(text))
             first = h << 32
-            docs += [doc_id] * len(units)
-            places += range(first, first + len(units))
-            digests += [xxhash.xxh3_128_digest(u[2].encode("utf-8", "surrogatepass")) for u in units]
+            docs += [doc_id] * len(found)
+            places += [first + i for i, _, _ in found]
+            sizes += [n for _, n, _ in found]
+            digests += [xxhash.xxh3_128_digest(t.encode("utf-8", "surrogatepass")) for _, _, t in found]
             if len(docs) >= FLUSH:
                 yield flush()
-                docs, places, digests = [], [], []
+                docs, places, sizes, digests = [], [], [], []
     if docs:
         yield flush()
 
@@ -89,22 +114,24 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 
 def repeats(docs: DataFrame) -> DataFrame:
-    """(doc_id, place) of every unit of which an earlier occurrence exists."""
-    occ = _keyed(docs).select("doc_id", "_h", "text").mapInArrow(_occurrences, "doc_id long, place long, d1 long, d2 long")
-    first = (occ.groupBy("d1", "d2").agg(F.min(F.struct("doc_id", "place")).alias("first"), F.count("*").alias("n"))
-             .filter("n > 1").select("d1", "d2", F.col("first.doc_id").alias("f_doc"), F.col("first.place").alias("f_place")))
+    """(doc_id, place, n) of every window of which an earlier occurrence exists that it does not overlap."""
+    occ = _keyed(docs).select("doc_id", "_h", "text").mapInArrow(_occurrences, "doc_id long, place long, n int, d1 long, d2 long")
+    first = (occ.groupBy("d1", "d2").agg(F.min(F.struct("doc_id", "place", "n")).alias("first"), F.count("*").alias("seen"))
+             .filter("seen > 1").select("d1", "d2", F.col("first.doc_id").alias("f_doc"),
+                                        (F.col("first.place") + F.col("first.n")).alias("f_end")))
     return (occ.join(first, ["d1", "d2"])
-            .filter(~(F.col("doc_id").eqNullSafe(F.col("f_doc")) & (F.col("place") == F.col("f_place"))))
-            .select("doc_id", "place"))
+            .filter(~(F.col("doc_id").eqNullSafe(F.col("f_doc")) & (F.col("place") < F.col("f_end"))))
+            .select("doc_id", "place", "n"))
 
 
-def spans(text: str, marked: list[int], min_words: int) -> list[tuple[int, int]]:
-    """Removed spans of one text; ``marked``: numbers of its repeating units."""
+def spans(text: str, marked: list[dict], min_words: int) -> list[tuple[int, int]]:
+    """Removed spans of one text; ``marked``: its repeating windows (first unit ``i`` and number of units ``n``)."""
     units = cut(text)
     out: list[tuple[int, int]] = []
     i = 0
     flag = np.zeros(len(units), dtype=bool)
-    flag[np.asarray(marked, dtype=np.int64)] = True
+    for m in marked:
+        flag[m["i"]:m["i"] + m["n"]] = True
     while i < len(units):
         j = i
         while j < len(units) and flag[j]:
@@ -119,7 +146,7 @@ def substring_dedup(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` with repeated passages taken out of ``text``; ``removed`` lists their (start, end) in the original text."""
     docs = docs.drop("removed")
     marks = (repeats(docs).groupBy("doc_id", F.shiftright("place", 32).cast("int").alias("_h"))
-             .agg(F.collect_set(F.col("place").bitwiseAND(0xFFFFFFFF).cast("int")).alias("_marks"))
+             .agg(F.collect_set(F.struct(F.col("place").bitwiseAND(0xFFFFFFFF).cast("int").alias("i"), "n")).alias("_marks"))
              .withColumnRenamed("doc_id", "_doc").withColumnRenamed("_h", "_mh"))
     names, fields = docs.columns, docs.schema.fields
     joined = (_keyed(docs).join(marks, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_h") == F.col("_mh")), "left")

@@ -39,3 +39,22 @@ def test_repeated_rows_equal_ids_and_a_very_long_text(spark):
 def test_empty_table(spark):
     df = spark.createDataFrame([(1, "x")], "doc_id long, text string").filter(F.lit(False))
     assert S.substring_dedup(df).count() == 0
+
+
+def test_a_span_ends_at_short_units_that_stand_nowhere_else(spark):
+    a, b = "this line of plain words stands in many documents", "and so does this other line of some words"
+    table = "\n".join(f"Ada{i} Lee{i}" for i in range(20))
+    rows = [(1, f"{a}\n{b}", ""), (2, f"{a}\n{table}\n{b}", "")]
+    got = {r.doc_id: r.text for r in _run(spark, rows)}
+    assert got[1] == rows[0][1] and table in got[2]
+
+
+def test_short_units_count(spark):
+    caps = "THE SOFTWARE IS SOLD AS IS WITHOUT ANY KIND OF PROMISE OR DUTY TO REPAIR IT"
+    title = "One Two Three Four Five Six Seven Eight Nine Ten Eleven Twelve Thirteen Fourteen"
+    rows = [(1, f"first {caps} here", ""), (2, f"second {caps} there", ""), (3, f"with Title {title}", ""), (4, title, ""),
+            (5, "Two One Four Three Six Five Eight Seven Ten Nine Twelve Eleven Fourteen Thirteen", ""), (6, "HA " * 40, "")]
+    got = {r.doc_id: r.text for r in _run(spark, rows)}
+    assert got[1] == rows[0][1] and got[2] == "second IT there"
+    assert got[4] == "" and got[5] == rows[4][1]      # the same words in another order are no repeat
+    assert got[6] == "HA " * 13                       # the earliest occurrence stays whole
