@@ -1,13 +1,16 @@
 """Substring dedup by unit hashing: keep the earliest occurrence of a repeated passage, remove the later ones.
 
-Every text is cut into units: at line ends, after a sentence end (``.``, ``!`` or ``?`` and white space) and before a word that begins with
-a capital.  The cuts depend on the text next to them alone, so a passage gives the same units wherever it stands,
+Every text is cut into units: at line ends, after a sentence end (``.``, ``!`` or ``?`` and white space; ``。``, ``！`` or ``？``), at blanks
+behind a character of a script written without blanks, and before a word that begins with a capital.  The cuts depend on the text next to them alone, so a passage gives the same units wherever it stands,
 also in the middle of a line.  Units are normalised (lower case, single spaces), hashed to 128 bits and grouped globally.
 A unit *repeats* if an occurrence of lower rank (doc_id, then place) exists.  A unit of fewer than ``MIN_UNIT_WORDS``
 words says too little alone: it is hashed together with the units behind it, and with those before it, up to the next longer unit or
 ``MIN_WORDS`` words, and repeats if such a window does.  (A window that overlaps the earliest one of its digest does not count.)  A maximal
 run of repeating units is removed if its units have ``min_words`` words or more; the removed span reaches from the run's first
 character to its last, with the white space behind it.  Any unit that does not repeat ends the run.
+Beside the units, whole lines of ``MIN_UNIT_WORDS`` words or more are hashed, and whole paragraphs (lines between blank lines) that hold a
+shorter line; the units of one that repeats as such repeat.  A word is a stretch without blanks; in the scripts written without blanks
+(Chinese, Japanese, Thai, Lao, Khmer, Burmese) every character is one.
 
 Work: one narrow row for each unit, two for each short one.  The earliest rank of a digest is a minimum (map-side combined, so a digest with a
 third of all rows is harmless); only digests seen twice are joined back to their occurrences, which AQE may split; nothing
@@ -35,11 +38,18 @@ MIN_WORDS = 13
 MIN_UNIT_WORDS = 3
 #: capital letters (category Lu), as a character class
 _CAPITALS = "".join(re.escape(c) for c in map(chr, range(0x110000)) if unicodedata.category(c) == "Lu")
-_CUT = re.compile(rf"(?<=[.!?])\s+|\n|\s(?=[{_CAPITALS}])")
+#: scripts written without blanks: Thai, Lao, Burmese, Khmer, kana, Han
+_UNSPACED = "\u0e01-\u0eff\u1000-\u109f\u1780-\u17ff\u3041-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+_CUT = re.compile(rf"(?<=[.!?])\s+|(?<=[。！？])\s*|(?<=[{_UNSPACED}])\s+|\n|\s(?=[{_CAPITALS}])")
+_WORD = re.compile(rf"[{_UNSPACED}]|[^\s{_UNSPACED}]+")
 
 SPAN = "array<struct<start:int,end:int>>"
 
 
+def count_words(norm: str) -> int:
+    return norm.count(" ") + 1 if norm.isascii() else len(_WORD.findall(norm))
+
+
 def cut(text: str) -> list[tuple[int, int, str, int]]:
     """(start, end, normalised text, words) of every unit that is not blank; the units of a text tile it but for blanks."""
     out, at = [], 0
@@ -47,7 +57,7 @@ def cut(text: str) -> list[tuple[int, int, str, int]]:
         if end > at:
             norm = " ".join(text[at:end].lower().split())
             if norm:
-                out.append((at, end, norm, norm.count(" ") + 1))
+                out.append((at, end, norm, count_words(norm)))
         at = end
     return out
 
@@ -75,6 +85,31 @@ def windows(units: list[tuple[int, int, str, int]]) -> list[tuple[int, int, str]
     return [(a, n, t) for (a, n), t in out.items()]
 
 
+def wholes(text: str, units: list[tuple[int, int, str, int]]) -> list[tuple[int, int, str]]:
+    """(first unit, units, hashed text) of whole lines, and of whole paragraphs that hold a line too short to be hashed by itself.
+
+    The hashed text begins with a line end, or two, which no unit's has: a line is compared with lines only."""
+    out: list[tuple[int, int, str]] = []
+    line = par = 0
+    lines: list[str] = []
+    short = False
+    for i, u in enumerate(units):
+        ends = text.count("\n", u[0], units[i + 1][0]) if i + 1 < len(units) else 2
+        if not ends:
+            continue
+        lines.append(" ".join(x[2] for x in units[line:i + 1]))
+        if sum(x[3] for x in units[line:i + 1]) >= MIN_UNIT_WORDS:
+            out.append((line, i + 1 - line, "\n" + lines[-1]))
+        else:
+            short = True
+        line = i + 1
+        if ends > 1:
+            if short and len(lines) > 1 and sum(x[3] for x in units[par:line]) >= MIN_UNIT_WORDS:
+                out.append((par, line - par, "\n\n" + "\n".join(lines)))
+            par, lines, short = line, [], False
+    return out
+
+
 _OCC = pa.schema([("doc_id", pa.int64()), ("place", pa.int64()), ("n", pa.int32()), ("d1", pa.int64()), ("d2", pa.int64())])
 FLUSH = 200_000
 
@@ -95,7 +130,8 @@ def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             text = text.as_py()
             if not text:
                 continue
-            found = windows(cut(text))
+            units = cut(text)
+            found = windows(units) + wholes(text, units)
             first = h << 32
             docs += [doc_id] * len(found)
             places += [first + i for i, _, _ in found]

@@ -58,3 +58,19 @@ def test_short_units_count(spark):
     assert got[1] == rows[0][1] and got[2] == "second IT there"
     assert got[4] == "" and got[5] == rows[4][1]      # the same words in another order are no repeat
     assert got[6] == "HA " * 13                       # the earliest occurrence stays whole
+
+
+def test_texts_and_lines_without_blanks(spark):
+    zh = "\u672c\u8f6f\u4ef6\u6309\u539f\u6837\u63d0\u4f9b\u4e0d\u9644\u5e26\u4efb\u4f55\u660e\u793a\u6216\u9ed8\u793a\u7684\u4fdd\u8bc1"
+    th = "\u0e02\u0e49\u0e2d\u0e04\u0e27\u0e32\u0e21\u0e19\u0e35\u0e49\u0e0b\u0e49\u0e33\u0e01\u0e31\u0e19\u0e17\u0e38\u0e01\u0e1a\u0e23\u0e23\u0e17\u0e31\u0e14"
+    rows = [(1, zh, ""), (2, zh, ""), (3, f"one\n{th}\ntwo", ""), (4, f"three\n{th}\nfour", ""), (5, f"\u7532\u4e59\u3002{zh}\u3002\u4e19\u4e01", ""),
+            (6, f"\u620a\u5df1\u3002{zh}\u3002\u5e9a\u8f9b", "")]
+    got = {r.doc_id: r.text for r in _run(spark, rows)}
+    assert got[1] == zh and got[2] == "" and got[3] == rows[2][1] and got[4] == "three\nfour"
+    assert got[5] == rows[4][1] and got[6] == "\u620a\u5df1\u3002\u5e9a\u8f9b"
+
+
+def test_equal_lines_of_capitals_cut_differently_before_them(spark):
+    line = "ALL OF THIS LINE IS WRITTEN IN CAPITALS AND STANDS IN TWO OF THE TEXTS"
+    got = {r.doc_id: r.text for r in _run(spark, [(1, f"a\n{line}", ""), (2, f"{line}\nb", "")])}
+    assert got == {1: f"a\n{line}", 2: "b"}
