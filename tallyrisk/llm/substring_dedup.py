@@ -9,7 +9,8 @@ words says too little alone: it is hashed together with the units behind it, and
 run of repeating units is removed if its units have ``min_words`` words or more; the removed span reaches from the run's first
 character to its last, with the white space behind it.  Any unit that does not repeat ends the run.
 Beside the units, whole lines of ``MIN_UNIT_WORDS`` words or more are hashed, and whole paragraphs (lines between blank lines) that hold a
-shorter line; the units of one that repeats as such repeat.  A word is a stretch without blanks; in the scripts written without blanks
+shorter line.  One that repeats as such is removed whatever its length; the floor of ``min_words`` is for pieces cut from inside lines.
+So what stays of earlier-seen text are pieces below that floor and lines of one or two words that stand alone.  A word is a stretch without blanks; in the scripts written without blanks
 (Chinese, Japanese, Thai, Lao, Khmer, Burmese) every character is one.
 
 Work: one narrow row for each unit, two for each short one.  The earliest rank of a digest is a minimum (map-side combined, so a digest with a
@@ -86,7 +87,7 @@ def windows(units: list[tuple[int, int, str, int]]) -> list[tuple[int, int, str]
 
 
 def wholes(text: str, units: list[tuple[int, int, str, int]]) -> list[tuple[int, int, str]]:
-    """(first unit, units, hashed text) of whole lines, and of whole paragraphs that hold a line too short to be hashed by itself.
+    """(first unit, units as a negative number, hashed text) of whole lines, and of whole paragraphs that hold a line too short to be hashed by itself.
 
     The hashed text begins with a line end, or two, which no unit's has: a line is compared with lines only."""
     out: list[tuple[int, int, str]] = []
@@ -99,13 +100,13 @@ def wholes(text: str, units: list[tuple[int, int, str, int]]) -> list[tuple[int,
             continue
         lines.append(" ".join(x[2] for x in units[line:i + 1]))
         if sum(x[3] for x in units[line:i + 1]) >= MIN_UNIT_WORDS:
-            out.append((line, i + 1 - line, "\n" + lines[-1]))
+            out.append((line, line - i - 1, "\n" + lines[-1]))
         else:
             short = True
         line = i + 1
         if ends > 1:
             if short and len(lines) > 1 and sum(x[3] for x in units[par:line]) >= MIN_UNIT_WORDS:
-                out.append((par, line - par, "\n\n" + "\n".join(lines)))
+                out.append((par, par - line, "\n\n" + "\n".join(lines)))
             par, lines, short = line, [], False
     return out
 
@@ -154,28 +155,29 @@ def repeats(docs: DataFrame) -> DataFrame:
     occ = _keyed(docs).select("doc_id", "_h", "text").mapInArrow(_occurrences, "doc_id long, place long, n int, d1 long, d2 long")
     first = (occ.groupBy("d1", "d2").agg(F.min(F.struct("doc_id", "place", "n")).alias("first"), F.count("*").alias("seen"))
              .filter("seen > 1").select("d1", "d2", F.col("first.doc_id").alias("f_doc"),
-                                        (F.col("first.place") + F.col("first.n")).alias("f_end")))
+                                        (F.col("first.place") + F.abs("first.n")).alias("f_end")))
     return (occ.join(first, ["d1", "d2"])
             .filter(~(F.col("doc_id").eqNullSafe(F.col("f_doc")) & (F.col("place") < F.col("f_end"))))
             .select("doc_id", "place", "n"))
 
 
+def _true_runs(flag: np.ndarray) -> list[tuple[int, int]]:
+    """(start, end) of every maximal run of set flags."""
+    return np.flatnonzero(np.diff(flag, prepend=False, append=False)).reshape(-1, 2).tolist()
+
+
 def spans(text: str, marked: list[dict], min_words: int) -> list[tuple[int, int]]:
-    """Removed spans of one text; ``marked``: its repeating windows (first unit ``i`` and number of units ``n``)."""
+    """Removed spans of one text; ``marked``: its repeating windows (first unit ``i`` and number of units ``n``, negative for a whole line)."""
     units = cut(text)
-    out: list[tuple[int, int]] = []
-    i = 0
-    flag = np.zeros(len(units), dtype=bool)
+    flag, gone = np.zeros((2, len(units)), dtype=bool)
     for m in marked:
-        flag[m["i"]:m["i"] + m["n"]] = True
-    while i < len(units):
-        j = i
-        while j < len(units) and flag[j]:
-            j += 1
-        if j > i and sum(u[3] for u in units[i:j]) >= min_words:
-            out.append((units[i][0], units[j - 1][1]))
-        i = max(j, i + 1)
-    return out
+        flag[m["i"]:m["i"] + abs(m["n"])] = True
+        if m["n"] < 0:
+            gone[m["i"]:m["i"] - m["n"]] = True
+    for i, j in _true_runs(flag):
+        if sum(u[3] for u in units[i:j]) >= min_words:
+            gone[i:j] = True
+    return [(units[i][0], units[j - 1][1]) for i, j in _true_runs(gone)]
 
 
 def substring_dedup(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:

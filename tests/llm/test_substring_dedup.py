@@ -74,3 +74,12 @@ def test_equal_lines_of_capitals_cut_differently_before_them(spark):
     line = "ALL OF THIS LINE IS WRITTEN IN CAPITALS AND STANDS IN TWO OF THE TEXTS"
     got = {r.doc_id: r.text for r in _run(spark, [(1, f"a\n{line}", ""), (2, f"{line}\nb", "")])}
     assert got == {1: f"a\n{line}", 2: "b"}
+
+
+def test_a_repeated_line_goes_whatever_its_length(spark):
+    line, inside = "Read more on our site", "Own words then read more on our site today"
+    rows = [(1, f"first text\n{line}\nits end", ""), (2, f"second text\n{line}\nanother end", ""), (3, inside, ""),
+            (4, "Ada Lee\nTen Road\n\nown four words here", ""), (5, "own five words here\n\nAda Lee\nTen Road", ""), (6, "Ada Lee\nNo Road", "")]
+    got = {r.doc_id: r.text for r in _run(spark, rows)}
+    assert got[1] == rows[0][1] and got[2] == "second text\nanother end" and got[3] == inside
+    assert got[4] == rows[3][1] and got[5] == "own five words here\n\n" and got[6] == rows[5][1]
