@@ -9,7 +9,8 @@ Evidence of a row, fused as log likelihoods plus a log prior:
 * **host prior**: language shares of the host, smoothed towards its domain's, those towards its suffix's, those towards the whole
   corpus's (``SMOOTHING`` pseudo rows at each level).
 
-The text model is fitted on at most ``SAMPLE`` labelled rows (whole texts, smallest hash of text and label first).  Everything else covers all
+The text model is fitted on at most ``SAMPLE`` different texts of each label that hold a letter (whole texts, smallest hash of text and
+label first): however rare a labelled language is and however often a text is copied, it has its model.  Everything else covers all
 rows: one pass sums the text-only posteriors by host (combined map-side, so a host with a third of all rows is one partial
 row a task), and a second pass judges every row with its host's prior.  The prior table grows with the number of hosts and is joined, not
 collected.
@@ -24,7 +25,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -78,9 +79,13 @@ def trigrams(text: str) -> np.ndarray:
 
 
 def fit(df: DataFrame, label: Column, text: str, sample: int = SAMPLE) -> np.ndarray:
-    """(BUCKETS, languages + und) log likelihoods from at most ``sample`` labelled rows."""
-    rows = (df.select(label.alias("label"), F.col(text).alias("text")).filter(F.col("label").isin(*LANGUAGES) & F.col("text").isNotNull())
-            .orderBy(F.xxhash64("label", "text")).limit(sample))
+    """(BUCKETS, languages + und) log likelihoods from at most ``sample`` different texts of each label."""
+    labelled = (df.select(label.alias("label"), F.col(text).alias("text")).filter(F.col("label").isin(*LANGUAGES) & F.col("text").rlike(r"\p{L}"))
+                .withColumn("h", F.xxhash64("label", "text")))
+    hashes = Scratch(df.sparkSession, "language-fit").write(labelled.select("label", "h").distinct(), "hashes")
+    smallest = [hashes.filter(F.col("label") == x).orderBy("h").limit(sample) for x in LANGUAGES]
+    rows = (labelled.join(F.broadcast(reduce(DataFrame.unionByName, smallest)), ["label", "h"])
+            .groupBy("label", "h").agg(F.min("text").alias("text")).select("label", "text"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((len(LANGUAGES), BUCKETS), np.int64)

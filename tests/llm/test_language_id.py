@@ -77,3 +77,15 @@ def test_unlike_junk_is_rejected(spark):
     model = L.fit(_docs(spark), F.col("lang"), "text")
     row = L.identify(df, model=model).first()
     assert row.language == "und" and not row.accepted
+
+
+def test_every_label_has_a_model_and_copies_count_once(spark):
+    en = [f"the words of the english text number {i} and that is all" for i in range(300)]
+    rows = [(t, "en") for t in en] + [(en[7], "en")] * 200 + [(f"{i} !", "fr") for i in range(50)] + [("le chat est sur la table", "fr")]
+    df = spark.createDataFrame(rows, "text string, lang string")
+    model = L.fit(df, F.col("lang"), "text", sample=20)
+    fr, en_ = L.LANGUAGES.index("fr"), L.LANGUAGES.index("en")
+    assert model[:, fr].min() > -100 and model[:, en_].min() > -100 and model[:, L.LANGUAGES.index("de")].max() == -1000
+    assert (model == L.fit(df.distinct(), F.col("lang"), "text", sample=20)).all()
+    got = L.identify(df, L.Evidence("text", "lang", None), model=model).filter("text like 'le %'").first()
+    assert got.language == "fr" and got.accepted
