@@ -45,7 +45,7 @@ ROWS = 2
 PICKS = 2
 AGREE = 9        # of BANDS * ROWS; a pair at the threshold has about 20, fewer than 9 about once in 1e5
 BLOCK = 1024
-WINDOWS = ((0, 4), (4, 64), (64, 1 << 30))
+RANKS = (4, 64, 1 << 30)
 SEED = 7321
 
 _RNG = np.random.default_rng(SEED)
@@ -260,8 +260,10 @@ def _verified(threshold: float):
 
 # ------------------------------------------------------------------ candidates
 
-def _partners(low: int, high: int):
-    """Over rows sorted by block pair: pairs of different components by rank of sketch agreement in [low, high)."""
+def _partners(high: int):
+    """Over rows sorted by block pair and id: pairs of different components by rank of sketch agreement below ``high``.
+
+    Ranks start at 0 in every round, for equal agreements are ranked by row order; pairs tested before are left out by the caller."""
     keys = ["bucket", "lo", "hi"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -282,7 +284,7 @@ def _partners(low: int, high: int):
                 np.fill_diagonal(agree, 0)
                 rank = np.empty((n, n), np.int32)
                 np.put_along_axis(rank, np.argsort(-agree, axis=1, kind="stable"), np.arange(n, dtype=np.int32)[None, :], axis=1)
-                take = (agree >= AGREE) & (rank >= low) & (rank < high) & np.not_equal.outer(label[s:e], label[s:e])
+                take = (agree >= AGREE) & (rank < high) & np.not_equal.outer(label[s:e], label[s:e])
                 i, j = np.nonzero(take)
                 out_a.append(np.minimum(ids[s:e][i], ids[s:e][j]))
                 out_b.append(np.maximum(ids[s:e][i], ids[s:e][j]))
@@ -312,7 +314,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     tested = scratch.write(star, "star-pairs")
     links = [scratch.write(verified(tested, moved, threshold), "star")]
     label = connected_components(links[0], scratch, "cc-star")
-    for r, (low, high) in enumerate(WINDOWS):
+    for r, high in enumerate(RANKS):
         rest = scratch.write(_unsettled(members, label), f"rest-{r}")
         if not rest.limit(1).count():
             break
@@ -322,8 +324,8 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
                   .withColumns({"lo": F.least("home", "other"), "hi": F.greatest("home", "other")})
                   .join(reps.select("id", "sketch"), "id")
                   .select("bucket", "lo", "hi", "home", "id", "label", "sketch"))
-        pairs = scratch.write(placed.repartition("bucket", "lo", "hi").sortWithinPartitions("bucket", "lo", "hi")
-                              .mapInArrow(_partners(low, high), "a long, b long").distinct().join(tested, ["a", "b"], "left_anti"),
+        pairs = scratch.write(placed.repartition("bucket", "lo", "hi").sortWithinPartitions("bucket", "lo", "hi", "id")
+                              .mapInArrow(_partners(high), "a long, b long").distinct().join(tested, ["a", "b"], "left_anti"),
                               f"round{r}-pairs")
         if not pairs.limit(1).count():
             continue

@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 
 from tallyrisk.llm import order_minhash as O
 from tests.llm.brute import components
@@ -78,3 +79,16 @@ def test_defined_cases(spark):
     assert got == sorted([(1, 1, True), (2, 2, True), (3, 3, True), (4, 4, True), (5, 4, False), (None, None, True), (6, 6, True),
                           (7, 6, False), (8, 8, True), (9, 8, False), (10, 10, True), (10, 10, True), (11, 10, False)], key=str)
     assert O.near_duplicates(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_no_pair_of_equal_agreement_is_left_out_when_rows_change_places():
+    rng = np.random.default_rng(3)
+    n, sketch, seen = 100, rng.integers(0, 2**32, O.BANDS * O.ROWS, dtype=np.uint32).tobytes(), set()
+    for high in O.RANKS:
+        ids = rng.permutation(n)
+        block = pa.RecordBatch.from_pydict({
+            "bucket": pa.array([1] * n, pa.int64()), "lo": pa.array([0] * n, pa.int32()), "hi": pa.array([0] * n, pa.int32()),
+            "home": pa.array([0] * n, pa.int32()), "id": pa.array(ids, pa.int64()), "label": pa.array(ids, pa.int64()), "sketch": [sketch] * n})
+        for out in O._partners(high)(iter([block])):
+            seen |= set(zip(out["a"].to_pylist(), out["b"].to_pylist()))
+    assert len(seen) == n * (n - 1) // 2
