@@ -7,12 +7,13 @@ search needs more), found by a ranked window whose limit Spark applies before th
 range sort cut into blocks of ``BLOCK`` rows, so no bucket can be hot).  Then each round joins neighbours of neighbours: the
 ``JOINED`` nearest of a node's list and (at most ``REVERSE``, by hash) nodes that list it are brought together with their vectors by two
 joins, compared with each other if one of the two is new, and pairs nearer than a node's worst neighbour update its list of
-``K``.  Rounds stop when fewer than ``SETTLED`` of all list places change, or after ``ROUNDS``.
+``K``.  Rounds stop when fewer than ``SETTLED`` of all list places change, or after ``rounds(nodes)``.
 
-**Search** is greedy with a beam of ``BEAM`` nodes a query, all queries at once: each round expands the nearest nodes not yet expanded,
+**Search** is greedy with a beam of ``beam_width(nodes)`` nodes a query, all queries at once: each round expands the nearest nodes not yet expanded,
 joins their neighbours (both directions) with those nodes' vectors and the queries', and keeps the nearest.  It ends when every node
 of every beam is expanded.  Beams start at the nearest of ``SEEDS`` sampled nodes and, for queries that are themselves indexed, at their
-own node.  Building and search use half-precision vectors; the nearest of the beam are then measured in double precision on the originals.
+own node.  Building and search use half-precision vectors, each with a power of two of its own, so that no vector's size
+costs another its precision, and distances in double precision; the nearest of the beam are then measured in double precision on the originals.
 
 Every row is indexed; only the sample behind the mean and the seeds is bounded.  Recall is measured in the tests.
 
@@ -38,9 +39,9 @@ JOINED = 20        # of the list, nearest first, that takes part in a round's jo
 REVERSE = 20
 TABLES = 4
 BLOCK = 512
-ROUNDS = 5
+ROUNDS = 5         # at least; see ``rounds``
 SETTLED = 0.02
-BEAM = 240
+BEAM = 240         # at least; see ``beam_width``
 EXPANDED = 60      # nodes of a beam that a round of the search expands, nearest first
 EXACT = 4          # times the asked number of neighbours: the nearest of a beam that are measured exactly
 SEEDS = 256
@@ -55,8 +56,27 @@ def _matrix(batch, name: str) -> np.ndarray:
     return values[offsets[0]:offsets[-1]].reshape(n, -1) if n else values.reshape(0, 1)
 
 
+def rounds(n: int) -> int:
+    """Rounds of the descent over n nodes: ``ROUNDS`` up to 2^15, one more for every eightfold number."""
+    return max(ROUNDS, ceil(log2(max(2, n)) / 3))
+
+
+def beam_width(n: int) -> int:
+    """Nodes of a query's beam over n nodes: ``BEAM`` up to 2^15, 16 more for every doubling."""
+    return max(BEAM, 16 * ceil(log2(max(2, n))))
+
+
+def _packed(x: np.ndarray) -> list[bytes]:
+    """Each row as its power of two and its components in half precision, the largest of them in [2^14, 2^15)."""
+    power = np.frexp(np.abs(x).max(axis=1))[1] - 15
+    half = np.ldexp(x, -power[:, None]).astype(np.float16)
+    # a component just below 2^15 may round up to it, which half precision holds
+    return [p.tobytes() + r.tobytes() for p, r in zip(power.astype(np.int16), half)]
+
+
 def _halves(batch, name: str = "half") -> np.ndarray:
-    return np.frombuffer(b"".join(column(batch, name)), np.float16).reshape(batch.num_rows, -1).astype(np.float32)
+    raw = np.frombuffer(b"".join(column(batch, name)), np.int16).reshape(batch.num_rows, -1)
+    return raw[:, 1:].copy().view(np.float16) * np.ldexp(1.0, raw[:, :1].astype(np.int32))
 
 
 def _squared(x: np.ndarray) -> np.ndarray:
@@ -93,17 +113,17 @@ def _rank(a: np.ndarray) -> np.ndarray:
 
 # ------------------------------------------------------------------ graph
 
-def _orders(mean: np.ndarray, scale: float, bits: int):
+def _orders(middle: np.ndarray, scale: float, bits: int):
     """Nodes in ``TABLES`` random orders: (t, sig, proj, node, half)."""
     rng = np.random.default_rng(SEED)
-    planes = rng.standard_normal((TABLES, len(mean), bits + 1))
+    planes = rng.standard_normal((TABLES, len(middle), bits + 1))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = _matrix(batch, "vec").astype(np.float64)
-            half = pa.array([r.tobytes() for r in (x / scale).astype(np.float16)], pa.binary())
+            half = pa.array(_packed(x / scale), pa.binary())
             for t in range(TABLES):
-                p = (x - mean) @ planes[t]
+                p = (x - middle) @ planes[t]
                 sig = ((p[:, :bits] >= 0) * (1 << np.arange(bits, dtype=np.int64))).sum(axis=1)
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), t, np.int32)), pa.array(sig), pa.array(p[:, bits]),
                                                   batch.column("node"), half], names=["t", "sig", "proj", "node", "half"])
@@ -119,7 +139,7 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         np.fill_diagonal(d, np.inf)
         k = min(K, len(i) - 1)
         near = np.argpartition(d, k - 1, axis=1)[:, :k]
-        return _batch(node=np.repeat(i, k), neigh=i[near].ravel(), d=np.take_along_axis(d, near, axis=1).ravel().astype(np.float32))
+        return _batch(node=np.repeat(i, k), neigh=i[near].ravel(), d=np.take_along_axis(d, near, axis=1).ravel())
 
     fresh = 0
     for batch in batches:
@@ -143,7 +163,7 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for s, e in zip(starts[:-1], starts[1:]):
             if e - s < 2 or not new[s:e].any():
                 continue
-            d = _squared(x[s:e]).astype(np.float32)
+            d = _squared(x[s:e])
             take = (d < worst[s:e, None]) & (new[s:e, None] | new[None, s:e])
             np.fill_diagonal(take, False)
             i, j = np.nonzero(take)
@@ -174,7 +194,7 @@ def _lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _merged(rows: DataFrame) -> DataFrame:
     return (rows.repartition("node").sortWithinPartitions("node")
-            .mapInArrow(_lists, "node long, neigh long, d float, new boolean, nth int"))
+            .mapInArrow(_lists, "node long, neigh long, d double, new boolean, nth int"))
 
 
 def build_graph(nodes: DataFrame, scratch: Scratch) -> tuple[DataFrame, float]:
@@ -182,26 +202,27 @@ def build_graph(nodes: DataFrame, scratch: Scratch) -> tuple[DataFrame, float]:
     n = nodes.count()
     dim_rows = nodes.orderBy(F.xxhash64("node")).limit(SAMPLE).select("vec").toArrow()
     if n < 2:
-        return scratch.write(nodes.limit(0).selectExpr("node", "node AS neigh", "CAST(0 AS float) AS d", "true AS new", "0 AS nth"), "graph"), 1.0
-    mean = _matrix(dim_rows, "vec").astype(np.float64).mean(axis=0)
+        return scratch.write(nodes.limit(0).selectExpr("node", "node AS neigh", "CAST(0 AS double) AS d", "true AS new", "0 AS nth"), "graph"), 1.0
+    # the median: a vector far larger than the others does not move it
+    middle = np.median(_matrix(dim_rows, "vec").astype(np.float64), axis=0)
     scale = nodes.agg(F.max(F.array_max(F.transform("vec", lambda x: F.abs(x))))).first()[0] / 100.0
     bits = max(1, ceil(log2(max(2, n / (BLOCK / 2)))))
-    spread = nodes.mapInArrow(_orders(mean, scale, bits), "t int, sig long, proj double, node long, half binary")
+    spread = nodes.mapInArrow(_orders(middle, scale, bits), "t int, sig long, proj double, node long, half binary")
     spread = scratch.write(spread, "orders")
     edges = scratch.write(_merged(spread.repartitionByRange("t", "sig", "proj", "node").sortWithinPartitions("t", "sig", "proj", "node")
-                                  .mapInArrow(_blocks, "node long, neigh long, d float").withColumn("old", F.lit(False))), "graph-0")
+                                  .mapInArrow(_blocks, "node long, neigh long, d double").withColumn("old", F.lit(False))), "graph-0")
     halves = spread.filter("t = 0").select("node", "half")
-    for r in range(1, ROUNDS + 1):
-        worst = edges.groupBy("node").agg(F.when(F.count("*") >= K, F.max("d")).otherwise(float("inf")).cast("float").alias("worst"))
+    for r in range(1, rounds(n) + 1):
+        worst = edges.groupBy("node").agg(F.when(F.count("*") >= K, F.max("d")).otherwise(float("inf")).alias("worst"))
         known = halves.join(worst, "node", "left").select(F.col("node").alias("u"), "half",
-                                                          F.coalesce("worst", F.lit(float("inf")).cast("float")).alias("worst"))
+                                                          F.coalesce("worst", F.lit(float("inf"))).alias("worst"))
         part = edges.filter(F.col("nth") < JOINED)
         back = (part.withColumn("place", F.row_number().over(Window.partitionBy("neigh").orderBy(~F.col("new"), F.xxhash64("node", F.lit(r)))))
                 .filter(F.col("place") <= REVERSE).select(F.col("neigh").alias("v"), F.col("node").alias("u"), "new"))
         around = (part.select(F.col("node").alias("v"), F.col("neigh").alias("u"), "new").unionByName(back)
                   .groupBy("v", "u").agg(F.max("new").alias("new")))
         found = (around.join(known, "u").select("v", "u", "new", "worst", "half").repartition("v").sortWithinPartitions("v")
-                 .mapInArrow(_compare, "node long, neigh long, d float").withColumn("old", F.lit(False)))
+                 .mapInArrow(_compare, "node long, neigh long, d double").withColumn("old", F.lit(False)))
         edges = scratch.write(_merged(edges.select("node", "neigh", "d", (~F.col("new") | (F.col("nth") < JOINED)).alias("old")).unionByName(found)), f"graph-{r}")
         scratch.drop(f"graph-{r - 1}")
         if edges.filter(f"new AND nth < {JOINED}").count() < SETTLED * JOINED * n:
@@ -231,7 +252,7 @@ def _measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _halved(scale: float, *keep: str, name: str = "vec", out: str = "half"):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            half = [r.tobytes() for r in (_matrix(batch, name).astype(np.float64) / scale).astype(np.float16)]
+            half = _packed(_matrix(batch, name).astype(np.float64) / scale)
             yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in keep), pa.array(half, pa.binary())], names=[*keep, out])
     return run
 
@@ -250,22 +271,24 @@ def _seeded(ids: np.ndarray, seeds: np.ndarray, scale: float):
     return run
 
 
-def _beams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From rows sorted by query: the nearest BEAM nodes of each, and whether they were expanded."""
-    for whole, _ in row_groups(batches, ["q"]):
-        q, node, d, done = (column(whole, c) for c in ("q", "node", "d", "done"))
-        o = np.lexsort((~done, node, q))
-        q, node, d, done = q[o], node[o], d[o], done[o]
-        first = np.ones(len(q), bool)
-        first[1:] = (q[1:] != q[:-1]) | (node[1:] != node[:-1])
-        q, node, d, done = q[first], node[first], d[first], done[first]
-        o = np.lexsort((node, d, q))
-        q, node, d, done = q[o], node[o], d[o], done[o]
-        take = _rank(q) < BEAM
-        q, node, d, done = q[take], node[take], d[take], done[take]
-        o = np.lexsort((d, done, q))     # the nearest that are not expanded come first in each beam
-        q, node, d, done = q[o], node[o], d[o], done[o]
-        yield _batch(q=q, node=node, d=d, done=done, next=~done & (_rank(q) < EXPANDED))
+def _beams(width: int):
+    """From rows sorted by query: the nearest ``width`` nodes of each, and whether they were expanded."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole, _ in row_groups(batches, ["q"]):
+            q, node, d, done = (column(whole, c) for c in ("q", "node", "d", "done"))
+            o = np.lexsort((~done, node, q))
+            q, node, d, done = q[o], node[o], d[o], done[o]
+            first = np.ones(len(q), bool)
+            first[1:] = (q[1:] != q[:-1]) | (node[1:] != node[:-1])
+            q, node, d, done = q[first], node[first], d[first], done[first]
+            o = np.lexsort((node, d, q))
+            q, node, d, done = q[o], node[o], d[o], done[o]
+            take = _rank(q) < width
+            q, node, d, done = q[take], node[take], d[take], done[take]
+            o = np.lexsort((d, done, q))     # the nearest that are not expanded come first in each beam
+            q, node, d, done = q[o], node[o], d[o], done[o]
+            yield _batch(q=q, node=node, d=d, done=done, next=~done & (_rank(q) < EXPANDED))
+    return run
 
 
 def search(nodes: DataFrame, graph: DataFrame, scale: float, queries: DataFrame, top: int, scratch: Scratch) -> DataFrame:
@@ -278,11 +301,12 @@ def search(nodes: DataFrame, graph: DataFrame, scale: float, queries: DataFrame,
     seeded = queries.mapInArrow(_seeded(column(sample, "node"), _matrix(sample, "vec").astype(np.float64), scale), "q long, node long, d double")
     halves = scratch.write(nodes.mapInArrow(_halved(scale, "node"), "node long, half binary"), "halves")
     asked = scratch.write(queries.mapInArrow(_halved(scale, "q", name="q_vec", out="q_half"), "q long, q_half binary"), "asked")
+    width = beam_width(nodes.count())
     own = queries.filter("own IS NOT NULL").select("q", F.col("own").alias("node"), F.lit(0.0).alias("d"))
 
     def beams(rows: DataFrame, name: str) -> DataFrame:
         return scratch.write(rows.repartition("q").sortWithinPartitions("q")
-                             .mapInArrow(_beams, "q long, node long, d double, done boolean, next boolean"), name)
+                             .mapInArrow(_beams(width), "q long, node long, d double, done boolean, next boolean"), name)
 
     beam = beams(seeded.unionByName(own).withColumn("done", F.lit(False)), "beam-0")
     for r in range(1, SEARCH_ROUNDS):

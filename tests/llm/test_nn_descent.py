@@ -57,3 +57,18 @@ def test_tiny_and_empty_tables(spark):
     assert [(r.vec_id, r.score) for r in N.nearest(df, F.col("vec_id") == 0).orderBy("rank").collect()] == [(1, 0.5), (2, 3.0)]
     assert N.nearest(df.limit(1), F.lit(True)).count() == 0
     assert N.nearest(df.filter(F.lit(False)), F.lit(True)).count() == 0
+
+
+def test_one_vector_far_larger_than_the_others(spark):
+    rng = np.random.default_rng(5)
+    x = rng.standard_normal((3000, 16))
+    x[1234] *= 1e9
+    ids = np.arange(len(x))
+    df = spark.createDataFrame([(int(i), v.tolist()) for i, v in zip(ids, x)], "vec_id long, embedding array<double>")
+    got, want = _found(N.nearest(df, F.col("vec_id") % 50 == 0).collect()), _brute(ids, x, ids % 50 == 0)
+    assert np.mean([len({v for v, _ in got[q]} & {v for v, _ in want[q]}) / 10 for q in want]) >= 0.9
+
+
+def test_rounds_and_beams_grow_with_the_table():
+    assert (N.rounds(2), N.beam_width(2)) == (N.ROUNDS, N.BEAM)
+    assert N.rounds(1 << 30) > N.rounds(1 << 20) > N.ROUNDS and N.beam_width(1 << 30) > N.beam_width(1 << 20) > N.BEAM
