@@ -9,7 +9,8 @@ from collections import Counter
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_stream, chat_format, embedding_dedup, language_id, license_scan, nn_descent, order_minhash, packing, substring_dedup, url_filter
+from . import (bpe_stream, chat_format, embedding_dedup, language_id, lexical_search, license_scan, nn_descent, order_minhash, packing,
+               substring_dedup, token_align, token_count, url_filter)
 from .common import Runner, table
 
 # ---------------------------------------------------------------- op1: URL filters
@@ -213,6 +214,42 @@ substring AS (SELECT d.* REPLACE (CASE WHEN coalesce(d.text, '') = '' THEN d.tex
 
 OP10_SQL = f"WITH {substring_sql('documents')} SELECT doc_id, n_spans, spans, text FROM substring"
 
+
+# ---------------------------------------------------------------- op11: token counts
+def op11_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_count.count_tokens(docs, vocabulary("piece_bpe_32k.model")).select("doc_id", "n_bytes", "n_tokens", "over_limit")
+
+
+# ---------------------------------------------------------------- op12: cross-tokenizer alignment
+def op12_token_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_align.align(docs, vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"))
+
+
+# ---------------------------------------------------------------- op13: ranked lexical search
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(table(spark, sf_dir, "documents").select("doc_id", "text"),
+                                 table(spark, sf_dir, "benchmark").select("item_id", "text"))
+
+
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+OP13_SQL = f"""
+WITH t AS (SELECT doc_id, unnest(regexp_extract_all({_LOWER}, '{_TERM}')) AS term FROM documents),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM t GROUP BY ALL),
+dn AS (SELECT doc_id, count(*) AS n FROM t GROUP BY doc_id),
+s AS (SELECT count(*) AS nd, CAST(sum(n) AS BIGINT) AS l FROM dn),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * nd + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf, s GROUP BY term, nd),
+dm AS (SELECT doc_id, 100 - 75 + (75 * n * nd) // l AS m FROM dn, s),
+q AS (SELECT item_id, term, count(*) AS c FROM (
+        SELECT item_id, unnest(regexp_extract_all({_LOWER}, '{_TERM}')) AS term FROM benchmark) GROUP BY ALL),
+sc AS (SELECT item_id, doc_id, CAST(sum(c * w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+       FROM q JOIN tf USING (term) JOIN w USING (term) JOIN dm USING (doc_id) GROUP BY ALL)
+SELECT item_id, CAST(rank AS INT) AS rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM sc WHERE score > 0) WHERE rank <= {lexical_search.TOP}
+"""
+
 QUERIES: dict[str, Runner] = {
     "op1_url_filter": op1_url_filter,
     "op2_nn_descent": op2_nn_descent,
@@ -225,10 +262,14 @@ QUERIES: dict[str, Runner] = {
     "op8_license_scan": op8_license_scan,
     "op9_packing": op9_packing,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_token_count": op11_token_count,
+    "op12_token_align": op12_token_align,
+    "op13_lexical_search": op13_lexical_search,
 }
 ORACLE: dict[str, str] = {
     "op1_url_filter": OP1_SQL,
     "op3_chat_format": OP3_SQL,
     "op8_license_scan": OP8_SQL,
     "op10_substring_dedup": OP10_SQL,
+    "op13_lexical_search": OP13_SQL,
 }
