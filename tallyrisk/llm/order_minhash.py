@@ -8,16 +8,20 @@ is one shingle.  Equal shingles of a text are told apart by their occurrence num
   them in the same order, which follows edit similarity rather than set similarity.  ``ROWS`` values make a band.
 * **Classes.**  Texts of equal words are one class, named by its smallest doc_id; only classes are compared.
 * **Candidates.**  Classes that agree in a band share a bucket.  First every member meets the bucket's smallest member only; the
-  verified links give components.  Buckets that still hold two components are then searched in blocks of at most about ``BLOCK`` members
-  (hot buckets become several block pairs): each member meets, in rounds, its 4, then its 64, then all other members of other
-  components that share ``AGREE`` or more of its sketch values.  Nothing is emitted for pairs already in one component, so a group of
-  thousands of near copies costs rows in proportion to its size, and no candidate between different components is left out.
-* **Verification.**  The words of bucket members, and of no other text, are moved once.  Candidates are aligned word by word (edit distance by furthest-reaching diagonals) inside the band of diagonals
-  that the threshold allows.  The similarity is the Jaccard index of the five-word shingles that lie in matched runs of the alignment;
-  ``threshold`` (0.8) or more is a link.
+  verified links give components.  Buckets that still hold two components are then searched whole, in blocks of about ``BLOCK`` members or ``BLOCK_WORDS``
+  words (a hot bucket becomes many block pairs): a task gets the words of one block pair, counts the shared three-word shingles of all its pairs by matrix
+  products, and aligns those that pass the bound, most alike first, skipping pairs whose members are joined by then.  A pair is looked at in the first band it
+  agrees in only.  Pairs never become rows: a task returns at most one link less than it has members, and no candidate between different components is left out.
+* **Verification.**  The words of bucket members, and of no other text, are moved.  The similarity is ``1 - edits / words of the longer text``, where
+  edits are the least word insertions, deletions and substitutions that turn one text into the other (alignment by furthest-reaching diagonals, inside the band of
+  diagonals that the threshold leaves, in space linear in the edits).  ``threshold`` (0.8) or more is a link.  An edit breaks at most three three-word shingles, so
+  texts of threshold similarity share at least ``words - 2 - 3 * edits`` of them: pairs with fewer are not aligned.  A five-word shingle similarity of 0.8 or more in
+  the same order implies a similarity of 0.8 or more here; scattered edits, each of which costs five shingles, weigh one word.
 * **Groups** are the connected components of the links.
 
-A pair at the threshold is found with probability of about ``1 - (1 - 0.64**ROWS)**BANDS`` = 0.9998, more similar pairs more surely.
+Two texts whose five-word shingles have the Jaccard index J and one order agree in a sketch value with probability of about J * J.  So a pair is found
+with probability of about ``1 - (1 - J ** 2) ** 32``: over 0.9999 from J = 0.5 on, 0.998 for one scattered edit in ten words, 0.93 for 15 in a hundred, 0.7 for the
+worst pair at the threshold (one edit in every five words, which leaves J = 0.2).
 
 Defined results: null texts and texts without words are never linked; rows with null doc_id are not compared and have a null class;
 rows with equal doc_id share the smallest class of any of their texts; empty tables give empty results; other columns are ignored.
@@ -25,9 +29,7 @@ rows with equal doc_id share the smallest class of any of their texts; empty tab
 from __future__ import annotations
 
 import re
-from bisect import bisect_left
 from collections.abc import Iterator
-from math import ceil
 
 import numpy as np
 import pyarrow as pa
@@ -35,17 +37,18 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, column, row_groups
+from .common import Scratch, column, list_column, row_groups
 from .components import connected_components
 
 SHINGLE = 5
 THRESHOLD = 0.8
-BANDS = 16
-ROWS = 2
+BANDS = 32
+ROWS = 1
 PICKS = 2
-AGREE = 9        # of BANDS * ROWS; a pair at the threshold has about 20, fewer than 9 about once in 1e5
-BLOCK = 1024
-RANKS = (4, 64, 1 << 30)
+BOUND = 3              # words of the shingles counted before an alignment
+BLOCK = 512            # members of a block
+BLOCK_WORDS = 2_000_000
+STAR = 1024            # pairs of one centre that share a copy of its words
 SEED = 7321
 
 _RNG = np.random.default_rng(SEED)
@@ -83,10 +86,10 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def shingles(w: np.ndarray) -> np.ndarray:
-    """64-bit hashes of the five-word shingles of word hashes."""
+def shingles(w: np.ndarray, size: int = SHINGLE) -> np.ndarray:
+    """64-bit hashes of the shingles of ``size`` (five) words of word hashes."""
     w = w.astype(np.int64).view(np.uint64)
-    k = min(SHINGLE, len(w))
+    k = min(size, len(w))
     out = w[:len(w) - k + 1] * _STEP[0]
     for j in range(1, k):
         out = out + w[j:len(w) - k + 1 + j] * _STEP[j]
@@ -104,7 +107,8 @@ def labelled(s: np.ndarray) -> np.ndarray:
     at = np.arange(len(s))
     nth = at - np.maximum.accumulate(np.where(same, 0, at))
     out = s.copy()
-    out[order] = _mix(o + nth.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    # a first occurrence keeps its hash, whether or not the text repeats any other
+    out[order] = np.where(nth > 0, _mix(o + nth.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), o)
     return out
 
 
@@ -131,12 +135,12 @@ def sketch(w: np.ndarray) -> np.ndarray:
 
 
 def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """doc_id, class key, band keys and sketch values of every text that has words."""
+    """doc_id, class key, number of words and band keys of every text that has words."""
     salt = _mix(np.arange(1, BANDS + 1, dtype=np.uint64))
     for whole in batches:
         for at in range(0, whole.num_rows, 1024):
             batch = whole.slice(at, 1024)
-            ids, keys, bands, sketches = [], [], [], []
+            ids, keys, sizes, bands = [], [], [], []
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
                 w = words(text.as_py())
                 if not len(w):
@@ -147,14 +151,14 @@ def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     key = _mix(key + v[r::ROWS])
                 ids.append(doc_id)
                 keys.append(xxhash.xxh3_128_digest(w.tobytes()))
+                sizes.append(len(w))
                 bands.append(key.view(np.int64))
-                sketches.append(v.astype(np.uint32).tobytes())
             if ids:
                 k = np.frombuffer(b"".join(keys), np.int64).reshape(-1, 2)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids, pa.int64()), pa.array(k[:, 0]), pa.array(k[:, 1]),
-                     pa.ListArray.from_arrays(np.arange(len(ids) + 1, dtype=np.int32) * BANDS, pa.array(np.concatenate(bands))),
-                     pa.array(sketches, pa.binary())], names=["doc_id", "k1", "k2", "bands", "sketch"])
+                    [pa.array(ids, pa.int64()), pa.array(k[:, 0]), pa.array(k[:, 1]), pa.array(sizes, pa.int64()),
+                     pa.ListArray.from_arrays(np.arange(len(ids) + 1, dtype=np.int32) * BANDS, pa.array(np.concatenate(bands)))],
+                    names=["doc_id", "k1", "k2", "size", "bands"])
 
 
 def _worded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -167,29 +171,34 @@ def _worded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 # ------------------------------------------------------------------ verification
 
+def most_edits(words: int, threshold: float) -> int:
+    """Edits that a longer text of so many words may have."""
+    return int((1 - threshold) * words + 1e-9)
+
+
+def least_shared(words: int, threshold: float) -> int:
+    """Three-word shingles that it then shares at least."""
+    return words - BOUND + 1 - BOUND * most_edits(words, threshold)
+
+
 def aligned_similarity(a: np.ndarray, b: np.ndarray, threshold: float = THRESHOLD) -> float:
-    """Jaccard index of five-word shingles inside matched runs of a banded alignment; 0 if below ``threshold``."""
-    if len(a) == len(b) and (a == b).all():
-        return 1.0
-    na, nb = len(a) - SHINGLE + 1, len(b) - SHINGLE + 1
-    if na < 1 or nb < 1:
-        return 0.0
-    least = ceil(threshold / (1 + threshold) * (na + nb) - 1e-9)
-    band = max(na, nb) - least + 1   # a run of e edits breaks e or more shingles
-    if min(na, nb) < least:
-        return 0.0
-    if len(np.intersect1d(labelled(shingles(a)), labelled(shingles(b)), assume_unique=True)) < least:
-        return 0.0   # no order can share more
-    runs = _runs(a, b, band)
-    if runs is None:
+    """1 - least edits / words of the longer text; 0 if below ``threshold``."""
+    n = max(len(a), len(b))
+    if not len(a) or not len(b):
         return 0.0
-    shared = sum(r - SHINGLE + 1 for r in runs if r >= SHINGLE)
-    sim = shared / (na + nb - shared)
-    return sim if sim >= threshold else 0.0
+    if min(len(a), len(b)) >= BOUND and least_shared(n, threshold) > 0:
+        shared = len(np.intersect1d(labelled(shingles(a, BOUND)), labelled(shingles(b, BOUND)), assume_unique=True))
+        if shared < least_shared(n, threshold):
+            return 0.0
+    d = edits(a, b, most_edits(n, threshold))
+    return 0.0 if d is None else 1 - d / n
+
+
+_NONE = -(1 << 40)
 
 
-def _runs(a: np.ndarray, b: np.ndarray, band: int) -> list[int] | None:
-    """Lengths of the matched runs of a least-edits alignment with at most ``band`` edits."""
+def edits(a: np.ndarray, b: np.ndarray, most: int) -> int | None:
+    """Least edits between two word sequences, None if above ``most``: furthest-reaching diagonals, ``most`` numbers of memory."""
     n = min(len(a), len(b))
     differ = np.flatnonzero(a[:n] != b[:n])
     head = int(differ[0]) if len(differ) else n
@@ -198,54 +207,50 @@ def _runs(a: np.ndarray, b: np.ndarray, band: int) -> list[int] | None:
     differ = np.flatnonzero(a[len(a) - n:][::-1] != b[len(b) - n:][::-1])
     tail = int(differ[0]) if len(differ) else n
     a, b = a[:len(a) - tail], b[:len(b) - tail]
-    if not len(a) or not len(b):
-        return [head, tail] if max(len(a), len(b)) <= band else None
     la, lb, goal = len(a), len(b), len(b) - len(a)
-    breaks: dict[int, list[int]] = {}
-
-    def slide(i: int, k: int) -> int:
-        """First place at or after i (in a) where diagonal k breaks."""
-        if k not in breaks:
-            lo, hi = max(0, -k), min(la, lb - k)
-            breaks[k] = (np.flatnonzero(a[lo:hi] != b[lo + k:hi + k]) + lo).tolist() + [hi]
-        at = breaks[k]
-        return at[bisect_left(at, i)] if i < at[-1] else i
-
-    # far[d][k]: (place after the edit, place after the run) on diagonal k with d edits
-    far: list[dict[int, tuple[int, int]]] = []
-    for d in range(band + 1):
-        row: dict[int, tuple[int, int]] = {}
-        last = far[-1] if far else {}
-        for k in range(-min(d, la), min(d, lb) + 1):
-            if d == 0:
-                i = 0
-            else:
-                i = max(last[k][1] + 1 if k in last else -1, last[k - 1][1] if k - 1 in last else -1,
-                        last[k + 1][1] + 1 if k + 1 in last else -1)
-                i = min(i, la, lb - k)
-                if i < 0 or i + k < 0:
-                    continue
-            row[k] = (i, slide(i, k))
-        far.append(row)
-        if goal in row and row[goal][1] >= la:
-            break
-    else:
+    if abs(goal) > most:
         return None
-    runs, k = [tail], goal
-    for d in range(len(far) - 1, -1, -1):
-        i, end = far[d][k]
-        runs.append(end - i)
+    if not la or not lb:
+        return max(la, lb)
+    # each ends with a mark that nothing equals
+    a, b = np.append(a.astype(np.int64), 1 << 40), np.append(b.astype(np.int64), 1 << 41)
+    zero = most + 1                      # place of diagonal 0 (place in b minus place in a)
+    reach = np.full(2 * most + 3, _NONE, np.int64)
+    for d in range(most + 1):
+        # only diagonals from which the goal can still be reached
+        lo, hi = max(-d, -la, goal - (most - d)), min(d, lb, goal + (most - d))
+        if lo > hi:
+            return None
+        k = np.arange(lo, hi + 1)
         if d:
-            last = far[d - 1]
-            if k in last and min(last[k][1] + 1, la, lb - k) == i:
-                pass
-            elif k - 1 in last and min(last[k - 1][1], la, lb - k) == i:
-                k -= 1
-            else:
-                k += 1
-    # the last piece collected starts right behind the common head
-    first = runs.pop()
-    return [head + first] + runs
+            at = slice(zero + lo, zero + hi + 1)
+            i = np.maximum(np.maximum(reach[at] + 1, reach[zero + lo - 1:zero + hi]), reach[zero + lo + 1:zero + hi + 2] + 1)
+            i = np.minimum(i, np.minimum(la, lb - k))
+        else:
+            i = np.zeros(1, np.int64)
+        on = np.flatnonzero((i >= 0) & (i + k >= 0))
+        for _ in range(8):
+            on = on[a[i[on]] == b[i[on] + k[on]]]
+            i[on] += 1
+        for x in on:                     # long runs, one by one
+            i[x] += _run(a, b, int(i[x]), int(i[x] + k[x]))
+        i[(i < 0) | (i + k < 0)] = _NONE
+        reach[:] = _NONE
+        reach[zero + lo:zero + hi + 1] = i
+        if lo <= goal <= hi and i[goal - lo] >= la:
+            return d
+    return None
+
+
+def _run(a: np.ndarray, b: np.ndarray, i: int, j: int) -> int:
+    """Length of the common run at a[i], b[j]; the end marks differ from everything."""
+    n, step = 0, 64
+    while True:
+        m = min(step, len(a) - i - n, len(b) - j - n)
+        differ = np.flatnonzero(a[i + n:i + n + m] != b[j + n:j + n + m])
+        if len(differ):
+            return n + int(differ[0])
+        n, step = n + m, step * 2
 
 
 def _verified(threshold: float):
@@ -258,80 +263,122 @@ def _verified(threshold: float):
     return run
 
 
-# ------------------------------------------------------------------ candidates
+# ------------------------------------------------------------------ blocks
+
+def shared_shingles(texts: list[np.ndarray]) -> np.ndarray:
+    """How many labelled three-word shingles each two of the texts share (matrix products over the shingles that two texts have)."""
+    marks = [labelled(shingles(w, BOUND)) if len(w) >= BOUND else np.zeros(0, np.uint64) for w in texts]
+    row = np.repeat(np.arange(len(texts)), [len(m) for m in marks])
+    _, col, seen = np.unique(np.concatenate(marks), return_inverse=True, return_counts=True)
+    again = seen > 1
+    place = np.cumsum(again) - 1
+    keep = again[col]
+    row, col = row[keep], place[col[keep]]
+    order = np.argsort(col, kind="stable")
+    row, col = row[order], col[order]
+    out = np.zeros((len(texts), len(texts)), np.float32)
+    width = 4096
+    for low in range(0, int(again.sum()), width):
+        x, y = np.searchsorted(col, [low, low + width])
+        part = np.zeros((len(texts), width), np.float32)
+        part[row[x:y], col[x:y] - low] = 1
+        out += part @ part.T
+    return out
+
 
-def _partners(high: int):
-    """Over rows sorted by block pair and id: pairs of different components by rank of sketch agreement below ``high``.
+def block_links(ids: np.ndarray, label: np.ndarray, home: np.ndarray, band: int, bands: np.ndarray, texts: list[np.ndarray],
+                threshold: float) -> list[tuple[int, int]]:
+    """Links between the components of one block pair that share bucket ``band``: a spanning forest, most alike first."""
+    n = len(ids)
+    apart = np.not_equal.outer(label, label)
+    if home.min() != home.max():
+        apart &= np.not_equal.outer(home, home)     # pairs of one block are another task's
+    for c in range(band):
+        apart &= np.not_equal.outer(bands[:, c], bands[:, c])   # met in an earlier band
+    if not apart.any():
+        return []
+    size = np.array([len(w) for w in texts])
+    longer = np.maximum.outer(size, size)
+    # the same bounds as aligned_similarity
+    most = ((1 - threshold) * longer + 1e-9).astype(np.int64)
+    least = longer - BOUND + 1 - BOUND * most
+    shared = shared_shingles(texts)
+    apart &= (np.abs(np.subtract.outer(size, size)) <= most) & ((shared >= least) | (np.minimum.outer(size, size) < BOUND))
+    i, j = np.nonzero(np.triu(apart, 1))
+    order = np.lexsort((ids[j], ids[i], -(shared[i, j] / longer[i, j])))
+    parent: dict[int, int] = {}
+
+    def top(x: int) -> int:
+        while parent.setdefault(x, x) != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    out = []
+    for x, y in zip(i[order].tolist(), j[order].tolist()):
+        a, b = top(int(label[x])), top(int(label[y]))
+        if a == b:
+            continue
+        d = edits(texts[x], texts[y], int(most[x, y]))
+        if d is not None:
+            parent[max(a, b)] = min(a, b)
+            out.append((int(ids[x]), int(ids[y])))
+            if len(out) == n - 1:
+                break
+    return out
 
-    Ranks start at 0 in every round, for equal agreements are ranked by row order; pairs tested before are left out by the caller."""
-    keys = ["bucket", "lo", "hi"]
 
+def _searched(threshold: float):
+    """Over rows sorted by block pair and id: the links of every block pair."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole, starts in row_groups(batches, keys):
-            out_a, out_b = [], []
-            ids, label, home, lo, hi = (column(whole, k) for k in ("id", "label", "home", "lo", "hi"))
-            sketches = column(whole, "sketch")
-            for s, e in zip(starts[:-1], starts[1:]):
-                n = e - s
-                if n < 2 or (label[s:e] == label[s]).all():
+        for whole, starts in row_groups(batches, ["bucket", "lo", "hi"]):
+            ids, label, home = (column(whole, k) for k in ("id", "label", "home"))
+            bucket = column(whole, "bucket")
+            values, ends = list_column(whole, "bands")
+            words_ = whole.column("words")
+            for s, e in zip(starts[:-1].tolist(), starts[1:].tolist()):
+                if e - s < 2 or (label[s:e] == label[s]).all():
                     continue
-                v = np.frombuffer(b"".join(sketches[s:e]), np.uint32).reshape(n, -1)
-                agree = np.zeros((n, n), np.int16)
-                for c in range(v.shape[1]):
-                    agree += v[:, c, None] == v[None, :, c]
-                if lo[s] != hi[s]:
-                    agree[np.equal.outer(home[s:e], home[s:e])] = 0
-                np.fill_diagonal(agree, 0)
-                rank = np.empty((n, n), np.int32)
-                np.put_along_axis(rank, np.argsort(-agree, axis=1, kind="stable"), np.arange(n, dtype=np.int32)[None, :], axis=1)
-                take = (agree >= AGREE) & (rank < high) & np.not_equal.outer(label[s:e], label[s:e])
-                i, j = np.nonzero(take)
-                out_a.append(np.minimum(ids[s:e][i], ids[s:e][j]))
-                out_b.append(np.maximum(ids[s:e][i], ids[s:e][j]))
-            if out_a:
-                pairs = np.unique(np.stack([np.concatenate(out_a), np.concatenate(out_b)]), axis=1)
-                yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
+                bands = values[ends[s]:ends[e]].reshape(e - s, -1)
+                band = int(np.flatnonzero(bands[0] == bucket[s])[0])
+                texts = [np.frombuffer(x.as_buffer(), np.int32) for x in words_[s:e]]
+                links = block_links(ids[s:e], label[s:e], home[s:e], band, bands, texts, threshold)
+                if links:
+                    a, b = zip(*links)
+                    yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
     return run
 
 
+# ------------------------------------------------------------------ whole table
+
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, class_id (smallest doc_id of its group), kept: one row for each row of ``docs``."""
     scratch = Scratch(docs.sparkSession, "order-minhash")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("doc_id IS NOT NULL")
-    sketches = scratch.write(texts.mapInArrow(_sketched, "doc_id long, k1 long, k2 long, bands array<long>, sketch binary"), "sketches")
-    classes = sketches.groupBy("k1", "k2").agg(F.min("doc_id").alias("id"))
-    named = scratch.write(sketches.select("doc_id", "k1", "k2").join(classes, ["k1", "k2"]).select("doc_id", "id").distinct(), "classes")
-    reps = (sketches.join(named.filter("doc_id = id").select("doc_id"), "doc_id", "left_semi")
-            .dropDuplicates(["doc_id", "k1", "k2"]).select(F.col("doc_id").alias("id"), "bands", "sketch"))
-    in_band = reps.select("id", F.explode("bands").alias("bucket"))
-    shared = in_band.groupBy("bucket").agg(F.min("id").alias("centre"), F.count("*").alias("n")).filter("n > 1")
-    members = scratch.write(in_band.join(shared, "bucket"), "members")
-    # the texts of all members are moved once, as word hashes
+    sketches = scratch.write(texts.mapInArrow(_sketched, "doc_id long, k1 long, k2 long, size long, bands array<long>"), "sketches")
+    # what is aggregated is written before it is joined back, so that a hot key's rows can be split there
+    copies = scratch.write(sketches.groupBy("k1", "k2").agg(F.min("doc_id").alias("id"), F.count("*").alias("n"))
+                           .filter("n > 1").drop("n"), "copies")
+    named = scratch.write(sketches.select("doc_id", "k1", "k2").join(copies, ["k1", "k2"], "left")
+                          .select("doc_id", F.coalesce("id", "doc_id").alias("id")).distinct(), "classes")
+    reps = scratch.write(sketches.join(named.filter("doc_id = id").select("doc_id"), "doc_id", "left_semi")
+                         .dropDuplicates(["doc_id", "k1", "k2"]).select(F.col("doc_id").alias("id"), "size", "bands"), "reps")
+    scratch.drop("sketches")
+    scratch.drop("copies")
+    in_band = reps.select("id", "size", F.explode("bands").alias("bucket"))
+    shared = scratch.write(in_band.groupBy("bucket").agg(F.min("id").alias("centre"), F.count("*").alias("n"), F.sum("size").alias("size"))
+                           .filter("n > 1"), "shared")
+    members = scratch.write(in_band.drop("size").join(shared, "bucket"), "members")
+    # the texts of all members are cut into words once
     # (a merge join at every size: whether the ids fit a broadcast must not change what is shuffled)
     in_any = members.select(F.col("id").alias("doc_id")).distinct().hint("merge")
     moved = scratch.write(texts.join(in_any, "doc_id", "left_semi").mapInArrow(_worded, "doc_id long, words binary"), "words")
-    star = members.filter("id <> centre").select(F.col("centre").alias("a"), F.col("id").alias("b")).distinct()
-    tested = scratch.write(star, "star-pairs")
-    links = [scratch.write(verified(tested, moved, threshold), "star")]
-    label = connected_components(links[0], scratch, "cc-star")
-    for r, high in enumerate(RANKS):
-        rest = scratch.write(_unsettled(members, label), f"rest-{r}")
-        if not rest.limit(1).count():
-            break
-        blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-        placed = (rest.withColumn("home", F.pmod(F.xxhash64("id", "bucket"), blocks).cast("int"))
-                  .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-                  .withColumns({"lo": F.least("home", "other"), "hi": F.greatest("home", "other")})
-                  .join(reps.select("id", "sketch"), "id")
-                  .select("bucket", "lo", "hi", "home", "id", "label", "sketch"))
-        pairs = scratch.write(placed.repartition("bucket", "lo", "hi").sortWithinPartitions("bucket", "lo", "hi", "id")
-                              .mapInArrow(_partners(high), "a long, b long").distinct().join(tested, ["a", "b"], "left_anti"),
-                              f"round{r}-pairs")
-        if not pairs.limit(1).count():
-            continue
-        tested = tested.unionByName(pairs)
-        links.append(scratch.write(verified(pairs, moved, threshold), f"round{r}"))
-        label = connected_components(_all(links), scratch, f"cc{r}")
+    links = scratch.write(_star_pairs(members, shared, moved).mapInArrow(_verified(threshold), "a long, b long"), "star")
+    label = scratch.write(connected_components(links, scratch, "cc-star"), "label")
+    rest = scratch.write(_unsettled(members, label), "rest")
+    if rest.limit(1).count():
+        found = scratch.write(_block_pairs(rest, reps, moved).mapInArrow(_searched(threshold), "a long, b long"), "blocks")
+        label = connected_components(links.unionByName(found), scratch, "cc")
     # a document's group: that of its class; the class is named by its smallest doc_id, so is the component
     groups = (named.join(label.withColumnRenamed("node", "id"), "id", "left").groupBy("doc_id")
               .agg(F.min(F.coalesce("component", "id")).alias("class_id")))
@@ -340,23 +387,33 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
             .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(True))))
 
 
+def _star_pairs(members: DataFrame, shared: DataFrame, moved: DataFrame) -> DataFrame:
+    """(a, b, wa, wb): every member with its bucket's centre.  A centre of many pairs is there once for every ``STAR`` of them."""
+    salts = F.ceil(F.col("n") / STAR).cast("int")
+    pairs = (members.filter("id <> centre").groupBy(F.col("centre").alias("a"), F.col("id").alias("b")).agg(F.min("n").alias("n"))
+             .select("a", "b", F.pmod(F.xxhash64("b"), salts).cast("int").alias("salt")))
+    centres = (shared.groupBy(F.col("centre").alias("doc_id")).agg(F.max("n").alias("n"))
+               .join(moved, "doc_id").select(F.col("doc_id").alias("a"), F.explode(F.sequence(F.lit(0), salts - 1)).alias("salt"),
+                                             F.col("words").alias("wa")))
+    return (pairs.join(moved.select(F.col("doc_id").alias("b"), F.col("words").alias("wb")), "b")
+            .join(centres.hint("merge"), ["a", "salt"]).select("a", "b", "wa", "wb"))
+
+
 def _unsettled(members: DataFrame, label: DataFrame) -> DataFrame:
     """Members (with their component) of the buckets that hold two components or more."""
     at = (members.join(label.withColumnRenamed("node", "id"), "id", "left")
-          .select("bucket", "id", "n", F.coalesce("component", "id").alias("label")))
+          .select("bucket", "id", "n", "size", F.coalesce("component", "id").alias("label")))
     open_ = at.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x <> y").select("bucket")
     return at.join(open_, "bucket")
 
 
-def _all(links: list[DataFrame]) -> DataFrame:
-    out = links[0]
-    for x in links[1:]:
-        out = out.unionByName(x)
-    return out
-
-
-def verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
-    """The pairs (a, b) whose aligned similarity reaches the threshold; ``texts``: doc_id, words."""
-    return (pairs.join(texts.select(F.col("doc_id").alias("b"), F.col("words").alias("wb")), "b")
-            .join(texts.select(F.col("doc_id").alias("a"), F.col("words").alias("wa")), "a")
-            .select("a", "b", "wa", "wb").mapInArrow(_verified(threshold), "a long, b long"))
+def _block_pairs(rest: DataFrame, reps: DataFrame, moved: DataFrame) -> DataFrame:
+    """Members with their words, once for every block pair they are in, together and in order."""
+    blocks = F.greatest(F.ceil(F.col("n") / BLOCK), F.ceil(F.col("size") / BLOCK_WORDS)).cast("int")
+    words_ = moved.join(reps.select(F.col("id").alias("doc_id"), "bands"), "doc_id").withColumnRenamed("doc_id", "id")
+    return (rest.join(words_, "id")
+            .withColumn("home", F.pmod(F.xxhash64("id", "bucket"), blocks).cast("int"))
+            .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+            .withColumns({"lo": F.least("home", "other"), "hi": F.greatest("home", "other")})
+            .select("bucket", "lo", "hi", "home", "id", "label", "bands", "words")
+            .repartition("bucket", "lo", "hi").sortWithinPartitions("bucket", "lo", "hi", "id"))

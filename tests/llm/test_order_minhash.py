@@ -1,5 +1,6 @@
+import tracemalloc
+
 import numpy as np
-import pyarrow as pa
 
 from tallyrisk.llm import order_minhash as O
 from tests.llm.brute import components
@@ -15,14 +16,28 @@ def _levenshtein(a, b):
     return row[-1]
 
 
-def test_banded_alignment_is_a_least_edits_alignment():
+def test_banded_alignment_finds_the_least_edits():
     rng = np.random.default_rng(0)
-    for _ in range(400):
-        a, b = (rng.integers(0, 4, rng.integers(1, 13)) for _ in range(2))
+    for _ in range(600):
+        a, b = (rng.integers(0, 4, rng.integers(1, 15)) for _ in range(2))
+        if rng.integers(2):    # with long common runs
+            run = rng.integers(0, 1000, rng.integers(1, 300))
+            a, b = np.concatenate([a, run, a[::-1]]), np.concatenate([b, run, b])
         d = _levenshtein(a.tolist(), b.tolist())
-        assert O._runs(a, b, d) is not None and (d == 0 or O._runs(a, b, d - 1) is None)
-        matches = sum(O._runs(a, b, d))
-        assert max(len(a), len(b)) - matches <= d <= len(a) + len(b) - 2 * matches
+        assert O.edits(a, b, d) == d and O.edits(a, b, d + 3) == d and (d == 0 or O.edits(a, b, d - 1) is None)
+
+
+def test_the_bound_leaves_no_pair_out():
+    rng = np.random.default_rng(5)
+    for _ in range(300):
+        a = rng.integers(0, 30, rng.integers(3, 60)).astype(np.int32)
+        b = a.tolist()
+        for _ in range(rng.integers(0, len(a) // 4 + 2)):
+            at = int(rng.integers(len(b) + 1))
+            b[at:at + int(rng.integers(2))] = [int(x) for x in rng.integers(100, 200, rng.integers(2))]
+        b = np.array(b, np.int32)
+        d, n = _levenshtein(a.tolist(), b.tolist()), max(len(a), len(b))
+        assert O.aligned_similarity(a, b) == (1 - d / n if len(b) and d <= 0.2 * n + 1e-9 else 0)
 
 
 def test_similarity_follows_order():
@@ -30,12 +45,23 @@ def test_similarity_follows_order():
     a = rng.integers(-2**31, 2**31, 400).astype(np.int32)
     one = a.copy()
     one[200] = 5
-    assert O.aligned_similarity(a, a) == 1 and O.aligned_similarity(a, one) == 391 / 401
+    assert O.aligned_similarity(a, a) == 1 and O.aligned_similarity(a, one) == 399 / 400
     moved = np.concatenate([a[200:], a[:200]])
     assert O.aligned_similarity(a, moved) == 0   # its set of shingles is almost the same
     assert O.aligned_similarity(a[:4], a[:3]) == 0
 
 
+def test_twenty_thousand_words_with_swapped_halves_stay_small():
+    rng = np.random.default_rng(4)
+    a = rng.integers(-2**31, 2**31, 20_000).astype(np.int32)
+    b = np.concatenate([a[10_000:], a[:10_000]])
+    tracemalloc.start()
+    assert O.aligned_similarity(a, b) == 0
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 50e6
+
+
 def _texts():
     rng = np.random.default_rng(2)
     vocab = [f"w{i}" for i in range(5000)]
@@ -81,14 +107,23 @@ def test_defined_cases(spark):
     assert O.near_duplicates(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
-def test_no_pair_of_equal_agreement_is_left_out_when_rows_change_places():
+def test_a_block_returns_a_forest_that_joins_all_linked_members():
     rng = np.random.default_rng(3)
-    n, sketch, seen = 100, rng.integers(0, 2**32, O.BANDS * O.ROWS, dtype=np.uint32).tobytes(), set()
-    for high in O.RANKS:
-        ids = rng.permutation(n)
-        block = pa.RecordBatch.from_pydict({
-            "bucket": pa.array([1] * n, pa.int64()), "lo": pa.array([0] * n, pa.int32()), "hi": pa.array([0] * n, pa.int32()),
-            "home": pa.array([0] * n, pa.int32()), "id": pa.array(ids, pa.int64()), "label": pa.array(ids, pa.int64()), "sketch": [sketch] * n})
-        for out in O._partners(high)(iter([block])):
-            seen |= set(zip(out["a"].to_pylist(), out["b"].to_pylist()))
-    assert len(seen) == n * (n - 1) // 2
+    n = 90
+    base = rng.integers(-2**31, 2**31, 100).astype(np.int32)
+    texts = []
+    for i in range(n):      # copies of one text with 4 to 24 edits each: some pairs link, some do not
+        w = base.copy()
+        w[rng.choice(100, 4 + i % 21, replace=False)] = rng.integers(-2**31, 2**31, 4 + i % 21)
+        texts.append(w)
+    ids, bands = np.arange(n), np.zeros((n, 2), np.int64)
+    links = O.block_links(ids, ids.copy(), np.zeros(n, np.int64), 0, bands, texts, O.THRESHOLD)
+    want = [(a, b) for a in range(n) for b in range(a) if O.aligned_similarity(texts[a], texts[b]) > 0]
+    assert components(range(n), links) == components(range(n), want) and len(links) < n
+    assert all(O.aligned_similarity(texts[a], texts[b]) > 0 for a, b in links)
+    assert not O.block_links(ids, ids.copy(), np.zeros(n, np.int64), 1, bands, texts, O.THRESHOLD)    # all met in band 0
+    home = ids % 2
+    cross = O.block_links(ids, ids.copy(), home, 0, bands, texts, O.THRESHOLD)
+    assert components(range(n), cross) == components(range(n), [(a, b) for a, b in want if home[a] != home[b]])
+    marks = [set(O.labelled(O.shingles(t, 3)).tolist()) for t in texts]
+    assert [int(x) for x in np.delete(O.shared_shingles(texts)[5], 5)] == [len(marks[5] & m) for i, m in enumerate(marks) if i != 5]
