@@ -9,13 +9,13 @@ is one shingle.  Equal shingles of a text are told apart by their occurrence num
 * **Classes.**  Texts of equal words are one class, named by its smallest doc_id; only classes are compared.
 * **Candidates.**  Classes that agree in a band share a bucket.  First every member meets the bucket's smallest member only; the
   verified links give components.  Buckets that still hold two components are then searched whole, in blocks of about ``BLOCK`` members or ``BLOCK_WORDS``
-  words (a hot bucket becomes many block pairs): a task gets the words of one block pair, counts the shared three-word shingles of all its pairs by matrix
-  products, and aligns those that pass the bound, most alike first, skipping pairs whose members are joined by then.  A pair is looked at in the first band it
+  words (a hot bucket becomes many block pairs): a task gets the words of one block pair, counts the words and two-word shingles that its pairs
+  share, and aligns those that pass the bound, most alike first, skipping pairs whose members are joined by then.  A pair is looked at in the first band it
   agrees in only.  Pairs never become rows: a task returns at most one link less than it has members, and no candidate between different components is left out.
 * **Verification.**  The words of bucket members, and of no other text, are moved.  The similarity is ``1 - edits / words of the longer text``, where
   edits are the least word insertions, deletions and substitutions that turn one text into the other (alignment by furthest-reaching diagonals, inside the band of
-  diagonals that the threshold leaves, in space linear in the edits).  ``threshold`` (0.8) or more is a link.  An edit breaks at most three three-word shingles, so
-  texts of threshold similarity share at least ``words - 2 - 3 * edits`` of them: pairs with fewer are not aligned.  A five-word shingle similarity of 0.8 or more in
+  diagonals that the threshold leaves, in space linear in the edits).  ``threshold`` (0.8) or more is a link.  An edit breaks at most one word and two
+  two-word shingles, so texts of threshold similarity share at least ``words - edits`` and ``words - 1 - 2 * edits`` of them: pairs with fewer are not aligned.  A five-word shingle similarity of 0.8 or more in
   the same order implies a similarity of 0.8 or more here; scattered edits, each of which costs five shingles, weigh one word.
 * **Groups** are the connected components of the links.
 
@@ -45,8 +45,8 @@ THRESHOLD = 0.8
 BANDS = 32
 ROWS = 1
 PICKS = 2
-BOUND = 3              # words of the shingles counted before an alignment
-BLOCK = 512            # members of a block
+BOUNDS = (1, 2)        # words of the shingles counted before an alignment
+BLOCK = 256            # members of a block
 BLOCK_WORDS = 2_000_000
 STAR = 1024            # pairs of one centre that share a copy of its words
 SEED = 7321
@@ -176,9 +176,9 @@ def most_edits(words: int, threshold: float) -> int:
     return int((1 - threshold) * words + 1e-9)
 
 
-def least_shared(words: int, threshold: float) -> int:
-    """Three-word shingles that it then shares at least."""
-    return words - BOUND + 1 - BOUND * most_edits(words, threshold)
+def least_shared(words: int, size: int, threshold: float) -> int:
+    """Shingles of ``size`` words that it then shares at least: an edit breaks ``size`` of them at most."""
+    return words - size + 1 - size * most_edits(words, threshold)
 
 
 def aligned_similarity(a: np.ndarray, b: np.ndarray, threshold: float = THRESHOLD) -> float:
@@ -186,10 +186,11 @@ def aligned_similarity(a: np.ndarray, b: np.ndarray, threshold: float = THRESHOL
     n = max(len(a), len(b))
     if not len(a) or not len(b):
         return 0.0
-    if min(len(a), len(b)) >= BOUND and least_shared(n, threshold) > 0:
-        shared = len(np.intersect1d(labelled(shingles(a, BOUND)), labelled(shingles(b, BOUND)), assume_unique=True))
-        if shared < least_shared(n, threshold):
-            return 0.0
+    for k in BOUNDS:
+        if min(len(a), len(b)) >= k:
+            shared = len(np.intersect1d(labelled(shingles(a, k)), labelled(shingles(b, k)), assume_unique=True))
+            if shared < least_shared(n, k, threshold):
+                return 0.0
     d = edits(a, b, most_edits(n, threshold))
     return 0.0 if d is None else 1 - d / n
 
@@ -231,6 +232,8 @@ def edits(a: np.ndarray, b: np.ndarray, most: int) -> int | None:
         on = np.flatnonzero((i >= 0) & (i + k >= 0))
         for _ in range(8):
             on = on[a[i[on]] == b[i[on] + k[on]]]
+            if not len(on):
+                break
             i[on] += 1
         for x in on:                     # long runs, one by one
             i[x] += _run(a, b, int(i[x]), int(i[x] + k[x]))
@@ -265,24 +268,57 @@ def _verified(threshold: float):
 
 # ------------------------------------------------------------------ blocks
 
-def shared_shingles(texts: list[np.ndarray]) -> np.ndarray:
-    """How many labelled three-word shingles each two of the texts share (matrix products over the shingles that two texts have)."""
-    marks = [labelled(shingles(w, BOUND)) if len(w) >= BOUND else np.zeros(0, np.uint64) for w in texts]
+def _marks(texts: list[np.ndarray], size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, shingle, texts that have it) of the labelled shingles of ``size`` words that two texts have, by shingle."""
+    marks = [labelled(shingles(w, size)) if len(w) >= size else np.zeros(0, np.uint64) for w in texts]
     row = np.repeat(np.arange(len(texts)), [len(m) for m in marks])
     _, col, seen = np.unique(np.concatenate(marks), return_inverse=True, return_counts=True)
     again = seen > 1
-    place = np.cumsum(again) - 1
     keep = again[col]
-    row, col = row[keep], place[col[keep]]
+    row, col = row[keep], (np.cumsum(again) - 1)[col[keep]]
     order = np.argsort(col, kind="stable")
-    row, col = row[order], col[order]
-    out = np.zeros((len(texts), len(texts)), np.float32)
-    width = 4096
-    for low in range(0, int(again.sum()), width):
+    return row[order], col[order], seen[again]
+
+
+def shared_shingles(texts: list[np.ndarray], size: int, pairs: np.ndarray) -> np.ndarray:
+    """How many labelled shingles of ``size`` words the texts of the pairs (matrix mask, upper half) share, counted over bit rows."""
+    row, col, seen = _marks(texts, size)
+    out = np.zeros(pairs.shape, np.int32)
+    width = 1 << 14
+    for low in range(0, len(seen), width):
         x, y = np.searchsorted(col, [low, low + width])
-        part = np.zeros((len(texts), width), np.float32)
-        part[row[x:y], col[x:y] - low] = 1
-        out += part @ part.T
+        part = np.zeros((len(texts), width), bool)
+        part[row[x:y], col[x:y] - low] = True
+        bits = np.packbits(part, axis=1).view(np.uint64)
+        for i in np.flatnonzero(pairs.any(axis=1)):
+            j = np.flatnonzero(pairs[i])
+            out[i, j] += np.bitwise_count(bits[j] & bits[i]).sum(axis=1, dtype=np.int32)
+    return out
+
+
+def sharing(texts: list[np.ndarray], threshold: float) -> np.ndarray:
+    """Mask of the pairs that can share enough two-word shingles (prefix filter).
+
+    Who shares at least t of its n shingles with another shares one of its n - t + 1 rarest with that one's rarest."""
+    n = len(texts)
+    size = np.array([len(w) for w in texts])
+    row, col, seen = _marks(texts, 2)
+    # by text, rarest first; shingles that no other text has come before all of these
+    order = np.lexsort((col, seen[col], row))
+    row, col = row[order], col[order]
+    own = np.maximum(size - 1, 0) - np.bincount(row, minlength=n)
+    place = np.arange(len(row)) - np.searchsorted(row, np.arange(n))[row]
+    rare = np.maximum(size - 1, 0) - np.array([least_shared(int(x), 2, threshold) for x in size]) + 1
+    keep = place < (rare - own)[row]
+    row, col = row[keep], col[keep]
+    order = np.argsort(col, kind="stable")
+    row, col = row[order], col[order]
+    out = np.zeros((n, n), bool)
+    for x in np.split(row, np.flatnonzero(np.diff(col)) + 1):
+        if len(x) > 1:
+            out[x[:, None], x] = True
+    # texts that may share none at all
+    out |= np.logical_or.outer(rare > np.maximum(size - 1, 0), rare > np.maximum(size - 1, 0))
     return out
 
 
@@ -301,10 +337,14 @@ def block_links(ids: np.ndarray, label: np.ndarray, home: np.ndarray, band: int,
     longer = np.maximum.outer(size, size)
     # the same bounds as aligned_similarity
     most = ((1 - threshold) * longer + 1e-9).astype(np.int64)
-    least = longer - BOUND + 1 - BOUND * most
-    shared = shared_shingles(texts)
-    apart &= (np.abs(np.subtract.outer(size, size)) <= most) & ((shared >= least) | (np.minimum.outer(size, size) < BOUND))
-    i, j = np.nonzero(np.triu(apart, 1))
+    apart &= (np.abs(np.subtract.outer(size, size)) <= most) & sharing(texts, threshold)
+    apart = np.triu(apart, 1)
+    for k in BOUNDS:
+        if not apart.any():
+            return []
+        shared = shared_shingles(texts, k, apart)
+        apart &= (shared >= longer - k + 1 - k * most) | (np.minimum.outer(size, size) < k)
+    i, j = np.nonzero(apart)
     order = np.lexsort((ids[j], ids[i], -(shared[i, j] / longer[i, j])))
     parent: dict[int, int] = {}
 

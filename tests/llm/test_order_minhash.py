@@ -125,5 +125,21 @@ def test_a_block_returns_a_forest_that_joins_all_linked_members():
     home = ids % 2
     cross = O.block_links(ids, ids.copy(), home, 0, bands, texts, O.THRESHOLD)
     assert components(range(n), cross) == components(range(n), [(a, b) for a, b in want if home[a] != home[b]])
-    marks = [set(O.labelled(O.shingles(t, 3)).tolist()) for t in texts]
-    assert [int(x) for x in np.delete(O.shared_shingles(texts)[5], 5)] == [len(marks[5] & m) for i, m in enumerate(marks) if i != 5]
+    upper = np.triu(np.ones((n, n), bool), 1)
+    for size in O.BOUNDS:
+        marks = [set(O.labelled(O.shingles(t, size)).tolist()) for t in texts]
+        assert O.shared_shingles(texts, size, upper)[5, 6:].tolist() == [len(marks[5] & m) for m in marks[6:]]
+
+
+def test_the_prefix_filter_keeps_every_linked_pair():
+    rng = np.random.default_rng(6)
+    for _ in range(40):
+        base, common = rng.integers(0, 40, rng.integers(1, 50)), rng.integers(0, 9, 20)
+        texts = []
+        for _ in range(25):
+            w = rng.integers(0, 60, rng.integers(1, 50)) if rng.integers(3) == 0 else base.copy()
+            at = rng.integers(0, len(w), rng.integers(0, len(w) // 5 + 2))
+            w[at] = rng.integers(0, 60, len(at))
+            texts.append(np.concatenate([w, common[:rng.integers(0, 20)]]).astype(np.int32))
+        mask = O.sharing(texts, O.THRESHOLD)
+        assert all(mask[i, j] for i in range(25) for j in range(i) if O.aligned_similarity(texts[i], texts[j]) > 0)
