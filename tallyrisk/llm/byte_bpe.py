@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import base64
 import json
+import os
 import re
 from functools import lru_cache
 
@@ -27,7 +28,9 @@ def byte_alphabet() -> dict[str, int]:
 
 
 def read_vocabulary(path: str) -> tuple[dict[bytes, int], dict[str, int]]:
-    """(bytes -> id, special string -> id) of a ``.json`` tokenizer file or a ``.tiktoken`` rank file (which has no specials)."""
+    """(bytes -> id, special string -> id) of a ``.json`` tokenizer file or a ``.tiktoken`` rank file.
+
+    A rank file names no specials: they are those of the tokenizer file of the same name beside it, if there is one."""
     if path.endswith(".json"):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
@@ -35,7 +38,9 @@ def read_vocabulary(path: str) -> tuple[dict[bytes, int], dict[str, int]]:
         byte = byte_alphabet()
         return {bytes(map(byte.__getitem__, w)): i for w, i in spec["model"]["vocab"].items() if w not in specials}, specials
     with open(path, "rb") as f:
-        return {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}, {}
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    beside = path.removesuffix(".tiktoken") + ".json"
+    return ranks, read_vocabulary(beside)[1] if os.path.exists(beside) else {}
 
 
 class ByteBpe:

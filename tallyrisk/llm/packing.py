@@ -12,14 +12,13 @@ neighbours.  Tokenised documents are written to the shared scratch folder before
 The last sequence of a range may be cut further into sequences of power-of-two lengths (``power_of_two``), which need no
 padding at all.
 
-Token ids are those of the public vocabulary file, whose path is a parameter.
+Token ids are those of the public vocabulary file, whose path is a parameter (see ``byte_bpe``: any text, also very long runs of blanks).
 
 Defined results: a null or empty text is the end id alone; rows with null or equal doc_id are packed as documents of their own;
 empty tables give empty results; other columns are ignored.
 """
 from __future__ import annotations
 
-import base64
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -30,40 +29,19 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, column
+from .byte_bpe import byte_bpe
+from .common import Scratch
 
 LENGTH = 2048
 END_ID = 1
 DIMS = 3
 BITS = 10            # of the Hilbert curve, for each dimension
 HASHED = 1024        # size of the hashed count vector
-SPECIAL = {"<|endoftext|>": 50256}
 
 SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, "
           "hilbert long")
 
 
-class Encoder:
-    """Ids of whole texts under the public byte-level vocabulary (the end mark's string is its id, as in the tokenizer file)."""
-
-    def __init__(self, path: str):
-        import public_tokenizers
-        import tiktoken
-        with open(path, "rb") as f:
-            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        self.enc = tiktoken.Encoding("public", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=SPECIAL)
-
-    def __call__(self, text: str) -> np.ndarray:
-        marked = any(s in text for s in SPECIAL)
-        ids = self.enc.encode(text, allowed_special="all") if marked else self.enc.encode_ordinary(text)
-        return np.array(ids, dtype="<u2")
-
-
-@lru_cache(maxsize=2)
-def encoder(path: str) -> Encoder:
-    return Encoder(path)
-
-
 @lru_cache(maxsize=1)
 def _projection() -> np.ndarray:
     return np.random.default_rng(4099).standard_normal((HASHED, DIMS))
@@ -120,13 +98,13 @@ DOCS = "doc_id long, hilbert long, doc_tokens long, whole_crc32 array<long>, res
 
 def _tokenised(path: str, length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(path)
+        enc = byte_bpe(path, True)
         for whole in batches:
             for at in range(0, whole.num_rows, 512):
                 batch = whole.slice(at, 512)
                 points, tokens, crcs, rests = [], [], [], []
                 for text in batch.column("text"):
-                    ids = enc(text.as_py() or "")
+                    ids = np.array(enc(text.as_py() or ""), dtype="<u2")
                     points.append(point(ids))
                     ids = np.append(ids, np.uint16(END_ID))
                     full = len(ids) // length * length

@@ -65,3 +65,10 @@ def test_hilbert_curve_visits_every_cell_by_single_steps(monkeypatch):
     key = P.hilbert_key((cells + 0.5) / 8)
     assert sorted(key) == list(range(512))
     assert (np.abs(np.diff(cells[np.argsort(key)], axis=0)).sum(axis=1) == 1).all()
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.tiktoken", "byte_bpe_50k.json"])
+def test_texts_that_the_encoder_alone_cannot_take(spark, name):
+    texts = {1: " " * 1_000_000, 2: "a" + " " * 600_000 + "b", 3: "x" * 1_000_000, 4: "\n" * 700_000, 5: "!" * 700_000, 6: " \t" * 400_000 + "<|endoftext|>"}
+    rows = P.pack(spark.createDataFrame(list(texts.items()), "doc_id long, text string"), vocabulary(name)).collect()
+    assert _check(rows, texts, P.LENGTH) == 0
