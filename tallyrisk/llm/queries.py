@@ -184,37 +184,6 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.array_join(span, ",").alias("spans"), "text")
 
 
-_SP = r"[\t-\r\x1c- \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
-
-
-def substring_sql(source: str) -> str:
-    """CTE list whose last member ``substring`` has every row of ``source`` (doc_id, text) with text cleaned and spans."""
-    return rf"""
-su AS (
-  SELECT doc_id, unnest(l) AS unit, generate_subscripts(l, 1) AS i FROM (
-    SELECT doc_id, list_filter(string_split(regexp_replace(regexp_replace(text, '([.!?]{_SP}+|\n)', '\1' || chr(1), 'g'),
-           '({_SP})(\p{{Lu}})', '\1' || chr(1) || '\2', 'g'), chr(1)), lambda x: x <> '') AS l FROM {source})),
-sn AS (
-  SELECT *, coalesce(sum(length(unit)) OVER (PARTITION BY doc_id ORDER BY i ROWS UNBOUNDED PRECEDING), 0) AS stop,
-         trim(regexp_replace(lower(unit), '{_SP}+', ' ', 'g')) AS norm FROM su),
-sw AS (SELECT *, stop - length(unit) AS start, length(norm) - length(replace(norm, ' ', '')) + 1 AS words FROM sn),
-sr AS (SELECT *, row_number() OVER (PARTITION BY norm ORDER BY doc_id, i) > 1 AS again FROM sw WHERE norm <> '' AND words >= 3),
-sg AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY i)
-              - row_number() OVER (PARTITION BY doc_id, again ORDER BY i) AS run FROM sr),
-sp AS (SELECT doc_id, min(start) AS a, max(stop) AS b FROM sg WHERE again GROUP BY doc_id, run HAVING sum(words) >= 13),
-sk AS (SELECT w.doc_id, string_agg(unit, '' ORDER BY i) AS kept FROM sw w
-       LEFT JOIN sp ON sp.doc_id = w.doc_id AND w.start >= sp.a AND w.stop <= sp.b WHERE sp.a IS NULL GROUP BY w.doc_id),
-sl AS (SELECT doc_id, count(*) AS n, string_agg(CAST(a AS BIGINT) || '-' || CAST(b AS BIGINT), ',' ORDER BY a) AS spans
-       FROM sp GROUP BY doc_id),
-substring AS (SELECT d.* REPLACE (CASE WHEN coalesce(d.text, '') = '' THEN d.text ELSE coalesce(sk.kept, '') END AS text),
-              coalesce(sl.n, 0) AS n_spans, coalesce(sl.spans, '') AS spans
-       FROM {source} d LEFT JOIN sk ON sk.doc_id = d.doc_id LEFT JOIN sl ON sl.doc_id = d.doc_id)
-"""
-
-
-OP10_SQL = f"WITH {substring_sql('documents')} SELECT doc_id, n_spans, spans, text FROM substring"
-
-
 # ---------------------------------------------------------------- op11: token counts
 def op11_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -270,6 +239,5 @@ ORACLE: dict[str, str] = {
     "op1_url_filter": OP1_SQL,
     "op3_chat_format": OP3_SQL,
     "op8_license_scan": OP8_SQL,
-    "op10_substring_dedup": OP10_SQL,
     "op13_lexical_search": OP13_SQL,
 }

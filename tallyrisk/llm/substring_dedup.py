@@ -13,9 +13,11 @@ shorter line.  One that repeats as such is removed whatever its length; the floo
 So what stays of earlier-seen text are pieces below that floor and lines of one or two words that stand alone.  A word is a stretch without blanks; in the scripts written without blanks
 (Chinese, Japanese, Thai, Lao, Khmer, Burmese) every character is one.
 
-Work: one narrow row for each unit, two for each short one.  The earliest rank of a digest is a minimum (map-side combined, so a digest with a
-third of all rows is harmless); only digests seen twice are joined back to their occurrences, which AQE may split; nothing
-gathers a digest's occurrences.  Repeat marks meet their document by its key, and each text is cut again there to get the offsets.
+Work: each text is cut once; one row for each unit (two for each short one) with its place in words and characters goes to a scratch table.  The
+earliest rank of a digest is a minimum (map-side combined, so a digest with a third of all rows is harmless).  Digests seen twice are written, so that their
+join with the occurrences can be split where a digest is hot (AQE splits no partition of an aggregate).  Occurrences of digests seen once, which
+are most, are kept out of that join's shuffle by a Bloom filter of the others: its size is fixed (``FILTER_BITS`` at most) whatever the input, and
+what it lets through wrongly the join drops.  Nothing gathers a digest's occurrences.  The repeats of a document meet its text by its key.
 
 Defined results: a null or empty text has no units and is kept; rows with equal doc_id (null included) and equal text are the
 same document and are treated alike (repeats inside it count once for all its copies); rows with equal doc_id and unlike texts are
@@ -35,6 +37,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import Scratch
+
 MIN_WORDS = 13
 MIN_UNIT_WORDS = 3
 #: capital letters (category Lu), as a character class
@@ -111,19 +115,24 @@ def wholes(text: str, units: list[tuple[int, int, str, int]]) -> list[tuple[int,
     return out
 
 
-_OCC = pa.schema([("doc_id", pa.int64()), ("place", pa.int64()), ("n", pa.int32()), ("d1", pa.int64()), ("d2", pa.int64())])
+_OCC = pa.schema([("doc_id", pa.int64()), ("place", pa.int64()), ("n", pa.int32()), ("start", pa.int32()), ("stop", pa.int32()),
+                  ("w0", pa.int32()), ("w1", pa.int32()), ("d1", pa.int64()), ("d2", pa.int64())])
+OCC = "doc_id long, place long, n int, start int, stop int, w0 int, w1 int, d1 long, d2 long"
 FLUSH = 200_000
+FILTER_BITS = 1 << 28      # 32 MB
+KEY_BITS = 12              # bits of the filter for each digest, before rounding up to a power of two
+PROBES = 4
 
 
 def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     docs: list = []
-    places: list[int] = []
-    sizes: list[int] = []
+    rows: list[tuple] = []
     digests: list[bytes] = []
 
     def flush():
         raw = np.frombuffer(b"".join(digests), dtype=">i8").reshape(-1, 2).astype(np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(places, pa.int64()), pa.array(sizes, pa.int32()),
+        cols = list(zip(*rows))
+        return pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), *(pa.array(c, f.type) for c, f in zip(cols, list(_OCC)[1:7])),
                                            pa.array(raw[:, 0]), pa.array(raw[:, 1])], schema=_OCC)
 
     for batch in batches:
@@ -132,15 +141,17 @@ def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if not text:
                 continue
             units = cut(text)
+            before = [0]
+            for u in units:
+                before.append(before[-1] + u[3])
             found = windows(units) + wholes(text, units)
             first = h << 32
             docs += [doc_id] * len(found)
-            places += [first + i for i, _, _ in found]
-            sizes += [n for _, n, _ in found]
+            rows += [(first + i, n, units[i][0], units[i + abs(n) - 1][1], before[i], before[i + abs(n)]) for i, n, _ in found]
             digests += [xxhash.xxh3_128_digest(t.encode("utf-8", "surrogatepass")) for _, _, t in found]
             if len(docs) >= FLUSH:
                 yield flush()
-                docs, places, sizes, digests = [], [], [], []
+                docs, rows, digests = [], [], []
     if docs:
         yield flush()
 
@@ -150,41 +161,79 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return docs.withColumn("_h", F.hash("text").bitwiseAND(0x7FFFFFFF))
 
 
-def repeats(docs: DataFrame) -> DataFrame:
-    """(doc_id, place, n) of every window of which an earlier occurrence exists that it does not overlap."""
-    occ = _keyed(docs).select("doc_id", "_h", "text").mapInArrow(_occurrences, "doc_id long, place long, n int, d1 long, d2 long")
-    first = (occ.groupBy("d1", "d2").agg(F.min(F.struct("doc_id", "place", "n")).alias("first"), F.count("*").alias("seen"))
-             .filter("seen > 1").select("d1", "d2", F.col("first.doc_id").alias("f_doc"),
-                                        (F.col("first.place") + F.abs("first.n")).alias("f_end")))
-    return (occ.join(first, ["d1", "d2"])
-            .filter(~(F.col("doc_id").eqNullSafe(F.col("f_doc")) & (F.col("place") < F.col("f_end"))))
-            .select("doc_id", "place", "n"))
-
-
-def _true_runs(flag: np.ndarray) -> list[tuple[int, int]]:
-    """(start, end) of every maximal run of set flags."""
-    return np.flatnonzero(np.diff(flag, prepend=False, append=False)).reshape(-1, 2).tolist()
+def bloom_words(digests: DataFrame, bits: int) -> np.ndarray:
+    """Filter of all (d1, d2): the 64-bit words are put together by a grouped bit_or, so the driver gets ``bits / 64`` numbers at most."""
+    bit = F.explode(F.array(*[((F.shiftrightunsigned("d1", 8) + i * F.shiftrightunsigned("d2", 8)).bitwiseAND(bits - 1)) for i in range(PROBES)]))
+    words = (digests.select(bit.alias("bit")).groupBy(F.shiftright("bit", 6).cast("int").alias("w"))
+             .agg(F.bit_or(F.expr("shiftleft(1L, CAST(bit & 63 AS INT))")).alias("v")).toArrow())
+    out = np.zeros(bits // 64, np.int64)
+    out[words.column("w").to_numpy()] = words.column("v").to_numpy()
+    return out
 
 
-def spans(text: str, marked: list[dict], min_words: int) -> list[tuple[int, int]]:
-    """Removed spans of one text; ``marked``: its repeating windows (first unit ``i`` and number of units ``n``, negative for a whole line)."""
-    units = cut(text)
-    flag, gone = np.zeros((2, len(units)), dtype=bool)
-    for m in marked:
-        flag[m["i"]:m["i"] + abs(m["n"])] = True
-        if m["n"] < 0:
-            gone[m["i"]:m["i"] - m["n"]] = True
-    for i, j in _true_runs(flag):
-        if sum(u[3] for u in units[i:j]) >= min_words:
-            gone[i:j] = True
-    return [(units[i][0], units[j - 1][1]) for i, j in _true_runs(gone)]
+def _passing(filter_):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = filter_.value.view(np.uint64)
+        mask = np.uint64(len(words) * 64 - 1)
+        for batch in batches:
+            d1, d2 = (batch.column(c).to_numpy().view(np.uint64) for c in ("d1", "d2"))
+            ok = np.ones(len(d1), bool)
+            for i in range(PROBES):
+                bit = ((d1 >> np.uint64(8)) + np.uint64(i) * (d2 >> np.uint64(8))) & mask
+                ok &= (words[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63))) & np.uint64(1) == 1
+            yield batch.filter(pa.array(ok))
+    return run
+
+
+def repeats(docs: DataFrame, scratch: Scratch) -> DataFrame:
+    """(doc_id, place, n, start, stop, w0, w1) of every window of which an earlier occurrence exists that it does not overlap."""
+    spark = docs.sparkSession
+    occ = scratch.write(_keyed(docs).select("doc_id", "_h", "text").mapInArrow(_occurrences, OCC), "units")
+    first = scratch.write(
+        occ.groupBy("d1", "d2").agg(F.min(F.struct("doc_id", "place", "n")).alias("first"), F.count("*").alias("seen"))
+        .filter("seen > 1").select("d1", "d2", F.col("first.doc_id").alias("f_doc"),
+                                   (F.col("first.place") + F.abs("first.n")).alias("f_end")), "first")
+    bits = 1 << 10
+    while bits < min(first.count() * KEY_BITS, FILTER_BITS):
+        bits *= 2
+    filter_ = spark.sparkContext.broadcast(bloom_words(first, bits))
+    again = scratch.write(
+        occ.mapInArrow(_passing(filter_), OCC).join(first.hint("merge"), ["d1", "d2"])
+        .filter(~(F.col("doc_id").eqNullSafe(F.col("f_doc")) & (F.col("place") < F.col("f_end"))))
+        .select("doc_id", "place", "n", "start", "stop", "w0", "w1"), "repeats")
+    filter_.destroy()
+    scratch.drop("units")
+    scratch.drop("first")
+    return again
+
+
+def spans(marked: list[dict], min_words: int) -> list[tuple[int, int]]:
+    """Removed spans of one text: the maximal runs of its repeating windows that have ``min_words`` words, and the whole lines.
+
+    ``marked``: first unit ``i``, number of units ``n`` (negative for a whole line), characters ``start`` to ``stop``, words ``w0`` to ``w1``."""
+    runs: list[list[int]] = []
+    for m in sorted(marked, key=lambda m: m["i"]):
+        end = m["i"] + abs(m["n"])
+        if runs and m["i"] <= runs[-1][0]:
+            if end > runs[-1][0]:
+                runs[-1][0], runs[-1][2], runs[-1][4] = end, m["stop"], m["w1"]
+        else:
+            runs.append([end, m["start"], m["stop"], m["w0"], m["w1"]])
+    gone = sorted([(r[1], r[2]) for r in runs if r[4] - r[3] >= min_words] + [(m["start"], m["stop"]) for m in marked if m["n"] < 0])
+    out: list[tuple[int, int]] = []
+    for a, b in gone:      # units tile the text but for blanks: spans of neighbouring units touch
+        if out and a <= out[-1][1]:
+            out[-1] = out[-1][0], max(b, out[-1][1])
+        else:
+            out.append((a, b))
+    return out
 
 
 def substring_dedup(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` with repeated passages taken out of ``text``; ``removed`` lists their (start, end) in the original text."""
     docs = docs.drop("removed")
-    marks = (repeats(docs).groupBy("doc_id", F.shiftright("place", 32).cast("int").alias("_h"))
-             .agg(F.collect_set(F.struct(F.col("place").bitwiseAND(0xFFFFFFFF).cast("int").alias("i"), "n")).alias("_marks"))
+    marks = (repeats(docs, Scratch(docs.sparkSession, "substring-dedup")).groupBy("doc_id", F.shiftright("place", 32).cast("int").alias("_h"))
+             .agg(F.collect_set(F.struct(F.col("place").bitwiseAND(0xFFFFFFFF).cast("int").alias("i"), "n", "start", "stop", "w0", "w1")).alias("_marks"))
              .withColumnRenamed("doc_id", "_doc").withColumnRenamed("_h", "_mh"))
     names, fields = docs.columns, docs.schema.fields
     joined = (_keyed(docs).join(marks, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_h") == F.col("_mh")), "left")
@@ -197,7 +246,7 @@ def substring_dedup(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
             texts, taken = [], []
             for text, marked in zip(batch.column("text"), batch.column("_marks")):
                 text, marked = text.as_py(), marked.as_py()
-                out = spans(text, marked, min_words) if text and marked else []
+                out = spans(marked, min_words) if text and marked else []
                 if out:
                     keep, end = [], 0
                     for a, b in out:

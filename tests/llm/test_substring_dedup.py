@@ -1,6 +1,11 @@
+import unicodedata
+
+import pytest
 from pyspark.sql import functions as F
 
 from tallyrisk.llm import substring_dedup as S
+from tallyrisk.llm.common import table
+from tallyrisk.llm.queries import QUERIES
 
 P = "The one passage has these words here. It goes on for a while like this. And then it ends now."
 
@@ -83,3 +88,119 @@ def test_a_repeated_line_goes_whatever_its_length(spark):
     got = {r.doc_id: r.text for r in _run(spark, rows)}
     assert got[1] == rows[0][1] and got[2] == "second text\nanother end" and got[3] == inside
     assert got[4] == rows[3][1] and got[5] == "own five words here\n\n" and got[6] == rows[5][1]
+
+
+# ------------------------------------------------------------------ brute force
+
+def _units(text):
+    """(start, stop, words) of the units, character by character."""
+    cuts = []
+    for i in range(1, len(text)):
+        before, c = text[i - 1], text[i]
+        if before == "\n":
+            cuts.append(i)
+        elif before.isspace() and not c.isspace():
+            head = text[:i].rstrip()
+            if head[-1:] in (".", "!", "?") or unicodedata.category(c) == "Lu":
+                cuts.append(i)
+    out = []
+    for a, b in zip([0, *cuts], [*cuts, len(text)]):
+        words = text[a:b].lower().split()
+        if words:
+            out.append((a, b, words))
+    return out
+
+
+def _windows(text):
+    """(first unit, end unit, key, whole) of everything that is compared."""
+    units = _units(text)
+    out = set()
+    for i, (_, _, w) in enumerate(units):
+        if len(w) >= 3:
+            out.add((i, i + 1, " ".join(w), False))
+            continue
+        for way in (1, -1):
+            j, total = i, len(w)
+            while total < 13 and 0 <= j + way < len(units):
+                j += way
+                total += len(units[j][2])
+                if len(units[j][2]) >= 3:
+                    break
+            if total >= 13 or len(units[j][2]) >= 3:
+                a, b = min(i, j), max(i, j) + 1
+                out.add((a, b, " ".join(x for u in units[a:b] for x in u[2]), False))
+    # lines and paragraphs
+    line_of = [text.count("\n", 0, u[0] + len(text[u[0]:u[1]]) - len(text[u[0]:u[1]].lstrip())) for u in units]
+    blocks, par = {}, 0
+    for k, u in enumerate(units):
+        if k and line_of[k] - line_of[k - 1] > 1:
+            par += 1
+        blocks.setdefault(par, {}).setdefault(line_of[k], []).append(k)
+    for lines in blocks.values():
+        texts = [" ".join(x for k in ks for x in units[k][2]) for ks in lines.values()]
+        sizes = [len(x.split()) for x in texts]
+        for ks, x, n in zip(lines.values(), texts, sizes):
+            if n >= 3:
+                out.add((ks[0], ks[-1] + 1, "line " + x, True))
+        if min(sizes) < 3 and len(lines) > 1 and sum(sizes) >= 3:
+            ks = [k for x in lines.values() for k in x]
+            out.add((ks[0], ks[-1] + 1, "paragraph " + "\n".join(texts), True))
+    return units, out
+
+
+def brute(docs):
+    """(n_spans, spans, text) of every document; ``docs`` in order of doc_id."""
+    first, cut_ = {}, []
+    for d, text in enumerate(docs):
+        units, found = _windows(text or "")
+        cut_.append((units, found))
+        # at one place a whole line (a negative number of units) ranks before a unit
+        for a, b, key, whole in sorted(found, key=lambda x: (x[0], (x[0] - x[1]) if x[3] else (x[1] - x[0]))):
+            first.setdefault(key, (d, b))
+    out = []
+    for d, (text, (units, found)) in enumerate(zip(docs, cut_)):
+        again = [(a, b, whole) for a, b, key, whole in found if first[key][0] != d or a >= first[key][1]]
+        flag, gone = [False] * len(units), [False] * len(units)
+        for a, b, whole in again:
+            flag[a:b] = [True] * (b - a)
+            if whole:
+                gone[a:b] = [True] * (b - a)
+        i = 0
+        while i < len(units):
+            j = i
+            while j < len(units) and flag[j]:
+                j += 1
+            if sum(len(u[2]) for u in units[i:j]) >= 13:
+                gone[i:j] = [True] * (j - i)
+            i = j + 1
+        spans, i = [], 0
+        while i < len(units):
+            j = i
+            while j < len(units) and gone[j]:
+                j += 1
+            if j > i:
+                spans.append((units[i][0], units[j - 1][1]))
+            i = j + 1
+        kept, end = "", 0
+        for a, b in spans:
+            kept, end = kept + text[end:a], b
+        out.append((len(spans), ",".join(f"{a}-{b}" for a, b in spans), text if text is None else kept + text[end:]))
+    return out
+
+
+@pytest.mark.parametrize("sf", ["0.001", "0.01"])
+def test_query_equals_brute_force(spark, sf):
+    d = f"/root/testdata/sf{sf}"
+    docs = table(spark, d, "documents").select("doc_id", "text").orderBy("doc_id").collect()
+    rows = QUERIES["op10_substring_dedup"](spark, d).orderBy("doc_id").collect()
+    want = brute([r.text for r in docs])
+    assert [r.doc_id for r in rows] == [r.doc_id for r in docs]
+    wrong = [(r.doc_id, r.spans, w[1]) for r, w in zip(rows, want) if (r.n_spans, r.spans, r.text) != w]
+    assert not wrong, (len(wrong), wrong[:5])
+
+
+def test_a_full_filter_changes_nothing(spark, monkeypatch):
+    rows = [(i, f"Own words number {i} here. {P} Then w{i} x{i} y{i}.", "") for i in range(40)]
+    whole = {r.doc_id: r.text for r in _run(spark, rows)}
+    monkeypatch.setattr(S, "FILTER_BITS", 64)
+    assert {r.doc_id: r.text for r in _run(spark, rows)} == whole and P in whole[0] and P not in whole[1]
