@@ -48,6 +48,8 @@ PICKS = 2
 BOUNDS = (1, 2)        # words of the shingles counted before an alignment
 BLOCK = 256            # members of a block
 BLOCK_WORDS = 2_000_000
+TOGETHER = 64          # pairs aligned at once
+TOGETHER_WORDS = 200_000
 STAR = 1024            # pairs of one centre that share a copy of its words
 SEED = 7321
 
@@ -186,11 +188,8 @@ def aligned_similarity(a: np.ndarray, b: np.ndarray, threshold: float = THRESHOL
     n = max(len(a), len(b))
     if not len(a) or not len(b):
         return 0.0
-    for k in BOUNDS:
-        if min(len(a), len(b)) >= k:
-            shared = len(np.intersect1d(labelled(shingles(a, k)), labelled(shingles(b, k)), assume_unique=True))
-            if shared < least_shared(n, k, threshold):
-                return 0.0
+    if not enough_shared(a, b, threshold):
+        return 0.0
     d = edits(a, b, most_edits(n, threshold))
     return 0.0 if d is None else 1 - d / n
 
@@ -256,16 +255,89 @@ def _run(a: np.ndarray, b: np.ndarray, i: int, j: int) -> int:
         n, step = n + m, step * 2
 
 
+def enough_shared(a: np.ndarray, b: np.ndarray, threshold: float) -> bool:
+    """Whether two texts share the words and shingles that the threshold asks for."""
+    n = max(len(a), len(b))
+    return all(min(len(a), len(b)) < k or len(np.intersect1d(labelled(shingles(a, k)), labelled(shingles(b, k)), assume_unique=True))
+               >= least_shared(n, k, threshold) for k in BOUNDS)
+
+
+def edits_many(pairs: list[tuple[np.ndarray, np.ndarray]], most: list[int]) -> np.ndarray:
+    """``edits`` of several pairs at once, -1 where it is above ``most``: a row of diagonals for each pair, all advanced together."""
+    out = np.full(len(pairs), -1, np.int64)
+    la, lb = (np.array([len(p[i]) for p in pairs], np.int64) for i in (0, 1))
+    most = np.asarray(most, np.int64)
+    # all texts end to end, each behind it a mark that nothing equals
+    flat_a = np.concatenate([x for p in pairs for x in (p[0].astype(np.int64), [1 << 40])])
+    flat_b = np.concatenate([x for p in pairs for x in (p[1].astype(np.int64), [1 << 41])])
+    at_a, at_b = (np.concatenate([[0], np.cumsum(n + 1)[:-1]]) for n in (la, lb))
+    goal, who = lb - la, np.arange(len(pairs))
+    keep = np.abs(goal) <= most
+    la, lb, at_a, at_b, goal, who, most = (x[keep] for x in (la, lb, at_a, at_b, goal, who, most))
+    zero = int(most.max(initial=0)) + 1
+    reach = np.full((len(who), 2 * zero + 1), _NONE, np.int64)
+    d = 0
+    while len(who):
+        k = np.arange(-d, d + 1)
+        if d:
+            at = slice(zero - d, zero + d + 1)
+            i = np.maximum(np.maximum(reach[:, at], reach[:, zero + 1 - d:zero + d + 2]) + 1, reach[:, zero - 1 - d:zero + d])
+            i = np.minimum(i, np.minimum(la[:, None], lb[:, None] - k))
+        else:
+            i = np.zeros((len(who), 1), np.int64)
+        left = (most - d)[:, None]
+        i[(i < 0) | (i + k < 0) | (k < goal[:, None] - left) | (k > goal[:, None] + left)] = _NONE
+        row, col = np.nonzero(i >= 0)
+        n, x, y = 0, at_a[row] + i[row, col], at_b[row] + i[row, col] + k[col]
+        while len(row):
+            same = flat_a[x] == flat_b[y]
+            row, col, x, y = row[same], col[same], x[same] + 1, y[same] + 1
+            i[row, col] += 1
+            n += 1
+            if n == 16:      # long runs, one by one
+                for r, c, u, v in zip(row.tolist(), col.tolist(), x.tolist(), y.tolist()):
+                    i[r, c] += _run(flat_a, flat_b, u, v)
+                break
+        reach[:, zero - d:zero + d + 1] = i
+        here = np.abs(goal) <= d
+        done = here & (i[np.arange(len(who)), np.where(here, goal + d, 0)] >= la)
+        out[who[done]] = d
+        d += 1
+        on = ~done & (most >= d)
+        if not on.all():
+            la, lb, at_a, at_b, goal, who, most, reach = (z[on] for z in (la, lb, at_a, at_b, goal, who, most, reach))
+    return out
+
+
 def _verified(threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            pairs = zip(batch.column("wa"), batch.column("wb"))
-            ok = [aligned_similarity(*(np.frombuffer(x.as_buffer(), np.int32) for x in pair), threshold) > 0 for pair in pairs]
-            keep = pa.array(ok, pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)], names=["a", "b"])
+        for whole in batches:
+            for at in range(0, whole.num_rows, 1024):
+                batch = whole.slice(at, 1024)
+                pairs = [tuple(np.frombuffer(x.as_buffer(), np.int32) for x in p) for p in zip(batch.column("wa"), batch.column("wb"))]
+                ok = np.array([enough_shared(a, b, threshold) for a, b in pairs], bool)
+                some = np.flatnonzero(ok)
+                for part in _parts(some, pairs):
+                    ok[part] = edits_many([pairs[i] for i in part], [most_edits(max(map(len, pairs[i])), threshold) for i in part]) >= 0
+                keep = pa.array(ok)
+                yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)], names=["a", "b"])
     return run
 
 
+def _parts(which: np.ndarray, pairs: list) -> Iterator[np.ndarray]:
+    """Runs of ``which`` that are aligned together: at most ``TOGETHER`` pairs, fewer of long texts."""
+    part, total = [], 0
+    for i in which.tolist():
+        n = max(map(len, pairs[i]))
+        if part and (len(part) == TOGETHER or total + n > TOGETHER_WORDS):
+            yield np.array(part)
+            part, total = [], 0
+        part.append(i)
+        total += n
+    if part:
+        yield np.array(part)
+
+
 # ------------------------------------------------------------------ blocks
 
 def _marks(texts: list[np.ndarray], size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -346,26 +418,31 @@ def block_links(ids: np.ndarray, label: np.ndarray, home: np.ndarray, band: int,
         apart &= (shared >= longer - k + 1 - k * most) | (np.minimum.outer(size, size) < k)
     i, j = np.nonzero(apart)
     order = np.lexsort((ids[j], ids[i], -(shared[i, j] / longer[i, j])))
-    parent: dict[int, int] = {}
+    i, j = i[order], j[order]
+    parent = {int(x): int(x) for x in label}
 
     def top(x: int) -> int:
-        while parent.setdefault(x, x) != x:
+        while parent[x] != x:
             parent[x] = parent[parent[x]]
             x = parent[x]
         return x
 
     out = []
-    for x, y in zip(i[order].tolist(), j[order].tolist()):
-        a, b = top(int(label[x])), top(int(label[y]))
-        if a == b:
-            continue
-        d = edits(texts[x], texts[y], int(most[x, y]))
-        if d is not None:
-            parent[max(a, b)] = min(a, b)
-            out.append((int(ids[x]), int(ids[y])))
-            if len(out) == n - 1:
-                break
-    return out
+    while True:
+        tops = np.array([top(int(x)) for x in label])
+        open_ = tops[i] != tops[j]
+        i, j = i[open_], j[open_]
+        if not len(i):
+            return out
+        pairs = list(zip((texts[x] for x in i[:TOGETHER]), (texts[x] for x in j[:TOGETHER])))
+        part = next(_parts(np.arange(len(pairs)), pairs))
+        d = edits_many([pairs[x] for x in part], [int(most[i[x], j[x]]) for x in part])
+        for x in part[d >= 0]:
+            a, b = top(int(label[i[x]])), top(int(label[j[x]]))
+            if a != b:
+                parent[max(a, b)] = min(a, b)
+                out.append((int(ids[i[x]]), int(ids[j[x]])))
+        i, j = i[len(part):], j[len(part):]
 
 
 def _searched(threshold: float):

@@ -27,6 +27,19 @@ def test_banded_alignment_finds_the_least_edits():
         assert O.edits(a, b, d) == d and O.edits(a, b, d + 3) == d and (d == 0 or O.edits(a, b, d - 1) is None)
 
 
+def test_pairs_aligned_together_equal_pairs_aligned_alone():
+    rng = np.random.default_rng(8)
+    for _ in range(60):
+        pairs = []
+        for _ in range(rng.integers(1, 20)):
+            run = rng.integers(0, 1000, rng.integers(0, 300))
+            a, b = (np.concatenate([rng.integers(0, 4, rng.integers(1, 15)), run, rng.integers(0, 4, rng.integers(0, 9))]) for _ in range(2))
+            pairs.append((a, b))
+        most = rng.integers(0, 25, len(pairs)).tolist()
+        alone = [O.edits(a, b, m) for (a, b), m in zip(pairs, most)]
+        assert O.edits_many(pairs, most).tolist() == [-1 if d is None else d for d in alone]
+
+
 def test_the_bound_leaves_no_pair_out():
     rng = np.random.default_rng(5)
     for _ in range(300):
