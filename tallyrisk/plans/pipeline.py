@@ -23,8 +23,13 @@ PAIR = ["customer_id", "supplier_id"]
 
 
 def run_scoring(spark: SparkSession, t: Tables, out_dir: str, p: Params = DEFAULT,
-                stored_constants: DataFrame | None = None) -> dict[str, str]:
-    """Compute and publish all outputs for ``p.processing_date``; returns table name -> path."""
+                stored_constants: DataFrame | None = None, reasons: dict[str, DataFrame] | None = None) -> dict[str, str]:
+    """Compute and publish all outputs for ``p.processing_date``; returns table name -> path.
+
+    ``reasons``: the stored reason weights of ``customer`` and ``supplier`` (default: the input tables).  See ``daily.run_day`` for a run that takes date, constants
+    and reason weights from the state that earlier runs left.
+    """
+    reasons = reasons or {"customer": t.customer_reason, "supplier": t.supplier_reason}
     if stored_constants is not None:
         consts = publish.constants_upsert(stored_constants, publish.draw_constants(p.processing_date),
                                           p.processing_date)
@@ -49,7 +54,7 @@ def run_scoring(spark: SparkSession, t: Tables, out_dir: str, p: Params = DEFAUL
     s_agg = supplier.agg_supplier_metrics(sp_scored.drop("score", "level", "score_raw"))
     s_modal = supplier.modal_level(sp_scored, "supplier_id")
     s_scores = stage("run_s_scores", lambda: supplier.agg_supplier_score(s_agg, s_modal, w_row))
-    s_reasons = _reasons(t.supplier_reason, t.crm_classes, "supplier_id", t.override_reasons)
+    s_reasons = _reasons(reasons["supplier"], t.crm_classes, "supplier_id", t.override_reasons)
     s_final = stage("run_s_final", lambda: override.apply_overrides(
         s_scores, "supplier_id", override.latest_override(t.supplier_update_level, "supplier_id"),
         supplier.supplier_weights(s_scores, w_row), s_scores, SUPPLIER_METRICS, s_reasons, p.c("c1")))
@@ -59,7 +64,7 @@ def run_scoring(spark: SparkSession, t: Tables, out_dir: str, p: Params = DEFAUL
                                       ("ndg_id", "ndg_name", "customer_name", "customer_type_id", "customer_type"))
     c_scores = stage("run_c_scores", lambda: agg_ops.agg_customer_score(c_agg, weights.customer_weights(pm), p))
     c_adj = stage("run_c_adj", lambda: agg_ops.international_adjust(c_scores, p))
-    c_reasons = _reasons(t.customer_reason, t.crm_customers, "customer_id", t.override_reasons)
+    c_reasons = _reasons(reasons["customer"], t.crm_customers, "customer_id", t.override_reasons)
     c_latest = override.latest_override(t.customer_update_level, "customer_id")
     c_final = stage("run_c_final", lambda: override.apply_overrides(
         c_adj, "customer_id", c_latest, c_scores, c_scores, CUSTOMER_AGG_METRICS, c_reasons, p.c("c2"),

@@ -834,9 +834,8 @@ def q_publish_with_audit(spark, sf_dir):
     one, two, three = (P.processing_date + _dt.timedelta(days=d) for d in (-1, 0, 1))
     for day, rows in ((one, snap), (two, snap), (two, snap.filter("total_ar > 0")), (three, snap), (three, snap.limit(0))):
         pub.publish_with_audit(rows, base, day)
-    hist = spark.read.parquet(f"{base}/history")
     now = pub.read_current(spark, base).select(F.lit(three).alias("processing_date"))
-    return (hist.select("processing_date").unionByName(now).groupBy("processing_date")
+    return (pub.read_history(spark, base).select("processing_date").unionByName(now).groupBy("processing_date")
             .agg(F.count(F.lit(1)).alias("n_rows")))
 
 
@@ -844,3 +843,100 @@ def q_publish_with_audit(spark, sf_dir):
 def q_constants_upsert(spark, sf_dir):
     t = Tables.for_run(spark, sf_dir)
     return pub.constants_upsert(t.raw_constant_values, CONSTANTS, P.processing_date)
+
+
+@query("state_two_days")
+def q_state_two_days(spark, sf_dir):
+    """Constants of two days' runs, the second run twice: each run starts from the state stored before it."""
+    t = Tables.for_run(spark, sf_dir)
+    state = daily.State(spark, pub.shared_dir(spark, "state", "two-days"))
+    for day in (P.processing_date, P.processing_date + _dt.timedelta(days=1), P.processing_date + _dt.timedelta(days=1)):
+        state.constants(day, t.raw_constant_values)
+    return state.store("constant_values").history().select("processing_date", "id", "value", "value_date")
+
+
+@query("reason_state_two_days")
+def q_reason_state_two_days(spark, sf_dir):
+    """Reason weights that the second day's run reads: what the first published, over the input's."""
+    t = Tables.for_run(spark, sf_dir)
+    state = daily.State(spark, pub.shared_dir(spark, "state", "reasons"))
+    state.store("supplier_reason").publish(REGISTRY["reason_weight_update"](spark, sf_dir), P.processing_date)
+    out = state.reasons("supplier", t.supplier_reason, P.processing_date + _dt.timedelta(days=1))
+    return r6(out, "weight")
+
+
+# ---------------------------------------------------------------------------
+# typed loads
+# ---------------------------------------------------------------------------
+from ..functions.scalar import units  # noqa: E402
+from ..sources import loads  # noqa: E402
+from . import daily  # noqa: E402
+
+
+def load_source(t: Tables, name: str) -> DataFrame:
+    """A relation with the columns of its load, in file order (columns that the test data lacks are null)."""
+    src = t[name]
+    return src.select(*[F.col(f.name) if f.name in src.columns else F.lit(None).cast("string").alias(f.name) for f in loads.LOADS[name].schema])
+
+
+@query("load_all")
+def q_load_all(spark, sf_dir):
+    """All eleven files of a day written as CSV and loaded: rows read, loaded and rejected, and rows in the table after the load is done again."""
+    t = Tables.for_run(spark, sf_dir)
+    folder = pub.shared_dir(spark, "exports", "all")
+    for name in loads.LOADS:
+        pub.export_csv(load_source(t, name), f"{folder}/{name}")
+    house = loads.Warehouse(spark, pub.shared_dir(spark, "warehouse", "all"))
+    house.load("crm_ndg", f"{folder}/crm_ndg", P.processing_date - _dt.timedelta(days=1))
+    house.load("open_payable", f"{folder}/open_payable", P.processing_date - _dt.timedelta(days=1))
+    house.load("open_payable", f"{folder}/open_payable", P.processing_date)
+    done = spark.createDataFrame([(x.name, x.rows, x.loaded, x.rejected) for x in house.load_all(folder, P.processing_date)],
+                                 "load string, n_rows long, n_loaded long, n_rejected long")
+    held = None
+    for name, load in loads.LOADS.items():
+        money = [F.sum(units(f.name)) for f in load.schema if f.dataType.simpleString() == "double"]
+        days = [F.sum(F.datediff(f.name, F.lit(_dt.date(1990, 1, 1)))) for f in load.schema if f.dataType.simpleString() == "date"]
+        ids = [F.sum(f.name) for f in load.schema if f.dataType.simpleString() in ("bigint", "int")]
+        row = house.table(name).agg(F.lit(name).alias("load"), F.count(F.lit(1)).alias("n_table"), _added(money).alias("units"),
+                                    _added(days).alias("days"), _added(ids).alias("ids"))
+        held = row if held is None else held.unionByName(row)
+    return done.join(held, "load")
+
+
+def _added(cols):
+    """Sum of sums, nulls as 0."""
+    out = F.lit(0).cast("long")
+    for c in cols:
+        out = out + F.coalesce(c.cast("long"), F.lit(0))
+    return out
+
+
+def spoiled(src: DataFrame) -> DataFrame:
+    """Invoice rows of which some cannot be read: amounts, dates and ids as text that is none."""
+    n, text = F.col("invoice_num"), lambda c: F.col(c).cast("string")
+    return src.withColumns({"txn_amount": F.when(n % 7 == 0, F.concat(text("txn_amount"), F.lit("x"))).otherwise(text("txn_amount")),
+                            "invoice_date": F.when(n % 11 == 0, F.lit("2001-02-30")).otherwise(text("invoice_date")),
+                            "customer_id": F.when(n % 13 == 0, F.lit("none")).otherwise(text("customer_id"))})
+
+
+@query("load_rejects")
+def q_load_rejects(spark, sf_dir):
+    """The invoice file with unreadable values: rejected rows by column and number of reasons, beside the loaded rows."""
+    t = Tables.for_run(spark, sf_dir)
+    path = pub.shared_dir(spark, "exports", "spoiled")
+    pub.export_csv(spoiled(load_source(t, "invoice_payments")), path)
+    house = loads.Warehouse(spark, pub.shared_dir(spark, "warehouse", "spoiled"))
+    house.load("invoice_payments", path, P.processing_date)
+    by = (house.rejects("invoice_payments").select(F.size("reasons").alias("n_reasons"), F.explode("reasons").alias("r"))
+          .groupBy("n_reasons", F.substring_index("r", ":", 1).alias("column")).agg(F.count(F.lit(1)).alias("n")))
+    good = house.table("invoice_payments").agg(F.lit(0).alias("n_reasons"), F.lit("").alias("column"), F.count(F.lit(1)).alias("n"))
+    return by.unionByName(good)
+
+
+@query("scan_window_partitioned")
+def q_scan_window_partitioned(spark, sf_dir):
+    """The window scan over the invoice facts partitioned by date: the date range chooses folders, the amount is a stored column."""
+    src = Tables.for_run(spark, sf_dir).invoice_payments
+    path = pub.shared_dir(spark, "facts", "invoice_payments")
+    loads.write_by_date(src, path, "invoice_date", ["invoice_num"])
+    return clean.scan_window(loads.read_by_date(spark, path, src.schema), "invoice_date").select(*INVOICE_VIEW)

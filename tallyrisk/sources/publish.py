@@ -1,8 +1,8 @@
 """Sinks: positional CSV loads, snapshot publishing with history, state tables.
 
 All writes are whole-DataFrame writes (no driver loops) and idempotent: a
-rerun of the same processing date replaces that date's partition instead of
-appending duplicates.
+rerun of the same processing date replaces that date's snapshot instead of
+appending duplicates.  Published tables are committed atomically (``store``).
 """
 from __future__ import annotations
 
@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .store import Store
+
 INDEX_COL = "_idx"
 
 
@@ -60,20 +62,18 @@ def read_partition(spark: SparkSession, path: str, date_col: str, day: _dt.date)
 
 
 def publish_with_audit(df: DataFrame, base: str, processing_date: _dt.date) -> None:
-    """Publish a snapshot: the date's folder in ``history`` is replaced (other dates stay), then the
-    pointer table ``latest`` names it.  ``read_current`` follows the pointer, so readers see the old or the
-    new snapshot and never a half-written one."""
-    history = os.path.join(base, "history")
-    write_partition(df, history, "processing_date", processing_date)
-    spark = df.sparkSession
-    (spark.createDataFrame([(processing_date,)], "processing_date date").coalesce(1)
-     .write.mode("overwrite").parquet(os.path.join(base, "latest")))
+    """Publish a day's snapshot by one atomic commit (see ``store``); other days stay, a rerun replaces its own."""
+    Store(df.sparkSession, base).publish(df, processing_date)
 
 
 def read_current(spark: SparkSession, base: str) -> DataFrame:
-    """The snapshot published last, with its processing date."""
-    day = spark.read.parquet(os.path.join(base, "latest")).first()["processing_date"]
-    return read_partition(spark, os.path.join(base, "history"), "processing_date", day)
+    """The snapshot of the last processing date, with that date."""
+    return Store(spark, base).current()
+
+
+def read_history(spark: SparkSession, base: str) -> DataFrame:
+    """The published snapshots of all processing dates."""
+    return Store(spark, base).history()
 
 
 def full_refresh(df: DataFrame, path: str) -> None:

@@ -84,7 +84,7 @@ class Tables:
         if name not in self._cache:
             text = FIXTURES[name]
             kwargs = {t: self.base(t) for t in placeholders(text)}
-            self._cache[name] = self.spark.sql(text, **kwargs)
+            self._cache[name] = conform(self.spark.sql(text, **kwargs), name)
         return self._cache[name]
 
     def __getattr__(self, name: str) -> DataFrame:
@@ -93,6 +93,27 @@ class Tables:
         return self[name]
 
 
+#: id and date columns of the loaded dimensions
+DIMENSIONS = {
+    "crm_customers": (("customer_id", "ndg_id", "customer_type_id"), ()),
+    "crm_classes": (("supplier_id", "status_index"), ()),
+    "crm_ndg": (("id",), ()),
+    "contract_status": (("id", "status_index"), ()),
+    "cash_balance": (("id", "status_index"), ()),
+    "customer_update_level": (("customer_id",), ()),
+    "supplier_update_level": (("supplier_id",), ()),
+}
+
+
+def conform(df: DataFrame, name: str) -> DataFrame:
+    """A dimension whose ids or dates arrive as text gets them typed, leniently; columns that are typed already cost nothing."""
+    ids, dates = DIMENSIONS.get(name, ((), ()))
+    text = {f.name for f in df.schema if f.dataType.simpleString() == "string"}
+    ids, dates = ([c for c in cols if c in text] for cols in (ids, dates))
+    df = coerce_ids(df, ids) if ids else df
+    return coerce_dates(df, dates) if dates else df
+
+
 def coerce_ids(df: DataFrame, cols) -> DataFrame:
     """Ids that may arrive as text: lenient cast to BIGINT (bad values become null, no error under ANSI)."""
     from pyspark.sql import functions as F

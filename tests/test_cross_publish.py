@@ -60,7 +60,7 @@ def test_publish_is_idempotent_and_keeps_history(spark):
     df = spark.createDataFrame([(1, 2.0), (2, 3.0)], ["k", "v"])
     for day in (dt.date(2001, 7, 31), dt.date(2001, 8, 1), dt.date(2001, 8, 1)):
         publish.publish_with_audit(df, base, day)
-    hist = spark.read.parquet(os.path.join(base, "history"))
+    hist = publish.read_history(spark, base)
     counts = {r.processing_date: r["count"] for r in hist.groupBy("processing_date").count().collect()}
     assert counts == {dt.date(2001, 7, 31): 2, dt.date(2001, 8, 1): 2}
     assert publish.derive_processing_date(hist, dt.date(2030, 1, 1)) == dt.date(2001, 8, 2)
@@ -69,7 +69,7 @@ def test_publish_is_idempotent_and_keeps_history(spark):
     for n, rows in ((1, df.limit(1)), (0, df.limit(0))):
         publish.publish_with_audit(rows, base, dt.date(2001, 8, 1))
         assert publish.read_current(spark, base).count() == n
-        assert spark.read.parquet(os.path.join(base, "history")).filter("processing_date = '2001-08-01'").count() == n
+        assert publish.read_history(spark, base).filter("processing_date = '2001-08-01'").count() == n
     assert publish.derive_processing_date(None, dt.date(2030, 1, 1)) == dt.date(2029, 12, 31)
 
 
