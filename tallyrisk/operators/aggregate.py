@@ -29,6 +29,11 @@ RATIO_SUMS = ("payment_timeliness_ratio", "late_payment_ratio_lt10", "late_payme
 RATIOS = RATIO_SUMS
 
 
+def _exact(c: str):
+    """Sum of a ratio, a percentage or days in steps of 1e-12: the same whatever the order of the rows."""
+    return F.sum(F.col(c).cast("decimal(28,12)"))
+
+
 def aggregate_metrics(scored: DataFrame, key: str, attrs: Sequence[str] = ()) -> DataFrame:
     """Roll pair metrics up to ``key``: 26 sums, 11 means, invoice-weighted dbt and payment cycle.
 
@@ -36,13 +41,14 @@ def aggregate_metrics(scored: DataFrame, key: str, attrs: Sequence[str] = ()) ->
     as 1), unpaid = total AR / total invoice * 100 and paid = 100 - unpaid
     (both 0 when undefined).
     """
-    ti = units("total_invoice")
+    ti = units("total_invoice").cast("decimal(20,0)")
     agg = scored.filter(F.col(key).isNotNull()).groupBy(key).agg(
         *[from_units(F.sum(units(c))).alias(c) for c in MONEY_SUMS],
         *[F.sum(c).cast("long").alias(c) for c in COUNT_SUMS],
-        *[F.sum(c).alias("__" + c) for c in RATIO_SUMS],
-        *[F.avg(c).alias(c) for c in MEAN_METRICS],
-        F.sum(ti * F.col("dbt")).alias("__dbt_num"), F.sum(ti * F.col("payment_cycle")).alias("__pc_num"),
+        *[_exact(c).cast("double").alias("__" + c) for c in RATIO_SUMS],
+        *[F.try_divide(_exact(c).cast("double"), F.count(c)).alias(c) for c in MEAN_METRICS],
+        F.sum(ti * F.col("dbt").cast("decimal(12,0)")).alias("__dbt_num"),
+        F.sum(ti * F.col("payment_cycle").cast("decimal(12,0)")).alias("__pc_num"),
         F.sum(ti).alias("__ti"),
     )
     if attrs:

@@ -31,18 +31,19 @@ def next_payment_date(payments: DataFrame) -> DataFrame:
 
     A payment whose memo looks like an early-payment or factoring advance is
     dated by the next strictly later payment of the same transaction (null when
-    there is none); any other payment keeps its own date.  A range frame over
-    the day number finds the next later date in one sorted pass per transaction.
-    Payments without a transaction have no next one; they stay out of the window, so
-    they never meet in one task.
+    there is none); any other payment keeps its own date and is neither shuffled nor sorted.
+    The search runs over the distinct days of a transaction (combined before the shuffle), of which there are no more
+    than days in the calendar, so a transaction with a third of all payments is a short window; its advances are
+    joined by transaction *and* day, which spreads them.
     """
-    day = F.datediff(F.col("txn_date"), F.lit(_dt.date(1970, 1, 1)))
-    w = Window.partitionBy("txn_id").orderBy(day).rangeBetween(1, Window.unboundedFollowing)
     advance = F.coalesce(F.col("memo").ilike("%Ear%pay%a%") | F.col("memo").ilike("%factor%a%"), F.lit(False))
-    keyed = payments.filter(F.col("txn_id").isNotNull()).withColumn(
-        "corrected_txn_date", F.when(advance, F.min("txn_date").over(w)).otherwise(F.col("txn_date")))
-    return keyed.unionByName(payments.filter(F.col("txn_id").isNull()).withColumn(
-        "corrected_txn_date", F.when(~advance, F.col("txn_date"))))
+    asked = payments.filter(advance)
+    days = (payments.filter(F.col("txn_id").isNotNull() & F.col("txn_date").isNotNull())
+            .groupBy(F.col("txn_id").alias("__txn"), F.col("txn_date").alias("__day")).agg(F.count(F.lit(1)).alias("__n")))
+    after = (days.withColumn("corrected_txn_date", F.lead("__day").over(Window.partitionBy("__txn").orderBy("__day"))).drop("__n")
+             .filter(F.col("corrected_txn_date").isNotNull()).repartition("__txn", "__day"))
+    dated = asked.join(after, (F.col("txn_id") == F.col("__txn")) & (F.col("txn_date") == F.col("__day")), "left").drop("__txn", "__day")
+    return dated.unionByName(payments.filter(~advance).withColumn("corrected_txn_date", F.col("txn_date")))
 
 
 def customer_dimension(customers: DataFrame, ndg: DataFrame) -> DataFrame:

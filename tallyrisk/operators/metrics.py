@@ -44,6 +44,11 @@ def _usum(amount: str, cond: Column) -> Column:
     return F.sum(F.when(cond, units(amount)))
 
 
+def _days_sum(days: Column, amount: Column, cond: Column) -> Column:
+    """Exact sum of days x units where cond holds: a hot pair's total does not fit a long."""
+    return F.sum(F.when(cond, days.cast("decimal(10,0)") * amount.cast("decimal(20,0)")))
+
+
 def _uavg(amount: str, cond: Column) -> Column:
     """Mean amount of the rows where cond holds, in whole units."""
     return F.round(F.avg(F.when(cond, units(amount)))).cast("long")
@@ -78,9 +83,8 @@ def invoice_partials(ledger: DataFrame, p: Params = DEFAULT) -> DataFrame:
         _usum("txn_amount", E).alias("i_e_sum"),
         _cnt(E1).alias("i_e1_rows"),
         F.sum(F.when(E1, F.datediff(c("duedate"), c("txn_date")))).alias("i_e1_days"),
-        F.sum(F.when(paid_with_date, F.datediff(c("txn_date"), c("invoice_date")) * units("txn_amount")))
-        .alias("i_pc_num"),
-        F.sum(F.when(paid_with_date, late * units("txn_amount"))).alias("i_dbt_num"),
+        _days_sum(F.datediff(c("txn_date"), c("invoice_date")), units("txn_amount"), paid_with_date).alias("i_pc_num"),
+        _days_sum(late, units("txn_amount"), paid_with_date).alias("i_dbt_num"),
         _usum("txn_amount", paid_with_date).alias("i_pc_den"),
         _cnt(paid_with_date).alias("i_pc_rows"),
         _cnt(L1 & (late <= 10)).alias("i_l1_le10_rows"),
@@ -181,8 +185,7 @@ def pair_metrics(ledger: DataFrame, p: Params = DEFAULT, attributes: DataFrame |
         F.abs(s("i_e_sum")).alias("e_amt"), s("i_e1_rows").alias("e1_rows"), s("i_e1_days").alias("e1_days"),
         s("i_pc_num").alias("pc_num"), s("i_dbt_num").alias("dbt_num"), s("i_pc_den").alias("pc_den"),
         s("i_pc_rows").alias("pc_rows"),
-        F.sum(F.when(has_inv & (c("i_u_rows") > 0), F.datediff(F.lit(p.processing_date), c("i_u_due"))
-                     * c("i_amt_u"))).alias("ag_num"),
+        _days_sum(F.datediff(F.lit(p.processing_date), c("i_u_due")), c("i_amt_u"), has_inv & (c("i_u_rows") > 0)).alias("ag_num"),
         F.sum(F.when(has_inv & (c("i_u_rows") > 0), c("i_amt_u"))).alias("ag_den"),
         s("i_l1_le10_rows").alias("l1_le10_rows"), s("i_l1_gt10_rows").alias("l1_gt10_rows"),
         F.abs(s("i_l_le10_sum")).alias("l_le10_amt"), s("i_l_le10_rows").alias("l_le10_rows"),

@@ -1,7 +1,8 @@
 """Normalisation of metrics within a group: z-score, zero mask, offset min-max.
 
 Statistics come from one partially aggregated ``groupBy`` joined back on the
-group key once, so no group has to fit in one task before the join.
+group key once, so no group has to fit in one task before the join; in the join a hot
+group is dealt over many tasks (``_attach``).
 """
 from __future__ import annotations
 
@@ -19,8 +20,29 @@ def std(x: Column) -> Column:
     return F.when(F.max(x) != F.min(x), F.stddev_samp(x))
 
 
+#: a group with more than this share of the rows is hot; so there are at most 1 / HOT_SHARE hot groups
+HOT_SHARE = 1 / 500
+COUNT = "__n_rows"
+
+
 def _attach(df: DataFrame, keys: Sequence[str], stats: DataFrame) -> DataFrame:
-    return df.join(stats, list(keys), "left") if keys else df.crossJoin(F.broadcast(stats))
+    """``df`` with its group's row of ``stats`` (which counts the group's rows in ``COUNT``).
+
+    One customer or supplier may hold a third of all rows.  Hot groups, of which there are at most ``1 / HOT_SHARE`` whatever the data, are told to every
+    task with their number of shares; their rows are dealt to that many by a hash of the row, and their statistics are there once for each.
+    So no task of the join gets more than about ``HOT_SHARE`` of the rows, without a second pass over them.
+    """
+    if not keys:
+        return df.crossJoin(F.broadcast(stats))
+    total = stats.agg(F.sum(COUNT).alias("__total"))
+    shares = F.ceil(F.col(COUNT) / (F.col("__total") * HOT_SHARE)).cast("int")
+    # the grouped count is combined before it is shuffled, and the exchange of ``stats`` is reused
+    dealt = stats.crossJoin(F.broadcast(total)).withColumn("__shares", F.when(F.col("__total") > 0, shares).otherwise(1)).drop("__total", COUNT)
+    hot = dealt.filter(F.col("__shares") > 1).select(*keys, "__shares")
+    share = F.when(F.col("__shares") > 1, F.pmod(F.xxhash64(*df.columns), F.col("__shares")).cast("int")).otherwise(0)
+    rows = df.join(F.broadcast(hot), list(keys), "left").withColumn("__share", share).drop("__shares")
+    copies = dealt.withColumn("__share", F.explode(F.sequence(F.lit(0), F.col("__shares") - 1))).drop("__shares")
+    return rows.join(copies, [*keys, "__share"], "left").drop("__share")
 
 
 def _z(x: Column, m: str) -> Column:
@@ -31,7 +53,7 @@ def _z(x: Column, m: str) -> Column:
 def zscore(df: DataFrame, metrics: Sequence[str], keys: Sequence[str], *, prefix: str = "z_") -> DataFrame:
     """Z-score of each metric within the group."""
     aggs = [a for m in metrics for a in (F.avg(m).alias(f"__mu_{m}"), std(F.col(m)).alias(f"__sd_{m}"))]
-    stats = (df.groupBy(*keys) if keys else df).agg(*aggs)
+    stats = (df.groupBy(*keys) if keys else df).agg(*aggs, F.count(F.lit(1)).alias(COUNT))
     return _attach(df, keys, stats).select(*df.columns, *[_z(F.col(m), m).alias(prefix + m) for m in metrics])
 
 
@@ -56,7 +78,7 @@ def masked_minmax(df: DataFrame, metrics: Sequence[str], keys: Sequence[str], *,
         some = F.when(x != 0, x)
         aggs += [F.avg(x).alias(f"__mu_{m}"), std(x).alias(f"__sd_{m}"), F.min(some).alias(f"__lx_{m}"), F.max(some).alias(f"__hx_{m}"),
                  F.max(F.when(x != 0, 0).otherwise(1)).alias(f"__zero_{m}")]
-    stats = df.groupBy(*keys).agg(*aggs, *extra)
+    stats = df.groupBy(*keys).agg(*aggs, *extra, F.count(F.lit(1)).alias(COUNT))
     masked = {}
     for m in metrics:
         zero = F.when(F.col(f"__zero_{m}") == 1, F.lit(0.0))

@@ -938,5 +938,5 @@ def q_scan_window_partitioned(spark, sf_dir):
     """The window scan over the invoice facts partitioned by date: the date range chooses folders, the amount is a stored column."""
     src = Tables.for_run(spark, sf_dir).invoice_payments
     path = pub.shared_dir(spark, "facts", "invoice_payments")
-    loads.write_by_date(src, path, "invoice_date", ["invoice_num"])
+    loads.write_by_date(src, path, "invoice_date", ["invoice_num"], files=1)
     return clean.scan_window(loads.read_by_date(spark, path, src.schema), "invoice_date").select(*INVOICE_VIEW)
