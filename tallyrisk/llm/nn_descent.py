@@ -45,7 +45,7 @@ BEAM = 240         # at least; see ``beam_width``
 EXPANDED = 60      # nodes of a beam that a round of the search expands, nearest first
 EXACT = 4          # times the asked number of neighbours: the nearest of a beam that are measured exactly
 SEEDS = 256
-SEARCH_ROUNDS = 40
+SEARCH_ROUNDS = 400   # more is an error: a beam takes in nodes only while they are nearer
 SAMPLE = 2000
 SEED = 4242
 
@@ -121,7 +121,7 @@ def _orders(middle: np.ndarray, scale: float, bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = _matrix(batch, "vec").astype(np.float64)
-            half = pa.array(_packed(x / scale), pa.binary())
+            half = pa.array(_packed((x - middle) / scale), pa.binary())
             for t in range(TABLES):
                 p = (x - middle) @ planes[t]
                 sig = ((p[:, :bits] >= 0) * (1 << np.arange(bits, dtype=np.int64))).sum(axis=1)
@@ -197,12 +197,14 @@ def _merged(rows: DataFrame) -> DataFrame:
             .mapInArrow(_lists, "node long, neigh long, d double, new boolean, nth int"))
 
 
-def build_graph(nodes: DataFrame, scratch: Scratch) -> tuple[DataFrame, float]:
-    """(node, neigh, d, new, nth): lists of nearest nodes, and the scale of half-precision vectors; ``nodes``: (node, vec) of one length."""
+def build_graph(nodes: DataFrame, scratch: Scratch) -> tuple[DataFrame, np.ndarray, float]:
+    """(node, neigh, d, new, nth): lists of nearest nodes, and the middle and scale of half-precision vectors; ``nodes``: (node, vec) of one length.
+
+    Half precision holds differences from the middle, so an offset that all vectors share costs none of it."""
     n = nodes.count()
     dim_rows = nodes.orderBy(F.xxhash64("node")).limit(SAMPLE).select("vec").toArrow()
     if n < 2:
-        return scratch.write(nodes.limit(0).selectExpr("node", "node AS neigh", "CAST(0 AS double) AS d", "true AS new", "0 AS nth"), "graph"), 1.0
+        return scratch.write(nodes.limit(0).selectExpr("node", "node AS neigh", "CAST(0 AS double) AS d", "true AS new", "0 AS nth"), "graph"), np.zeros(1), 1.0
     # the median: a vector far larger than the others does not move it
     middle = np.median(_matrix(dim_rows, "vec").astype(np.float64), axis=0)
     scale = nodes.agg(F.max(F.array_max(F.transform("vec", lambda x: F.abs(x))))).first()[0] / 100.0
@@ -227,7 +229,7 @@ def build_graph(nodes: DataFrame, scratch: Scratch) -> tuple[DataFrame, float]:
         scratch.drop(f"graph-{r - 1}")
         if edges.filter(f"new AND nth < {JOINED}").count() < SETTLED * JOINED * n:
             break
-    return edges, scale
+    return edges, middle, scale
 
 
 # ------------------------------------------------------------------ search
@@ -249,10 +251,10 @@ def _measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                              names=["q", "node", "d"])
 
 
-def _halved(scale: float, *keep: str, name: str = "vec", out: str = "half"):
+def _halved(middle: np.ndarray, scale: float, *keep: str, name: str = "vec", out: str = "half"):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            half = _packed(_matrix(batch, name).astype(np.float64) / scale)
+            half = _packed((_matrix(batch, name).astype(np.float64) - middle) / scale)
             yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in keep), pa.array(half, pa.binary())], names=[*keep, out])
     return run
 
@@ -291,7 +293,7 @@ def _beams(width: int):
     return run
 
 
-def search(nodes: DataFrame, graph: DataFrame, scale: float, queries: DataFrame, top: int, scratch: Scratch) -> DataFrame:
+def search(nodes: DataFrame, graph: DataFrame, middle: np.ndarray, scale: float, queries: DataFrame, top: int, scratch: Scratch) -> DataFrame:
     """(q, node, d): the nearest ``EXACT * top`` nodes of the beam of every query (q, q_vec, own: its node or null), measured exactly."""
     neigh = (graph.withColumn("place", F.row_number().over(Window.partitionBy("neigh").orderBy("d", "node"))).filter(F.col("place") <= REVERSE)
              .select(F.col("neigh").alias("node"), F.col("node").alias("neigh")).unionByName(graph.select("node", "neigh"))
@@ -299,8 +301,8 @@ def search(nodes: DataFrame, graph: DataFrame, scale: float, queries: DataFrame,
     neigh = scratch.write(neigh, "adjacency")   # at most K + REVERSE a node
     sample = nodes.orderBy(F.xxhash64(F.lit(SEED), "node")).limit(SEEDS).toArrow()
     seeded = queries.mapInArrow(_seeded(column(sample, "node"), _matrix(sample, "vec").astype(np.float64), scale), "q long, node long, d double")
-    halves = scratch.write(nodes.mapInArrow(_halved(scale, "node"), "node long, half binary"), "halves")
-    asked = scratch.write(queries.mapInArrow(_halved(scale, "q", name="q_vec", out="q_half"), "q long, q_half binary"), "asked")
+    halves = scratch.write(nodes.mapInArrow(_halved(middle, scale, "node"), "node long, half binary"), "halves")
+    asked = scratch.write(queries.mapInArrow(_halved(middle, scale, "q", name="q_vec", out="q_half"), "q long, q_half binary"), "asked")
     width = beam_width(nodes.count())
     own = queries.filter("own IS NOT NULL").select("q", F.col("own").alias("node"), F.lit(0.0).alias("d"))
 
@@ -319,6 +321,8 @@ def search(nodes: DataFrame, graph: DataFrame, scale: float, queries: DataFrame,
                  .mapInArrow(_distances, "q long, node long, d double").withColumn("done", F.lit(False)))
         beam = beams(beam.select("q", "node", "d", (F.col("done") | F.col("next")).alias("done")).unionByName(found), f"beam-{r}")
         scratch.drop(f"beam-{r - 1}")
+    else:
+        raise RuntimeError("the search did not settle")
     near = (beam.withColumn("place", F.row_number().over(Window.partitionBy("q").orderBy("d", "node")))
             .filter(F.col("place") <= EXACT * top + 1).select("q", "node"))
     return (near.join(nodes, "node").join(queries.select("q", "q_vec"), "q").select("q", "node", "q_vec", "vec")
@@ -341,8 +345,8 @@ def nearest(df: DataFrame, is_query, top: int = 10, vec: str = "embedding", vec_
     asked = rows.filter(is_query).distinct().join(nodes, "vec").select(
         F.col("vec_id").alias("q"), F.col("vec").alias("q_vec"), F.col("node").alias("own"))
     asked = scratch.write(asked, "queries")
-    graph, scale = build_graph(nodes, scratch)
-    found = search(nodes, graph, scale, asked, top, scratch)
+    graph, middle, scale = build_graph(nodes, scratch)
+    found = search(nodes, graph, middle, scale, asked, top, scratch)
     hits = found.join(of_node, "node").filter("q <> vec_id")
     by = Window.partitionBy("q").orderBy("d", "vec_id")
     return (hits.withColumn("rank", F.row_number().over(by).cast("int")).filter(F.col("rank") <= top)

@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from tallyrisk.llm import nn_descent as N
@@ -72,3 +73,12 @@ def test_one_vector_far_larger_than_the_others(spark):
 def test_rounds_and_beams_grow_with_the_table():
     assert (N.rounds(2), N.beam_width(2)) == (N.ROUNDS, N.BEAM)
     assert N.rounds(1 << 30) > N.rounds(1 << 20) > N.ROUNDS and N.beam_width(1 << 30) > N.beam_width(1 << 20) > N.BEAM
+
+
+@pytest.mark.parametrize("offset", [2_000, 20_000])
+def test_a_common_offset_costs_no_recall(spark, offset):
+    x = np.random.default_rng(7).standard_normal((3000, 16)) + offset
+    ids = np.arange(len(x))
+    df = spark.createDataFrame([(int(i), v.tolist()) for i, v in zip(ids, x)], "vec_id long, embedding array<double>")
+    got, want = _found(N.nearest(df, F.col("vec_id") % 100 == 0).collect()), _brute(ids, x, ids % 100 == 0)
+    assert np.mean([len({v for v, _ in got[q]} & {v for v, _ in want[q]}) / 10 for q in want]) >= 0.9
