@@ -26,9 +26,10 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def substring(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Takes repeated passages out of the texts; every document stays."""
-    return (substring_dedup.substring_dedup(docs).withColumn("n_chars", F.length("text").cast("long"))
-            .select(*docs.columns))
+    """Takes repeated passages out of the texts; every document stays, with a column of its own named ``removed`` as it was."""
+    held = docs.withColumnRenamed("removed", "_own_removed")
+    return (substring_dedup.substring_dedup(held).drop("removed").withColumnRenamed("_own_removed", "removed")
+            .withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
