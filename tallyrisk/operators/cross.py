@@ -36,15 +36,20 @@ def history(pair_scores: DataFrame, cust_scores: DataFrame, sup_scores: DataFram
             .join(sup_scores.select("supplier_id", F.col("score").alias("sup")), "supplier_id", "left"))
 
 
-def centroids(hist: DataFrame) -> DataFrame:
-    """Rounded mean (combined, customer, supplier) of history pairs per combined-score band — one row."""
+def centroid_columns() -> list[Column]:
+    """Rounded mean (combined, customer, supplier) of history pairs per combined-score band, as aggregates."""
     c = F.col("combined")
     bands = {1: (c >= 0) & (c <= 250), 2: (c > 250) & (c <= 400), 3: (c > 400) & (c <= 800)}
     cols = []
     for k, cond in bands.items():
         for name, col in (("comb", "combined"), ("cust", "cust"), ("sup", "sup")):
             cols.append(F.bround(F.avg(F.when(cond, F.col(col))), 0).alias(f"k{k}_{name}"))
-    return hist.agg(*cols)
+    return cols
+
+
+def centroids(hist: DataFrame) -> DataFrame:
+    """Rounded mean (combined, customer, supplier) of history pairs per combined-score band — one row."""
+    return hist.agg(*centroid_columns())
 
 
 def impute(comb0: Column, cust: Column, sup: Column) -> dict[str, Column]:

@@ -48,24 +48,26 @@ def reason_weight_lookup(overrides: DataFrame, reasons: DataFrame, key: str) ->
 
 
 def apply_overrides(scores: DataFrame, key: str, latest: DataFrame, weights: DataFrame, norm: DataFrame,
-                    metrics: Sequence[str], reasons: DataFrame, c: float, std_from: DataFrame | None = None
-                    ) -> DataFrame:
+                    metrics: Sequence[str], reasons: DataFrame, c: float, std_from: DataFrame | None = None,
+                    weighted: Sequence[str] | None = None) -> DataFrame:
     """Move overridden entities to their new level and re-score them inside it.
 
     With ``sd`` the sample std of all scores and the new level's range [lo, hi]:
     interim = round(hi - c*sd) when the level goes down, else round(lo + c*sd);
     the external factor = reason weight * interim / old score + 0.0001; the
-    entity's metric weights and the external factor are rescaled to sum 1; the
+    entity's metric weights (of ``weighted``, by default ``metrics``: an entity may have
+    weights of metrics that its score leaves out) and the external factor are rescaled to sum 1; the
     final score = round(((sum(n * w) + factor + 10) / 20) * (hi - lo) + lo).
     Entities without an override keep their score, previous score/level = -1.
     """
     sd = (std_from if std_from is not None else scores).agg(F.stddev_samp("score").alias("__sd"))
+    weighted = metrics if weighted is None else weighted
     ov = latest.join(scores.select(key), key, "left_semi")
     rw = reason_weight_lookup(ov, reasons, key)
     # only overridden entities are scored anew; the rest pass by
     j = (scores.select(key, "score", "level").join(ov.select(key, "new_level", "reason"), key)
          .join(rw, [key, "reason"], "left")
-         .join(weights.select(key, *["w_" + m for m in metrics]), key, "left")
+         .join(weights.select(key, *["w_" + m for m in weighted]), key, "left")
          .join(norm.select(key, *["n_" + m for m in metrics]), key, "left")
          .crossJoin(F.broadcast(sd)))
     c_ = F.col
@@ -75,7 +77,7 @@ def apply_overrides(scores: DataFrame, key: str, latest: DataFrame, weights: Dat
     factor = F.try_divide(c_("__interim"), c_("score"))
     ext = F.coalesce(c_("reason_weight"), F.lit(DEFAULT_REASON_WEIGHT)) * factor + 0.0001
     total = None
-    for m in metrics:
+    for m in weighted:
         total = c_("w_" + m) if total is None else total + c_("w_" + m)
     total = total + c_("__ext")
     # each step is a column of its own, so that no step's expression is repeated in the next

@@ -26,6 +26,7 @@ def horizon_invoices(ledger: DataFrame, horizon: int, p: Params = DEFAULT) -> Da
     paid_by_d = F.coalesce(F.col("txn_date"), F.lit(_NO_DATE)) <= D
     return rows.groupBy(*PAIR, "invoice_num").agg(
         F.min("duedate").alias("duedate"),
+        F.min("invoice_date").alias("invoice_date"),
         F.max("invoice_amount").alias("invoice_amount"),
         F.sum(F.when(paid_by_d, units("txn_amount"))).alias("paid_u"),
     )
@@ -46,6 +47,27 @@ def _open_units(parts: list[Column], paid_u: Column) -> Column:
     return F.greatest(units(expected) - F.abs(F.coalesce(paid_u, F.lit(0))), F.lit(0))
 
 
+_DATES = ("early_payment_date", "late_lt10_date", "late_gt10_date")
+
+
+def _expected(ledger: DataFrame, pair_metrics: DataFrame, horizon: int, p: Params) -> DataFrame:
+    """Open invoices of the horizon with their pair's shares, expected dates and predicted collection (in money units)."""
+    last = F.lit(p.processing_date + _dt.timedelta(days=horizon - 1))
+    hist = pair_metrics.select(*PAIR, "customer_name", "supplier_name", "ndg_name", "customer_type", "early_payment_perc", "payment1_percent",
+                               "payment2_percent", "early_payment_days", "delinquent_overdueday_lt10", "delinquent_overdueday_gt10")
+    inv = horizon_invoices(ledger, horizon, p).join(hist, PAIR, "left")
+    amt = F.col("invoice_amount")
+
+    dates = [_moved("duedate", "early_payment_days", -1), _moved("duedate", "delinquent_overdueday_lt10", 1),
+             _moved("duedate", "delinquent_overdueday_gt10", 1)]
+    shares = (F.abs("early_payment_perc"), F.col("payment1_percent"), F.col("payment2_percent"))
+    parts = [_share(pct, amt, date, last) for pct, date in zip(shares, dates)]
+    return inv.select("*", *[d.alias(n) for d, n in zip(dates, _DATES)],
+                      *[(pct * amt / 100).alias(n) for pct, n in zip(shares, ("early_share", "lt10_share", "gt10_share"))],
+                      from_units(F.coalesce(F.col("paid_u"), F.lit(0))).alias("paid_amount"),
+                      _open_units(parts, F.col("paid_u")).alias("predicted_u"))
+
+
 def predict_invoices(ledger: DataFrame, pair_metrics: DataFrame, horizon: int, p: Params = DEFAULT) -> DataFrame:
     """Expected collection per open invoice within the horizon.
 
@@ -55,20 +77,15 @@ def predict_invoices(ledger: DataFrame, pair_metrics: DataFrame, horizon: int, p
     expected date is on or before ``D + horizon - 1``.  What was already paid is
     subtracted and the result floored at 0.
     """
-    last = F.lit(p.processing_date + _dt.timedelta(days=horizon - 1))
-    hist = pair_metrics.select(*PAIR, "early_payment_perc", "payment1_percent", "payment2_percent",
-                               "early_payment_days", "delinquent_overdueday_lt10", "delinquent_overdueday_gt10")
-    inv = horizon_invoices(ledger, horizon, p).join(hist, PAIR, "left")
-    amt = F.col("invoice_amount")
+    return _expected(ledger, pair_metrics, horizon, p).select(
+        *PAIR, "invoice_num", "duedate", "invoice_amount", "paid_amount", *_DATES, "predicted_u")
 
-    dates = [_moved("duedate", "early_payment_days", -1), _moved("duedate", "delinquent_overdueday_lt10", 1),
-             _moved("duedate", "delinquent_overdueday_gt10", 1)]
-    parts = [_share(pct, amt, date, last) for pct, date in
-             zip((F.abs("early_payment_perc"), F.col("payment1_percent"), F.col("payment2_percent")), dates)]
-    names = ("early_payment_date", "late_lt10_date", "late_gt10_date")
-    return inv.select(*PAIR, "invoice_num", "duedate", "invoice_amount",
-                      from_units(F.coalesce(F.col("paid_u"), F.lit(0))).alias("paid_amount"),
-                      *[d.alias(n) for d, n in zip(dates, names)], _open_units(parts, F.col("paid_u")).alias("predicted_u"))
+
+def predict_invoice_detail(ledger: DataFrame, pair_metrics: DataFrame, horizon: int, p: Params = DEFAULT) -> DataFrame:
+    """``predict_invoices`` as published: with names, and the amount of each of the three shares whether or not it falls within the horizon."""
+    return _expected(ledger, pair_metrics, horizon, p).select(
+        "invoice_num", *PAIR, "supplier_name", "customer_name", "ndg_name", "customer_type", "duedate", "invoice_amount", "invoice_date",
+        "paid_amount", "early_share", "lt10_share", "gt10_share", *_DATES, from_units("predicted_u").alias(f"predicted_{horizon}d"))
 
 
 def predict_pairs(ledger: DataFrame, pair_metrics: DataFrame, horizons=(10, 30), p: Params = DEFAULT) -> DataFrame:

@@ -251,3 +251,11 @@ def contract_status_by_supplier(contract_status: DataFrame) -> DataFrame:
             .agg(F.min_by(F.struct("status_short", "display_name", "status_index"),
                           F.struct(F.coalesce(F.col("status_index"), F.lit(1 << 30)), F.col("status_short"))).alias("s"))
             .select("supplier_id", "s.status_short", "s.display_name", "s.status_index"))
+
+
+def pair_detail(scored: DataFrame, dim: DataFrame, contract_status: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The published detail of each scored pair: its metrics and predictions (``columns``), the customer's risk balance, the supplier's exposure, wallet
+    and risk balance (on all receivables), and its contract status."""
+    rows = with_exposure(scored.select(*columns), dim, open_ar="total_ar")
+    return (rows.withColumnsRenamed({"risk_balance": "customer_risk_balance", "risk_balance_s": "supplier_risk_balance"})
+            .join(contract_status_by_supplier(contract_status), "supplier_id", "left"))

@@ -16,10 +16,12 @@ from pyspark.sql import functions as F
 from ..operators import aggregate as agg_ops
 from ..operators import clean, cross, metrics, override, predict, score, supplier, weights
 from ..params import CUSTOMER_AGG_METRICS, DEFAULT, PAIR_METRICS, SUPPLIER_METRICS, Params
-from ..sources import publish
+from ..sources import exports, publish
 from ..sources.tables import Tables
 
 PAIR = ["customer_id", "supplier_id"]
+#: attributes, metrics, predictions and score of a pair, as published
+DETAIL_COLUMNS = (*metrics.ATTRIBUTE_COLUMNS, *metrics.METRIC_COLUMNS, "predict_ar_10d", "predict_ar_30d", "score", "level")
 
 
 def run_scoring(spark: SparkSession, t: Tables, out_dir: str, p: Params = DEFAULT,
@@ -67,8 +69,8 @@ def run_scoring(spark: SparkSession, t: Tables, out_dir: str, p: Params = DEFAUL
     c_reasons = _reasons(reasons["customer"], t.crm_customers, "customer_id", t.override_reasons)
     c_latest = override.latest_override(t.customer_update_level, "customer_id")
     c_final = stage("run_c_final", lambda: override.apply_overrides(
-        c_adj, "customer_id", c_latest, c_scores, c_scores, CUSTOMER_AGG_METRICS, c_reasons, p.c("c2"),
-        std_from=c_scores))
+        c_adj, "customer_id", c_latest, weights.customer_weights(pm), c_scores, CUSTOMER_AGG_METRICS, c_reasons, p.c("c2"),
+        std_from=c_scores, weighted=PAIR_METRICS))
     n_agg = agg_ops.aggregate_metrics(pairs_out, "ndg_id")
     n_raw = agg_ops.ndg_score_raw(n_agg, supplier.modal_level(scored, "ndg_id"))
     cmap = agg_ops.customer_group_map(c_agg)
@@ -105,15 +107,37 @@ def run_scoring(spark: SparkSession, t: Tables, out_dir: str, p: Params = DEFAUL
         "cross_pair_values": ci.value_table().select("c_val", "s_val", "combined_score", "combined_level"),
         "cross_history_pairs": ci.finished_pairs(c_cross, s_cross),
         "historical_pairs": clean.historical_pairs(led),
+        "supplier_customer_detail": supplier.pair_detail(pairs_out, dim, t.contract_status, DETAIL_COLUMNS),
     }
     paths = {}
     for name, df in outputs.items():
         paths[name] = os.path.join(out_dir, name)
         publish.publish_with_audit(df, paths[name], p.processing_date)
+    files = export_frames(led, pm, pairs_out, sp_scored, s_scores, w_row, p)
+    folder = os.path.join(out_dir, "exports", p.processing_date.isoformat())
+    for name, df in files.items():
+        exports.write_export(df, folder, name, p.processing_date)
+        paths["export_" + name] = os.path.join(folder, exports.FILES[name])
     t.release()
     return paths
 
 
+def export_frames(led: DataFrame, pm: DataFrame, pairs_out: DataFrame, sp_scored: DataFrame, suppliers: DataFrame, w_row: DataFrame,
+                  p: Params) -> dict[str, DataFrame]:
+    """The tables of the six exported files, before run columns and published names."""
+    attributes = ["customer_id", "customer_name", "customer_type", "customer_type_id", "ndg_id", "ndg_name"]
+    named = pm.select(*attributes).distinct().groupBy("customer_id").agg(*[F.max(a).alias(a) for a in attributes[1:]])
+    return {
+        "predictions_10d": predict.predict_invoice_detail(led, pm, 10, p),
+        "predictions_30d": predict.predict_invoice_detail(led, pm, 30, p),
+        "pair_scores": pairs_out.select(*DETAIL_COLUMNS),
+        "customer_weights": weights.customer_weights(pm).join(named, "customer_id", "left"),
+        "supplier_scores": sp_scored.select(*PAIR, "supplier_name", *[m for m in SUPPLIER_METRICS], "open_ar", "outstanding_balance", "predict_ar_10d",
+                                            "predict_ar_30d", "score", "level"),
+        "supplier_weights": supplier.supplier_weights(suppliers, w_row),
+    }
+
+
 def _reasons(existing: DataFrame, entities: DataFrame, key: str, reasons: DataFrame) -> DataFrame:
     matrix = override.reason_matrix(entities, key, reasons)
     return existing.unionByName(override.reason_missing_rows(matrix, existing, key))

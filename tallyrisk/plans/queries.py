@@ -1,6 +1,7 @@
 """Registry of queries: name -> callable(spark, sf_dir) -> DataFrame."""
 from __future__ import annotations
 
+import dataclasses
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -559,8 +560,8 @@ def customer_overrides(t: Tables) -> DataFrame:
     def build():
         pre = cust_scores(t)
         latest = ovr.latest_override(t.customer_update_level, "customer_id")
-        return ovr.apply_overrides(final_cust_scores(t), "customer_id", latest, pre, pre, CUSTOMER_AGG_METRICS,
-                                   customer_reasons(t), P.c("c2"), std_from=pre)
+        return ovr.apply_overrides(final_cust_scores(t), "customer_id", latest, weights.customer_weights(pairs(t)), pre, CUSTOMER_AGG_METRICS,
+                                   customer_reasons(t), P.c("c2"), std_from=pre, weighted=PAIR_METRICS)
     return t.stage("customer_overrides", build)
 
 
@@ -940,3 +941,126 @@ def q_scan_window_partitioned(spark, sf_dir):
     path = pub.shared_dir(spark, "facts", "invoice_payments")
     loads.write_by_date(src, path, "invoice_date", ["invoice_num"], files=1)
     return clean.scan_window(loads.read_by_date(spark, path, src.schema), "invoice_date").select(*INVOICE_VIEW)
+
+
+# ---------------------------------------------------------------------------
+# published detail and exports
+# ---------------------------------------------------------------------------
+from ..sources import exports  # noqa: E402
+from .pipeline import DETAIL_COLUMNS, export_frames  # noqa: E402
+
+
+@query("pair_detail_full")
+def q_pair_detail_full(spark, sf_dir):
+    """Pair detail as published: every metric, both predictions, score, exposure, wallet, risk balances and contract status."""
+    t = Tables.for_run(spark, sf_dir)
+    return _round_doubles(sup.pair_detail(cust_pairs(t), _dim(t), t.contract_status, DETAIL_COLUMNS))
+
+
+def _round_doubles(df: DataFrame) -> DataFrame:
+    return r6(df, *[c for c, tp in df.dtypes if tp == "double"])
+
+
+def exported(spark, t: Tables, name: str) -> DataFrame:
+    """One of the six exports, written as CSV under published names and read back by position."""
+    df = export_frames(ledger(t), pairs(t), cust_pairs(t), _supplier_pair_scores(spark, t), _supplier_totals(t), test_weights(spark), P)[name]
+    folder = pub.shared_dir(spark, "exports", "published")
+    schema = exports.write_export(df, folder, name, P.processing_date)
+    return _round_doubles(exports.read_export(spark, folder, name, schema))
+
+
+def _export_query(name: str):
+    return lambda spark, sf_dir: exported(spark, Tables.for_run(spark, sf_dir), name)
+
+
+for _name in exports.FILES:
+    REGISTRY[f"export_{_name}"] = _export_query(_name)
+
+
+# ---------------------------------------------------------------------------
+# the customer x supplier scores slice by slice
+# ---------------------------------------------------------------------------
+from ..operators import cross_slices  # noqa: E402
+
+N_SLICES = 8
+
+
+def _sliced(spark, t: Tables) -> cross_slices.SlicedCross:
+    slices = t.stage("customer_slices", lambda: cross_slices.customer_slices(t.crm_customers, N_SLICES))
+    return cross_slices.SlicedCross(cross_inputs(spark, t), slices)
+
+
+@query("slice_bounds")
+def q_slice_bounds(spark, sf_dir):
+    return (_sliced(spark, Tables.for_run(spark, sf_dir)).slices.groupBy("slice")
+            .agg(F.min("customer_id").alias("first_id"), F.max("customer_id").alias("last_id"), F.count(F.lit(1)).alias("n_customers")))
+
+
+@query("slice_centroids")
+def q_slice_centroids(spark, sf_dir):
+    return _sliced(spark, Tables.for_run(spark, sf_dir)).cents
+
+
+@query("slice_values")
+def q_slice_values(spark, sf_dir):
+    return _sliced(spark, Tables.for_run(spark, sf_dir)).value_table().select(
+        "slice", "c_val", "s_val", "n_c", "n_s", "cluster", "i_comb", "i_cust", "i_sup", "combined_score", "combined_level")
+
+
+@query("slice_name_means")
+def q_slice_name_means(spark, sf_dir):
+    sliced = _sliced(spark, Tables.for_run(spark, sf_dir))
+    out = None
+    for entity in ("supplier", "customer"):
+        one = sliced.name_means(entity).select(F.lit(entity).alias("entity"), "slice", F.col(f"{entity}_id").alias("id"), "n_history", "mean_score",
+                                               "level")
+        out = one if out is None else out.unionByName(one)
+    return r6(out, "mean_score")
+
+
+# ---------------------------------------------------------------------------
+# the other side of one-sided updates, groups, the excluded supplier
+# ---------------------------------------------------------------------------
+@query("extract_ndg")
+def q_extract_ndg(spark, sf_dir):
+    return ex.extract_ndg(Tables.for_run(spark, sf_dir).raw_ndg)
+
+
+@query("latest_override_customer")
+def q_latest_override_customer(spark, sf_dir):
+    return ovr.latest_override(Tables.for_run(spark, sf_dir).customer_update_level, "customer_id")
+
+
+@query("reason_weight_update_customer")
+def q_reason_weight_update_customer(spark, sf_dir):
+    t = Tables.for_run(spark, sf_dir)
+    return r6(ovr.reason_weight_update(customer_reasons(t), customer_overrides(t), "customer_id"), "weight")
+
+
+@query("reason_missing_rows_supplier")
+def q_reason_missing_rows_supplier(spark, sf_dir):
+    t = Tables.for_run(spark, sf_dir)
+    matrix = ovr.reason_matrix(t.crm_classes, "supplier_id", t.override_reasons)
+    return ovr.reason_missing_rows(matrix, t.supplier_reason, "supplier_id")
+
+
+@query("override_nonhistorical_supplier")
+def q_override_nonhistorical_supplier(spark, sf_dir):
+    """Suppliers of the product after the update from their aggregate scores and the overrides of those without history."""
+    t = Tables.for_run(spark, sf_dir)
+    _, _, finals = _entity_finals(spark, t)
+    scores = supplier_overrides(spark, t)
+    updated = cross.update_from_join(finals, scores, "supplier_id", "supplier")
+    latest = ovr.latest_override(t.supplier_update_level, "supplier_id")
+    return r6(cross.override_nonhistorical(updated, latest, scores, "supplier_id", "supplier"), "supplier_score")
+
+
+EXCLUDED = "Supplier#000000001"
+
+
+@query("excluded_supplier_exposure")
+def q_excluded_supplier_exposure(spark, sf_dir):
+    """The supplier side of a run that leaves one supplier out by name."""
+    t = Tables.for_run(spark, sf_dir)
+    p = dataclasses.replace(P, excluded_supplier=EXCLUDED)
+    return sup.supplier_pairs(pair_frame(t), _dim(t), p).select(*SP_COLS)
