@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import from_units, units
 from ..params import DEFAULT, Params
+from .clean import customer_attributes
 
 PAIR = ["customer_id", "supplier_id"]
 
@@ -115,10 +116,7 @@ def pair_attributes(ledger: DataFrame) -> tuple[DataFrame, DataFrame]:
     """
     src = ledger.select(*ATTRIBUTE_SOURCE).distinct().persist(StorageLevel.MEMORY_AND_DISK)
     names = src.groupBy(*PAIR).agg(F.max("client_name").alias("supplier_name"))
-    attrs = src.groupBy("customer_id").agg(
-        F.max("ndg_id").alias("ndg_id"), F.max_by("ndg_name", "ndg_id").alias("ndg_name"),
-        F.max("customer_name").alias("customer_name"), F.max("customer_type_id").alias("customer_type_id"),
-        F.max("customer_type").alias("customer_type"))
+    attrs = customer_attributes(src)
     return names, attrs
 
 
@@ -147,23 +145,19 @@ def chargeback_partials(ledger: DataFrame, p: Params = DEFAULT) -> DataFrame:
     )
 
 
-def overdue_cb_suppliers(ledger: DataFrame) -> DataFrame:
-    """Global distinct counts of suppliers with chargebacks paid on time / late (one row)."""
-    cb = ledger.filter(F.col("src") == "cb")
-    return cb.agg(
-        F.countDistinct(F.when(F.col("paid_date") <= F.col("cb_duedate"), F.col("supplier_id")))
-        .alias("supplier_wo_overdue_cb"),
-        F.countDistinct(F.when(F.col("paid_date") > F.col("cb_duedate"), F.col("supplier_id")))
-        .alias("supplier_w_overdue_cb"),
-    )
+def overdue_cb_suppliers(pair_agg: DataFrame) -> DataFrame:
+    """Global distinct counts of suppliers with chargebacks paid on time / late (one row), from the pair aggregate."""
+    return pair_agg.agg(
+        F.countDistinct(F.when(F.col("any_on_time") == 1, F.col("supplier_id"))).alias("supplier_wo_overdue_cb"),
+        F.countDistinct(F.when(F.col("any_late") == 1, F.col("supplier_id"))).alias("supplier_w_overdue_cb"))
 
 
 def _pct(num: Column, den: Column) -> Column:
     return F.try_divide(num.cast("double"), den.cast("double")) * 100
 
 
-def pair_metrics(ledger: DataFrame, p: Params = DEFAULT, attributes: DataFrame | None = None) -> DataFrame:
-    """All pair metrics (one row per customer-supplier pair seen in the window)."""
+def pair_aggregate(ledger: DataFrame, p: Params = DEFAULT) -> DataFrame:
+    """Sums, counts and flags of each pair, from which its metrics are derived."""
     c = F.col
     parts = invoice_partials(ledger, p).unionByName(chargeback_partials(ledger, p), allowMissingColumns=True)
     has_inv = c("invoice_num").isNotNull() & (c("i_rows") > 0)
@@ -171,7 +165,7 @@ def pair_metrics(ledger: DataFrame, p: Params = DEFAULT, attributes: DataFrame |
     def s(col: str, cond: Column | None = None) -> Column:
         return F.coalesce(F.sum(F.when(cond, c(col)) if cond is not None else c(col)), F.lit(0))
 
-    agg = parts.groupBy(*PAIR).agg(
+    return parts.groupBy(*PAIR).agg(
         s("i_rows").alias("n_i"),
         F.count(F.when(has_inv, F.lit(1))).alias("invoice_freq"),
         s("i_amt_p", has_inv).alias("a_p"),
@@ -201,6 +195,11 @@ def pair_metrics(ledger: DataFrame, p: Params = DEFAULT, attributes: DataFrame |
         F.max("cb_on_time").alias("any_on_time"), F.max("cb_late").alias("any_late"),
     )
 
+
+def pair_metrics(ledger: DataFrame, p: Params = DEFAULT, attributes: DataFrame | None = None) -> DataFrame:
+    """All pair metrics (one row per customer-supplier pair seen in the window)."""
+    c = F.col
+    agg = pair_aggregate(ledger, p)
     has_i, has_cb = c("n_i") > 0, c("chargeback_freq") > 0
     m2 = c("a_p") + c("a_u")
     total_ar = c("a_u") - c("t_u")
@@ -217,9 +216,7 @@ def pair_metrics(ledger: DataFrame, p: Params = DEFAULT, attributes: DataFrame |
     # persisted (memory, spilling to disk; rebuilt from lineage if an executor is
     # lost) so the ledger's metric columns are aggregated once.
     agg = agg.persist(StorageLevel.MEMORY_AND_DISK)
-    overdue = agg.agg(
-        F.countDistinct(F.when(c("any_on_time") == 1, c("supplier_id"))).alias("supplier_wo_overdue_cb"),
-        F.countDistinct(F.when(c("any_late") == 1, c("supplier_id"))).alias("supplier_w_overdue_cb"))
+    overdue = overdue_cb_suppliers(agg)
     names, attrs = pair_attributes(ledger)
     if attributes is None:
         attributes = attrs

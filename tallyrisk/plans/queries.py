@@ -505,7 +505,7 @@ for _name, _cols in SUBSETS.items():
 
 @query("global_overdue_cb_suppliers")
 def q_global_overdue_cb_suppliers(spark, sf_dir):
-    return metrics.overdue_cb_suppliers(ledger(Tables.for_run(spark, sf_dir)))
+    return metrics.overdue_cb_suppliers(metrics.pair_aggregate(ledger(Tables.for_run(spark, sf_dir))))
 
 
 # ---------------------------------------------------------------------------

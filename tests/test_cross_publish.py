@@ -168,7 +168,9 @@ def test_full_scoring_run_publishes_every_table(spark):
     out = tempfile.mkdtemp(prefix="run-", dir="/tmp")
     t = Tables(spark, SF_SMALL)
     paths = run_scoring(spark, t, out, stored_constants=t.raw_constant_values)
-    assert len(paths) == 17
+    files = {k: paths.pop(k) for k in list(paths) if k.startswith("export_")}
+    assert len(paths) == 18 and len(files) == 6
+    assert spark.read.option("header", True).csv(files["export_pair_scores"]).count() == publish.read_current(spark, paths["customer_supplier_score"]).count()
     for name, path in paths.items():
         cur = publish.read_current(spark, path)
         assert cur.count() > 0 or name.startswith("invoice_predictions"), name
