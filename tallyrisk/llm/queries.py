@@ -131,26 +131,28 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(docs).drop("text")
 
 
-_TW = sorted((n, w, c) for n, t in license_scan.TEMPLATES.items()
-             for w, c in Counter(license_scan.template_words(t)).items())
-OP8_SQL = f"""
-WITH tw(license, w, c) AS (VALUES {', '.join(f"('{n}', '{w}', {c})" for n, w, c in _TW)}),
+_TW = [(i, n, w, c) for i, (n, t) in enumerate(license_scan.ALL) for w, c in sorted(Counter(license_scan.template_words(t)).items())]
+OP8_SQL = rf"""
+WITH tw(t, license, w, c) AS (VALUES {', '.join(f"({i}, '{n}', '{w}', {c})" for i, n, w, c in _TW)}),
 d AS (SELECT doc_id, text, concat_ws('/', source, lang, CAST(doc_id // 1000 AS VARCHAR), CAST(doc_id AS VARCHAR)) AS path FROM documents),
 n AS (SELECT count(text) AS n FROM d),
 dw AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[^a-z0-9]+'), lambda x: x <> '') AS ws FROM d),
-df AS (SELECT w, count(*) AS df FROM (SELECT DISTINCT doc_id, unnest(ws) AS w FROM dw) WHERE w IN (SELECT w FROM tw) GROUP BY w),
-idf AS (SELECT DISTINCT tw.w, ln((1 + n) / (1 + coalesce(df, 0))) + 1 AS idf FROM tw CROSS JOIN n LEFT JOIN df ON df.w = tw.w),
-tn AS (SELECT license, sqrt(sum((c * idf) ** 2)) AS norm FROM tw JOIN idf USING (w) GROUP BY license),
-l AS (SELECT doc_id, unnest(list_distinct(string_split(text, chr(10)))) AS line FROM d),
+df AS (SELECT w, count(*) AS df FROM (SELECT DISTINCT doc_id, unnest(ws) AS w FROM dw) GROUP BY w),
+words AS (SELECT w FROM df UNION SELECT w FROM tw),
+idf AS (SELECT w, ln((1 + n) / (1 + coalesce(df, 0))) + 1 AS idf FROM words CROSS JOIN n LEFT JOIN df USING (w)),
+tn AS (SELECT t, license, sqrt(sum((c * idf) ** 2)) AS norm FROM tw JOIN idf USING (w) GROUP BY t, license),
+b AS (SELECT doc_id, text, regexp_split_to_array(text, '{license_scan.BLOCK_END}') AS blocks FROM d),
+l AS (SELECT doc_id, unnest(list_distinct(list_concat(string_split(text, chr(10)), blocks,
+        flatten(list_transform(blocks, lambda x: regexp_split_to_array(x, '{license_scan.SENTENCE_END}'))), [text]))) AS line FROM b),
 lw AS (SELECT doc_id, line, w, count(*) AS c FROM (
          SELECT doc_id, line, unnest(regexp_split_to_array(lower(line), '[^a-z0-9]+')) AS w FROM l) WHERE w <> '' GROUP BY ALL),
-lx AS (SELECT doc_id, line, lw.w, c, coalesce(idf, ln(1 + n) + 1) AS idf FROM lw CROSS JOIN n LEFT JOIN idf ON idf.w = lw.w),
+lx AS (SELECT doc_id, line, w, c, idf FROM lw JOIN idf USING (w)),
 ln AS (SELECT doc_id, line, sqrt(sum((c * idf) ** 2)) AS norm, sum(c) AS n FROM lx GROUP BY ALL),
-dot AS (SELECT doc_id, line, license, sum(lx.c * lx.idf * tw.c * lx.idf) AS dot FROM lx JOIN tw USING (w) GROUP BY ALL),
+dot AS (SELECT doc_id, line, t, sum(lx.c * lx.idf * tw.c * lx.idf) AS dot FROM lx JOIN tw USING (w) GROUP BY ALL),
 sc AS (SELECT doc_id, line, license, ln.n, round(dot / (ln.norm * tn.norm), 6) AS score
-       FROM dot JOIN ln USING (doc_id, line) JOIN tn USING (license)),
-own AS (SELECT * FROM sc WHERE score >= {license_scan.THRESHOLD}
-        QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, license, line) = 1),
+       FROM dot JOIN ln USING (doc_id, line) JOIN tn USING (t)),
+own AS (SELECT * FROM sc WHERE score >= {license_scan.THRESHOLD} QUALIFY row_number() OVER (
+          PARTITION BY doc_id ORDER BY license IN ({', '.join(f"'{x}'" for x in license_scan.WEAK)}), score DESC, license, line) = 1),
 f AS (SELECT d.doc_id, d.path, own.license AS own_license, own.score, regexp_extract(path, '^(.*)/[^/]*$', 1) AS dir,
              coalesce(own.n / greatest(len(ws), 1) >= {license_scan.FILE_SHARE}, false) AS license_file
       FROM d JOIN dw USING (doc_id) LEFT JOIN own USING (doc_id)),
