@@ -806,6 +806,11 @@ def q_extract_customers(spark, sf_dir):
     return ex.extract_customers(t.raw_customers, t.raw_customer_types, t.raw_ndg)
 
 
+@query("extract_ndg")
+def q_extract_ndg(spark, sf_dir):
+    return ex.extract_ndg(Tables.for_run(spark, sf_dir).raw_ndg)
+
+
 # ---------------------------------------------------------------------------
 # sinks and state
 # ---------------------------------------------------------------------------
@@ -871,13 +876,12 @@ def q_reason_state_two_days(spark, sf_dir):
 # ---------------------------------------------------------------------------
 from ..functions.scalar import units  # noqa: E402
 from ..sources import loads  # noqa: E402
-from . import daily  # noqa: E402
+from . import daily, job  # noqa: E402
 
 
 def load_source(t: Tables, name: str) -> DataFrame:
     """A relation with the columns of its load, in file order (columns that the test data lacks are null)."""
-    src = t[name]
-    return src.select(*[F.col(f.name) if f.name in src.columns else F.lit(None).cast("string").alias(f.name) for f in loads.LOADS[name].schema])
+    return loads.in_file_order(t[name], name)
 
 
 @query("load_all")
@@ -894,16 +898,22 @@ def q_load_all(spark, sf_dir):
     done = spark.createDataFrame([(x.name, x.rows, x.loaded, x.rejected) for x in house.load_all(folder, P.processing_date)],
                                  "load string, n_rows long, n_loaded long, n_rejected long")
     held = None
-    for name, load in loads.LOADS.items():
-        money = [F.sum(units(f.name)) for f in load.schema if f.dataType.simpleString() == "double"]
-        days = [F.sum(F.datediff(f.name, F.lit(_dt.date(1990, 1, 1)))) for f in load.schema if f.dataType.simpleString() == "date"]
-        ids = [F.sum(f.name) for f in load.schema if f.dataType.simpleString() in ("bigint", "int")]
-        row = house.table(name).agg(F.lit(name).alias("load"), F.count(F.lit(1)).alias("n_table"), _added(money).alias("units"),
-                                    _added(days).alias("days"), _added(ids).alias("ids"))
+    for name in loads.LOADS:
+        row = _held(house.table(name), name, "n_table")
         held = row if held is None else held.unionByName(row)
     return done.join(held, "load")
 
 
+def _held(df, name, n):
+    """Rows of a loaded table and the sums of its amounts, dates and ids."""
+    kinds = [(f.name, f.dataType.simpleString()) for f in loads.LOADS[name].schema]
+    money = [F.sum(units(c)) for c, k in kinds if k == "double"]
+    days = [F.sum(F.datediff(c, F.lit(_dt.date(1990, 1, 1)))) for c, k in kinds if k == "date"]
+    ids = [F.sum(c) for c, k in kinds if k in ("bigint", "int")]
+    return df.agg(F.lit(name).alias("load"), F.count(F.lit(1)).alias(n), _added(money).alias("units"), _added(days).alias("days"),
+                  _added(ids).alias("ids"))
+
+
 def _added(cols):
     """Sum of sums, nulls as 0."""
     out = F.lit(0).cast("long")
@@ -934,6 +944,37 @@ def q_load_rejects(spark, sf_dir):
     return by.unionByName(good)
 
 
+@query("job_loads")
+def q_job_loads(spark, sf_dir):
+    """Two days of the job up to its loads, the second day run twice: rows and sums of every table after the load."""
+    house = _two_days(spark, sf_dir)
+    held = None
+    means = {"open_payable": ["open_payable"], "unapplied_balance": ["unapplied_amount"]}     # rounded as in their extractions' rows
+    for name in loads.LOADS:
+        row = _held(r6(house.table(name), *means.get(name, ())), name, "n_table")
+        held = row if held is None else held.unionByName(row)
+    return held
+
+
+@query("job_pair_metrics")
+def q_job_pair_metrics(spark, sf_dir):
+    """Pair metrics of tables that were extracted and loaded on two days."""
+    house = _two_days(spark, sf_dir)
+    t = loads.WarehouseTables(spark, sf_dir, house, P.processing_date)
+    return metrics.pair_metrics(clean.unified_ledger(t.invoice_payments, t.chargebacks, DEFAULT), DEFAULT)
+
+
+def _two_days(spark, sf_dir) -> loads.Warehouse:
+    """The warehouse after the job's loads of the day before (everything from the window's start) and of the processing date."""
+    t = Tables.for_run(spark, sf_dir)
+    if "_two_days" not in t.__dict__:       # both rows read the same warehouse
+        work = job.Job(spark, t, pub.shared_dir(spark, "job", "two-days"), P, first_day=W_START)
+        for day in (P.processing_date - _dt.timedelta(days=1), P.processing_date, P.processing_date):
+            work.load_day(day)
+        t._two_days = work.house
+    return t._two_days
+
+
 @query("scan_window_partitioned")
 def q_scan_window_partitioned(spark, sf_dir):
     """The window scan over the invoice facts partitioned by date: the date range chooses folders, the amount is a stored column."""

@@ -134,7 +134,7 @@ SELECT x.supplier_id AS id, x.client_id, x.supplier AS name, x.status_index, x.s
 FROM {{lineitem}} l
 JOIN {{orders}} o ON o.o_orderkey = l.l_orderkey
 JOIN ({_SUPPLIER_STATUS}) x ON x.supplier_id = l.l_suppkey
-WHERE l.l_quantity > 40 AND l.l_linestatus = 'O'
+WHERE l.l_linestatus = 'O'
 """
 
 FIXTURES["unapplied_balance"] = f"""
@@ -144,7 +144,7 @@ SELECT x.supplier_id AS id, x.client_id, x.supplier, x.status_index, x.status,
 FROM {{lineitem}} l
 JOIN {{orders}} o ON o.o_orderkey = l.l_orderkey
 JOIN ({_SUPPLIER_STATUS}) x ON x.supplier_id = l.l_suppkey
-WHERE l.l_quantity < 4 AND l.l_returnflag = 'A'
+WHERE l.l_returnflag = 'A'
 """
 
 FIXTURES["credit_memo"] = f"""
@@ -169,7 +169,7 @@ SELECT CONCAT('OB', CAST(l.l_orderkey AS STRING)) AS reference_num,
 FROM {{lineitem}} l
 JOIN {{orders}} o ON o.o_orderkey = l.l_orderkey
 JOIN ({_SUPPLIER_STATUS}) x ON x.supplier_id = l.l_suppkey
-WHERE l.l_quantity > 45 AND l.l_returnflag = 'A'
+WHERE l.l_returnflag = 'A'
 """
 
 FIXTURES["crm_customers"] = f"""

@@ -75,6 +75,11 @@ LOADS: dict[str, Load] = {
 }
 
 
+def in_file_order(df: DataFrame, name: str) -> DataFrame:
+    """The columns of a load in file order; columns that ``df`` lacks are null."""
+    return df.select(*[F.col(f.name) if f.name in df.columns else F.lit(None).cast("string").alias(f.name) for f in LOADS[name].schema])
+
+
 def read_text(spark: SparkSession, name: str, path: str) -> DataFrame:
     """A file's columns as text, with the row number, the whole row where its number of columns differs, and the file."""
     cols = [T.StructField(c, T.StringType()) for c in (INDEX_COL, *LOADS[name].schema.names, CORRUPT)]
@@ -142,10 +147,16 @@ class Warehouse:
     def load_all(self, folder: str, day: _dt.date) -> list[Loaded]:
         return [self.load(name, f"{folder.rstrip('/')}/{name}", day) for name in LOADS]
 
-    def table(self, name: str) -> DataFrame:
-        """Full loads: the last day's rows; append loads: all days' rows."""
+    def table(self, name: str, day: _dt.date | None = None) -> DataFrame:
+        """Full loads: the last day's rows; append loads: all days' rows.  With ``day``: as they were loaded up to it."""
         store = self.store(name)
-        return (store.current() if LOADS[name].refresh == FULL else store.history()).drop("load_date")
+        if LOADS[name].refresh == FULL:
+            found = store.current() if day is None else store.as_of(day)
+            if found is None:
+                raise FileNotFoundError(f"{name} is not loaded up to {day}")
+        else:
+            found = store.history() if day is None else store.history().filter(F.col("load_date") <= F.lit(day))
+        return found.drop("load_date")
 
     def rejects(self, name: str) -> DataFrame:
         return self.reject_store(name).history()
@@ -154,13 +165,13 @@ class Warehouse:
 class WarehouseTables(Tables):
     """The relations of a scoring run: the loaded tables from the warehouse, everything else from ``sf_dir``."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, warehouse: Warehouse):
+    def __init__(self, spark: SparkSession, sf_dir: str, warehouse: Warehouse, day: _dt.date | None = None):
         super().__init__(spark, sf_dir)
-        self.warehouse = warehouse
+        self.warehouse, self.day = warehouse, day
 
     def __getitem__(self, name: str) -> DataFrame:
         if name in LOADS and name not in self._cache:
-            self._cache[name] = self.warehouse.table(name)
+            self._cache[name] = self.warehouse.table(name, self.day)
         return super().__getitem__(name)
 
 

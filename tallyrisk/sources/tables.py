@@ -1,6 +1,7 @@
 """Load the driver's parquet tables and build the domain relations on Spark."""
 from __future__ import annotations
 
+import hashlib
 import os
 
 from pyspark.sql import DataFrame, SparkSession
@@ -72,6 +73,17 @@ class Tables:
         """Forget the stages of a finished run."""
         self._stages.clear()
 
+    def source_version(self, *names: str) -> str:
+        """Digest of the files behind relations: their paths, lengths and times.  It is the same in every process."""
+        found = []
+        for table in sorted({b for n in names for b in ([n] if n in BASE_TABLES else placeholders(FIXTURES[n]))}):
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(os.path.join(self.sf_dir, f"{table}.parquet"))
+            fs = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+            status = fs.getFileStatus(path)
+            found += sorted((f.getPath().toString(), f.getLen(), f.getModificationTime())
+                            for f in (fs.listStatus(path) if status.isDirectory() else [status]))
+        return hashlib.sha256(repr(found).encode()).hexdigest()
+
     def base(self, name: str) -> DataFrame:
         key = "base:" + name
         if key not in self._cache:
