@@ -9,7 +9,8 @@ Evidence of a row, fused as log likelihoods plus a log prior:
 * **host prior**: language shares of the host, smoothed towards its domain's, those towards its suffix's, those towards the whole
   corpus's (``SMOOTHING`` pseudo rows at each level).
 
-The text model is fitted on at most ``SAMPLE`` different texts of each label that hold a letter (whole texts, smallest hash of text and
+The languages are the labels of the data: every declared one with a text that holds a letter, at most ``MAX_LANGUAGES`` (those with the most different
+texts, then by name).  The text model is fitted on at most ``SAMPLE`` different texts of each (whole texts, smallest hash of text and
 label first): however rare a labelled language is and however often a text is copied, it has its model.  Everything else covers all
 rows: one pass sums the text-only posteriors by host (combined map-side, so a host with a third of all rows is one partial
 row a task), and a second pass judges every row with its host's prior.  The prior table grows with the number of hosts and is joined, not
@@ -25,18 +26,18 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache, reduce
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import Scratch, column, list_column
 
-LANGUAGES = ("de", "en", "es", "fr")
 UND = "und"
+MAX_LANGUAGES = 200
 SAMPLE = 3000
 BUCKETS = 1 << 15
 EFFECTIVE = 48
@@ -46,7 +47,7 @@ SMOOTHING = 20.0
 ACCEPT = 0.5
 #: country suffixes and the language that they speak for
 COUNTRIES = {"de": "de", "at": "de", "ch": "de", "uk": "en", "us": "en", "au": "en", "ie": "en", "es": "es", "mx": "es", "ar": "es",
-             "cl": "es", "co": "es", "fr": "fr", "be": "fr"}
+             "cl": "es", "co": "es", "fr": "fr", "be": "fr", "pt": "pt", "br": "pt", "it": "it", "nl": "nl", "pl": "pl", "se": "sv"}
 RESULTS = ("language", "posterior", "accepted", "text_language")
 
 
@@ -58,6 +59,13 @@ class Evidence:
     host: str | None = "source"
 
 
+@dataclass(frozen=True)
+class Model:
+    """Languages by name, and (BUCKETS, languages and und) log likelihoods."""
+    languages: tuple[str, ...]
+    logs: np.ndarray
+
+
 @lru_cache(maxsize=1)
 def _letters() -> np.ndarray:
     return np.array([chr(c).isalpha() for c in range(0x110000)])
@@ -78,44 +86,53 @@ def trigrams(text: str) -> np.ndarray:
     return h[letter[1:-1]].astype(np.int64)
 
 
-def fit(df: DataFrame, label: Column, text: str, sample: int = SAMPLE) -> np.ndarray:
-    """(BUCKETS, languages + und) log likelihoods from at most ``sample`` different texts of each label."""
-    labelled = (df.select(label.alias("label"), F.col(text).alias("text")).filter(F.col("label").isin(*LANGUAGES) & F.col("text").rlike(r"\p{L}"))
-                .withColumn("h", F.xxhash64("label", "text")))
+def fit(df: DataFrame, label: Column, text: str, sample: int = SAMPLE, most: int = MAX_LANGUAGES) -> Model:
+    """The model of at most ``most`` labels from at most ``sample`` different texts of each."""
+    labelled = (df.select(label.alias("label"), F.col(text).alias("text"))
+                .filter((F.col("label") != "") & (F.col("label") != UND) & F.col("text").rlike(r"\p{L}")).withColumn("h", F.xxhash64("label", "text")))
     hashes = Scratch(df.sparkSession, "language-fit").write(labelled.select("label", "h").distinct(), "hashes")
-    smallest = [hashes.filter(F.col("label") == x).orderBy("h").limit(sample) for x in LANGUAGES]
-    rows = (labelled.join(F.broadcast(reduce(DataFrame.unionByName, smallest)), ["label", "h"])
+    # at most ``most`` rows
+    found = hashes.groupBy("label").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "label").limit(most).collect()
+    languages = tuple(sorted(r.label for r in found))
+    if not languages:
+        return Model((), np.zeros((BUCKETS, 1), np.float32))
+    first = Window.partitionBy("label").orderBy("h")
+    # the rank limit is applied in every task before the shuffle, so a label with most of the rows is ``sample`` rows a task
+    smallest = (hashes.filter(F.col("label").isin(*languages)).withColumn("r", F.row_number().over(first)).filter(F.col("r") <= sample).drop("r"))
+    rows = (labelled.join(F.broadcast(smallest), ["label", "h"])
             .groupBy("label", "h").agg(F.min("text").alias("text")).select("label", "text"))
+    at = {x: i for i, x in enumerate(languages)}
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((len(LANGUAGES), BUCKETS), np.int64)
+        total = np.zeros((len(at), BUCKETS), np.int64)
         for batch in batches:
             for lab, t in zip(batch.column("label").to_pylist(), batch.column("text")):
-                total[LANGUAGES.index(lab)] += np.bincount(trigrams(t.as_py()), minlength=BUCKETS)
-        at, bucket = np.nonzero(total)
-        yield pa.RecordBatch.from_pydict({"language": pa.array(at, pa.int32()), "bucket": pa.array(bucket, pa.int32()),
-                                          "n": pa.array(total[at, bucket])})
+                total[at[lab]] += np.bincount(trigrams(t.as_py()), minlength=BUCKETS)
+        which, bucket = np.nonzero(total)
+        yield pa.RecordBatch.from_pydict({"language": pa.array(which, pa.int32()), "bucket": pa.array(bucket, pa.int32()),
+                                          "n": pa.array(total[which, bucket])})
 
     got = (rows.mapInArrow(count, "language int, bucket int, n long").groupBy("language", "bucket").agg(F.sum("n").alias("n"))
            .toArrow())
-    counts = np.zeros((BUCKETS, len(LANGUAGES)), np.float64)
+    counts = np.zeros((BUCKETS, len(languages)), np.float64)
     counts[column(got, "bucket"), column(got, "language")] = column(got, "n")
-    model = np.full((BUCKETS, len(LANGUAGES) + 1), -np.log(BUCKETS))
-    for i in range(len(LANGUAGES)):
-        n = counts[:, i].sum()
-        # half an observation in every bucket; a language without rows stays far behind the even model
-        model[:, i] = np.log((counts[:, i] + 0.5) / (n + 0.5 * BUCKETS)) if n else -1e3
-    return model.astype(np.float32)
+    logs = np.full((BUCKETS, len(languages) + 1), -np.log(BUCKETS))
+    # half an observation in every bucket
+    logs[:, :-1] = np.log((counts + 0.5) / (counts.sum(axis=0) + 0.5 * BUCKETS))
+    return Model(languages, logs.astype(np.float32))
 
 
-def text_evidence(texts, model: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def text_evidence(texts, logs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Log likelihoods (rows x languages and und) of texts, and whether a text holds any."""
-    out = np.zeros((len(texts), model.shape[1]))
+    out = np.zeros((len(texts), logs.shape[1]))
     some = np.zeros(len(texts), dtype=bool)
     for i, t in enumerate(texts):
         g = trigrams(t.as_py() or "")
         if len(g):
-            out[i] = model[g].mean(axis=0, dtype=np.float64) * min(len(g), EFFECTIVE)
+            # memory is bounded by the model's size however long the text is
+            mean = (logs[g].mean(axis=0, dtype=np.float64) if len(g) <= BUCKETS
+                    else np.bincount(g, minlength=BUCKETS) @ logs.astype(np.float64) / len(g))
+            out[i] = mean * min(len(g), EFFECTIVE)
             some[i] = True
     return out, some
 
@@ -125,10 +142,6 @@ def _posterior(logs: np.ndarray) -> np.ndarray:
     return p / p.sum(axis=1, keepdims=True)
 
 
-def _even() -> list[float]:
-    return [1 / len(LANGUAGES)] * len(LANGUAGES)
-
-
 def host_levels(host: Column) -> dict[str, Column]:
     """Suffix and domain of a host name; a name without dots is its own domain with an empty suffix."""
     parts = F.split(host, r"\.")
@@ -137,18 +150,19 @@ def host_levels(host: Column) -> dict[str, Column]:
             "_domain": F.array_join(F.slice(parts, F.greatest(n - 1, F.lit(1)), F.lit(2)), ".")}
 
 
-def host_priors(df: DataFrame, text: str, host: Column, model: np.ndarray, scratch: Scratch) -> DataFrame:
+def host_priors(df: DataFrame, text: str, host: Column, model: Model, scratch: Scratch) -> DataFrame:
     """(_host, _prior): smoothed language shares of every host."""
-    sent = df.sparkSession.sparkContext.broadcast(model)
+    k = len(model.languages)
+    sent = df.sparkSession.sparkContext.broadcast(model.logs)
 
     def shares(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             logs, some = text_evidence(batch.column("text"), sent.value)
             p = _posterior(logs)
             p[~some] = 0
-            yield pa.RecordBatch.from_pydict({"_host": batch.column("_host"), **{f"p{i}": pa.array(p[:, i]) for i in range(len(LANGUAGES))}})
+            yield pa.RecordBatch.from_pydict({"_host": batch.column("_host"), **{f"p{i}": pa.array(p[:, i]) for i in range(k)}})
 
-    ps = [f"p{i}" for i in range(len(LANGUAGES))]
+    ps = [f"p{i}" for i in range(k)]
     rows = df.select(host.alias("_host"), F.col(text).alias("text")).mapInArrow(
         shares, "_host string, " + ", ".join(f"{p} double" for p in ps))
     # shares are summed in whole millionths, so that totals do not depend on the order of rows
@@ -162,14 +176,14 @@ def host_priors(df: DataFrame, text: str, host: Column, model: np.ndarray, scrat
 
     sums = [F.sum(p).alias(p) for p in ps]
     n = [x or 0.0 for x in hosts.agg(*sums).first()]     # one row: the whole corpus
-    top = F.array(*[F.lit((x + SMOOTHING * e) / (sum(n) + SMOOTHING)) for x, e in zip(n, _even())])
+    top = F.array(*[F.lit((x + SMOOTHING / k) / (sum(n) + SMOOTHING)) for x in n])
     suffixes = hosts.groupBy("_suffix").agg(*sums).select("_suffix", smoothed(top).alias("_sp"))
     domains = hosts.groupBy("_suffix", "_domain").agg(*sums).join(suffixes, "_suffix").select(
         "_suffix", "_domain", smoothed(F.col("_sp")).alias("_dp"))
     return hosts.join(domains, ["_suffix", "_domain"]).select("_host", smoothed(F.col("_dp")).alias("_prior"))
 
 
-def identify(df: DataFrame, evidence: Evidence = Evidence(), accept: float = ACCEPT, model: np.ndarray | None = None) -> DataFrame:
+def identify(df: DataFrame, evidence: Evidence = Evidence(), accept: float = ACCEPT, model: Model | None = None) -> DataFrame:
     """``df`` with language, posterior, accepted and text_language (by text alone)."""
     spark = df.sparkSession
     scratch = Scratch(spark, "language-id")
@@ -180,22 +194,27 @@ def identify(df: DataFrame, evidence: Evidence = Evidence(), accept: float = ACC
     host = F.coalesce(F.col(evidence.host).cast("string"), F.lit("")) if evidence.host else F.lit("")
     if model is None:
         model = fit(df, declared, evidence.text)
+    k = len(model.languages)
+    if not k:
+        return df.withColumns({"language": F.lit(UND), "posterior": F.lit(0.0), "accepted": F.lit(False), "text_language": F.lit(UND)})
     priors = scratch.write(host_priors(df, evidence.text, host, model, scratch), "priors")
-    sent = spark.sparkContext.broadcast(model)
+    sent = spark.sparkContext.broadcast(model.logs)
     rows = df.withColumns({"_declared": declared, "_host": host}).withColumn("_suffix", host_levels(F.col("_host"))["_suffix"])
     joined = rows.join(priors, "_host", "left").select(*names, "_declared", "_suffix",
-                                                       F.coalesce("_prior", F.array(*map(F.lit, _even()))).alias("_prior"))
+                                                       F.coalesce("_prior", F.array(*[F.lit(1 / k)] * k)).alias("_prior"))
     result = T.StructType([*fields, T.StructField("language", T.StringType()), T.StructField("posterior", T.DoubleType()),
                            T.StructField("accepted", T.BooleanType()), T.StructField("text_language", T.StringType())])
-    labels = np.array([*LANGUAGES, UND])
-    k = len(LANGUAGES)
+    labels = np.array([*model.languages, UND])
+    index = {x: i for i, x in enumerate(model.languages)}
+    declares = {x: x for x in index}
+    speaks = {suffix: x for suffix, x in COUNTRIES.items() if x in index}
 
     def vote(values: list, table: dict[str, str], right: float) -> np.ndarray:
         out = np.zeros((len(values), k + 1))
         for i, v in enumerate(values):
             if v in table:
-                out[i] = np.log((1 - right) / (k - 1))
-                out[i, LANGUAGES.index(table[v])] = np.log(right)
+                out[i] = np.log((1 - right) / max(k - 1, 1))
+                out[i, index[table[v]]] = np.log(right)
         return out
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -207,8 +226,8 @@ def identify(df: DataFrame, evidence: Evidence = Evidence(), accept: float = ACC
             prior = values[offsets[0]:offsets[-1]].reshape(n, k)
             # the background model takes the share of one pseudo row
             prior = np.concatenate([prior * SMOOTHING, np.ones((n, 1))], axis=1) / (SMOOTHING + 1)
-            logs = logs + np.log(prior) + vote(batch.column("_declared").to_pylist(), {x: x for x in LANGUAGES}, DECLARED) \
-                + vote(batch.column("_suffix").to_pylist(), COUNTRIES, SUFFIX)
+            logs = logs + np.log(prior) + vote(batch.column("_declared").to_pylist(), declares, DECLARED) \
+                + vote(batch.column("_suffix").to_pylist(), speaks, SUFFIX)
             p = _posterior(logs)
             best = p.argmax(axis=1)
             language = np.where(some, labels[best], UND)

@@ -45,7 +45,7 @@ def test_host_priors_match_brute_force(spark):
         def as_py(self):
             return str(self)
 
-    logs, some = L.text_evidence([Text(r.text) for r in rows], model)
+    logs, some = L.text_evidence([Text(r.text) for r in rows], model.logs)
     p = L._posterior(logs) * some[:, None]
     level = lambda key, parent: {k: ((s := sum(p[i, :4] for i, r in enumerate(rows) if key(r.source) == k)) + L.SMOOTHING * parent(k)) / (
         s.sum() + L.SMOOTHING) for k in {key(r.source) for r in rows}}
@@ -84,8 +84,96 @@ def test_every_label_has_a_model_and_copies_count_once(spark):
     rows = [(t, "en") for t in en] + [(en[7], "en")] * 200 + [(f"{i} !", "fr") for i in range(50)] + [("le chat est sur la table", "fr")]
     df = spark.createDataFrame(rows, "text string, lang string")
     model = L.fit(df, F.col("lang"), "text", sample=20)
-    fr, en_ = L.LANGUAGES.index("fr"), L.LANGUAGES.index("en")
-    assert model[:, fr].min() > -100 and model[:, en_].min() > -100 and model[:, L.LANGUAGES.index("de")].max() == -1000
-    assert (model == L.fit(df.distinct(), F.col("lang"), "text", sample=20)).all()
+    assert model.languages == ("en", "fr") and model.logs.min() > -100
+    assert (model.logs == L.fit(df.distinct(), F.col("lang"), "text", sample=20).logs).all()
     got = L.identify(df, L.Evidence("text", "lang", None), model=model).filter("text like 'le %'").first()
     assert got.language == "fr" and got.accepted
+
+
+def test_languages_are_the_labels_of_the_data(spark):
+    pt = [f"o menino que viu a casa número {i} não estava lá com a mãe" for i in range(50)]
+    en = [f"the boy who saw the house number {i} was not there with his mother" for i in range(50)]
+    rows = [(t, "pt-BR") for t in pt] + [(t, "en") for t in en] + [("a menina não viu a mãe na casa", None), ("the mother was with the boy", None), ("x y", "und")]
+    df = spark.createDataFrame(rows, "text string, lang string")
+    got = {r.text: (r.language, r.accepted) for r in L.identify(df, L.Evidence("text", "lang", None)).collect()}
+    assert {got[t] for t in pt} == {("pt", True)} and {got[t] for t in en} == {("en", True)}
+    assert got[rows[100][0]] == ("pt", True) and got[rows[101][0]] == ("en", True)
+    assert L.fit(df, F.lower("lang"), "text", most=1).languages == ("en",)          # equally many texts: the first by name
+
+
+def _by_hand(rows, model):
+    """language, posterior, accepted and text_language of (text, declared, host) rows, one at a time, from the model alone."""
+    k, top = len(model.languages), {}
+
+    def text(t):
+        g = L.trigrams(t or "")
+        return sum(np.bincount(g, minlength=L.BUCKETS)[b] * model.logs[b].astype(float) for b in set(g.tolist())) / len(g) * min(len(g), L.EFFECTIVE) \
+            if len(g) else None
+
+    logs = [text(t) for t, _, _ in rows]
+    keys = [lambda h: h, lambda h: ".".join(h.split(".")[-2:]), lambda h: h.split(".")[-1] if "." in h else "", lambda h: None]
+    sums = [{} for _ in keys]
+    for (_, _, h), x in zip(rows, logs):
+        p = np.zeros(k) if x is None else (np.exp(x - x.max()) / np.exp(x - x.max()).sum())[:k]
+        for key, total in zip(keys, sums):
+            total[key(h)] = total.get(key(h), 0) + np.round(p, 6)
+
+    def prior(h, level=0):
+        if level == len(keys):
+            return np.full(k, 1 / k)
+        s = sums[level][keys[level](h)]
+        return (s + L.SMOOTHING * prior(h, level + 1)) / (s.sum() + L.SMOOTHING)
+
+    for (t, declared, h), x in zip(rows, logs):
+        if x is None:
+            yield L.UND, 0.0, False, L.UND
+            continue
+        names = [*model.languages, L.UND]
+        y = x + np.log(np.append(prior(h) * L.SMOOTHING, 1) / (L.SMOOTHING + 1))
+        for said, right in ((declared, L.DECLARED), (L.COUNTRIES.get(keys[2](h)), L.SUFFIX)):
+            if said in model.languages:
+                y = y + np.log([right if n == said else (1 - right) / (k - 1) for n in names])
+        p = np.exp(y - y.max()) / np.exp(y - y.max()).sum()
+        yield names[p.argmax()], p.max(), names[p.argmax()] != L.UND and p.max() >= L.ACCEPT, names[x.argmax()]
+
+
+def _equal(got, want):
+    assert len(got) == len(want)
+    for a, b in zip(got, want):
+        assert (a.language, a.accepted, a.text_language) == (b[0], b[2], b[3]) and abs(a.posterior - b[1]) < 1e-4
+
+
+def test_whole_result_of_the_queries_matches_brute_force(spark):
+    import re
+    docs = sorted(table(spark, D, "documents").collect(), key=lambda r: r.doc_id)
+    model = L.fit(_docs(spark), F.lower("lang"), "text")
+    _equal(sorted(QUERIES["op7_language_id"](spark, D).collect(), key=lambda r: r.doc_id),
+           list(_by_hand([(r.text, r.lang, r.source) for r in docs], model)))
+    pages = sorted(table(spark, D, "pages").collect(), key=lambda r: r.page_id)
+    rows = []
+    for r in pages:
+        lang = re.search(r"(?is)<html[^>]*\blang=[\"']?([a-z-]+)", r.html or "")
+        host = re.search(r"(?s)^.*?://([^/?#]*)", r.url or "")
+        text = re.sub(r"(?s)<[^>]*>|&[a-z#0-9]+;", " ", re.sub(r"(?is)<(script|style)\b.*?</\1>", " ", r.html)) if r.html is not None else None
+        rows.append((text, lang.group(1).lower().split("-")[0] if lang else "", host.group(1).lower() if host else ""))
+    frame = spark.createDataFrame([(t, d) for t, d, _ in rows], "text string, lang string")
+    _equal(sorted(QUERIES["pages_language_id"](spark, D).collect(), key=lambda r: r.page_id),
+           list(_by_hand(rows, L.fit(frame, F.col("lang"), "text"))))
+
+
+def test_no_label_a_single_label_and_a_very_long_text(spark):
+    one = spark.createDataFrame([("the words of it", "en", "s"), (None, "en", None), ("the words of it " * 200_000, None, "s")],
+                                "text string, lang string, source string")
+    got = sorted(L.identify(one).collect(), key=lambda r: len(r.text or ""))
+    assert [(r.language, r.accepted) for r in got] == [("und", False), ("en", True), ("en", True)]
+    logs = L.fit(one, F.col("lang"), "text").logs
+    g = L.trigrams(got[2].text)
+    direct = logs[g].mean(axis=0, dtype=np.float64) * L.EFFECTIVE
+
+    class Text(str):
+        def as_py(self):
+            return str(self)
+
+    assert len(g) > L.BUCKETS and np.allclose(L.text_evidence([Text(got[2].text)], logs)[0][0], direct)
+    none = L.identify(one.withColumn("lang", F.lit("und"))).collect()
+    assert {(r.language, r.posterior, r.accepted, r.text_language) for r in none} == {("und", 0.0, False, "und")} and len(none) == 3
