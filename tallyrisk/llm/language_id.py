@@ -96,9 +96,11 @@ def fit(df: DataFrame, label: Column, text: str, sample: int = SAMPLE, most: int
     languages = tuple(sorted(r.label for r in found))
     if not languages:
         return Model((), np.zeros((BUCKETS, 1), np.float32))
-    first = Window.partitionBy("label").orderBy("h")
-    # the rank limit is applied in every task before the shuffle, so a label with most of the rows is ``sample`` rows a task
-    smallest = (hashes.filter(F.col("label").isin(*languages)).withColumn("r", F.row_number().over(first)).filter(F.col("r") <= sample).drop("r"))
+    # hashes lie evenly, so a label's ``sample`` smallest are found below twice their share: few rows are ranked however many there are
+    cuts = df.sparkSession.createDataFrame(
+        [(r.label, min(2 ** 63 - 1, -2 ** 63 + (2 * sample + 100) * 2 ** 64 // r.n)) for r in found], "label string, cut long")
+    smallest = (hashes.join(F.broadcast(cuts), "label").filter(F.col("h") <= F.col("cut"))
+                .withColumn("r", F.row_number().over(Window.partitionBy("label").orderBy("h"))).filter(F.col("r") <= sample).select("label", "h"))
     rows = (labelled.join(F.broadcast(smallest), ["label", "h"])
             .groupBy("label", "h").agg(F.min("text").alias("text")).select("label", "text"))
     at = {x: i for i, x in enumerate(languages)}

@@ -177,3 +177,10 @@ def test_no_label_a_single_label_and_a_very_long_text(spark):
     assert len(g) > L.BUCKETS and np.allclose(L.text_evidence([Text(got[2].text)], logs)[0][0], direct)
     none = L.identify(one.withColumn("lang", F.lit("und"))).collect()
     assert {(r.language, r.posterior, r.accepted, r.text_language) for r in none} == {("und", 0.0, False, "und")} and len(none) == 3
+
+
+def test_the_sample_is_the_texts_of_smallest_hash(spark):
+    df = spark.createDataFrame([(f"text {'abcdefghij'[i % 10]} {i}", "en" if i % 3 else "de") for i in range(3000)], "text string, lang string")
+    got = L.fit(df, F.col("lang"), "text", sample=30).logs
+    ranked = df.withColumn("h", F.xxhash64("lang", "text")).toPandas().sort_values("h").groupby("lang").head(30)
+    assert (got == L.fit(spark.createDataFrame(ranked[["text", "lang"]]), F.col("lang"), "text").logs).all()
