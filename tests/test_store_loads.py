@@ -130,3 +130,13 @@ def test_the_window_scan_chooses_folders(spark):
 def test_rows_equal_their_sql(spark, name):
     ok, msg = compare(REGISTRY[name](spark, SF_SMALL).toPandas(), duck(SF_SMALL).execute(ORACLE[name]).df())
     assert ok, msg
+
+
+def test_sums_of_ids_beyond_a_long(spark):
+    """The ids of a large load add up to more than a long: no overflow, the total modulo 2^64."""
+    from tallyrisk.plans.queries import _held
+    for ids, want in (((5, -7, None), -2), ((2**63 - 1,) * 3, 2**63 - 3), ((2**63 - 1, 1), -2**63), ((2**63 - 1, 2**63 - 1, 2), 0)):
+        table = spark.createDataFrame([(i,) for i in ids], "id long").select(
+            *[F.col("id") if f.name == "id" else F.lit(None).cast(f.dataType).alias(f.name) for f in loads.LOADS["crm_ndg"].schema])
+        row = _held(table, "crm_ndg", "n_table").first()
+        assert (row.n_table, row.ids, row.units, row.days) == (len(ids), want, 0, 0)
