@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyrisk.operators import aggregate, extract, metrics, normalize
-from tallyrisk.params import DEFAULT
+from tallyrisk.params import DEFAULT, PAIR_METRICS
 
 D = DEFAULT.processing_date
 
@@ -82,3 +82,20 @@ def test_roll_up_does_not_depend_on_the_order_of_rows(spark):
                                                           .sortWithinPartitions(F.xxhash64("customer_id", "supplier_id", F.lit(n))), "ndg_id").collect()))
             for n in (1, 3, 7)]
     assert seen[0] == seen[1] == seen[2] and len(seen[0]) > 10
+
+
+def test_wide_statistics_of_small_groups_are_not_shuffled(spark):
+    """Rows go to their group before the many statistics are made; only those of large groups are combined first; nothing changes."""
+    from tallyrisk.operators import weights
+    i = F.col("id")
+    rows = spark.range(4000).select(
+        F.when(i % 3 == 0, 1).when(i % 1999 == 5, None).otherwise(i % 1500 + 2).alias("customer_id"),
+        *[((i * (n + 3)) % (7 + n)).cast("double").alias(m) for n, m in enumerate(sorted({*PAIR_METRICS, "risk_balance"}))])
+    aggs = [F.count(F.lit(1)).alias("n"), F.sum("risk_balance").alias("s"), F.max("dbt").alias("m")]
+    want = {r[0]: tuple(r) for r in rows.groupBy("customer_id").agg(*aggs).collect()}
+    got = normalize.grouped(rows, ["customer_id"], aggs).collect()
+    assert {r[0]: tuple(r) for r in got} == want and len(got) == len(want) and None in want
+    for df in (weights.customer_weights(rows), weights.customer_corr_weights(rows), normalize.zscore(rows, PAIR_METRICS, ["customer_id"]),
+               normalize.masked_minmax(rows, PAIR_METRICS, ["customer_id"])):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning(customer_id" in plan and "REPARTITION_BY_NUM" in plan
