@@ -111,7 +111,7 @@ class Job:
 
         def write() -> str:
             path = f"{self.base}/extracts/{name}/{day.isoformat()}/{uuid.uuid4().hex}"
-            publish.export_csv(in_file_order(rows(self.source, start, end), name), path)
+            publish.export_csv(in_file_order(rows(self.source, start, end), name), path, compression="gzip")
             return path
 
         window = (start, end) if LOADS[name].refresh == APPEND else None

@@ -140,3 +140,18 @@ def test_sums_of_ids_beyond_a_long(spark):
             *[F.col("id") if f.name == "id" else F.lit(None).cast(f.dataType).alias(f.name) for f in loads.LOADS["crm_ndg"].schema])
         row = _held(table, "crm_ndg", "n_table").first()
         assert (row.n_table, row.ids, row.units, row.days) == (len(ids), want, 0, 0)
+
+
+def test_compressed_exports_load_the_same(spark):
+    from tallyrisk.sources import publish
+    base = _folder("load")
+    src = loads.in_file_order(spark.createDataFrame([(i, f'a,"{i}"\n x') for i in range(50)], "id long, name string"), "crm_ndg")
+    publish.export_csv(src, f"{base}/plain")
+    publish.export_csv(src, f"{base}/small", compression="gzip")
+    assert all(f.endswith(".csv.gz") for f in os.listdir(f"{base}/small") if f.startswith("part-"))
+    found = []
+    for kind in ("plain", "small"):
+        house = loads.Warehouse(spark, f"{base}/house-{kind}")
+        done = house.load("crm_ndg", f"{base}/{kind}", D)
+        found.append(((done.rows, done.loaded, done.rejected), sorted(map(str, house.table("crm_ndg").collect())), house.rejects("crm_ndg").count()))
+    assert found[0] == found[1] and found[0][0][0] > 0
