@@ -51,6 +51,7 @@ BLOCK_WORDS = 2_000_000
 TOGETHER = 64          # pairs aligned at once
 TOGETHER_WORDS = 200_000
 STAR = 1024            # pairs of one centre that share a copy of its words
+BATCH = 4 << 20        # bytes of rows that a task hands to Python at a time
 SEED = 7321
 
 _RNG = np.random.default_rng(SEED)
@@ -59,7 +60,7 @@ _STEP, _FUNCTIONS = _ODD[:SHINGLE, 0], _ODD[SHINGLE:]
 
 
 _WORD = re.compile(r"[^\W_]+")
-CACHE_WORDS = 400_000
+CACHE_WORDS = 50_000
 
 
 class _Hashes(dict):
@@ -120,7 +121,7 @@ def sketch(w: np.ndarray) -> np.ndarray:
     lab = labelled(s)
     n, m = len(_FUNCTIONS), len(s)
     picks = np.empty((n, min(PICKS, m)), dtype=np.int64)
-    step = max(1, (1 << 21) // m)
+    step = max(1, (1 << 18) // m)
     for at in range(0, n, step):
         v = lab[None, :] * _FUNCTIONS[at:at + step]
         v ^= v >> np.uint64(32)
@@ -137,12 +138,12 @@ def sketch(w: np.ndarray) -> np.ndarray:
 
 
 def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """doc_id, class key, number of words and band keys of every text that has words."""
+    """doc_id, class key, number of words, band keys and words (hashes) of every text that has words."""
     salt = _mix(np.arange(1, BANDS + 1, dtype=np.uint64))
     for whole in batches:
         for at in range(0, whole.num_rows, 1024):
             batch = whole.slice(at, 1024)
-            ids, keys, sizes, bands = [], [], [], []
+            ids, keys, sizes, bands, hashes = [], [], [], [], []
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
                 w = words(text.as_py())
                 if not len(w):
@@ -152,23 +153,17 @@ def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 for r in range(ROWS):
                     key = _mix(key + v[r::ROWS])
                 ids.append(doc_id)
-                keys.append(xxhash.xxh3_128_digest(w.tobytes()))
+                hashes.append(w.tobytes())
+                keys.append(xxhash.xxh3_128_digest(hashes[-1]))
                 sizes.append(len(w))
                 bands.append(key.view(np.int64))
             if ids:
                 k = np.frombuffer(b"".join(keys), np.int64).reshape(-1, 2)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(ids, pa.int64()), pa.array(k[:, 0]), pa.array(k[:, 1]), pa.array(sizes, pa.int64()),
-                     pa.ListArray.from_arrays(np.arange(len(ids) + 1, dtype=np.int32) * BANDS, pa.array(np.concatenate(bands)))],
-                    names=["doc_id", "k1", "k2", "size", "bands"])
-
-
-def _worded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for whole in batches:
-        for at in range(0, whole.num_rows, 1024):
-            batch = whole.slice(at, 1024)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([words(t.as_py()).tobytes() for t in batch.column("text")],
-                                                                              pa.binary())], names=["doc_id", "words"])
+                     pa.ListArray.from_arrays(np.arange(len(ids) + 1, dtype=np.int32) * BANDS, pa.array(np.concatenate(bands))),
+                     pa.array(hashes, pa.binary())],
+                    names=["doc_id", "k1", "k2", "size", "bands", "words"])
 
 
 # ------------------------------------------------------------------ verification
@@ -472,7 +467,8 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, class_id (smallest doc_id of its group), kept: one row for each row of ``docs``."""
     scratch = Scratch(docs.sparkSession, "order-minhash")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("doc_id IS NOT NULL")
-    sketches = scratch.write(texts.mapInArrow(_sketched, "doc_id long, k1 long, k2 long, size long, bands array<long>"), "sketches")
+    sketches = scratch.write(texts.mapInArrow(_sketched, "doc_id long, k1 long, k2 long, size long, bands array<long>, words binary"),
+                             "sketches", BATCH)
     # what is aggregated is written before it is joined back, so that a hot key's rows can be split there
     copies = scratch.write(sketches.groupBy("k1", "k2").agg(F.min("doc_id").alias("id"), F.count("*").alias("n"))
                            .filter("n > 1").drop("n"), "copies")
@@ -480,21 +476,21 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
                           .select("doc_id", F.coalesce("id", "doc_id").alias("id")).distinct(), "classes")
     reps = scratch.write(sketches.join(named.filter("doc_id = id").select("doc_id"), "doc_id", "left_semi")
                          .dropDuplicates(["doc_id", "k1", "k2"]).select(F.col("doc_id").alias("id"), "size", "bands"), "reps")
-    scratch.drop("sketches")
     scratch.drop("copies")
     in_band = reps.select("id", "size", F.explode("bands").alias("bucket"))
     shared = scratch.write(in_band.groupBy("bucket").agg(F.min("id").alias("centre"), F.count("*").alias("n"), F.sum("size").alias("size"))
                            .filter("n > 1"), "shared")
     members = scratch.write(in_band.drop("size").join(shared, "bucket"), "members")
-    # the texts of all members are cut into words once
+    # texts are cut into words once, with their sketches; of these only the members' words are moved
     # (a merge join at every size: whether the ids fit a broadcast must not change what is shuffled)
     in_any = members.select(F.col("id").alias("doc_id")).distinct().hint("merge")
-    moved = scratch.write(texts.join(in_any, "doc_id", "left_semi").mapInArrow(_worded, "doc_id long, words binary"), "words")
-    links = scratch.write(_star_pairs(members, shared, moved).mapInArrow(_verified(threshold), "a long, b long"), "star")
+    moved = scratch.write(sketches.select("doc_id", "words").join(in_any, "doc_id", "left_semi"), "words")
+    scratch.drop("sketches")
+    links = scratch.write(_star_pairs(members, shared, moved).mapInArrow(_verified(threshold), "a long, b long"), "star", BATCH)
     label = scratch.write(connected_components(links, scratch, "cc-star"), "label")
     rest = scratch.write(_unsettled(members, label), "rest")
     if rest.limit(1).count():
-        found = scratch.write(_block_pairs(rest, reps, moved).mapInArrow(_searched(threshold), "a long, b long"), "blocks")
+        found = scratch.write(_block_pairs(rest, reps, moved).mapInArrow(_searched(threshold), "a long, b long"), "blocks", BATCH)
         label = connected_components(links.unionByName(found), scratch, "cc")
     # a document's group: that of its class; the class is named by its smallest doc_id, so is the component
     groups = (named.join(label.withColumnRenamed("node", "id"), "id", "left").groupBy("doc_id")

@@ -1,6 +1,7 @@
 import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 
 from tallyrisk.llm import order_minhash as O
 from tests.llm.brute import components
@@ -156,3 +157,24 @@ def test_the_prefix_filter_keeps_every_linked_pair():
             texts.append(np.concatenate([w, common[:rng.integers(0, 20)]]).astype(np.int32))
         mask = O.sharing(texts, O.THRESHOLD)
         assert all(mask[i, j] for i in range(25) for j in range(i) if O.aligned_similarity(texts[i], texts[j]) > 0)
+
+
+def test_long_texts_reach_python_in_small_batches(spark, monkeypatch):
+    """Memory of a task: batches of bounded bytes, words made once, a small cache; the session's setting stays."""
+    from tallyrisk.llm.common import BATCH_BYTES, Scratch
+    long = spark.range(60, numPartitions=1).selectExpr("id AS doc_id", "repeat(concat('w', id, ' '), 50000) AS text")
+    before = spark.conf.get(BATCH_BYTES)
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows]), pa.array([b.nbytes])], names=["n", "bytes"])
+
+    seen = Scratch(spark, "test").write(long.mapInArrow(sizes, "n long, bytes long"), "sizes", O.BATCH).collect()
+    assert sum(r.n for r in seen) == 60 and max(r.bytes for r in seen) < 2 * O.BATCH
+    assert spark.conf.get(BATCH_BYTES) == before
+    given = []
+    write = Scratch.write
+    monkeypatch.setattr(Scratch, "write", lambda self, df, name, *a: given.append((name, "MapInArrow" in df._jdf.queryExecution().optimizedPlan().toString(), a))
+                        or write(self, df, name, *a))
+    assert O.near_duplicates(long.limit(5)).count() == 5
+    assert {name for name, python, _ in given if python} == {"sketches", "star"} and all(a == (O.BATCH,) for _, python, a in given if python)
