@@ -58,3 +58,16 @@ def test_ratios_sum_to_100_or_0(spark):
 def test_pca_weights_signs(spark):
     w = {r.metric: r.weight for r in E.queries()["supplier_pca_weights"](spark, SF_SMALL).collect()}
     assert w["open_payable"] <= 0 and w["total_invoice"] >= 0 and len(w) == 10
+
+
+def test_stages_are_compressed_columns(spark):
+    """A stage is read back by column, with the size of its files known; nulls, dates and names stay."""
+    from tallyrisk.sources.tables import Tables
+    t = Tables(spark, SF_SMALL)
+    rows = spark.range(50_000).selectExpr("id", "cast(id % 7 AS double) AS x", "'a name that comes again' AS name",
+                                          "if(id = 3, null, date'2001-08-01') AS day", "cast(null AS string) AS none")
+    kept = t.stage("kept", lambda: rows)
+    assert kept.dtypes == rows.dtypes and kept.count() == 50_000 and kept.exceptAll(rows).count() == 0
+    assert int(kept._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) < 50_000 * 20
+    assert "ReadSchema: struct<x:double>" in kept.select("x")._jdf.queryExecution().executedPlan().toString()
+    assert t.stage("kept", lambda: rows.limit(1)) is kept
