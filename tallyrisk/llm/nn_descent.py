@@ -10,7 +10,7 @@ joins, compared with each other if one of the two is new, and pairs nearer than
 ``K``.  Rounds stop when fewer than ``SETTLED`` of all list places change, or after ``rounds(nodes)``.
 
 **Search** is greedy with a beam of ``beam_width(nodes)`` nodes a query, all queries at once: each round expands the nearest nodes not yet expanded,
-joins their neighbours (both directions) with those nodes' vectors and the queries', and keeps the nearest.  It ends when every node
+joins their neighbours (both directions) with those nodes' vectors, and brings them together with the query's vector and its beam, of which the nearest stay.  It ends when every node
 of every beam is expanded.  Beams start at the nearest of ``SEEDS`` sampled nodes and, for queries that are themselves indexed, at their
 own node.  Building and search use half-precision vectors, each with a power of two of its own, so that no vector's size
 costs another its precision, and distances in double precision; the nearest of the beam are then measured in double precision on the originals.
@@ -74,8 +74,8 @@ def _packed(x: np.ndarray) -> list[bytes]:
     return [p.tobytes() + r.tobytes() for p, r in zip(power.astype(np.int16), half)]
 
 
-def _halves(batch, name: str = "half") -> np.ndarray:
-    raw = np.frombuffer(b"".join(column(batch, name)), np.int16).reshape(batch.num_rows, -1)
+def _halves(batch) -> np.ndarray:
+    raw = np.frombuffer(b"".join(column(batch, "half")), np.int16).reshape(batch.num_rows, -1)
     return raw[:, 1:].copy().view(np.float16) * np.ldexp(1.0, raw[:, :1].astype(np.int32))
 
 
@@ -176,25 +176,11 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _batch(**dict(zip(("node", "neigh", "d"), _nearest(*(np.concatenate(c) for c in zip(*kept)), K))))
 
 
-def _lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From rows sorted by node: each node's list of the K nearest, and which of them are new to it."""
-    for whole, _ in row_groups(batches, ["node"]):
-        a, b, d, old = (column(whole, c) for c in ("node", "neigh", "d", "old"))
-        o = np.lexsort((~old, b, a))    # a pair's old row first
-        a, b, d, old = a[o], b[o], d[o], old[o]
-        first = np.ones(len(a), bool)
-        first[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
-        a, b, d, old = a[first], b[first], d[first], old[first]
-        o = np.lexsort((b, d, a))
-        a, b, d, old = a[o], b[o], d[o], old[o]
-        nth = _rank(a)
-        take = nth < K
-        yield _batch(node=a[take], neigh=b[take], d=d[take], new=~old[take], nth=nth[take].astype(np.int32))
-
-
 def _merged(rows: DataFrame) -> DataFrame:
-    return (rows.repartition("node").sortWithinPartitions("node")
-            .mapInArrow(_lists, "node long, neigh long, d double, new boolean, nth int"))
+    """Each node's list of the K nearest of ``rows`` (node, neigh, d, old), and which of them are new to it: one shuffle, by node."""
+    pairs = rows.repartition("node").groupBy("node", "neigh").agg(F.min("d").alias("d"), F.max("old").alias("old"))
+    return (pairs.withColumn("place", F.row_number().over(Window.partitionBy("node").orderBy("d", "neigh"))).filter(F.col("place") <= K)
+            .select("node", "neigh", "d", (~F.col("old")).alias("new"), (F.col("place") - 1).alias("nth")))
 
 
 def build_graph(nodes: DataFrame, scratch: Scratch) -> tuple[DataFrame, np.ndarray, float]:
@@ -215,13 +201,14 @@ def build_graph(nodes: DataFrame, scratch: Scratch) -> tuple[DataFrame, np.ndarr
                                   .mapInArrow(_blocks, "node long, neigh long, d double").withColumn("old", F.lit(False))), "graph-0")
     halves = spread.filter("t = 0").select("node", "half")
     for r in range(1, rounds(n) + 1):
-        worst = edges.groupBy("node").agg(F.when(F.count("*") >= K, F.max("d")).otherwise(float("inf")).alias("worst"))
+        worst = edges.filter(F.col("nth") == K - 1).select("node", F.col("d").alias("worst"))     # of full lists
         known = halves.join(worst, "node", "left").select(F.col("node").alias("u"), "half",
                                                           F.coalesce("worst", F.lit(float("inf"))).alias("worst"))
         part = edges.filter(F.col("nth") < JOINED)
-        back = (part.withColumn("place", F.row_number().over(Window.partitionBy("neigh").orderBy(~F.col("new"), F.xxhash64("node", F.lit(r)))))
-                .filter(F.col("place") <= REVERSE).select(F.col("neigh").alias("v"), F.col("node").alias("u"), "new"))
-        around = (part.select(F.col("node").alias("v"), F.col("neigh").alias("u"), "new").unionByName(back)
+        place = F.row_number().over(Window.partitionBy("v").orderBy("back", ~F.col("new"), F.xxhash64("u", F.lit(r))))
+        around = (part.select(F.col("node").alias("v"), F.col("neigh").alias("u"), "new", F.lit(False).alias("back"))
+                  .unionByName(part.select(F.col("neigh").alias("v"), F.col("node").alias("u"), "new", F.lit(True).alias("back")))
+                  .withColumn("place", place).filter(F.col("place") <= JOINED + REVERSE)
                   .groupBy("v", "u").agg(F.max("new").alias("new")))
         found = (around.join(known, "u").select("v", "u", "new", "worst", "half").repartition("v").sortWithinPartitions("v")
                  .mapInArrow(_compare, "node long, neigh long, d double").withColumn("old", F.lit(False)))
@@ -234,14 +221,6 @@ def build_graph(nodes: DataFrame, scratch: Scratch) -> tuple[DataFrame, np.ndarr
 
 # ------------------------------------------------------------------ search
 
-def _distances(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        if batch.num_rows:
-            x = _halves(batch, "q_half") - _halves(batch)
-            yield pa.RecordBatch.from_arrays([batch.column("q"), batch.column("node"), pa.array((x * x).sum(axis=1).astype(np.float64))],
-                                             names=["q", "node", "d"])
-
-
 def _measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Exact Euclidean distances."""
     for batch in batches:
@@ -251,11 +230,11 @@ def _measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                              names=["q", "node", "d"])
 
 
-def _halved(middle: np.ndarray, scale: float, *keep: str, name: str = "vec", out: str = "half"):
+def _halved(middle: np.ndarray, scale: float, *keep: str, name: str = "vec"):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             half = _packed((_matrix(batch, name).astype(np.float64) - middle) / scale)
-            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in keep), pa.array(half, pa.binary())], names=[*keep, out])
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in keep), pa.array(half, pa.binary())], names=[*keep, "half"])
     return run
 
 
@@ -273,11 +252,30 @@ def _seeded(ids: np.ndarray, seeds: np.ndarray, scale: float):
     return run
 
 
+QUERY, HELD, FOUND = range(3)      # rows that make a beam: the query's vector, a node with its distance, a node with its vector
+
+
+def _apart(query: np.ndarray, of: np.ndarray, x: np.ndarray, to: np.ndarray) -> np.ndarray:
+    """Squared distance of every row of x to the query of its group ``to``, the nearest one if ``query`` (groups ``of``, ascending) has several."""
+    first, last = np.searchsorted(of, to), np.searchsorted(of, to, "right")
+    out = np.full(len(x), np.inf)
+    for j in range(int((last - first).max(initial=0))):
+        has = first + j < last
+        out[has] = np.minimum(out[has], ((x[has] - query[first[has] + j]) ** 2).sum(axis=1))
+    return out
+
+
 def _beams(width: int):
     """From rows sorted by query: the nearest ``width`` nodes of each, and whether they were expanded."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole, _ in row_groups(batches, ["q"]):
-            q, node, d, done = (column(whole, c) for c in ("q", "node", "d", "done"))
+        for whole, starts in row_groups(batches, ["q"]):
+            kind, d = column(whole, "kind"), column(whole, "d").copy()
+            found = kind == FOUND
+            if found.any():
+                group, asked = np.repeat(np.arange(len(starts) - 1), np.diff(starts)), kind == QUERY
+                d[found] = _apart(_halves(whole.filter(pa.array(asked))), group[asked], _halves(whole.filter(pa.array(found))), group[found])
+            take = kind != QUERY
+            q, node, d, done = column(whole, "q")[take], column(whole, "node")[take], d[take], column(whole, "done")[take]
             o = np.lexsort((~done, node, q))
             q, node, d, done = q[o], node[o], d[o], done[o]
             first = np.ones(len(q), bool)
@@ -293,6 +291,13 @@ def _beams(width: int):
     return run
 
 
+def _reached(todo: DataFrame, neigh: DataFrame, beam: DataFrame) -> DataFrame:
+    """(q, node) of neighbours of the nodes ``todo`` that are not in the beam: dealt by node once, as the join with the vectors wants them."""
+    return (todo.join(neigh, "node").select("q", F.explode("neigh").alias("node"), F.lit(False).alias("held"))
+            .unionByName(beam.select("q", "node", F.lit(True).alias("held")))
+            .repartition("node").groupBy("q", "node").agg(F.max("held").alias("held")).filter("NOT held").select("q", "node"))
+
+
 def search(nodes: DataFrame, graph: DataFrame, middle: np.ndarray, scale: float, queries: DataFrame, top: int, scratch: Scratch) -> DataFrame:
     """(q, node, d): the nearest ``EXACT * top`` nodes of the beam of every query (q, q_vec, own: its node or null), measured exactly."""
     neigh = (graph.withColumn("place", F.row_number().over(Window.partitionBy("neigh").orderBy("d", "node"))).filter(F.col("place") <= REVERSE)
@@ -302,24 +307,27 @@ def search(nodes: DataFrame, graph: DataFrame, middle: np.ndarray, scale: float,
     sample = nodes.orderBy(F.xxhash64(F.lit(SEED), "node")).limit(SEEDS).toArrow()
     seeded = queries.mapInArrow(_seeded(column(sample, "node"), _matrix(sample, "vec").astype(np.float64), scale), "q long, node long, d double")
     halves = scratch.write(nodes.mapInArrow(_halved(middle, scale, "node"), "node long, half binary"), "halves")
-    asked = scratch.write(queries.mapInArrow(_halved(middle, scale, "q", name="q_vec", out="q_half"), "q long, q_half binary"), "asked")
+    asked = scratch.write(queries.mapInArrow(_halved(middle, scale, "q", name="q_vec"), "q long, half binary"), "asked")
     width = beam_width(nodes.count())
     own = queries.filter("own IS NOT NULL").select("q", F.col("own").alias("node"), F.lit(0.0).alias("d"))
 
+    def held(rows: DataFrame) -> DataFrame:
+        return rows.select("q", F.lit(HELD).alias("kind"), "node", "d", "done", F.lit(None).cast("binary").alias("half"))
+
     def beams(rows: DataFrame, name: str) -> DataFrame:
         return scratch.write(rows.repartition("q").sortWithinPartitions("q")
                              .mapInArrow(_beams(width), "q long, node long, d double, done boolean, next boolean"), name)
 
-    beam = beams(seeded.unionByName(own).withColumn("done", F.lit(False)), "beam-0")
+    # the queries' vectors come as rows beside the found nodes', so that one shuffle by query measures and ranks
+    points = asked.select("q", F.lit(QUERY).alias("kind"), F.lit(0).cast("long").alias("node"), F.lit(0.0).alias("d"), F.lit(True).alias("done"), "half")
+    beam = scratch.write(seeded.unionByName(own).withColumns({"done": F.lit(False), "next": F.lit(True)}), "beam-0")    # less than EXPANDED a query
     for r in range(1, SEARCH_ROUNDS):
         todo = beam.filter("next")
-        if not todo.limit(1).count():
+        if todo.isEmpty():
             break
-        reached = (todo.join(neigh, "node").select("q", F.explode("neigh").alias("node")).distinct()
-                   .join(beam.select("q", "node"), ["q", "node"], "left_anti"))
-        found = (reached.join(halves, "node").join(asked, "q").select("q", "node", "q_half", "half")
-                 .mapInArrow(_distances, "q long, node long, d double").withColumn("done", F.lit(False)))
-        beam = beams(beam.select("q", "node", "d", (F.col("done") | F.col("next")).alias("done")).unionByName(found), f"beam-{r}")
+        found = _reached(todo, neigh, beam).join(halves, "node").select("q", F.lit(FOUND).alias("kind"), "node", F.lit(0.0).alias("d"),
+                                                                        F.lit(False).alias("done"), "half")
+        beam = beams(held(beam.select("q", "node", "d", (F.col("done") | F.col("next")).alias("done"))).unionByName(found).unionByName(points), f"beam-{r}")
         scratch.drop(f"beam-{r - 1}")
     else:
         raise RuntimeError("the search did not settle")
@@ -338,10 +346,11 @@ def nearest(df: DataFrame, is_query, top: int = 10, vec: str = "embedding", vec_
     length = rows.groupBy(F.size("vec").alias("n")).count().orderBy(F.desc("count"), F.desc("n")).limit(1).collect()
     rows = rows.filter(F.size("vec") == (length[0]["n"] if length else 0))
     members = top + 1
-    ranked = scratch.write(rows.distinct().withColumn("nth", F.row_number().over(Window.partitionBy("vec").orderBy("vec_id")))
-                           .filter(F.col("nth") <= members), "members")
-    nodes = scratch.write(ranked.filter("nth = 1").select(F.col("vec_id").alias("node"), "vec"), "nodes")
-    of_node = ranked.select("vec_id", "vec").join(nodes, "vec").select("node", "vec_id")
+    by_vec = Window.partitionBy("vec").orderBy("vec_id")
+    ranked = scratch.write(rows.distinct().withColumns({"nth": F.row_number().over(by_vec), "node": F.first("vec_id").over(
+        by_vec.rowsBetween(Window.unboundedPreceding, Window.currentRow))}).filter(F.col("nth") <= members), "members")
+    nodes = scratch.write(ranked.filter("nth = 1").select("node", "vec"), "nodes")
+    of_node = ranked.select("node", "vec_id")
     asked = rows.filter(is_query).distinct().join(nodes, "vec").select(
         F.col("vec_id").alias("q"), F.col("vec").alias("q_vec"), F.col("node").alias("own"))
     asked = scratch.write(asked, "queries")

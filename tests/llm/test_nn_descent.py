@@ -82,3 +82,44 @@ def test_a_common_offset_costs_no_recall(spark, offset):
     df = spark.createDataFrame([(int(i), v.tolist()) for i, v in zip(ids, x)], "vec_id long, embedding array<double>")
     got, want = _found(N.nearest(df, F.col("vec_id") % 100 == 0).collect()), _brute(ids, x, ids % 100 == 0)
     assert np.mean([len({v for v, _ in got[q]} & {v for v, _ in want[q]}) / 10 for q in want]) >= 0.9
+
+
+def _shuffles(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan.count("Exchange hashpartitioning("), plan.count("InArrow")
+
+
+def test_a_round_deals_its_rows_once_by_each_key(spark):
+    """Every stage of a round costs a task for each partition: lists are merged in one, found nodes meet their vectors where they were made distinct."""
+    node, pair = F.col("id").alias("node"), (F.col("id") % 7).alias("q")
+    beam = spark.range(50).select(pair, node, F.lit(1.0).alias("d"), F.lit(False).alias("done"), F.lit(True).alias("next"))
+    neigh = spark.range(50).select(node, F.array(F.col("id") + 1, F.col("id") + 2).alias("neigh"))
+    halves = spark.range(60).select(node, F.lit(b"x").alias("half"))
+    todo = beam.filter("node < 20")
+    reached = N._reached(F.broadcast(todo), neigh, beam)
+    assert _shuffles(reached.join(halves.hint("merge"), "node")) == (2, 0)
+    got = {(r.q, r.node) for r in reached.collect()}
+    held = {(r.q, r.node) for r in beam.collect()}
+    assert got == {(i % 7, i + k) for i in range(20) for k in (1, 2)} - held and reached.count() == len(got)
+    rows = spark.createDataFrame([(1, n, float(abs(n - 40)), n % 2 == 0) for n in range(2, 80)] + [(1, 40, 0.0, False), (2, 1, 3.0, True)],
+                                 "node long, neigh long, d double, old boolean")
+    lists = N._merged(rows)
+    assert _shuffles(lists) == (1, 0)
+    got = {(r.node, r.neigh): (r.d, r.new, r.nth) for r in lists.collect()}
+    near = sorted(range(2, 80), key=lambda n: (abs(n - 40), n))[:N.K]
+    assert got == {(1, n): (float(abs(n - 40)), n % 2 == 1, i) for i, n in enumerate(near)} | {(2, 1): (3.0, False, 0)}
+
+
+def test_distances_to_the_nearest_of_a_querys_vectors():
+    x, of, to = np.array([[0.0, 1.0], [3.0, 3.0], [5.0, 0.0]]), np.array([0, 2, 2]), np.array([0, 0, 2, 2, 2])
+    y = np.array([[0.0, 0.0], [2.0, 1.0], [3.0, 3.0], [5.0, 1.0], [4.0, 4.0]])
+    assert N._apart(x, of, y, to).tolist() == [1.0, 4.0, 0.0, 1.0, 2.0]
+    assert N._apart(x, of, y[:0], to[:0]).tolist() == []
+
+
+def test_a_query_id_with_two_vectors(spark):
+    x = np.random.default_rng(3).standard_normal((40, 4))
+    rows = [(i, v.tolist()) for i, v in enumerate(x)] + [(0, (x[7] + 0.001).tolist())]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = N.nearest(df, F.col("vec_id") == 0).orderBy("rank").collect()
+    assert len(got) == 10 and got[0].vec_id == 7 and np.isclose(got[0].score, 0.002)
