@@ -46,6 +46,9 @@ _CAPITALS = "".join(re.escape(c) for c in map(chr, range(0x110000)) if unicodeda
 #: scripts written without blanks: Thai, Lao, Burmese, Khmer, kana, Han
 _UNSPACED = "\u0e01-\u0eff\u1000-\u109f\u1780-\u17ff\u3041-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
 _CUT = re.compile(rf"(?<=[.!?])\s+|(?<=[。！？])\s*|(?<=[{_UNSPACED}])\s+|\n|\s(?=[{_CAPITALS}])")
+#: the same cuts in a text without the characters of ``_DENSE``: every one begins with a blank, which the engine looks for quickly
+_CUT_PLAIN = re.compile(rf"\s(?:(?<=[.!?].)\s*|(?<=\n)|(?=[{_CAPITALS}]))", re.DOTALL)
+_DENSE = re.compile(rf"[。！？{_UNSPACED}]")
 _WORD = re.compile(rf"[{_UNSPACED}]|[^\s{_UNSPACED}]+")
 
 SPAN = "array<struct<start:int,end:int>>"
@@ -58,21 +61,26 @@ def count_words(norm: str) -> int:
 def cut(text: str) -> list[tuple[int, int, str, int]]:
     """(start, end, normalised text, words) of every unit that is not blank; the units of a text tile it but for blanks."""
     out, at = [], 0
-    for end in [m.end() for m in _CUT.finditer(text)] + [len(text)]:
+    ascii_ = text.isascii()
+    plain = ascii_ or not _DENSE.search(text)
+    low = text.lower() if ascii_ else None      # other letters may change their number
+    for end in [m.end() for m in (_CUT_PLAIN if plain else _CUT).finditer(text)] + [len(text)]:
         if end > at:
-            norm = " ".join(text[at:end].lower().split())
-            if norm:
-                out.append((at, end, norm, count_words(norm)))
+            words = (low[at:end] if ascii_ else text[at:end].lower()).split()
+            if words:
+                norm = " ".join(words)
+                out.append((at, end, norm, len(words) if plain else count_words(norm)))
         at = end
     return out
 
 
 def windows(units: list[tuple[int, int, str, int]]) -> list[tuple[int, int, str]]:
     """(first unit, units, hashed text): every long unit alone, every short one with its neighbours on either side."""
-    out: dict[tuple[int, int], str] = {}
+    alone: list[tuple[int, int, str]] = []
+    out: dict[tuple[int, int], str] = {}    # of two units or more
     for i, (_, _, norm, n) in enumerate(units):
         if n >= MIN_UNIT_WORDS:
-            out[i, 1] = norm
+            alone.append((i, 1, norm))
             continue
         for step in (1, -1):
             total, j = n, i
@@ -87,7 +95,7 @@ def windows(units: list[tuple[int, int, str, int]]) -> list[tuple[int, int, str]
             a, b = min(i, j), max(i, j) + 1
             if (a, b - a) not in out:
                 out[a, b - a] = " ".join(u[2] for u in units[a:b])
-    return [(a, n, t) for (a, n), t in out.items()]
+    return alone + [(a, n, t) for (a, n), t in out.items()]
 
 
 def wholes(text: str, units: list[tuple[int, int, str, int]]) -> list[tuple[int, int, str]]:
@@ -124,15 +132,19 @@ KEY_BITS = 12              # bits of the filter for each digest, before rounding
 PROBES = 4
 
 
+def _digest(text: str) -> bytes:
+    return xxhash.xxh3_128_digest(text if text.isascii() else text.encode("utf-8", "surrogatepass"))
+
+
 def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     docs: list = []
-    rows: list[tuple] = []
+    rows: list[np.ndarray] = []     # of each text: place, n, start, stop, w0, w1
     digests: list[bytes] = []
 
     def flush():
         raw = np.frombuffer(b"".join(digests), dtype=">i8").reshape(-1, 2).astype(np.int64)
-        cols = list(zip(*rows))
-        return pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), *(pa.array(c, f.type) for c, f in zip(cols, list(_OCC)[1:7])),
+        cols = np.concatenate(rows, axis=1)
+        return pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(cols[0]), *(pa.array(c.astype(np.int32)) for c in cols[1:]),
                                            pa.array(raw[:, 0]), pa.array(raw[:, 1])], schema=_OCC)
 
     for batch in batches:
@@ -141,14 +153,17 @@ def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if not text:
                 continue
             units = cut(text)
-            before = [0]
-            for u in units:
-                before.append(before[-1] + u[3])
             found = windows(units) + wholes(text, units)
-            first = h << 32
-            docs += [doc_id] * len(found)
-            rows += [(first + i, n, units[i][0], units[i + abs(n) - 1][1], before[i], before[i + abs(n)]) for i, n, _ in found]
-            digests += [xxhash.xxh3_128_digest(t.encode("utf-8", "surrogatepass")) for _, _, t in found]
+            if not found:
+                continue
+            start, stop, _, n_words = zip(*units)
+            before = np.concatenate([[0], np.cumsum(n_words)])
+            i, n, hashed = zip(*found)
+            i, n = np.array(i, np.int64), np.array(n, np.int64)
+            end = i + np.abs(n)
+            docs += [doc_id] * len(hashed)
+            rows.append(np.stack([(h << 32) + i, n, np.array(start)[i], np.array(stop)[end - 1], before[i], before[end]]))
+            digests += map(_digest, hashed)
             if len(docs) >= FLUSH:
                 yield flush()
                 docs, rows, digests = [], [], []
