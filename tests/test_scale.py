@@ -99,3 +99,51 @@ def test_wide_statistics_of_small_groups_are_not_shuffled(spark):
                normalize.masked_minmax(rows, PAIR_METRICS, ["customer_id"])):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "hashpartitioning(customer_id" in plan and "REPARTITION_BY_NUM" in plan
+
+
+def test_invoice_rows_are_shuffled_by_order_only(spark, tmp_path):
+    """Without any broadcast the line items meet the customers in their orders; repeated and null keys give the rows of the SQL."""
+    import duckdb
+
+    from tallyrisk.sources.fixtures import oracle_text
+    from tallyrisk.sources.tables import Tables
+    day = dt.datetime(2001, 7, 1)
+    rows = {
+        "nation": ([(k, f"nation {k}", k % 3) for k in range(12)] + [(None, "none", 0), (4, "again", 1)], "n_nationkey int, n_name string, n_regionkey int"),
+        "supplier": ([(k, f"s{k}", k % 9, 1.0) for k in range(1, 8)] + [(None, "none", 1, 0.0), (3, "twice", 2, 0.0)],
+                     "s_suppkey long, s_name string, s_nationkey int, s_acctbal double"),
+        "customer": ([(k, f"c{k}", k % 13, 1.0, ("BUILDING", "HOUSEHOLD", None)[k % 3]) for k in range(1, 20)] + [(5, "twice", None, 0.0, "MACHINERY"),
+                     (6, "twice", 2, 0.0, "FURNITURE"), (None, "none", 1, 0.0, "AUTOMOBILE")],
+                     "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"),
+        "orders": ([(k, None if k % 11 == 0 else k % 23, "OFP"[k % 3], k * 1.25, None if k % 17 == 0 else day + dt.timedelta(k % 40)) for k in range(1, 60)]
+                   + [(7, 5, "O", 3.5, day), (None, 2, "O", 1.0, day)],
+                   "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz"),
+        "lineitem": ([(None if k % 29 == 0 else k % 64, None if k % 19 == 0 else k % 41, None if k % 31 == 0 else k % 9, k % 7 + 1, 1.0,
+                       None if k % 37 == 0 else k * 0.37, 0.05, "NRA"[k % 3]) for k in range(400)] * 2,
+                     "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, "
+                     "l_returnflag string"),
+    }
+    con = duckdb.connect()
+    for name, (data, schema) in rows.items():
+        spark.createDataFrame(data, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{tmp_path}/{name}.parquet/*.parquet')")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = Tables(spark, str(tmp_path)).invoice_payments
+        plan = df._jdf.queryExecution().executedPlan().toString().splitlines()
+        got = sorted((tuple(r) for r in df.collect()), key=repr)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(64 * 1024 * 1024))
+    want = con.execute(oracle_text("invoice_payments"))
+    assert df.columns == [c[0] for c in want.description]
+    assert got == sorted(want.fetchall(), key=repr) and len(got) > 400
+
+    def below(i):
+        """The plan's lines under line ``i``."""
+        depth = plan[i].index("Exchange")
+        ends = next((j for j in range(i + 1, len(plan)) if plan[j][:depth].strip(" :")), len(plan))
+        return "\n".join(plan[i:ends])
+
+    by = {key: [below(i) for i, x in enumerate(plan) if f"Exchange hashpartitioning({key}#" in x] for key in ("l_orderkey", "o_custkey", "l_suppkey")}
+    assert all(len(x) == 1 for x in by.values())        # the window by order and supplier needs no shuffle of its own
+    assert "l_orderkey#" not in by["o_custkey"][0] and "o_orderkey#" not in by["l_suppkey"][0]
