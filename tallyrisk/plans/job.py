@@ -46,7 +46,7 @@ _CUSTOMERS = ("raw_customers", "raw_customer_types", "raw_ndg")
 #: load -> the raw tables it is extracted from, and its extraction over a window of days
 EXTRACTS: dict[str, tuple[tuple[str, ...], Callable[[Tables, _dt.date, _dt.date], DataFrame]]] = {
     "invoice_payments": (("raw_invoices", "raw_payments", "raw_suppliers", *_CUSTOMERS), lambda t, a, b: ex.extract_invoice(
-        t.raw_invoices, t.raw_payments, t.raw_suppliers, t.raw_customers, t.raw_ndg, t.raw_customer_types, a, b)),
+        t.within("raw_invoices", a, b), t.raw_payments, t.raw_suppliers, t.raw_customers, t.raw_ndg, t.raw_customer_types, a, b)),
     "chargebacks": ((*_BILLS, *_CUSTOMERS, "raw_company_customers", "raw_suppliers", "raw_entities", "raw_bill_metadata"), lambda t, a, b: ex.extract_chargebacks(
         t.raw_bills, t.raw_bill_lines, t.raw_accounts, t.raw_bill_payments, _parties(t), t.raw_suppliers, t.raw_entities, t.raw_bill_metadata, a, b)),
     "open_payable": (("raw_supplier_invoice", *_STATUS), lambda t, a, b: ex.extract_open_payable(t.raw_supplier_invoice, _status(t), a, b)),

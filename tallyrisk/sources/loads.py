@@ -174,6 +174,9 @@ class WarehouseTables(Tables):
             self._cache[name] = self.warehouse.table(name, self.day)
         return super().__getitem__(name)
 
+    def within(self, name: str, start: _dt.date, end: _dt.date) -> DataFrame:
+        return self[name] if name in LOADS else super().within(name, start, end)
+
 
 # ------------------------------------------------------------------ facts by date
 
