@@ -129,3 +129,11 @@ def test_payments_are_narrowed_before_they_are_shuffled(spark):
     scans = [i for i in at if "* 100000" in text[i] and "l_suppkey" in text[i]]
     assert scans and all("Join" not in text[i] for i in scans)
     assert any("Relation [l_orderkey" in x for i in scans for x in text[i + 1:i + 40])
+
+
+def test_a_relation_put_in_place_of_another_is_read_whole(spark):
+    t = Tables(spark, SF_SMALL)
+    own = t["chargebacks"]
+    assert t.within("chargebacks", D, D).count() < own.count()
+    t._cache["chargebacks"] = own.limit(3)
+    assert t.within("chargebacks", D, D) is t._cache["chargebacks"]
